@@ -4,7 +4,7 @@ from importlib import import_module
 
 from adjudika.catalog.registry import QUERIES, SQL
 
-for _name in ("reports",):
+for _name in ("reports", "listings"):
     import_module(f"adjudika.catalog.{_name}")
 
 __all__ = ["QUERIES", "SQL"]
