@@ -4,7 +4,7 @@ from importlib import import_module
 
 from adjudika.catalog.registry import QUERIES, SQL
 
-for _name in ("reports", "listings", "scalars", "quality", "joins", "merging"):
+for _name in ("reports", "listings", "scalars", "quality", "joins", "merging", "pages"):
     import_module(f"adjudika.catalog.{_name}")
 
 __all__ = ["QUERIES", "SQL"]
