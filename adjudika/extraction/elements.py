@@ -7,7 +7,8 @@ slots that follow it up to ``last``; ``texts`` holds the stripped non-blank text
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +29,14 @@ CLOSES = {
     "option": ({"option"}, {"select", "table"}),
     "p": ({"p"}, {"td", "th", "li", "div", "table"}),
 }
-UNREAD = frozenset(("script", "style"))
+
+# One token: comment, declaration, script or style with its content, or a tag. Quoted attribute values may hold ">".
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
+    r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
+    re.IGNORECASE | re.DOTALL)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 _INTS, _WORDS = ("i", "last", "nth", "t0", "t1"), ("cls",)
 _FIELDS = ("i", "last", "tag", "above", "nth", "id", "cls", "href", "rel", "alt", "own", "t0", "t1")
@@ -36,86 +44,112 @@ ELEMENT = T.StructType([
     T.StructField(f, T.IntegerType() if f in _INTS else T.ArrayType(T.StringType()) if f in _WORDS else T.StringType())
     for f in _FIELDS
 ])
-_ARROW_ELEMENT = pa.struct([
-    (f, pa.int32() if f in _INTS else pa.list_(pa.string()) if f in _WORDS else pa.string()) for f in _FIELDS
-])
 
 
-class _Lister(HTMLParser):
+def _arrow_type(field: str) -> pa.DataType:
+    return pa.int32() if field in _INTS else pa.list_(pa.string()) if field in _WORDS else pa.string()
+
+
+def _attributes(source: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTR.findall(source):
+        value = double or single or bare
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+class PageBatch:
+    """Column lists of the elements and texts of several pages, with one offset per page."""
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.elements, self.texts, self.open = [], [], []
-        self.children = [0]
-
-    def handle_starttag(self, tag, attrs):
-        if tag in CLOSES:
-            self._close(*CLOSES[tag])
-        given = dict(reversed(attrs))
-        self.children[-1] += 1
-        self.elements.append({
-            "i": len(self.elements), "last": len(self.elements), "tag": tag,
-            "above": "/" + "".join(f"{self.elements[o]['tag']}/" for o in self.open), "nth": self.children[-1],
-            "id": given.get("id"), "cls": (given.get("class") or "").split(), "href": given.get("href"),
-            "rel": given.get("rel"), "alt": given.get("alt"), "own": None,
-            "t0": len(self.texts), "t1": len(self.texts),
-        })
-        if tag not in VOID:
-            self.open.append(len(self.elements) - 1)
-            self.children.append(0)
-
-    def handle_endtag(self, tag):
-        if tag not in VOID:
-            self._close({tag}, set() if tag in ("table", "body", "html") else {"table"})
-
-    def handle_data(self, data):
-        if not self.open or self.elements[self.open[-1]]["tag"] in UNREAD:
-            return
-        owner = self.elements[self.open[-1]]
-        if owner["own"] is None:
-            owner["own"] = data
-        if data.strip():
-            self.texts.append(data.strip())
-
-    def _close(self, tags, scope):
-        """Close the nearest open element with one of the tags, and all inside it, unless a scope element is nearer."""
-        for depth in range(len(self.open) - 1, -1, -1):
-            name = self.elements[self.open[depth]]["tag"]
-            if name in tags:
-                self._pop_to(depth)
-                return
-            if name in scope:
-                return
-
-    def _pop_to(self, depth):
-        while len(self.open) > depth:
-            e = self.elements[self.open.pop()]
-            e["last"], e["t1"] = len(self.elements) - 1, len(self.texts)
-            self.children.pop()
-
-    def finish(self):
-        self.close()
-        self._pop_to(0)
-        return self.elements, self.texts
-
-
-def list_elements(html: str | None):
-    lister = _Lister()
-    lister.feed(html or "")
-    return lister.finish()
+        self.columns = {f: [] for f in _FIELDS}
+        self.texts: list[str] = []
+        self.offsets, self.text_offsets = [0], [0]
+
+    def add(self, html: str | None) -> None:
+        col, base, text_base = self.columns, self.offsets[-1], self.text_offsets[-1]
+        tags, own, last, t1, texts = col["tag"], col["own"], col["last"], col["t1"], self.texts
+        opened: list[int] = []  # slots of the open elements
+        children = [0]  # children seen so far, per open element
+        html = html or ""
+
+        def pop_to(depth: int) -> None:
+            while len(opened) > depth:
+                slot = opened.pop()
+                last[slot], t1[slot] = len(tags) - 1 - base, len(texts) - text_base
+                children.pop()
+
+        def close(names, scope) -> None:
+            """Close the nearest open element of these names, unless a scope element is nearer."""
+            for depth in range(len(opened) - 1, -1, -1):
+                name = tags[opened[depth]]
+                if name in names:
+                    return pop_to(depth)
+                if name in scope:
+                    return None
+
+        def text(piece: str) -> None:
+            if piece and opened:
+                piece = unescape(piece) if "&" in piece else piece
+                if own[opened[-1]] is None:
+                    own[opened[-1]] = piece
+                stripped = piece.strip()
+                if stripped:
+                    texts.append(stripped)
+
+        def start(tag: str, source: str) -> None:
+            if tag in CLOSES:
+                close(*CLOSES[tag])
+            given = _attributes(source) if "=" in source else {}
+            children[-1] += 1
+            slot, place = len(tags), len(texts) - text_base
+            above = f"{col['above'][opened[-1]]}{tags[opened[-1]]}/" if opened else "/"
+            values = (slot - base, slot - base, tag, above, children[-1], given.get("id"),
+                      given.get("class", "").split(), given.get("href"), given.get("rel"), given.get("alt"), None,
+                      place, place)
+            for field, value in zip(_FIELDS, values):
+                col[field].append(value)
+            if tag not in VOID:
+                opened.append(slot)
+                children.append(0)
+
+        at = 0
+        for token in _TOKEN.finditer(html):
+            text(html[at:token.start()])
+            at = token.end()
+            if token["raw"]:  # listed as an element, its content is not text
+                start(token["raw"].lower(), "")
+                pop_to(len(opened) - 1)
+            elif token["tag"]:
+                tag = token["tag"].lower()
+                if not token["end"]:
+                    start(tag, token["attrs"])
+                elif tag not in VOID:
+                    close((tag,), () if tag in ("table", "body", "html") else ("table",))
+        text(html[at:])
+        pop_to(0)
+        self.offsets.append(len(tags))
+        self.text_offsets.append(len(texts))
+
+    def arrays(self) -> tuple[pa.Array, pa.Array]:
+        fields = [pa.array(self.columns[f], _arrow_type(f)) for f in _FIELDS]
+        structs = pa.StructArray.from_arrays(fields, names=list(_FIELDS))
+        return (pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), structs),
+                pa.ListArray.from_arrays(pa.array(self.text_offsets, pa.int32()), pa.array(self.texts, pa.string())))
 
 
 def _kernel(chunk: int):
     def run(batches):
         for batch in batches:
             html_at = batch.schema.get_field_index("html")
-            for start in range(0, batch.num_rows, chunk):
-                part = batch.slice(start, chunk)
-                found = [list_elements(h) for h in part.column(html_at).to_pylist()]
+            for begin in range(0, batch.num_rows, chunk):
+                part = batch.slice(begin, chunk)
+                found = PageBatch()
+                for html in part.column(html_at):
+                    found.add(html.as_py())
                 kept = [c for i, c in enumerate(part.columns) if i != html_at]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array([e for e, _ in found], pa.list_(_ARROW_ELEMENT)),
-                     pa.array([t for _, t in found], pa.list_(pa.string()))],
-                    names=[*(n for n in part.schema.names if n != "html"), "elements", "texts"])
+                names = [n for n in part.schema.names if n != "html"]
+                yield pa.RecordBatch.from_arrays([*kept, *found.arrays()], names=[*names, "elements", "texts"])
     return run
 
 

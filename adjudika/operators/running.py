@@ -1,7 +1,9 @@
-"""Running totals and sliding counts over time steps, without one long window.
+"""Running totals and sliding counts over evaluation steps.
 
-A running total is split by day: a window inside each day, plus the total of all earlier days. The first works on the
-steps of one day, the second on one row per day, so neither grows with the number of events.
+Events are counted per step first, with partial sums before the exchange. A window then sees one row per step: 1 440 rows
+per group and day at the usual minute step, however many events there were. A sliding window is a running total of what
+enters and what leaves, so its length costs nothing: three days at a one-minute step is two changes per step, where a
+sliding-window grouping would copy each event 4 320 times.
 """
 
 from __future__ import annotations
@@ -34,17 +36,10 @@ def step_floor(ts: Column, step: dt.timedelta) -> Column:
     return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), whole.cast("decimal(18,6)"))
 
 
-def running_total(deltas: DataFrame, by: list[str], at: str, values: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
-    """Inclusive running sums of ``values`` at each ``at`` (unique per ``by`` and ``at``); ``carry`` goes along."""
-    daily = deltas.withColumn("_day", F.date_trunc("day", at))
-    totals = daily.groupBy(*by, "_day").agg(*(F.sum(v).alias(f"_t_{v}") for v in values))
-    earlier = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        *by, "_day", *(F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_b_{v}") for v in values))
-    inside = Window.partitionBy(*by, "_day").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    within = daily.withColumns({v: F.sum(v).over(inside) for v in values})
-    return within.join(before, [*by, "_day"]).select(
-        *by, at, *((F.col(v) + F.col(f"_b_{v}")).alias(v) for v in values), *carry)
+def running_total(steps: DataFrame, by: list[str], at: str, values: list[str]) -> DataFrame:
+    """Replace the changes in ``values`` by their inclusive running sums; ``at`` is unique per ``by``."""
+    upto = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    return steps.withColumns({v: F.sum(v).over(upto) for v in values})
 
 
 def timeline(groups: DataFrame, by: list[str], start: Column, end: Column, step: dt.timedelta) -> DataFrame:
@@ -78,7 +73,7 @@ def on_timeline(spine: DataFrame, deltas: list[DataFrame], by: list[str], values
         filled = [(F.col(v).cast("bigint") if v in d.columns else zero).alias(v) for v in values]
         union = union.unionByName(d.select(*by, "t", *filled, F.lit(False).alias("_on")))
     steps = union.groupBy(*by, "t").agg(*(F.sum(v).alias(v) for v in values), F.bool_or("_on").alias("_on"))
-    return running_total(steps, by, "t", values, ("_on",)).filter("_on").drop("_on")
+    return running_total(steps, by, "t", values).filter("_on").drop("_on")
 
 
 def held(condition: DataFrame, by: list[str], hold: dt.timedelta, step: dt.timedelta) -> DataFrame:
@@ -92,5 +87,5 @@ def held(condition: DataFrame, by: list[str], hold: dt.timedelta, step: dt.timed
     )).alias("_m")
     steps = condition.select(*by, moves).select(*by, "_m.*").groupBy(*by, "t").agg(
         F.sum("run").alias("run"), F.bool_or("cond").alias("cond"))
-    return running_total(steps, by, "t", ["run"], ("cond",)).filter(F.col("cond").isNotNull()).select(
+    return running_total(steps, by, "t", ["run"]).filter(F.col("cond").isNotNull()).select(
         *by, "t", "cond", (F.col("run") >= needed).alias("firing"))
