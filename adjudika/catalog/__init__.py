@@ -4,7 +4,8 @@ from importlib import import_module
 
 from adjudika.catalog.registry import QUERIES, SQL
 
-for _name in ("reports", "listings", "scalars", "quality", "joins", "merging", "pages", "monitoring"):
+for _name in ("reports", "listings", "scalars", "quality", "joins", "merging", "pages", "monitoring", "streams",
+              "exports"):
     import_module(f"adjudika.catalog.{_name}")
 
 __all__ = ["QUERIES", "SQL"]

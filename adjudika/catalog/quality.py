@@ -19,8 +19,12 @@ RAW = """raw AS (SELECT ref_consultation, CASE WHEN k % 13 = 0 THEN '' WHEN k %
 
 
 def incoming(spark, sf_dir):
+    return incoming_from(D.consultations(spark, sf_dir))
+
+
+def incoming_from(consultations):
     key = F.substring("ref_consultation", 4, 20).cast("bigint")
-    return D.consultations(spark, sf_dir).select(
+    return consultations.select(
         "ref_consultation",
         F.when(key % 13 == 0, "").when(key % 17 == 0, "  ").otherwise(F.col("titre")).alias("titre"),
         F.when(key % 19 != 0, F.col("organisme_acronyme")).alias("organisme_acronyme"),

@@ -79,9 +79,11 @@ def consultations_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(*(c.alias(n) for n, c in _core_columns().items()))
 
 
-def consultations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tenders with the public body. The planner picks the join by measured size; nothing is hinted."""
-    orders, customer, nation = (read(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+def consultations(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Tenders with the public body. The planner picks the join by measured size; nothing is hinted. ``orders`` may be
+    a micro-batch of the table."""
+    orders = read(spark, sf_dir, "orders") if orders is None else orders
+    customer, nation = (read(spark, sf_dir, t) for t in ("customer", "nation"))
     joined = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
