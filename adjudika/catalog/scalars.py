@@ -16,10 +16,10 @@ _WS = r"'[\s]+', ' ', 'g'"
 SELECT doc_id, trim(regexp_replace(text, {_WS})) AS texte,
   substr(trim(regexp_replace(text, {_WS})), 1, 1000) AS objet, substr(text, 1, 60) AS apercu FROM documents""")
 def sca_clean_text(spark, sf_dir):
-    docs = D.read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texte"), F.col("text").alias("objet"),
-                                                     fn.preview(F.col("text"), 60).alias("_raw"))
-    return fn.normalize_strings(docs.select("doc_id", "objet", "texte")).join(
-        docs.select("doc_id", F.col("_raw").alias("apercu")), "doc_id")
+    docs = D.read(spark, sf_dir, "documents")
+    return fn.normalize_strings(docs.select("doc_id", F.col("text").alias("texte"), F.col("text").alias("objet"),
+                                            F.encode(fn.preview(F.col("text"), 60), "UTF-8").alias("apercu"))).withColumn(
+        "apercu", F.decode("apercu", "UTF-8"))
 
 
 @query("sca_dates", """

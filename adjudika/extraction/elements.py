@@ -67,17 +67,17 @@ class PageBatch:
         self.offsets, self.text_offsets = [0], [0]
 
     def add(self, html: str | None) -> None:
-        col, base, text_base = self.columns, self.offsets[-1], self.text_offsets[-1]
-        tags, own, last, t1, texts = col["tag"], col["own"], col["last"], col["t1"], self.texts
+        last, tags, above, own, t1 = (self.columns[f] for f in ("last", "tag", "above", "own", "t1"))
+        append = [self.columns[f].append for f in _FIELDS]
+        texts, base, text_base = self.texts, self.offsets[-1], self.text_offsets[-1]
         opened: list[int] = []  # slots of the open elements
         children = [0]  # children seen so far, per open element
-        html = html or ""
 
         def pop_to(depth: int) -> None:
-            while len(opened) > depth:
-                slot = opened.pop()
-                last[slot], t1[slot] = len(tags) - 1 - base, len(texts) - text_base
-                children.pop()
+            end, place = len(tags) - 1 - base, len(texts) - text_base
+            for slot in opened[depth:]:
+                last[slot], t1[slot] = end, place
+            del opened[depth:], children[depth + 1:]
 
         def close(names, scope) -> None:
             """Close the nearest open element of these names, unless a scope element is nearer."""
@@ -89,7 +89,7 @@ class PageBatch:
                     return None
 
         def text(piece: str) -> None:
-            if piece and opened:
+            if opened:
                 piece = unescape(piece) if "&" in piece else piece
                 if own[opened[-1]] is None:
                     own[opened[-1]] = piece
@@ -101,32 +101,35 @@ class PageBatch:
             if tag in CLOSES:
                 close(*CLOSES[tag])
             given = _attributes(source) if "=" in source else {}
+            get = given.get
             children[-1] += 1
             slot, place = len(tags), len(texts) - text_base
-            above = f"{col['above'][opened[-1]]}{tags[opened[-1]]}/" if opened else "/"
-            values = (slot - base, slot - base, tag, above, children[-1], given.get("id"),
-                      given.get("class", "").split(), given.get("href"), given.get("rel"), given.get("alt"), None,
-                      place, place)
-            for field, value in zip(_FIELDS, values):
-                col[field].append(value)
+            path = f"{above[opened[-1]]}{tags[opened[-1]]}/" if opened else "/"
+            for put, value in zip(append, (
+                    slot - base, slot - base, tag, path, children[-1], get("id"), get("class", "").split(), get("href"),
+                    get("rel"), get("alt"), None, place, place)):
+                put(value)
             if tag not in VOID:
                 opened.append(slot)
                 children.append(0)
 
-        at = 0
+        html, at = html or "", 0
         for token in _TOKEN.finditer(html):
-            text(html[at:token.start()])
+            begin, (raw, end, tag, attrs) = token.start(), token.groups()
+            if begin > at:
+                text(html[at:begin])
             at = token.end()
-            if token["raw"]:  # listed as an element, its content is not text
-                start(token["raw"].lower(), "")
-                pop_to(len(opened) - 1)
-            elif token["tag"]:
-                tag = token["tag"].lower()
-                if not token["end"]:
-                    start(tag, token["attrs"])
+            if tag:
+                tag = tag.lower()
+                if not end:
+                    start(tag, attrs)
                 elif tag not in VOID:
                     close((tag,), () if tag in ("table", "body", "html") else ("table",))
-        text(html[at:])
+            elif raw:  # listed as an element, its content is not text
+                start(raw.lower(), "")
+                pop_to(len(opened) - 1)
+        if at < len(html):
+            text(html[at:])
         pop_to(0)
         self.offsets.append(len(tags))
         self.text_offsets.append(len(texts))

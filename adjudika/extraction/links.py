@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudika import functions as fn
-from adjudika.extraction.rows import any_match, blocks, says
+from adjudika.extraction.rows import any_match, blocks, let, says
 from adjudika.extraction.selectors import (
     DETAIL_LINK_WORDS, DETAIL_PAGE_NAMES, EMPTY_TEXT, MINUTES_LINK_WORDS, SELECTORS, TENDER_LINK_WORDS,
 )
@@ -53,14 +53,20 @@ def next_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", fn.url_join(F.col("url"), href).alias("next_url"))
 
 
+def _first(tag: str) -> Column:
+    return F.get(F.filter("elements", lambda e: e.tag == tag), F.lit(0))
+
+
 def profile(pages: DataFrame) -> DataFrame:
     """Structure counts per page; columns are the cells of the second row of the first table."""
     def count(tag: str) -> Column:
         return F.size(F.filter("elements", lambda e: e.tag == tag)).cast("bigint")
 
-    table = F.get(F.filter("elements", lambda e: e.tag == "table"), F.lit(0))
-    row = F.get(F.filter("elements", lambda e: (e.tag == "tr") & (e.i > table.i) & (e.i <= table["last"])), F.lit(1))
-    cells = F.filter("elements", lambda e: e.tag.isin("td", "th") & (e.i > row.i) & (e.i <= row["last"]))
+    def inside(outer: Column, tags) -> Column:
+        return F.filter("elements", lambda e: e.tag.isin(*tags) & (e.i > outer.i) & (e.i <= outer["last"]))
+
+    second_row = let(_first("table"), lambda table: F.get(inside(table, ["tr"]), F.lit(1)))
+    cells = let(second_row, lambda row: inside(row, ["td", "th"]))
     return pages.select(
         "page_id", count("table").alias("tables"), count("tr").alias("rows"), count("th").alias("headers"),
         F.size(cells).cast("bigint").alias("columns"),
@@ -90,7 +96,7 @@ def link_patterns(pages: DataFrame, first: int | None = None) -> DataFrame:
 
 def suggest_selectors(pages: DataFrame) -> DataFrame:
     """Most frequent way to address the first table and the first detail-like link of a page: id, else first class."""
-    table = F.get(F.filter("elements", lambda e: e.tag == "table"), F.lit(0))
+    table = _first("table")
     link = F.get(F.filter("elements", lambda e: (e.tag == "a") & has_word(F.lower(e.href), DETAIL_LINK_WORDS)), F.lit(0))
     by_table = F.coalesce(
         F.concat(F.lit("table#"), fn.blank_to_null(table.id)),
@@ -112,10 +118,9 @@ def suggest_selectors(pages: DataFrame) -> DataFrame:
 def sample_tenders(pages: DataFrame) -> DataFrame:
     """Rows of the first table of each page by position, header row left out. Of the first link of each cell, the last
     one wins; it is rooted at the site."""
-    table = F.get(F.filter("elements", lambda e: e.tag == "table"), F.lit(0))
-    marked = pages.withColumn("_t", table)
-    rows = F.filter("elements", lambda e: (e.tag == "tr") & (e.i > F.col("_t.i")) & (e.i <= F.col("_t.last")))
-    data = blocks(marked, F.slice(rows, F.lit(2), F.greatest(F.size(rows), F.lit(0))))
+    rows = let(_first("table"), lambda table: F.filter(
+        "elements", lambda e: (e.tag == "tr") & (e.i > table.i) & (e.i <= table["last"])))
+    data = blocks(pages, let(rows, lambda r: F.slice(r, F.lit(2), F.greatest(F.size(r), F.lit(0)))))
     cells = F.filter("parts", lambda e: e.tag.isin("td", "th"))
 
     def text(n: int) -> Column:

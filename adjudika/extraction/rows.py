@@ -17,6 +17,11 @@ def found(selectors: list[dict]) -> Column:
     return F.filter("elements", lambda e: matches(e, selectors))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, not once per element of an array that ``body`` walks."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def blocks(pages: DataFrame, chosen: Column) -> DataFrame:
     """One row per chosen element: ``no``, its own subtree ``parts`` and its text pieces.
 
@@ -161,10 +166,9 @@ def award_rows(pages: DataFrame, stamp: Column, sel: dict = SELECTORS["award"])
 
 def form_rows(pages: DataFrame, sel: dict = SELECTORS["form"]) -> DataFrame:
     """Form-search page to rows: rows of the result tables, else of any table, else cards. One pass over the pages."""
-    tables = found(sel["table"])
-    in_result = F.filter("elements", lambda e: matches(e, sel["row"]) & F.exists(
-        F.col("_tables"), lambda t: (e.i > t.i) & (e.i <= t["last"])))
-    layered = pages.withColumn("_tables", tables).withColumn("_inner", in_result).drop("_tables")
+    in_result = let(found(sel["table"]), lambda tables: F.filter("elements", lambda e: matches(e, sel["row"]) & F.exists(
+        tables, lambda t: (e.i > t.i) & (e.i <= t["last"]))))
+    layered = pages.withColumn("_inner", in_result)
     layered = layered.withColumn("_any", F.when(F.size("_inner") > 0, F.col("_inner")).otherwise(found(sel["row"])))
     layered = layered.withColumn("_is_card", F.size("_any") == 0).withColumn(
         "_chosen", F.when(F.col("_is_card"), found(sel["card"])).otherwise(F.col("_any"))).drop("_inner", "_any")

@@ -5,57 +5,57 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adjudika.functions.text import clean_text, collapse
+_SPACE = r"[\s\x1c-\x1f]"
+_DAY, _MONTH, _YEAR, _CLOCK = r"(\d{1,2})", r"(\d{1,2})", r"((?!0000)\d{4})", r"(\d{1,2}:\d{1,2})"
 
-_DAY, _YEAR = r"\d{1,2}", r"(?!0000)\d{4}"
-
-# Accepted spellings, tried in this order.
+# Accepted spellings.
 DMY_SLASH = "d/m/Y"
 YMD_DASH = "Y-m-d"
 DMY_DASH = "d-m-Y"
 DMY_DASH_TIME = "d-m-Y H:M"
 DMY_SLASH_TIME = "d/m/Y H:M"
 
+# Pattern of each spelling, and which part each of its groups is.
 _SHAPES = {
-    DMY_SLASH: (rf"^{_DAY}/{_DAY}/{_YEAR}$", "/", (2, 1, 0)),
-    YMD_DASH: (rf"^{_YEAR}-{_DAY}-{_DAY}$", "-", (0, 1, 2)),
-    DMY_DASH: (rf"^{_DAY}-{_DAY}-{_YEAR}$", "-", (2, 1, 0)),
-    DMY_DASH_TIME: (rf"^{_DAY}-{_DAY}-{_YEAR} {_DAY}:{_DAY}$", "-", (2, 1, 0)),
-    DMY_SLASH_TIME: (rf"^{_DAY}/{_DAY}/{_YEAR} {_DAY}:{_DAY}$", "/", (2, 1, 0)),
+    DMY_SLASH: (f"{_DAY}/{_MONTH}/{_YEAR}", "dmY"),
+    YMD_DASH: (f"{_YEAR}-{_MONTH}-{_DAY}", "Ymd"),
+    DMY_DASH: (f"{_DAY}-{_MONTH}-{_YEAR}", "dmY"),
+    DMY_DASH_TIME: (f"{_DAY}-{_MONTH}-{_YEAR}{_SPACE}+{_CLOCK}", "dmYT"),
+    DMY_SLASH_TIME: (f"{_DAY}/{_MONTH}/{_YEAR}{_SPACE}+{_CLOCK}", "dmYT"),
 }
+_MARK = "\x01"
 
 
-def _read(text: Column, spelling: str) -> Column:
-    shape, separator, order = _SHAPES[spelling]
-    day_part = F.split_part(text, F.lit(" "), F.lit(1))
-    year, month, day = (
-        F.split_part(day_part, F.lit(separator), F.lit(i + 1)).try_cast("int") for i in order
-    )
-    if spelling.endswith("H:M"):
-        clock = F.split_part(text, F.lit(" "), F.lit(2))
-        hour, minute = (F.split_part(clock, F.lit(":"), F.lit(i)).try_cast("int") for i in (1, 2))
-    else:
-        hour, minute = F.lit(0), F.lit(0)
-    # Built from checked numbers: an impossible day such as 31/02 is NULL, not an error.
-    stamp = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0).cast("decimal(16,6)"))
-    return F.when(text.rlike(shape), stamp)
-
+def _first_of(c: Column, spellings) -> Column:
+    """Zone-free time of the one spelling that fits, NULL if none does or the day does not exist.
 
-def _first_of(text: Column, spellings) -> Column:
-    return F.coalesce(*(_read(text, s) for s in spellings))
+    A single regular expression rewrites every accepted spelling to ``mark Y-m-d [H:M]``, so the input expression is
+    evaluated once. What stands after the mark is cast; a text that was not rewritten has no mark and gives NULL. (A mark
+    in the input is rewritten too, to a mark that no date follows.)
+    """
+    parts = {"Y": "", "m": "", "d": "", "T": ""}
+    group = 0
+    for spelling in spellings:
+        for part in _SHAPES[spelling][1]:
+            group += 1
+            parts[part] += f"${group}"
+    shapes = "|".join(_SHAPES[s][0] for s in spellings)
+    rewritten = F.regexp_replace(
+        c, f"(?U)^{_SPACE}*(?:{shapes}){_SPACE}*$|{_MARK}", f"{_MARK}{parts['Y']}-{parts['m']}-{parts['d']} {parts['T']}")
+    return F.split_part(rewritten, F.lit(_MARK), F.lit(2)).try_cast("timestamp_ntz")
 
 
 def parse_datetime(c: Column) -> Column:
-    return _first_of(clean_text(c), (DMY_SLASH, YMD_DASH, DMY_DASH_TIME))
+    return _first_of(c, (DMY_SLASH, YMD_DASH, DMY_DASH_TIME))
 
 
 def parse_date(c: Column) -> Column:
-    return _first_of(clean_text(c), (DMY_SLASH, YMD_DASH)).cast("date")
+    return _first_of(c, (DMY_SLASH, YMD_DASH)).cast("date")
 
 
 def iso_deadline(raw: Column, spellings=(DMY_SLASH, YMD_DASH, DMY_DASH, DMY_SLASH_TIME)) -> Column:
     """ISO date when one spelling fits, else the raw text."""
-    return F.coalesce(F.date_format(_first_of(collapse(raw), spellings), "yyyy-MM-dd"), raw)
+    return F.coalesce(F.date_format(_first_of(raw, spellings), "yyyy-MM-dd"), raw)
 
 
 def deadline_from_cells(cells: list[Column]) -> Column:

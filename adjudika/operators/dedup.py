@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adjudika.functions import canonical_detail_url, drop_fragment, query_param
+from adjudika.functions import build_detail_url, drop_fragment, query_param
 from adjudika.functions.urls import ORG_PARAM, REF_PARAM
 from adjudika.operators.quality import DUPLICATE
 
@@ -60,14 +60,18 @@ def canonical_links(links: DataFrame, url: str = "url") -> DataFrame:
     parts = links.select(
         F.col(url), query_param(F.col(url), REF_PARAM).alias("ref"), query_param(F.col(url), ORG_PARAM).alias("org"))
     complete = F.col("ref").isNotNull() & F.col("org").isNotNull()
-    totals = parts.agg(
-        (F.count_if(complete) > 0).alias("any_complete"), F.count_if(~complete).alias("incomplete"))
-    keyed = parts.filter(complete).select(
-        "ref", "org", canonical_detail_url(F.col(url)).alias("url")).dropDuplicates(["ref", "org"])
-    raw = parts.filter(~complete).select("ref", "org", F.col(url).alias("url")).filter(
-        ~totals.select("any_complete").scalar())
-    dropped = F.when(F.col("ref").isNotNull() & F.col("org").isNotNull(), totals.select("incomplete").scalar())
-    return keyed.unionByName(raw).withColumn("dropped", F.coalesce(dropped, F.lit(0)).cast("bigint"))
+    groups = parts.groupBy("ref", "org").agg(F.count(F.lit(1)).alias("n"))
+    totals = groups.agg(
+        F.bool_or(complete).alias("any_complete"), F.sum(F.when(~complete, F.col("n"))).alias("incomplete"))
+    any_complete = F.coalesce(totals.select("any_complete").scalar(), F.lit(False))
+    keyed = groups.filter(complete).select(
+        "ref", "org", build_detail_url(F.col("ref"), F.col("org")).alias("url"),
+        F.coalesce(totals.select("incomplete").scalar(), F.lit(0)).cast("bigint").alias("dropped"))
+    # Read again only when no link is complete; the test comes before any URL is taken apart.
+    raw = links.select(F.col(url)).filter(~any_complete).select(
+        query_param(F.col(url), REF_PARAM).alias("ref"), query_param(F.col(url), ORG_PARAM).alias("org"),
+        F.col(url).alias("url"), F.lit(0).cast("bigint").alias("dropped"))
+    return keyed.unionByName(raw)
 
 
 def new_records(records: DataFrame, stored_ids: DataFrame, order: list[str], id_column: str = "id") -> DataFrame:
