@@ -60,7 +60,7 @@ def ded_links(spark, sf_dir):
 @query("ded_canonical", """
 WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE 'r' || l_orderkey END AS r, 'o' || (l_orderkey % 9) AS o FROM lineitem)
 SELECT r AS ref, o AS org, 'https://www.marchespublics.gov.ma/index.php?page=entreprise.EntrepriseDetailsConsultation&refConsultation='
-  || r || '&orgAcronyme=' || o AS url, (SELECT count(*) FROM l WHERE r IS NULL) AS dropped
+  || r || '&orgAcronyme=' || o AS url, count(*) AS n, (SELECT count(*) FROM l WHERE r IS NULL) AS dropped
 FROM l WHERE r IS NOT NULL GROUP BY 1, 2""")
 def ded_canonical(spark, sf_dir):
     key = F.col("l_orderkey").cast("string")

@@ -58,34 +58,41 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+# What is known when an element starts, and what only its content and end tell.
+_AT_START = ("i", "tag", "above", "nth", "t0", "id", "cls", "href", "rel", "alt")
+_LATER = ("last", "own", "t1")
+_NO_ATTRIBUTES = (None, (), None, None, None)
+
+
 class PageBatch:
-    """Column lists of the elements and texts of several pages, with one offset per page."""
+    """Elements and texts of several pages, with one offset per page."""
 
     def __init__(self):
-        self.columns = {f: [] for f in _FIELDS}
+        self.started: list[tuple] = []
+        self.later = {f: [] for f in _LATER}
         self.texts: list[str] = []
         self.offsets, self.text_offsets = [0], [0]
 
     def add(self, html: str | None) -> None:
-        last, tags, above, own, t1 = (self.columns[f] for f in ("last", "tag", "above", "own", "t1"))
-        append = [self.columns[f].append for f in _FIELDS]
-        texts, base, text_base = self.texts, self.offsets[-1], self.text_offsets[-1]
-        opened: list[int] = []  # slots of the open elements
-        children = [0]  # children seen so far, per open element
+        started, texts, base, text_base = self.started, self.texts, self.offsets[-1], self.text_offsets[-1]
+        last, own, t1 = (self.later[f] for f in _LATER)
+        opened: list[int] = []  # slots of the open elements, and their tags
+        names: list[str] = []
+        paths = ["/"]  # enclosing tags of a child, and children seen so far, per open element
+        children = [0]
 
         def pop_to(depth: int) -> None:
-            end, place = len(tags) - 1 - base, len(texts) - text_base
+            end, place = len(started) - 1 - base, len(texts) - text_base
             for slot in opened[depth:]:
                 last[slot], t1[slot] = end, place
-            del opened[depth:], children[depth + 1:]
+            del opened[depth:], names[depth:], paths[depth + 1:], children[depth + 1:]
 
-        def close(names, scope) -> None:
+        def close(wanted, scope) -> None:
             """Close the nearest open element of these names, unless a scope element is nearer."""
-            for depth in range(len(opened) - 1, -1, -1):
-                name = tags[opened[depth]]
-                if name in names:
+            for depth in range(len(names) - 1, -1, -1):
+                if names[depth] in wanted:
                     return pop_to(depth)
-                if name in scope:
+                if names[depth] in scope:
                     return None
 
         def text(piece: str) -> None:
@@ -100,17 +107,20 @@ class PageBatch:
         def start(tag: str, source: str) -> None:
             if tag in CLOSES:
                 close(*CLOSES[tag])
-            given = _attributes(source) if "=" in source else {}
-            get = given.get
+            attributes = _NO_ATTRIBUTES
+            if "=" in source:
+                get = _attributes(source).get
+                attributes = (get("id"), get("class", "").split(), get("href"), get("rel"), get("alt"))
             children[-1] += 1
-            slot, place = len(tags), len(texts) - text_base
-            path = f"{above[opened[-1]]}{tags[opened[-1]]}/" if opened else "/"
-            for put, value in zip(append, (
-                    slot - base, slot - base, tag, path, children[-1], get("id"), get("class", "").split(), get("href"),
-                    get("rel"), get("alt"), None, place, place)):
-                put(value)
+            slot, place = len(started), len(texts) - text_base
+            started.append((slot - base, tag, paths[-1], children[-1], place, *attributes))
+            last.append(slot - base)
+            own.append(None)
+            t1.append(place)
             if tag not in VOID:
                 opened.append(slot)
+                names.append(tag)
+                paths.append(f"{paths[-1]}{tag}/")
                 children.append(0)
 
         html, at = html or "", 0
@@ -131,11 +141,13 @@ class PageBatch:
         if at < len(html):
             text(html[at:])
         pop_to(0)
-        self.offsets.append(len(tags))
+        self.offsets.append(len(started))
         self.text_offsets.append(len(texts))
 
     def arrays(self) -> tuple[pa.Array, pa.Array]:
-        fields = [pa.array(self.columns[f], _arrow_type(f)) for f in _FIELDS]
+        columns = dict(zip(_AT_START, zip(*self.started))) if self.started else {f: () for f in _AT_START}
+        columns.update(self.later)
+        fields = [pa.array(columns[f], _arrow_type(f)) for f in _FIELDS]
         structs = pa.StructArray.from_arrays(fields, names=list(_FIELDS))
         return (pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), structs),
                 pa.ListArray.from_arrays(pa.array(self.text_offsets, pa.int32()), pa.array(self.texts, pa.string())))

@@ -64,8 +64,7 @@ def url_join(base, href: Column) -> Column:
 
 def query_param(url: Column, name: str) -> Column:
     """First non-blank value of a query parameter, decoded; NULL if absent. Tolerates malformed and relative URLs."""
-    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
-    raw = blank_to_null(F.regexp_extract(query, rf"(?:^|&){name}=([^&]+)", 1))
+    raw = blank_to_null(F.regexp_extract(url, rf"^[^?#]*\?(?:[^#]*?&)?{name}=([^&#]+)", 1))
     return F.coalesce(F.try_url_decode(raw), raw)
 
 

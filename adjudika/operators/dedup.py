@@ -52,7 +52,7 @@ def dedup_links(links: DataFrame, page: str = "page_id", url: str = "url", posit
 
 
 def canonical_links(links: DataFrame, url: str = "url") -> DataFrame:
-    """Distinct detail pages over all result pages: ``(ref, org, url, dropped)``.
+    """Distinct detail pages over all result pages: ``(ref, org, url, n, dropped)``, ``n`` links each.
 
     Links that name reference and body are reduced to one canonical URL each. If there is at least one such link, the
     others are dropped and counted in ``dropped``; if there is none, every link is kept as it is.
@@ -60,17 +60,17 @@ def canonical_links(links: DataFrame, url: str = "url") -> DataFrame:
     parts = links.select(
         F.col(url), query_param(F.col(url), REF_PARAM).alias("ref"), query_param(F.col(url), ORG_PARAM).alias("org"))
     complete = F.col("ref").isNotNull() & F.col("org").isNotNull()
-    groups = parts.groupBy("ref", "org").agg(F.count(F.lit(1)).alias("n"))
-    totals = groups.agg(
-        F.bool_or(complete).alias("any_complete"), F.sum(F.when(~complete, F.col("n"))).alias("incomplete"))
+    # ``ok`` is an aggregate so that the filter stays above it and both uses share one exchange of the groups.
+    groups = parts.groupBy("ref", "org").agg(F.count(F.lit(1)).alias("n"), F.bool_and(complete).alias("ok"))
+    totals = groups.agg(F.bool_or("ok").alias("any_complete"), F.sum(F.when(~F.col("ok"), F.col("n"))).alias("incomplete"))
     any_complete = F.coalesce(totals.select("any_complete").scalar(), F.lit(False))
-    keyed = groups.filter(complete).select(
-        "ref", "org", build_detail_url(F.col("ref"), F.col("org")).alias("url"),
+    keyed = groups.filter("ok").select(
+        "ref", "org", build_detail_url(F.col("ref"), F.col("org")).alias("url"), "n",
         F.coalesce(totals.select("incomplete").scalar(), F.lit(0)).cast("bigint").alias("dropped"))
     # Read again only when no link is complete; the test comes before any URL is taken apart.
     raw = links.select(F.col(url)).filter(~any_complete).select(
         query_param(F.col(url), REF_PARAM).alias("ref"), query_param(F.col(url), ORG_PARAM).alias("org"),
-        F.col(url).alias("url"), F.lit(0).cast("bigint").alias("dropped"))
+        F.col(url).alias("url"), F.lit(1).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("dropped"))
     return keyed.unionByName(raw)
 
 
