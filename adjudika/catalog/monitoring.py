@@ -12,6 +12,7 @@ from adjudika.catalog import bindings_sql as B
 from adjudika.catalog.registry import query
 from adjudika.operators.running import span
 from adjudika.plans import monitoring as M
+from adjudika.session import cut_lineage
 from adjudika.sources import driver_tables as D
 
 
@@ -41,6 +42,11 @@ _DAILY_SQL = """ SELECT spider, date_trunc('day', t) AS jour, count(*) AS pas, c
   count(*) FILTER (WHERE firing) AS actifs FROM f GROUP BY ALL"""
 
 
+def _rollup(spark, sf_dir):
+    """The rollup, stored so that bounds, groups and counts below read it and not the events."""
+    return cut_lineage(M.rollup(D.metrics(spark, sf_dir)), "rollup")
+
+
 def _daily(alerts):
     """Steps, true steps and firing steps per crawler and day."""
     return alerts.groupBy("spider", F.date_trunc("day", "t").alias("jour")).agg(
@@ -55,32 +61,32 @@ _LIMITED = "metric = 'responses_total' AND label = '429'"
 
 @query("mon_no_items", _alert_sql(_ITEMS, 300, "n = 0", 60) + _DAILY_SQL)
 def mon_no_items(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return _daily(M.no_items(metrics, *M.bounds(metrics), window=span(hours=5)))
+    steps = _rollup(spark, sf_dir)
+    return _daily(M.no_items(steps, *M.bounds(steps), window=span(hours=5)))
 
 
 @query("mon_no_items_3_days", _alert_sql(_ITEMS, 4320, "n = 0", 60) + _DAILY_SQL)
 def mon_no_items_3_days(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return _daily(M.no_items(metrics, *M.bounds(metrics)))
+    steps = _rollup(spark, sf_dir)
+    return _daily(M.no_items(steps, *M.bounds(steps)))
 
 
 @query("mon_error_rate", _alert_sql(_ERRORS, 60, "n / 3600.0 > 0.0005", 15) + _DAILY_SQL)
 def mon_error_rate(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return _daily(M.error_rate(metrics, *M.bounds(metrics), per_second=0.0005, window=span(hours=1)))
+    steps = _rollup(spark, sf_dir)
+    return _daily(M.error_rate(steps, *M.bounds(steps), per_second=0.0005, window=span(hours=1)))
 
 
 @query("mon_429", _alert_sql(_LIMITED, 240, "n > 1", 5) + _DAILY_SQL)
 def mon_429(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return _daily(M.rate_limited(metrics, *M.bounds(metrics), more_than=1, window=span(hours=4)))
+    steps = _rollup(spark, sf_dir)
+    return _daily(M.rate_limited(steps, *M.bounds(steps), more_than=1, window=span(hours=4)))
 
 
 @query("mon_stuck", _alert_sql(_PAGES, 30, "n = 0 AND active > 0", 30) + _DAILY_SQL)
 def mon_stuck(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return _daily(M.stuck(metrics, *M.bounds(metrics)))
+    steps = _rollup(spark, sf_dir)
+    return _daily(M.stuck(steps, *M.bounds(steps)))
 
 
 @query("mon_hold", _alert_sql(_ERRORS, 60, "n >= 1", 30) + """,
@@ -89,15 +95,15 @@ def mon_stuck(spark, sf_dir):
 SELECT spider, t, 'debut' AS bord FROM g WHERE firing AND NOT before
 UNION ALL SELECT spider, t + INTERVAL 1 MINUTE, 'fin' FROM g WHERE firing AND NOT after""")
 def mon_hold(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    alerts = M.error_rate(metrics, *M.bounds(metrics), per_second=0.9 / 3600, window=span(hours=1), hold=span(minutes=30))
+    steps = _rollup(spark, sf_dir)
+    alerts = M.error_rate(steps, *M.bounds(steps), per_second=0.9 / 3600, window=span(hours=1), hold=span(minutes=30))
     return M.episodes(alerts)
 
 
 @query("agg_active_gauge", f"WITH {_series(_PAGES, 30)} SELECT spider, t, CAST(active AS BIGINT) AS active FROM w")
 def agg_active_gauge(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return M.active_gauge(metrics, *M.bounds(metrics))
+    steps = _rollup(spark, sf_dir)
+    return M.active_gauge(steps, *M.bounds(steps))
 
 
 @query("mon_down", B.with_tables("""
@@ -121,5 +127,5 @@ SELECT t, CAST(coalesce(sum(i) OVER (ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDIN
   CAST(coalesce(sum(d) OVER (ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MINUTE PRECEDING), 0) AS BIGINT) AS active
 FROM spine LEFT JOIN c USING (t)""")
 def mon_dashboard(spark, sf_dir):
-    metrics = D.metrics(spark, sf_dir)
-    return M.dashboard(metrics, *M.bounds(metrics))
+    steps = _rollup(spark, sf_dir)
+    return M.dashboard(steps, *M.bounds(steps))

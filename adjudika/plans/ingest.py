@@ -71,6 +71,8 @@ class Ingest:
             return df
         if "_reason" not in df.columns:
             df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
+        # The branches below read the batch several times; without this each would extract and clean it again.
+        df = cut_lineage(df, "clean")
         kept, out = df.filter(F.col("_reason").isNull()), df.filter(F.col("_reason").isNotNull())
         stored = self.store.read().select(KEY).withColumn("_stored", F.lit(True))
         first = label_duplicates(kept, [KEY], self.order).join(stored, KEY, "left")
