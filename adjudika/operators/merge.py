@@ -12,10 +12,11 @@ def last_values(incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
     This is what applying the rows one after the other leaves behind, computed with partial aggregation, so the merge
     below joins two sides that are unique per key.
     """
-    rank = F.struct(*order, F.xxhash64(*incoming.columns))
     rest = [c for c in incoming.columns if c != key]
-    return incoming.groupBy(key).agg(
-        *(F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in rest),
+    # A column of its own, so that the content hash is worked out once per row and not once per aggregate.
+    ranked = incoming.withColumn("_rank", F.struct(*order, F.xxhash64(*incoming.columns)))
+    return ranked.groupBy(key).agg(
+        *(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in rest),
         F.count(F.lit(1)).alias("_items"),
     )
 
