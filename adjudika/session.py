@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     # that costs one more exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM never compiles a method above 8 000 bytes of code; beyond it Spark's split-up projections are faster.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # HTML pages are wide rows: bound an Arrow batch by bytes and not only by its row count.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
