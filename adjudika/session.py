@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,14 +28,42 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply ``RUNTIME_CONF`` to a running session; every key is a runtime SQL setting."""
-    explicit = set(dict(spark.sparkContext.getConf().getAll()))
-    for key, value in RUNTIME_CONF.items():
-        if key not in explicit and spark.conf.get(key) != value:
-            spark.conf.set(key, value)
+    """Apply ``RUNTIME_CONF`` to a running session, where it still has Spark's default, and ship the package.
+
+    Every key is a runtime SQL setting. A value that the application or ``spark.conf.set`` gave before stays.
+    """
+    if spark.conf.get("adjudika.tuned", None) != "true":
+        explicit = spark._jsparkSession.sessionState().conf().settings()
+        for key, value in RUNTIME_CONF.items():
+            if not explicit.containsKey(key):
+                spark.conf.set(key, value)
+        spark.conf.set("adjudika.tuned", "true")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, wherever they were started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    folder = tempfile.mkdtemp(prefix="adjudika-package-")  # the driver serves it to the executors until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "adjudika.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    out.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 
