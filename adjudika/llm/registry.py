@@ -1,0 +1,32 @@
+"""The queries of this subpackage and the SQL of those that SQL can express."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
+from adjudika.session import tune
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register ``f(spark, sf_dir) -> DataFrame`` under ``name``."""
+    def register(f):
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(tune(spark), sf_dir)
+
+        QUERIES[name] = run
+        if sql is not None:
+            SQL[name] = sql.strip()
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
