@@ -4,15 +4,52 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adjudika.llm import tokens
+from adjudika.llm import decontaminate, minhash, pii, quality_model, quality_rules, sharding, tokens
 from adjudika.llm.registry import QUERIES, SQL, query, table
 from adjudika.session import work_dir
 
 __all__ = ["QUERIES", "SQL"]
 
+#: Bytes of text in a shard at most.
+SHARD_BYTES = 1 << 20
+#: The key of the registered queries' pseudonyms; a real corpus needs a secret one.
+PII_KEY = "registered queries"
+
 
 @query("op3_token_output")
 def op3_token_output(spark, sf_dir):
     path = f"{work_dir(spark, 'tokens')}/table"
     tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return tokens.read_digests(spark, path)
+
+
+@query("op4_minhash_near_dedup")
+def op4_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark, sf_dir):
+    return quality_model.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_pii_pseudonyms")
+def op6_pii_pseudonyms(spark, sf_dir):
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_private")
+
+
+@query("op7_benchmark_decontamination")
+def op7_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_sharding")
+def op10_sharding(spark, sf_dir):
+    path = f"{work_dir(spark, 'shards')}/table"
+    sharding.write_shards(table(spark, sf_dir, "documents"), path, SHARD_BYTES)
+    return spark.read.parquet(path).select("doc_id", "shard", "shard_bytes", "shard_rows", "n_bytes")
