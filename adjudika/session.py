@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM never compiles a method above 8 000 bytes of code; beyond it Spark's split-up projections are faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Shuffle files go when the query that wrote them ends; what a later one reads is a table in the work folder.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # HTML pages are wide rows: bound an Arrow batch by bytes and not only by its row count.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
