@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adjudika.llm import decontaminate, minhash, pii, quality_model, quality_rules, sharding, tokens
+from adjudika.llm import decontaminate, licences, minhash, pieces, pii, quality_model, quality_rules, sharding, substrings, tokens
 from adjudika.llm.registry import QUERIES, SQL, query, table
 from adjudika.session import work_dir
 
@@ -16,6 +16,16 @@ SHARD_BYTES = 1 << 20
 PII_KEY = "registered queries"
 
 
+@query("op1_licence_scan")
+def op1_licence_scan(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op3_token_output")
 def op3_token_output(spark, sf_dir):
     path = f"{work_dir(spark, 'tokens')}/table"
@@ -48,6 +58,11 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark, sf_dir):
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op10_sharding")
 def op10_sharding(spark, sf_dir):
     path = f"{work_dir(spark, 'shards')}/table"
