@@ -32,6 +32,7 @@ CHUNK = 16_384
 SPACE = "▁"
 #: Distinct runs up to this length are segmented together; longer ones one by one.
 SHORT_RUN = 48
+_WIDTHS = ((1, 8), (9, 14), (15, SHORT_RUN))
 _LOW = float("-inf")
 
 
@@ -56,6 +57,8 @@ class Model:
         hashes = SpanHasher(codes, seed=3)(np.append(0, ends[:-1]), ends)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(normal, np.int64)[order]
+        self.near = np.zeros(1 << 20, bool)  # turns most strings that are no piece away
+        self.near[self.hashes >> np.uint64(44)] = True
         shown = [bytes([int(t[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else t.replace(SPACE, " ").encode() for i, t in enumerate(texts)]
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
         self.shown_length = np.array([len(s) for s in shown], np.int64)
@@ -64,8 +67,11 @@ class Model:
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids by hash, -1 for none."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], -1)
+        out = np.full(len(hashes), -1, np.int64)
+        near = np.flatnonzero(self.near[hashes >> np.uint64(44)])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[near]), len(self.hashes) - 1)
+        out[near] = np.where(self.hashes[at] == hashes[near], self.ids[at], -1)
+        return out
 
     def expand(self, ids: np.ndarray, codes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number per owner, with -1 (an unknown character, of the given code) as its byte pieces."""
@@ -101,19 +107,20 @@ def segment(model: Model, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         a, b = int(starts[u]), int(ends[u])
         for s, i in path(model, text[a:b], {0: 0.0}, b - a, b - a)[1]:
             chosen[a + s] = i
-    order = np.flatnonzero(lengths <= SHORT_RUN)
-    order = order[np.argsort(-lengths[order], kind="stable")]
-    if len(order):
-        _segment_short(model, codes, starts[order], lengths[order], chosen)
+    hasher = SpanHasher(codes, seed=3)
+    for low, high in _WIDTHS:
+        order = np.flatnonzero((lengths >= low) & (lengths <= high))
+        order = order[np.argsort(-lengths[order], kind="stable")]
+        if len(order):
+            _segment_short(model, hasher, starts[order], lengths[order], chosen)
     at = np.flatnonzero(chosen > -2)
     return model.expand(chosen[at], codes[at], np.searchsorted(ends, at, "right"), len(units))
 
 
-def _segment_short(model: Model, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> None:
+def _segment_short(model: Model, hasher: SpanHasher, starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> None:
     """Viterbi over all units at once, by the place within the unit; units come longest first."""
     most = int(lengths[0])
     grid = np.zeros((most, len(starts)), np.int64)  # place x unit: index into codes
-    hasher = SpanHasher(codes, seed=3)
     live = [int(np.searchsorted(-lengths, -p, "right")) for p in range(most + 1)]  # units of at least p characters
     longest = min(model.longest, most)
     for p in range(most):

@@ -21,7 +21,7 @@ ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = (r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[A-Za-z/+_-]{0,80}\d)[A-Za-z0-9/+_-]{8,}+")
 DATE = (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d]|[/.-]\d)")
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = (r"(?<![\d+])\+1[ .-]?\(?[2-9]\d{2}\)?[ .-]?[2-9]\d{2}[ .-]?\d{4}(?!\d)|(?<![\d.+-])\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[ .-]\d{4}(?!\d)")
+PHONE = (r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d.+-])\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[ .-]\d{4}(?!\d)")
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 CARD = r"(?<!\d)(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)"
 KINDS = {"email": EMAIL, "access_key": ACCESS_KEY, "secret": SECRET, "date": DATE, "ssn": SSN, "phone": PHONE, "address": ADDRESS, "card": CARD}
@@ -108,12 +108,16 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def phone(key: str, value: Column) -> Column:
-    """North American numbers: area and exchange from 200, four digits of line."""
+    """North American numbers. Area and exchange from 200 make a valid number and stay so; with +1, other numbers stay among their own kind."""
     def make(digits: Column) -> Column:
         area, exchange, line = (_number(_part(digits, a, n)) for a, n in ((1, 3), (4, 3), (7, 4)))
-        pair = feistel(key, "phone", area - 200, (exchange - 200) * 10_000 + line, F.lit(800), F.lit(8_000_000))
+        low_area = F.when(area < 200, 0).otherwise(200)
+        areas = F.when(area < 200, 200).otherwise(800)
+        low_exchange = F.when((area < 200) | (exchange < 200), 0).otherwise(200)
+        exchanges = F.when(area < 200, 1000).when(exchange < 200, 200).otherwise(800)
+        pair = feistel(key, "phone", area - low_area, (exchange - low_exchange) * 10_000 + line, areas, exchanges * 10_000)
         lead = F.when(value.startswith("+1"), F.lit("1")).otherwise(F.lit(""))
-        return _let(pair, lambda p: F.concat(lead, _padded(p["l"] + 200, 3), _padded(p["r"] + 2_000_000, 7)))
+        return _let(pair, lambda p: F.concat(lead, _padded(p["l"] + low_area, 3), _padded(p["r"] + low_exchange * 10_000, 7)))
 
     return _fill(value, _let(F.right(_digits(value), F.lit(10)), make))
 
@@ -194,14 +198,11 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     A null text stays null with 0 findings. All other columns stay; a column n_private is replaced. Repeated rows stay alike.
     """
     text = F.col("text")
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    work = F.struct(F.split(text, ANY, -1).alias("gaps"), found.alias("found"))
-
-    names = docs.columns
-    hit = text.rlike(ANY)
-    once = docs.withColumn("_work", F.when(hit, work))
-    once = once.withColumn("_made", F.when(F.col("_work").isNotNull(), F.transform(F.col("_work.found"), lambda m: pseudonym(key, m))))
-    whole = F.array_join(F.transform(F.col("_work.gaps"), lambda g, i: F.concat(g, F.coalesce(F.get(F.col("_made"), i), F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with(F.col("_work.found"), F.col("_made"), lambda a, b: a != b), lambda x: x))
-    return once.select(*[F.coalesce(whole, text).alias("text") if c == "text" else F.col(f"`{c}`") for c in names if c != "n_private"],
-                       F.when(F.col("_work").isNotNull(), changed).otherwise(0).cast("bigint").alias("n_private"))
+    names = [c for c in docs.columns if c != "n_private"]
+    work = F.struct(F.split(text, ANY, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"))
+    once = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.when(text.rlike(ANY), work).alias("work"))
+    once = once.withColumn("made", F.when(F.col("work").isNotNull(), F.transform("work.found", lambda m: pseudonym(key, m))))
+    whole = F.array_join(F.transform("work.gaps", lambda g, i: F.concat(g, F.coalesce(F.get(F.col("made"), i), F.lit("")))), "")
+    changed = F.size(F.filter(F.zip_with("work.found", "made", lambda a, b: a != b), lambda x: x))
+    return once.select(*[F.coalesce(whole, F.col("row.text")).alias("text") if c == "text" else F.col(f"row.`{c}`") for c in names],
+                       F.when(F.col("work").isNotNull(), changed).otherwise(0).cast("bigint").alias("n_private"))

@@ -63,7 +63,17 @@ def op9_suffix_dedup(spark, sf_dir):
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
-@query("op10_sharding")
+@query("op10_sharding", f"""
+WITH addressed AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+    lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)), 60, '0') AS address
+  FROM documents),
+prefixes AS (SELECT *, left(address, CAST(k AS INT)) AS shard FROM addressed, range(0, 61) r(k)),
+sums AS (
+  SELECT shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows FROM prefixes GROUP BY shard
+  HAVING sum(n_bytes) <= {SHARD_BYTES} OR count(*) = 1)
+SELECT doc_id, 'b' || shard AS shard, shard_bytes, shard_rows, CAST(n_bytes AS BIGINT) AS n_bytes FROM prefixes JOIN sums USING (shard)
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY k) = 1""")
 def op10_sharding(spark, sf_dir):
     path = f"{work_dir(spark, 'shards')}/table"
     sharding.write_shards(table(spark, sf_dir, "documents"), path, SHARD_BYTES)

@@ -19,6 +19,8 @@ from adjudika.session import cut_lineage
 BITS = 15
 ADDRESS_BITS = 120
 _HEX = 15  # hex digits of one half of an address
+#: Work columns.
+ADDRESS, BYTES, CELL = "__shard_address", "__shard_bytes", "__shard_cell"
 
 
 def _half(value):
@@ -28,13 +30,14 @@ def _half(value):
 
 
 def addressed(docs: DataFrame, key: list[str]) -> DataFrame:
-    """``docs`` with ``_address``, 120 characters 0 or 1, and ``_bytes``, the UTF-8 bytes of the text.
+    """``docs`` with ``ADDRESS``, 120 characters 0 or 1, and ``BYTES``, the UTF-8 bytes of the text.
 
-    Null key values count as the empty text. The second half follows the row's place, which is fixed for a stored table.
+    Null key values count as the empty text. The second half follows the row's place, which is fixed for a stored
+    table; other inputs have to be stored first.
     """
     joined = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
-    return docs.withColumns({"_address": F.concat(_half(joined), _half(F.monotonically_increasing_id().cast("string"))),
-                             "_bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")})
+    return docs.withColumns({ADDRESS: F.concat(_half(joined), _half(F.monotonically_increasing_id().cast("string"))),
+                             BYTES: F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")})
 
 
 def _round(cells: DataFrame, done: int, limit: int) -> DataFrame:
@@ -51,21 +54,21 @@ def _round(cells: DataFrame, done: int, limit: int) -> DataFrame:
 
 
 def directory(slim: DataFrame, limit: int) -> list[DataFrame]:
-    """The directory of rows (_address, _bytes), one table per round: cell, shard, shard_bytes, shard_rows.
+    """The directory of rows (ADDRESS, BYTES), one table per round: cell, shard, shard_bytes, shard_rows.
 
     Round k maps prefixes of ``(k + 1) * BITS`` bits to buckets; a prefix that it lacks is split by the next round.
     """
     found, open_rows, done = [], slim, 0
     while True:
         width = done + BITS
-        cells = cut_lineage(open_rows.groupBy(F.substring("_address", 1, width).alias("cell"))
-                            .agg(F.sum("_bytes").alias("bytes"), F.count("*").alias("rows")), "shard-cells")
+        cells = cut_lineage(open_rows.groupBy(F.substring(ADDRESS, 1, width).alias("cell"))
+                            .agg(F.sum(BYTES).alias("bytes"), F.count("*").alias("rows")), "shard-cells")
         found.append(cut_lineage(_round(cells, done, limit), "shard-directory"))
         large = cells.filter((F.col("bytes") > limit) & (F.col("rows") > 1)).select("cell")
         if width == ADDRESS_BITS or large.isEmpty():
             return found
         # Cells over the limit are fewer than all bytes / limit.
-        open_rows = open_rows.withColumn("cell", F.substring("_address", 1, width)).join(large, "cell", "left_semi").drop("cell")
+        open_rows = open_rows.withColumn("cell", F.substring(ADDRESS, 1, width)).join(large, "cell", "left_semi").drop("cell")
         done = width
 
 
@@ -74,19 +77,19 @@ def assign(docs: DataFrame, limit: int, key: list[str] | None = None) -> DataFra
 
     ``key``: columns that choose the address, doc_id by default. A shard's texts have at most ``limit`` bytes; the only larger ones
     hold a single row that is longer itself. Rows with a null text count 0 bytes. Rows repeated with one key share shards while these
-    fit. Columns of ``docs`` with the added names are replaced. An empty table has no shards.
+    fit. Columns of ``docs`` with the added names are replaced. An empty table has no shards. ``docs`` has to be a stored table.
     """
     rows = addressed(docs.drop("shard", "shard_bytes", "shard_rows", "n_bytes"), key or ["doc_id"])
-    keep = [c for c in rows.columns if c not in ("_address", "_bytes")]
+    keep = [c for c in rows.columns if c not in (ADDRESS, BYTES)]
     made, left = None, rows
-    for k, found in enumerate(directory(rows.select("_address", "_bytes"), limit)):
-        probe = left.withColumn("_cell", F.substring("_address", 1, (k + 1) * BITS))
-        found = found.withColumnRenamed("cell", "_cell")
+    for k, found in enumerate(directory(rows.select(ADDRESS, BYTES), limit)):
+        probe = left.withColumn(CELL, F.substring(ADDRESS, 1, (k + 1) * BITS))
+        found = found.withColumnRenamed("cell", CELL)
         side = F.broadcast(found) if k == 0 else found  # the first round has at most 2**BITS cells
-        hit = probe.join(side, "_cell").select(*keep, "shard", "shard_bytes", "shard_rows", F.col("_bytes").alias("n_bytes"))
+        hit = probe.join(side, CELL).select(*keep, "shard", "shard_bytes", "shard_rows", F.col(BYTES).alias("n_bytes"))
         made = hit if made is None else made.unionByName(hit)
-        known = found.select("_cell")
-        left = probe.join(F.broadcast(known) if k == 0 else known, "_cell", "left_anti").drop("_cell")
+        known = found.select(CELL)
+        left = probe.join(F.broadcast(known) if k == 0 else known, CELL, "left_anti").drop(CELL)
     return made
 
 
