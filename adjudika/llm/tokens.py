@@ -9,6 +9,7 @@ allow, and Spark's commit protocol covers lost executors.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,10 +20,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from adjudika.llm.textarrays import WHITE_SPACE, gather, slices, strings, text_bytes, word_spans
+from adjudika.llm.textarrays import LOWER, SLICE_BYTES, WHITE_SPACE, gather, slices, strings, text_bytes, word_spans
 
 #: Words whose ids a Python worker keeps; the cache starts anew beyond that.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 #: Ids of a block: the unit of the transposition.
 BLOCK_IDS = 65_536
 #: Ids after which a segment ends at the next document.
@@ -35,8 +36,9 @@ SEGMENT = ("part int, segment int, first_token long, n_ids long, doc_ids array<b
 class WordIds:
     """The ids of words, each encoded once and kept."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, fold: list[bytes] | None = None):
+        """``fold``: special tokens, if texts without them may be lower-cased and cut where ``parts`` does; None if not."""
+        self.encode, self.fold = encode, fold
         self.clear()
 
     def clear(self) -> None:
@@ -71,13 +73,39 @@ def word_encoder(path: str) -> WordIds:
         owner = np.array(made.word_ids, np.int64)
         return np.array(made.ids, np.int64), np.bincount(owner, minlength=len(words)).astype(np.int64)
 
-    return WordIds(encode)
+    plan = json.loads(tokenizer.to_str())
+    lowers = "Lowercase" in json.dumps(plan.get("normalizer"))
+    classes = any(p.get("pattern") == {"Regex": CLASS_PATTERN} for p in (plan.get("pre_tokenizer") or {}).get("pretokenizers", []))
+    return WordIds(encode, [t["content"].lower().encode() for t in plan["added_tokens"]] if lowers and classes else None)
+
+
+#: Fixed value: a pattern of pre-tokens that never reach from a letter to a digit or sign, nor back, but over an apostrophe.
+CLASS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[0x21:0x7F] = 2
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KINDS[0x27] = 0
+
+
+def parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words cut between an ASCII letter and an ASCII digit or sign other than the apostrophe."""
+    kinds = _KINDS[data]
+    cuts = np.flatnonzero((kinds[1:] + kinds[:-1] == 3)) + 1  # 1 beside 2
+    first = np.sort(np.concatenate([starts, cuts]))
+    word = np.searchsorted(starts, first, "right") - 1
+    last = np.append(first[1:], len(data))[:len(first)]
+    return first, np.minimum(last, ends[word]), owner[word]
 
 
 def encode_texts(texts: pa.Array, kept: WordIds, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts and the number of each text's ids, the end id included."""
     data, offsets = text_bytes(texts)
     starts, ends, owner = word_spans(data, offsets, WHITE_SPACE)
+    if kept.fold is not None:
+        lower = LOWER[data]
+        if not any(special in lower.tobytes() for special in kept.fold):
+            data = lower
+            starts, ends, owner = parts(data, starts, ends, owner)
     coded = strings(data, starts, ends).dictionary_encode()
     first, length = kept(coded.dictionary.to_pylist())
     index = coded.indices.to_numpy()
@@ -134,7 +162,7 @@ def _packer(tokenizer_file: str, end_id: int, width: int, bits: bool):
                 x.clear()
             return pa.RecordBatch.from_pylist([row], schema=_SEGMENT_ARROW)
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=2 * SLICE_BYTES):
             flat, n = encode_texts(batch.column("text"), kept, end_id)
             doc_ids, at, i = batch.column("doc_id").to_pylist(), np.cumsum(n), 0
             while i < len(n):  # whole documents until the segment is full
