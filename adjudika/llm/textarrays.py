@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text that a kernel handles at once; one longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 8_192
 
 
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
@@ -34,14 +35,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of at most ``limit`` bytes of text, or of one row."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
+           rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows and ``limit`` bytes of text, or of one row."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         i = 0
         while i < len(ends):
             before = ends[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(ends, before + limit, "right")))
+            j = min(i + rows, max(i + 1, int(np.searchsorted(ends, before + limit, "right"))))
             yield batch.slice(i, j - i)
             i = j
 
