@@ -4,7 +4,7 @@ from importlib import import_module
 
 from adjudika.catalog.registry import QUERIES, SQL
 
-for _name in ("reports", "listings", "scalars", "quality", "joins", "merging", "pages", "monitoring", "streams",
+for _name in ("reports", "listings", "scalars", "quality", "joins", "merging", "pages", "monitoring", "streams", "ingesting",
               "exports"):
     import_module(f"adjudika.catalog.{_name}")
 

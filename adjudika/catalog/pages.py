@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 from adjudika.catalog.registry import query
 from adjudika.extraction import links as K
 from adjudika.extraction import rows as X
-from adjudika.extraction.elements import with_elements
+from adjudika.extraction import elements as E
 from adjudika.operators import dedup
 from adjudika.operators import relations as J
 from adjudika.sources import driver_tables as D
 from adjudika.sources import rendered_pages as P
 
+
+def with_elements(pages):
+    """The pages here come from small tables: deal them out to all cores."""
+    return E.with_elements(pages, partitions=pages.sparkSession.sparkContext.defaultParallelism)
+
+
 def _stamp():
     return F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
 

@@ -2,19 +2,21 @@
 
 ``with_elements`` adds two arrays to a page row. ``elements`` is in document order, and an element's descendants are the
 slots that follow it up to ``last``; ``texts`` holds the stripped non-blank text pieces, and an element owns the slice
-``[t0, t1)``. Selection, field rules and row building are column expressions over these arrays.
+``[t0, t1)``. ``above`` holds of the enclosing tags only what selectors ask for (see ``_below``), so it stays short however deep a
+page nests. Time and memory are linear in the page, also if tags, quotes or comments never close. Selection, field rules and row building are column expressions over these arrays.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from adjudika.sources.readers import spread
+from adjudika.extraction.selectors import SELECTORS
 
 # Fixed values of HTML: elements without content, and which open elements a start tag closes within which scope.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -30,12 +32,12 @@ CLOSES = {
     "p": ({"p"}, {"td", "th", "li", "div", "table"}),
 }
 
-# One token: comment, declaration, script or style with its content, or a tag. Quoted attribute values may hold ">".
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
-    re.IGNORECASE | re.DOTALL)
+# What starts at a "<": a comment, a declaration, a script or style with its content, or a tag. Quoted attribute values may hold ">";
+# where quotes never close, a tag ends at the first ">".
+_ASIDE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?", re.DOTALL)
+_RAW = re.compile(r"<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)", re.IGNORECASE | re.DOTALL)
+_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.IGNORECASE)
+_TAG_UNQUOTED = re.compile(r"<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>[^>]*)>", re.IGNORECASE)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 _INTS, _WORDS = ("i", "last", "nth", "t0", "t1"), ("cls",)
@@ -58,6 +60,40 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+#: Tags that a selector may ask for above an element, in chains of up to two.
+_ASKED = frozenset(tag for group in SELECTORS.values() for options in group.values() for sel in options for tag in sel.get("under") or ())
+
+
+@lru_cache(maxsize=4096)
+def _below(path: str, tag: str) -> str:
+    """The path of a child: ``tag`` joins it if it is asked for and tells something new, a first tag or a first pair in this order."""
+    if tag not in _ASKED:
+        return path
+    held = path.strip("/").split("/") if path != "/" else []
+    pairs = {(a, b) for i, a in enumerate(held) for b in held[i + 1:]}
+    return path if tag in held and all((a, tag) in pairs for a in held) else f"{path}{tag}/"
+
+
+def _tokens(html: str):
+    """Begin, end, raw tag, end mark, tag and attributes of every token."""
+    limit, quoted, at = html.rfind(">"), True, html.find("<")
+    while at >= 0:
+        token, lead = None, html[at + 1:at + 2]
+        if lead in "!?" and lead:
+            token = _ASIDE.match(html, at)
+            yield at, token.end(), None, None, None, None
+        elif at < limit and (lead == "/" or lead.isalpha()):
+            if lead in "sS" and (token := _RAW.match(html, at)):
+                yield at, token.end(), token["raw"], None, None, None
+            else:
+                token = _TAG.match(html, at) if quoted else None
+                if token is None and (token := _TAG_UNQUOTED.match(html, at)):
+                    quoted = False  # some quotes run to the end of the page: do not look for their end again
+                if token:
+                    yield at, token.end(), None, token["end"], token["tag"], token["attrs"]
+        at = html.find("<", token.end() if token else at + 1)
+
+
 # What is known when an element starts, and what only its content and end tell.
 _AT_START = ("i", "tag", "above", "nth", "t0", "id", "cls", "href", "rel", "alt")
 _LATER = ("last", "own", "t1")
@@ -78,7 +114,7 @@ class PageBatch:
         last, own, t1 = (self.later[f] for f in _LATER)
         opened: list[int] = []  # slots of the open elements, and their tags
         names: list[str] = []
-        paths = ["/"]  # enclosing tags of a child, and children seen so far, per open element
+        paths = ["/"]  # asked-for tags above a child, and children seen so far, per open element
         children = [0]
 
         def pop_to(depth: int) -> None:
@@ -120,15 +156,14 @@ class PageBatch:
             if tag not in VOID:
                 opened.append(slot)
                 names.append(tag)
-                paths.append(f"{paths[-1]}{tag}/")
+                paths.append(_below(paths[-1], tag))
                 children.append(0)
 
         html, at = html or "", 0
-        for token in _TOKEN.finditer(html):
-            begin, (raw, end, tag, attrs) = token.start(), token.groups()
+        for begin, stop, raw, end, tag, attrs in _tokens(html):
             if begin > at:
                 text(html[at:begin])
-            at = token.end()
+            at = stop
             if tag:
                 tag = tag.lower()
                 if not end:
@@ -168,8 +203,12 @@ def _kernel(chunk: int):
     return run
 
 
-def with_elements(pages: DataFrame, chunk: int = 64) -> DataFrame:
-    """Replace ``html`` by ``elements`` and ``texts``; other columns stay. Output leaves in chunks of ``chunk`` pages."""
+def with_elements(pages: DataFrame, chunk: int = 64, partitions: int | None = None) -> DataFrame:
+    """Replace ``html`` by ``elements`` and ``texts``; other columns stay. Output leaves in chunks of ``chunk`` pages.
+
+    ``partitions`` deals the pages out first, for inputs that a scan puts into fewer partitions than there are cores; without it no page moves.
+    """
     schema = T.StructType([f for f in pages.schema if f.name != "html"])
     schema = schema.add("elements", T.ArrayType(ELEMENT)).add("texts", T.ArrayType(T.StringType()))
-    return spread(pages, "page_id").mapInArrow(_kernel(chunk), schema)
+    dealt = pages.repartition(partitions, "page_id") if partitions else pages
+    return dealt.mapInArrow(_kernel(chunk), schema)

@@ -50,7 +50,7 @@ def next_pages(pages: DataFrame) -> DataFrame:
     worded = F.filter("elements", lambda e: (e.tag == "a") & e.href.isNotNull() & (
         says(e, ("suivant", "next"), lowered=True) | F.contains(e.href, F.lit("currentPage="))))
     href = F.coalesce(fn.blank_to_null(F.get(declared, F.lit(0)).href), F.get(worded, F.lit(0)).href)
-    return pages.select("page_id", "url", fn.url_join(F.col("url"), href).alias("next_url"))
+    return pages.select("page_id", "url", let(href, lambda h: fn.url_join(F.col("url"), h)).alias("next_url"))
 
 
 def _first(tag: str) -> Column:

@@ -94,15 +94,14 @@ def detail_fields(pages: DataFrame, sel: dict = SELECTORS["detail"]) -> DataFram
     def link(name: str, words: tuple[str, ...]) -> Column:
         by_text = F.get(F.filter("elements", lambda e: (e.tag == "a") & e.href.isNotNull() & says(e, words)), F.lit(0)).href
         href = F.coalesce(fn.blank_to_null(first_href(sel[name], "elements")), by_text, F.lit(""))
-        return fn.url_join(F.col("url"), href)
+        return let(href, lambda h: fn.url_join(F.col("url"), h))
 
     return pages.select(
         F.col("url").alias("url_detail"),
-        *(fn.clean_text(own(n)).alias(n) for n in (
+        *(let(own(n), lambda v: fn.clean_text(v)).alias(n) for n in (
             "objet", "organisme_nom_complet", "organisme_ville", "organisme_telephone", "secteur", "code_cpv")),
         fn.strip_mailto(first_href(sel["organisme_email"], "elements")).alias("organisme_email"),
-        fn.parse_amount(own("montant_estime")).alias("montant_estime"),
-        fn.parse_amount(own("cautionnement_provisoire")).alias("cautionnement_provisoire"),
+        *(let(own(n), lambda v: fn.parse_amount(v)).alias(n) for n in ("montant_estime", "cautionnement_provisoire")),
         link("url_avis", ("Avis", "avis")).alias("url_avis"),
         link("url_dce", ("DCE", "dce")).alias("url_dce"),
     )

@@ -21,23 +21,30 @@ def _content(df: DataFrame, exclude=()) -> Column:
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in ``order``; remaining ties are broken by content, so the choice is repeatable."""
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order, _content(df))).alias("_first")
+    first = F.min_by(F.struct(*rest), F.struct(*arrival(order), _content(df))).alias("_first")
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
 
 
+def arrival(order: list[str]) -> list[Column]:
+    """Sort fields of an arrival order; an unknown time comes last."""
+    return [c for name in order for c in (F.col(name).isNull(), F.col(name))]
+
+
 def label_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Label every row of a key but the first as a duplicate. ``order`` must tell all rows of a key apart.
+    """Label every row of a key but the first as a duplicate, however the rows of a key tie: exactly one stays.
 
-    The winners come from an aggregate of keys and order only, and the join back is on key *and* order, which spreads a
-    hot key over all partitions.
+    Ties of ``order`` are broken by content, and exact copies by their place in the table, so ``df`` has to be a stored table
+    (``session.cut_lineage``). NULL keys are one key. The winners come from an aggregate, and the join back is on the row's place,
+    which spreads a hot key over all partitions.
     """
-    winners = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_w")).select(
-        *keys, *(F.col(f"_w.{c}").alias(c) for c in order), F.lit(True).alias("_first"))
-    joined = df.join(winners, [*keys, *order], "left")
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*arrival(order), _content(df), F.col("_place")])])
+    winners = placed.groupBy(*keys).agg(F.min(rank)[f"o{2 * len(order) + 1}"].alias("_place")).select("_place", F.lit(True).alias("_first"))
+    joined = placed.join(winners, "_place", "left")
     reason = F.when(F.col("_first").isNull(), F.lit(DUPLICATE))
     if "_reason" in df.columns:
-        return joined.withColumn("_reason", F.coalesce("_reason", reason)).drop("_first").select(*df.columns)
-    return joined.withColumn("_reason", reason).drop("_first").select(*df.columns, "_reason")
+        return joined.withColumn("_reason", F.coalesce("_reason", reason)).select(*df.columns)
+    return joined.withColumn("_reason", reason).select(*df.columns, "_reason")
 
 
 def new_keys(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:

@@ -4,24 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many hot keys are brought to the driver and broadcast; beyond it they are joined with an exchange.
-MAX_HOT_KEYS = 1000
-
-
-def hot_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, int | None]:
-    """Keys with more than ``limit`` rows as ``(key, _n)``, and how many there are (None: more than MAX_HOT_KEYS).
-
-    The count is a key-only scan with partial sums before the exchange. A short list becomes a local relation, so its
-    size is known before anything is broadcast.
-    """
-    found = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    rows = found.limit(MAX_HOT_KEYS + 1).collect()
-    if len(rows) > MAX_HOT_KEYS:
-        return found, None
-    return df.sparkSession.createDataFrame(rows, found.schema), len(rows)
+#: Slices of a hot key's children that are ranked apart.
+SLICES = 1024
 
 
 def _items(columns) -> Column:
@@ -29,22 +16,37 @@ def _items(columns) -> Column:
 
 
 def nest(children: DataFrame, key: str, columns, name: str, part_size: int = 10_000) -> DataFrame:
-    """Children of each key as sorted arrays: ``(key, part, name)``.
+    """Children of each key as sorted arrays: ``(key, part, name)``, one row per key and part.
 
-    A key with up to ``part_size`` children is one row, part 0. A larger one is continued on parts 1, 2, ... of about
-    that size, so that no task ever holds all children of a hot key and no row outgrows memory; nothing is dropped.
-    A child's part comes from its content and from the input partition it was read in, so identical copies spread too,
-    and a repeated task puts every row where it was before.
+    A key with up to ``part_size`` children has part 0 alone. The children of a larger key are ranked by a hash of their content, then
+    by content, and part p holds the ranks from ``p * part_size`` on: ``part_size`` children each, the last one the rest. Rank and part
+    depend on the children only, not on files, partitions or cores; equal children may stand in two parts. Nothing is dropped, and no
+    task holds all children of a large key.
     """
-    hot, n_hot = hot_keys(children, key, part_size)
-    rows = children.select(key, *[c for c in columns if c != key])
-    if n_hot == 0:
-        return rows.groupBy(key).agg(_items(columns).alias(name)).select(key, F.lit(0).alias("part"), name)
-    parts = hot.select(key, F.ceil(F.col("_n") / F.lit(part_size)).cast("int").alias("_parts"))
-    source = rows.withColumn("_source", F.spark_partition_id())
-    joined = source.join(F.broadcast(parts) if n_hot is not None else parts, key, "left")
-    spread = F.pmod(F.xxhash64(*columns) + F.col("_source"), F.col("_parts")).cast("int")
-    return joined.groupBy(key, F.coalesce(spread, F.lit(0)).alias("part")).agg(_items(columns).alias(name))
+    names = [c for c in columns if c != key]
+    rows = children.select(key, *names)
+    large = children.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > part_size).select(key)
+    small = rows.join(large, key, "left_anti").groupBy(key).agg(_items(columns).alias(name)).select(key, F.lit(0).alias("part"), name)
+    return small.unionByName(_in_parts(rows.join(large, key, "left_semi"), key, columns, name, part_size))
+
+
+def _in_parts(rows: DataFrame, key: str, columns, name: str, part_size: int) -> DataFrame:
+    names = [c for c in rows.columns if c != key]
+    # Equal children are counted before they travel; a count stands for a run of ranks.
+    once = rows.groupBy(key, *names).agg(F.count(F.lit(1)).alias("_n")).withColumn("_hash", F.xxhash64(*columns)).withColumn(
+        "_slice", F.pmod("_hash", F.lit(SLICES)))
+    sizes = once.groupBy(key, "_slice").agg(F.sum("_n").alias("_size"))
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows a key
+    offsets = sizes.select(key, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy(key, "_slice").orderBy("_hash", *names).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_offset") + F.coalesce(F.sum("_n").over(within), F.lit(0))
+    ranked = once.join(offsets, [key, "_slice"]).withColumn("_first", first)
+    part = F.explode(F.sequence(F.floor(F.col("_first") / part_size), F.floor((F.col("_first") + F.col("_n") - 1) / part_size))).alias("part")
+    dealt = ranked.select("*", part).withColumn("part", F.col("part").cast("int"))
+    held = (F.least(F.col("_first") + F.col("_n"), (F.col("part") + 1).cast("bigint") * part_size)
+            - F.greatest(F.col("_first"), F.col("part").cast("bigint") * part_size)).cast("int")
+    copies = F.array_repeat(F.struct(*columns), held)
+    return dealt.groupBy(key, "part").agg(F.sort_array(F.flatten(F.collect_list(copies))).alias(name))
 
 
 def attach(parents: DataFrame, key: str, *nested: DataFrame) -> DataFrame:

@@ -7,15 +7,17 @@ good and quarantined rows at the end and counted in between.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudika.operators import quality as Q
-from adjudika.operators.dedup import first_per_key, label_duplicates
+from adjudika.operators.dedup import label_duplicates
 from adjudika.plans.reports import item_counters
 from adjudika.session import cut_lineage
+from adjudika.sinks.archive import archived_path, write_archive
 from adjudika.sinks.store import KEY, TenderStore
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -30,6 +32,8 @@ class Ingest:
     order: list[str] = field(default_factory=lambda: ["date_extraction"])
     mode: str = "insert_only"  # or "upsert"
     off: frozenset[str] = frozenset()
+    # Children only: columns that tell a child from its siblings; None stores every child of every run.
+    child_key: list[str] | None = None
     extra_stages: list[tuple[int, str, Stage]] = field(default_factory=list)
 
     def stages(self) -> list[tuple[int, str, Stage]]:
@@ -38,52 +42,105 @@ class Ingest:
             (100, "validate", lambda df: Q.check_required(df, self.kind)),
             (200, "clean", self._clean),
             (300, "dedup", self._dedup),
+            (400, "archive", self._archive),
+            (440, "parents", self._parents),
             (450, "check", lambda df: Q.check_storable(df, self.kind)),
         ]
         return sorted((s for s in steps + self.extra_stages if s[1] not in self.off), key=lambda s: s[0])
 
-    def label(self, batch: DataFrame) -> DataFrame:
+    def label(self, batch: DataFrame, lot_id: int = 0, now: Column | None = None) -> DataFrame:
+        self._lot, self._now = int(lot_id), F.localtimestamp() if now is None else now
         for _, _, stage in self.stages():
             batch = batch.transform(stage)
         return batch
 
     def run(self, batch: DataFrame, lot_id: int, now: Column | None = None) -> DataFrame:
-        """Label, quarantine and store one batch; returns the item counters by type and outcome."""
-        # Written once: labels, quarantine, store and counters below all read the same rows.
-        labelled = cut_lineage(self.label(batch).withColumn("_type", F.lit(self.kind)), "ingest")
+        """Label, archive, quarantine and store one batch, write its run log; returns the item counters by type and outcome.
+
+        Repeating a run with its ``lot_id`` leaves store, quarantine and counters as they are: a batch is held against what *other* runs
+        have stored, and rows of its own run are neither stored nor updated again.
+        """
+        now = now if now is not None else F.localtimestamp()
+        started = self.store.spark.range(1).select(now.alias("t")).first().t
+        # Written once: quarantine, store and counters below all read the same labels.
+        labelled = cut_lineage(self.label(batch, lot_id, now).withColumn("_type", F.lit(self.kind)), "ingest")
         rejected = Q.quarantined(labelled)
         rejected.write.mode("overwrite").parquet(f"{self.store.path('quarantine')}/kind={self.kind}/lot_id={int(lot_id)}")
         good = Q.good(labelled).drop("_type")
         if self.kind != "consultation":
             self.store.append(self.kind, good, lot_id)
         elif self.mode == "upsert":
-            self.store.upsert(good, self.order, now if now is not None else F.localtimestamp())
+            self.store.upsert(good, self.order, now, lot_id)
         else:
-            self.store.insert_new(good, self.order)
-        return item_counters(labelled)
+            self.store.insert_new(good, self.order, lot_id)
+        counters = cut_lineage(item_counters(labelled), "counters")
+        self._log(counters, lot_id, started)
+        return counters
+
+    def _log(self, counters: DataFrame, lot_id: int, started) -> None:
+        """One run-log row per run, which a repeated run replaces."""
+        saved = F.coalesce(F.sum(F.when(F.col("issue") == "saved", F.col("n"))), F.lit(0))
+        failed = F.coalesce(F.sum(F.when(~F.col("issue").isin("saved", Q.DUPLICATE), F.col("n"))), F.lit(0))
+        stored = self.store.read(self.kind).filter(F.col("lot_id") == int(lot_id))
+        updated = F.count_if(F.col("date_derniere_maj").isNotNull()) if self.kind == "consultation" else F.lit(0).cast("bigint")
+        written = stored.agg(F.count(F.lit(1)).alias("_n"), updated.alias("items_mis_a_jour"))
+        row = counters.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("items_extraits"), saved.alias("_saved"), failed.alias("erreurs")).crossJoin(written)  # one row each
+        status = F.when((F.col("erreurs") > 0) & (F.col("_saved") == 0), "failed").when(F.col("erreurs") > 0, "partial").otherwise("success")
+        row.select(F.lit(started).cast("timestamp_ntz").alias("date_execution"), F.lit(self.kind).alias("spider_name"), status.alias("statut"),
+                   "items_extraits", (F.col("_n") - F.col("items_mis_a_jour")).alias("items_inseres"), "items_mis_a_jour", "erreurs").write.mode("overwrite").parquet(
+            f"{self.store.path('extraction_log')}/kind={self.kind}/lot_id={int(lot_id)}")
+
+    def _others(self, kind: str) -> DataFrame:
+        """What other runs have stored."""
+        stored = self.store.read(kind)
+        return stored.filter(F.coalesce(F.col("lot_id") != self._lot, F.lit(True)))
+
+    def _archive(self, df: DataFrame) -> DataFrame:
+        """Raw pages go to the archive, one copy per content, and the record keeps the path."""
+        if "page_html" not in df.columns:
+            return df
+        df = cut_lineage(df, "pages")
+        kept = df.filter(F.col("_reason").isNull()) if "_reason" in df.columns else df
+        pages = kept.select(KEY, F.col("page_html").alias("html"))
+        write_archive(pages, self.store.path("archive"), self._now, self.store.archive())
+        return archived_path(df.drop("page_html_archivee"), self.store.archive(), self.store.path("archive"))
+
+    def _parents(self, df: DataFrame) -> DataFrame:
+        """Children of tenders that are not stored are refused, as a foreign key does."""
+        if self.kind == "consultation":
+            return df
+        if "_reason" not in df.columns:
+            df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
+        known = self.store.read().select(KEY, F.lit(True).alias("_known"))
+        orphan = F.col("_reason").isNull() & F.col("_known").isNull()
+        return df.join(known, KEY, "left").withColumns({
+            "_reason": F.when(orphan, F.lit(Q.DATABASE)).otherwise(F.col("_reason")),
+            "_field": F.when(orphan, F.lit(KEY)).otherwise(F.col("_field"))}).select(*df.columns)
 
     def _clean(self, df: DataFrame) -> DataFrame:
-        return Q.clean_record(df)
+        if "page_html" not in df.columns:
+            return Q.clean_record(df)
+        whole = df.withColumn("page_html", F.struct(F.col("page_html").alias("raw")))  # a raw page stays as it is
+        return Q.clean_record(whole).withColumn("page_html", F.col("page_html.raw"))
 
     def _dedup(self, df: DataFrame) -> DataFrame:
-        """Only tenders are deduplicated: within the batch, and against the store unless it is an upsert."""
-        if self.kind != "consultation" or self.mode == "upsert":
+        """Within the batch, and against what other runs stored: tenders by reference unless it is an upsert, children by ``child_key``."""
+        keys = [KEY] if self.kind == "consultation" else [KEY, *self.child_key] if self.child_key else None
+        if keys is None or (self.kind == "consultation" and self.mode == "upsert"):
             return df
         if "_reason" not in df.columns:
             df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
         # The branches below read the batch several times; without this each would extract and clean it again.
         df = cut_lineage(df, "clean")
         kept, out = df.filter(F.col("_reason").isNull()), df.filter(F.col("_reason").isNotNull())
-        stored = self.store.read().select(KEY).withColumn("_stored", F.lit(True))
-        first = label_duplicates(kept, [KEY], self.order).join(stored, KEY, "left")
+        stored = self._others(self.kind).select(*keys).distinct() if len(keys) > 1 else self._others(self.kind).select(*keys)
+        first = label_duplicates(kept, keys, self.order)
+        same = reduce(lambda a, b: a & b, [first[k].eqNullSafe(F.col(f"_s.{k}")) for k in keys])
+        met = first.join(stored.withColumn("_stored", F.lit(True)).alias("_s"), same, "left")
         reason = F.coalesce("_reason", F.when(F.col("_stored"), F.lit(Q.DUPLICATE)))
-        return first.withColumn("_reason", reason).select(*df.columns).unionByName(out)
+        return met.select(*[reason.alias(c) if c == "_reason" else first[c] for c in df.columns]).unionByName(out)
 
 
 def dry_run(ingest: Ingest, batch: DataFrame) -> DataFrame:
-    """Labels only, nothing stored."""
-    return ingest.label(batch)
-
-
-def first_records(batch: DataFrame, order: list[str]) -> DataFrame:
-    return first_per_key(batch, [KEY], order)
+    """Labels only, nothing stored and no page archived."""
+    return replace(ingest, off=ingest.off | {"archive"}).label(batch)

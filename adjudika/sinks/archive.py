@@ -24,17 +24,23 @@ def archive_copies(pages: DataFrame, stamp: Column, ref: str = "ref_consultation
 
 def write_archive(pages: DataFrame, path: str, stamp: Column, stored: DataFrame | None = None) -> None:
     """Add the contents that are not archived yet, in one folder per archive date."""
-    copies = archive_copies(pages, stamp)
-    if stored is not None:
-        copies = copies.join(stored.select("content_md5"), "content_md5", "left_anti")
+    keyed = pages.filter(F.col("html").isNotNull())
+    if stored is not None:  # before the pages travel
+        keyed = keyed.withColumn("content_md5", F.md5("html")).join(stored.select("content_md5"), "content_md5", "left_anti")
+    copies = archive_copies(keyed, stamp)
     copies.write.mode("append").partitionBy("archive_date").parquet(path)
 
 
-def archived_path(pages: DataFrame, stamp: Column, root: str, ref: str = "ref_consultation") -> DataFrame:
-    """Swap a record's raw page for the path of its archived copy."""
-    name = archive_name(F.col(ref), stamp, F.col("page_html"))
-    return pages.withColumn("page_html_archivee", F.when(
-        F.col("page_html").isNotNull(), F.concat(F.lit(root.rstrip("/") + "/"), name))).drop("page_html")
+def archived_path(records: DataFrame, archive: DataFrame, root: str) -> DataFrame:
+    """Swap a record's ``page_html`` for ``page_html_archivee``, the path of the archived copy of the same content.
+
+    The archive is joined on the full hash: a page that is saved under several references, or again on a later day, has one copy, and every
+    record names that one. A content that was archived twice by runs side by side is named by its first file.
+    """
+    files = archive.groupBy("content_md5").agg(F.min("file_name").alias("_file"))
+    joined = records.withColumn("content_md5", F.md5("page_html")).join(files, "content_md5", "left")
+    path = F.concat(F.lit(root.rstrip("/") + "/"), F.col("_file"))
+    return joined.withColumn("page_html_archivee", path).drop("content_md5", "_file", "page_html")
 
 
 def write_dead_letters(pages: DataFrame, rows: DataFrame, path: str) -> None:

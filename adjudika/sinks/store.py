@@ -18,7 +18,9 @@ from adjudika.schemas import CONSULTATIONS, TABLES
 from adjudika.session import cut_lineage
 
 KEY = "ref_consultation"
-_STORED = T.StructType([*CONSULTATIONS.fields, T.StructField("mois", T.StringType(), True)])
+# ``lot_id``: the run that wrote the row last, so that a run that is repeated knows its own rows.
+_STORED = T.StructType([*CONSULTATIONS.fields, T.StructField("lot_id", T.LongType(), True), T.StructField("mois", T.StringType(), True)])
+ARCHIVE = "content_md5 string, file_name string, copies bigint, html string, archive_date date"
 
 
 class TenderStore:
@@ -32,25 +34,33 @@ class TenderStore:
         """The stored table; empty when nothing was stored yet."""
         schema = _STORED if kind == "consultation" else T.StructType(
             [*TABLES[kind].fields, T.StructField("lot_id", T.LongType(), True)])
+        return self._read(self.path(kind), schema)
+
+    def archive(self) -> DataFrame:
+        """The page archive of this store."""
+        return self._read(self.path("archive"), ARCHIVE)
+
+    def _read(self, path: str, schema) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(self.path(kind))
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def insert_new(self, tenders: DataFrame, order: list[str]) -> DataFrame:
+    def insert_new(self, tenders: DataFrame, order: list[str], lot_id: int = 0) -> DataFrame:
         """Store the first record of every reference that is not stored yet. A repeated call stores nothing twice."""
         fresh = new_keys(first_per_key(tenders, [KEY], order), self.read(), KEY)
-        rows = self._dated(as_table(fresh, "consultation"))
+        rows = self._dated(as_table(fresh, "consultation").withColumn("lot_id", F.lit(int(lot_id)).cast("bigint")))
         self._by_month(rows).write.mode("append").partitionBy("mois").parquet(self.path("consultation"))
         return rows
 
-    def upsert(self, tenders: DataFrame, order: list[str], now: Column) -> DataFrame:
+    def upsert(self, tenders: DataFrame, order: list[str], now: Column, lot_id: int = 0) -> DataFrame:
         """Merge records into the table and return the counters ``(inserted, updated, kept)``.
 
         The references are matched on a key-only scan; only the months found there, and the months of new tenders, are
-        read in full and replaced. The list of months is bounded by the calendar.
+        read in full and replaced. The list of months is bounded by the calendar. A month is replaced whole or not at all, so references
+        that the same run has written before are left as they are: a run that is repeated changes nothing and updates nothing twice.
         """
         typed = as_table(tenders, "consultation").select(
             *[c for c in CONSULTATIONS.fieldNames() if c != "date_derniere_maj"])
@@ -58,25 +68,47 @@ class TenderStore:
         source = tenders.select(*(F.col(c).try_cast(CONSULTATIONS[c].dataType).alias(c) if c in CONSULTATIONS.fieldNames()
                                   and c in tenders.columns else F.lit(None).cast(CONSULTATIONS[c].dataType).alias(c)
                                   for c in typed.columns), *extra)
-        incoming = cut_lineage(last_values(source, KEY, order).drop(*extra), "upsert")
         stored = self.read()
+        done = stored.filter(F.col("lot_id") == int(lot_id)).select(KEY)
+        incoming = cut_lineage(last_values(source, KEY, order).drop(*extra).join(done, KEY, "left_anti"), "upsert")
         known = stored.select(KEY, "mois").join(incoming.select(KEY), KEY, "left_semi").select("mois")
         months = [r.mois for r in known.unionByName(self._dated(incoming).select("mois")).distinct().collect()]
         base = stored.filter(F.col("mois").isin(months))
         # The result is written aside first: a task that is run again must not read a folder that is being replaced.
         merged = cut_lineage(upsert(base, incoming, KEY, now), "merged")
-        rows = merged.drop("_action", "_items").withColumn("mois", F.coalesce("mois", self._month()))
-        (self._by_month(rows.select(*_STORED.fieldNames())).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("mois").parquet(self.path("consultation")))
+        lot = F.when(F.col("_action") == "keep", F.col("lot_id")).otherwise(F.lit(int(lot_id)).cast("bigint"))
+        rows = merged.withColumns({"lot_id": lot, "mois": F.coalesce("mois", self._month())})
+        self._replace("consultation", rows.select(*_STORED.fieldNames()), "mois")
         return merge_counts(merged)
 
     def append(self, kind: str, rows: DataFrame, lot_id: int) -> None:
         """Add children. One run writes one folder, which a repeated run replaces instead of adding to."""
         as_table(rows, kind).write.mode("overwrite").parquet(f"{self.path(kind)}/lot_id={int(lot_id)}")
 
-    def delete(self, refs: DataFrame) -> dict[str, DataFrame]:
-        """Tables as they are without the given references, children included."""
-        return {k: self.read(k).join(refs.select(KEY), KEY, "left_anti") for k in TABLES}
+    def delete(self, refs: DataFrame) -> dict[str, int]:
+        """Remove the references and all their children, and return how many rows of each table went.
+
+        Children go first, so a delete that breaks off leaves no child without its tender; repeated, it finishes. Only the folders that hold
+        such rows are read in full and replaced; a folder that is left without rows is replaced by an empty one.
+        """
+        gone, keys = {}, cut_lineage(refs.select(KEY).distinct(), "delete")
+        for kind in [k for k in TABLES if k != "consultation"] + ["consultation"]:
+            part = "mois" if kind == "consultation" else "lot_id"
+            table = self.read(kind)
+            hit = {r[part]: r["n"] for r in table.join(keys, KEY, "left_semi").groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+            gone[kind] = sum(hit.values())
+            if hit:
+                left = cut_lineage(table.filter(F.col(part).isin(list(hit))).join(keys, KEY, "left_anti"), "left")
+                self._replace(kind, left, part)
+                held = {r[part] for r in left.select(part).distinct().collect()}
+                for name in hit.keys() - held:
+                    left.limit(0).drop(part).write.mode("overwrite").parquet(f"{self.path(kind)}/{part}={name}")
+        return gone
+
+    def _replace(self, kind: str, rows: DataFrame, part: str) -> None:
+        """Replace the folders of a table that ``rows`` has rows for."""
+        (rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part)
+         .parquet(self.path(kind)))
 
     @staticmethod
     def _month() -> Column:

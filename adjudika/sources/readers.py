@@ -9,18 +9,6 @@ from pyspark.sql import types as T
 from adjudika.schemas import DETAIL_RECORDS, PAGES
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute a scan that has fewer partitions than the cluster has cores, before CPU-heavy work.
-
-    The scan splits by bytes, so fewer partitions than cores means less than cores x
-    ``spark.sql.files.maxPartitionBytes`` of input: the exchange is bounded, and a large input is never moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
@@ -34,7 +22,7 @@ def table_jdbc(spark: SparkSession, url: str, name: str, key: str, low: int, hig
 
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:
     """Archived pages stored as a table: ``(page_id, url, html)``."""
-    return spread(table(spark, path, PAGES), "page_id")
+    return table(spark, path, PAGES)
 
 
 def page_files(spark: SparkSession, path: str, base_url: str) -> DataFrame:

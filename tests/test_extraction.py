@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from adjudika.extraction import links as K
@@ -30,16 +31,42 @@ def stamp():
 def test_tree_of_malformed_html():
     found, texts = elements('<p>a<p>b<script>var t="</p><td>";</script><!-- <a href=x> --><ul><li>1<li>2</ul></b><br>c')
     assert [(e["tag"], e["above"], e["nth"]) for e in found] == [
-        ("p", "/", 1), ("p", "/", 2), ("script", "/p/", 1), ("ul", "/p/", 2), ("li", "/p/ul/", 1), ("li", "/p/ul/", 2),
-        ("br", "/p/", 3)]
+        ("p", "/", 1), ("p", "/", 2), ("script", "/", 1), ("ul", "/", 2), ("li", "/", 1), ("li", "/", 2), ("br", "/", 3)]
     assert texts == ["a", "b", "1", "2", "c"]
     assert (found[1]["last"], found[1]["t0"], found[1]["t1"]) == (6, 1, 5)
 
 
 def test_table_cells_without_end_tags_and_nested_tables():
     found, _ = elements("<table><tbody><tr><td>1<td><b>2<table><tr><td>x</table><td>3<tr><td>4</table>")
-    cells = [(e["above"].count("table"), e["nth"], e["own"]) for e in found if e["tag"] == "td"]
-    assert cells == [(1, 1, "1"), (1, 2, None), (2, 1, "x"), (1, 3, "3"), (1, 1, "4")]
+    cells = [(e["above"], e["nth"], e["own"]) for e in found if e["tag"] == "td"]
+    outer, inner = "/table/tbody/", "/table/tbody/table/"
+    assert cells == [(outer, 1, "1"), (outer, 2, None), (inner, 1, "x"), (outer, 3, "3"), (outer, 1, "4")]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a x='", "<a x=\"'>", "<span>", "<table>", "<table><tbody>", "<script ", "<!-- ", "</b", "<td><a href=x>", "<a \"'> '", "<"])
+def test_hostile_pages_take_linear_time_and_memory(piece):
+    import time
+    import tracemalloc
+
+    html = piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    batch = PageBatch()
+    batch.add(html)
+    assert time.process_time() - start < 4
+    small = html[:200_000]
+    tracemalloc.start()
+    batch = PageBatch()
+    batch.add(small)
+    batch.arrays()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
+
+
+def test_open_quotes_end_at_the_first_bracket():
+    found, texts = elements("<a href='x'>1</a><b title='open>2<i>3")
+    assert [e["tag"] for e in found] == ["a", "b", "i"] and texts == ["1", "2", "3"]
+    assert elements("x < y <!-- never closed <b>")[0] == [] and elements("<p>a <b")[1] == ["a <b"]
 
 
 def test_attributes_and_entities():

@@ -41,16 +41,43 @@ def test_insert_only_is_idempotent_and_splits_rows(spark):
     assert counts == {"saved": 2, "duplicate": 1, "missing_required_field": 1, "database_error": 1}
     assert stored(job) == {"A": ("t 1", 12.5, "2025-01"), "D": ("d", None, "2025-02")}
     again = {r.issue: r.n for r in job.run(first, 0).collect()}
-    assert again["duplicate"] == 3 and "saved" not in again and job.store.read().count() == 2
-    rejected = spark.read.parquet(f"{job.store.path('quarantine')}").count()
-    assert rejected == 5
+    assert again == counts and job.store.read().count() == 2
+    assert spark.read.parquet(f"{job.store.path('quarantine')}").count() == 3
+    other = {r.issue: r.n for r in job.run(first, 1).collect()}
+    assert other == {"duplicate": 3, "missing_required_field": 1, "database_error": 1} and job.store.read().count() == 2
 
 
 def test_identical_copies_are_stored_once(spark):
     job = ingest(spark)
     one = batch(spark, ("A", "t", "1", 1))
-    job.run(one.unionAll(one).unionAll(one), 0)
-    assert job.store.read().count() == 1
+    counts = {r.issue: r.n for r in job.run(one.unionAll(one).unionAll(one), 0).collect()}
+    assert job.store.read().count() == 1 and counts == {"saved": 1, "duplicate": 2}
+
+
+def test_ties_and_missing_order_lose_no_record(spark):
+    job = ingest(spark)
+    rows = batch(spark, ("A", "x", "1", 1), ("A", "y", "2", 1), ("B", "b", "1", 1), ("C", "c", "1", 1), ("C", "d", "1", 1), ("C", "c", "1", 1))
+    rows = rows.withColumn("arrivee", F.when(F.col("ref_consultation") == "A", 7).when(F.col("titre") == "d", 1))
+    labelled = job.label(rows.unionAll(rows.filter("ref_consultation = 'B'")))
+    got = sorted((r.ref_consultation, r.titre, r._reason) for r in labelled.collect() if r._reason is None)
+    assert [g[0] for g in got] == ["A", "B", "C"] and got[2][1] == "d"
+    counts = {r.issue: r.n for r in job.run(rows, 0).collect()}
+    assert counts == {"saved": 3, "duplicate": 3} and job.store.read().count() == 3
+    log = spark.read.parquet(job.store.path("extraction_log")).collect()
+    assert [(r.items_extraits, r.items_inseres, r.items_mis_a_jour, r.erreurs, r.statut) for r in log] == [(6, 3, 0, 0, "success")]
+
+
+def test_a_repeated_upsert_updates_nothing_twice(spark):
+    job = ingest(spark, mode="upsert")
+    times = [F.lit(f"2025-07-0{d} 00:00:00").cast("timestamp_ntz") for d in (1, 2, 3)]
+    job.run(batch(spark, ("A", "a", "1", 1)), 0, times[0])
+    second = batch(spark, ("A", "a2", None, 1), ("B", "b", "1", 1))
+    job.run(second, 1, times[1])
+    before = sorted(map(tuple, job.store.read().collect()), key=str)
+    job.run(second, 1, times[2])
+    assert sorted(map(tuple, job.store.read().collect()), key=str) == before
+    log = {r.lot_id: (r.items_inseres, r.items_mis_a_jour) for r in spark.read.parquet(job.store.path("extraction_log")).collect()}
+    assert log == {0: (1, 0), 1: (1, 1)}
 
 
 def test_upsert_moves_nothing_between_months(spark):
@@ -65,19 +92,56 @@ def test_upsert_moves_nothing_between_months(spark):
 
 def test_stages_can_be_left_out_and_added(spark):
     job = ingest(spark, off=frozenset({"check", "dedup"}), extra_stages=[(50, "upper", lambda df: df.withColumn("titre", F.upper("titre")))])
-    assert [s[1] for s in job.stages()] == ["upper", "validate", "clean"]
+    assert [s[1] for s in job.stages()] == ["upper", "validate", "clean", "archive", "parents"]
     assert [r.titre for r in dry_run(job, batch(spark, ("A", "x", "1", 1))).collect()] == ["X"]
 
 
-def test_children_of_a_repeated_run_replace_themselves(spark):
-    job = ingest(spark, kind="lot")
-    lots = spark.createDataFrame([("A", "1", "d"), ("A", "1", "d"), ("B", "", "e")], "ref_consultation string, numero_lot string, designation string")
-    lots = lots.withColumn("date_extraction", F.lit("2025-01-01").cast("timestamp_ntz"))
+def lots_of(spark, *rows):
+    lots = spark.createDataFrame(list(rows), "ref_consultation string, numero_lot string, designation string")
+    return lots.withColumn("date_extraction", F.lit("2025-01-01").cast("timestamp_ntz"))
+
+
+def test_children_need_their_tender_and_replace_themselves(spark):
+    tenders = ingest(spark)
+    tenders.run(batch(spark, ("A", "a", "1", 1), ("B", "b", "1", 2)), 0)
+    job = Ingest(tenders.store, kind="lot", order=["numero_lot"])
+    lots = lots_of(spark, ("A", "1", "d"), ("A", "1", "d"), ("B", "", "e"), ("X", "1", "no tender"), ("B", "2", "f"))
     for run in (0, 0, 1):
-        job.run(lots, run)
-    assert job.store.read("lot").count() == 4
-    left = job.store.delete(spark.createDataFrame([("A",)], "ref_consultation string"))
-    assert left["lot"].count() == 0
+        counts = {r.issue: r.n for r in job.run(lots, run).collect()}
+        assert counts == {"saved": 3, "missing_required_field": 1, "database_error": 1}
+    assert job.store.read("lot").count() == 6
+    rejected = spark.read.parquet(job.store.path("quarantine")).filter("kind = 'lot' and lot_id = 1").collect()
+    assert {(r.ref_consultation, r._reason, r._field) for r in rejected} == {("X", "database_error", "ref_consultation"), ("B", "missing_required_field", "numero_lot")}
+    assert job.store.delete(spark.createDataFrame([("A",), ("Z",)], "ref_consultation string")) == {
+        "lot": 4, "pv": 0, "attribution": 0, "achevement": 0, "consultation": 1}
+    assert {r.ref_consultation for r in job.store.read("lot").collect()} == {"B"} == set(stored(tenders))
+    job.store.delete(spark.createDataFrame([("B",)], "ref_consultation string"))
+    assert job.store.read("lot").count() == 0 == job.store.read().count()
+
+
+def test_children_with_a_key_are_stored_once(spark):
+    tenders = ingest(spark)
+    tenders.run(batch(spark, ("A", "a", "1", 1)), 0)
+    job = Ingest(tenders.store, kind="lot", order=["designation"], child_key=["numero_lot"])
+    job.run(lots_of(spark, ("A", "1", "x"), ("A", "1", "y"), ("A", "2", "z")), 0)
+    counts = {r.issue: r.n for r in job.run(lots_of(spark, ("A", "2", "other"), ("A", "3", "z")), 1).collect()}
+    assert counts == {"duplicate": 1, "saved": 1}
+    assert sorted((r.numero_lot, r.designation) for r in job.store.read("lot").collect()) == [("1", "x"), ("2", "z"), ("3", "z")]
+
+
+def test_records_name_the_archived_copy(spark):
+    job = ingest(spark)
+    page = F.when(F.col("ref_consultation").isin("A", "B"), "<p>same").when(F.col("ref_consultation") == "C", "<p>c")
+    days = [F.lit(f"2025-07-0{d} 00:00:00").cast("timestamp_ntz") for d in (1, 2)]
+    job.run(batch(spark, ("A", "a", "1", 1), ("B", "b", "1", 1), ("D", "d", "1", 1)).withColumn("page_html", page), 0, days[0])
+    job.run(batch(spark, ("C", "c", "1", 1)).withColumn("page_html", page).unionAll(
+        batch(spark, ("E", "e", "1", 1)).withColumn("page_html", F.lit("<p>same"))), 1, days[1])
+    paths = {r.ref_consultation: r.page_html_archivee for r in job.store.read().collect()}
+    files = {f"{job.store.path('archive')}/{r.file_name}": r.html for r in job.store.archive().collect()}
+    assert len(files) == 2 and {k: files.get(p) for k, p in paths.items()} == {"A": "<p>same", "B": "<p>same", "C": "<p>c", "D": None, "E": "<p>same"}
+    count = job.store.archive().count()
+    dry_run(job, batch(spark, ("F", "f", "1", 1)).withColumn("page_html", F.lit("<p>new"))).collect()
+    assert job.store.archive().count() == count
 
 
 def test_stream_ingest_over_several_runs(spark):
@@ -142,8 +206,9 @@ def test_archive_holds_each_content_once(spark):
     archive.write_archive(pages, path, stamp, spark.read.parquet(path))
     back = {r.html: (r.file_name, r.copies) for r in spark.read.parquet(path).collect()}
     assert set(back) == {"<p>", "<b>"} and back["<p>"][1] == 2 and back["<p>"][0].startswith("A_20250102_030405_")
-    record = archive.archived_path(pages.withColumnRenamed("html", "page_html"), stamp, "s3://x/").filter("ref_consultation = 'A'").first()
-    assert record.page_html_archivee == f"s3://x/{back['<p>'][0]}" and "page_html" not in record
+    records = archive.archived_path(pages.withColumnRenamed("html", "page_html"), spark.read.parquet(path), "s3://x/").collect()
+    assert {r.ref_consultation: r.page_html_archivee for r in records} == {
+        "A": f"s3://x/{back['<p>'][0]}", "B": f"s3://x/{back['<p>'][0]}", "C": f"s3://x/{back['<b>'][0]}", "D": None}
 
 
 def test_page_files_are_read_whole(spark, tmp_path):

@@ -17,23 +17,19 @@ def children(spark):
     return spark.createDataFrame(rows, "ref string, no string, label string").repartition(6), rows
 
 
-@pytest.mark.parametrize("part_size, max_hot", [(1000, 1000), (8, 1000), (8, 0)])
-def test_nest_keeps_every_child_and_bounds_parts(spark, monkeypatch, part_size, max_hot):
-    monkeypatch.setattr(nesting, "MAX_HOT_KEYS", max_hot)
+@pytest.mark.parametrize("part_size", [1000, 8])
+def test_nest_keeps_every_child_in_full_parts(spark, part_size):
     df, rows = children(spark)
-    got = nesting.nest(df, "ref", ("no", "label"), "items", part_size).collect()
-    seen = Counter((r.ref, i.no, i.label) for r in got for i in r["items"])
-    assert seen == Counter(rows)
-    assert all(r["items"] == sorted(r["items"]) for r in got)
-    parts = defaultdict(list)
-    for r in got:
-        parts[r.ref].append(r.part)
-    assert all(sorted(p) == sorted(set(p)) for p in parts.values())
-    if part_size == 8:
-        assert len(parts["hot"]) > 4 and all(p == [0] for k, p in parts.items() if k != "hot")
-        assert max(len(r["items"]) for r in got) < 40
-    else:
-        assert parts["hot"] == [0]
+    results = []
+    for layout in (df, df.repartition(2), df.coalesce(1)):
+        got = nesting.nest(layout, "ref", ("no", "label"), "items", part_size).collect()
+        results.append(sorted((r.ref, r.part, [tuple(i) for i in r["items"]]) for r in got))
+    assert results[0] == results[1] == results[2]
+    assert Counter((ref, *i) for ref, _, items in results[0] for i in items) == Counter(rows)
+    assert all(items == sorted(items) for _, _, items in results[0])
+    sizes = {(ref, part): len(items) for ref, part, items in results[0]}
+    hot = [sizes[k] for k in sorted(k for k in sizes if k[0] == "hot")]
+    assert hot == ([70] if part_size == 1000 else [8] * 8 + [6]) and all(part == 0 for ref, part in sizes if ref != "hot")
 
 
 def test_attach_aligns_relations_and_gives_empty_arrays(spark):
