@@ -21,8 +21,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM never compiles a method above 8 000 bytes of code; beyond it Spark's split-up projections are faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Shuffle files go when the query that wrote them ends; what a later one reads is a table in the work folder.
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # HTML pages are wide rows: bound an Arrow batch by bytes and not only by its row count.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
@@ -81,8 +79,21 @@ def work_dir(spark: SparkSession, label: str) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(df, label: str):
-    """Write ``df`` to the shared folder and read it back, so that a lost executor costs a re-read, not a re-run."""
-    path = f"{work_dir(df.sparkSession, label)}/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back, so that a lost executor costs a re-read, not a re-run.
+
+    The shuffle files behind the table go when it is written. The setting holds for this write only: a query whose rows are fetched one by one
+    (``toLocalIterator``) still needs its files after it has ended.
+    """
+    spark = df.sparkSession
+    path = f"{work_dir(spark, label)}/table"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
