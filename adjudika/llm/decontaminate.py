@@ -98,7 +98,7 @@ def corpus_counts(docs: DataFrame, words: np.ndarray) -> dict[int, int]:
         yield pa.RecordBatch.from_pydict({"word": pa.array(known.sorted[held].view(np.int64)), "n": pa.array(total[held])})
 
     rows = docs.select("text").mapInArrow(count, _COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
-    return {r.word & (2**64 - 1): r.n for r in rows.toLocalIterator()}
+    return {r.word & (2**64 - 1): r.n for r in rows.collect()}  # at most one row per given word
 
 
 class Index:
