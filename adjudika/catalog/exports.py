@@ -36,6 +36,15 @@ def exp_csv(spark, sf_dir):
     return _csv_back(spark, path, exports.FULL_HEADERS)
 
 
+@query("exp_csv_capped", B.with_tables(f"""
+SELECT {_CSV_SQL} FROM consultations ORDER BY consultations.date_publication DESC, ref_consultation LIMIT 10000""", B.CONSULTATIONS))
+def exp_csv_capped(spark, sf_dir):
+    """All tenders: more than an export takes."""
+    path = f"{work_dir(spark, 'csv')}/out"
+    exports.tenders_csv(filter_tenders(D.consultations(spark, sf_dir), statut=None), path)
+    return _csv_back(spark, path, exports.FULL_HEADERS)
+
+
 @query("exp_full_csv", B.with_tables(f"SELECT {_CSV_SQL} FROM consultations", B.CONSULTATIONS))
 def exp_full_csv(spark, sf_dir):
     path = f"{work_dir(spark, 'fullcsv')}/out"

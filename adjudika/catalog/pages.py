@@ -59,6 +59,51 @@ def ext_patterns(spark, sf_dir):
     return K.link_patterns(with_elements(D.pages(spark, sf_dir)))
 
 
+_KINDS = """SELECT o_orderkey AS k, o_orderkey % 2 = 0 AS d, o_orderkey % 3 = 0 AS p, o_orderkey % 5 = 0 AS a, o_orderkey % 7 = 0 AS v,
+  o_orderkey % 11 = 0 AS c, o_orderkey % 4 <= 1 AS s FROM orders"""
+
+
+@query("ext_link_kinds_all", f"""
+SELECT k AS page_id, CAST(1 + d::INT + p::INT + a::INT + v::INT + c::INT + s::INT AS BIGINT) AS liens,
+  CAST(d::INT + p::INT + a::INT + c::INT AS BIGINT) AS details, CAST(c::INT AS BIGINT) AS consultations, CAST(v::INT AS BIGINT) AS pv FROM ({_KINDS})""")
+def ext_link_kinds_all(spark, sf_dir):
+    kinds = K.classify(K.page_links(with_elements(P.link_pages(spark, sf_dir))))
+    return kinds.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("liens"), F.count_if("detail_like").alias("details"),
+        F.count_if("tender_like").alias("consultations"), F.count_if("minutes_like").alias("pv"))
+
+
+_PATTERNS = f"""patterns AS (SELECT '/avis/detail' AS pattern FROM ({_KINDS}) WHERE d UNION ALL SELECT '/marche/pp' FROM ({_KINDS}) WHERE p
+  UNION ALL SELECT '/Annonce/' || k FROM ({_KINDS}) WHERE a UNION ALL SELECT '/consultation/' || k FROM ({_KINDS}) WHERE c)"""
+
+
+@query("ext_patterns_all", f"WITH {_PATTERNS} SELECT pattern, count(*) AS n FROM patterns GROUP BY 1")
+def ext_patterns_all(spark, sf_dir):
+    return K.link_patterns(with_elements(P.link_pages(spark, sf_dir)))
+
+
+@query("ext_patterns_first", f"WITH {_PATTERNS} SELECT pattern, count(*) AS n FROM patterns GROUP BY 1 ORDER BY 1 LIMIT 20")
+def ext_patterns_first(spark, sf_dir):
+    """The first twenty of the sorted list."""
+    return K.link_patterns(with_elements(P.link_pages(spark, sf_dir)), ordered=True).limit(20)
+
+
+@query("ext_profile_markers", f"""
+SELECT k AS page_id, CAST((k % 3 = 1)::INT AS BIGINT) AS tables, CAST(2 * (k % 3 = 1)::INT AS BIGINT) AS rows, CAST((k % 3 = 1)::INT AS BIGINT) AS headers,
+  CAST(2 * (k % 3 = 1)::INT AS BIGINT) AS columns, CAST(1 + d::INT + p::INT + a::INT + v::INT + c::INT + s::INT AS BIGINT) AS links,
+  k % 6 IN (1, 4) AS error_banner, k % 6 = 3 AS empty_result, k % 6 = 2 AS captcha FROM ({_KINDS})""")
+def ext_profile_markers(spark, sf_dir):
+    return K.profile(with_elements(P.link_pages(spark, sf_dir))).withColumn("columns", F.greatest("columns", F.lit(0)))
+
+
+@query("ext_next_forms", """
+SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/l?p=' || o_orderkey AS url,
+  CASE o_orderkey % 4 WHEN 0 THEN 'https://www.marchespublics.gov.ma/l?p=' || (o_orderkey + 1)
+    WHEN 1 THEN 'https://www.marchespublics.gov.ma/l?currentPage=' || (o_orderkey + 1) END AS next_url FROM orders""")
+def ext_next_forms(spark, sf_dir):
+    return K.next_pages(with_elements(P.link_pages(spark, sf_dir)))
+
+
 @query("ext_profile", """
 SELECT page_id, len(regexp_extract_all(html, '<table')) AS tables, len(regexp_extract_all(html, '<tr[ >]')) AS rows,
   len(regexp_extract_all(html, '<th[ >]')) AS headers, CAST(0 AS BIGINT) AS columns,

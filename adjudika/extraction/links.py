@@ -85,13 +85,14 @@ def profile_totals(profiles: DataFrame) -> DataFrame:
         *(F.count_if(n).alias(n) for n in ("error_banner", "empty_result", "captcha")))
 
 
-def link_patterns(pages: DataFrame, first: int | None = None) -> DataFrame:
+def link_patterns(pages: DataFrame, first: int | None = None, ordered: bool = False) -> DataFrame:
     """Distinct detail-like addresses before ``?`` with their link counts. ``first`` looks at that many links of each
-    page only, as the report on a single page does; the default takes all."""
+    page only, as the report on a single page does; the default takes all. ``ordered`` sorts them by address."""
     hits = F.filter("elements", lambda e: (e.tag == "a") & has_word(F.lower(e.href), DETAIL_LINK_WORDS))
     hrefs = F.transform(hits, lambda e: e.href)
     links = pages.select(F.explode(F.slice(hrefs, 1, first) if first else hrefs).alias("href"))
-    return links.groupBy(F.substring_index("href", "?", 1).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
+    counts = links.groupBy(F.substring_index("href", "?", 1).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy("pattern") if ordered else counts
 
 
 def suggest_selectors(pages: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -64,19 +65,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder for checkpoints and intermediate tables.
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    """One temporary folder of this process, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="adjudika-work-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a local-mode session without that
-    setting falls back to a temporary folder; a cluster session without it is refused.
+
+def work_dir(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """A fresh folder for checkpoints and intermediate tables, under ``root`` if given.
+
+    Without it, it lies under ``spark.checkpoint.dir`` or the folder given to ``setCheckpointDir``, which every executor can reach. Only a
+    local-mode session with neither falls back to a temporary folder; a cluster session is refused.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"adjudika-{label}-{uuid.uuid4().hex[:12]}"
-    if shared:
-        return f"{shared.rstrip('/')}/{name}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"{name}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    shared = root or spark.conf.get("spark.checkpoint.dir", None) or (given.get() if given.isDefined() else None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _local_root()
+    return f"{shared.rstrip('/')}/adjudika-{label}-{uuid.uuid4().hex[:12]}"
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adjudika.extraction.selectors import _RECAP
 from adjudika.functions import build_detail_url
 from adjudika.sources import driver_tables as D
 
-_RECAP = "ctl0_CONTENU_PAGE_idEntrepriseConsultationSummary_"
 SITE = "https://www.marchespublics.gov.ma"
 
 
@@ -62,6 +62,25 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.when(key % 10 == 5, '<p>Aucun résultat</p>').otherwise(table), following).alias("html"))
 
 
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with links of every kind, both other forms of a next link, page markers and small tables, by remainders of the key."""
+    key = F.col("o_orderkey")
+
+    def on(test: Column, *parts) -> Column:
+        return F.when(test, F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))).otherwise("")
+
+    after = (key + 1).cast("string")
+    return _orders(spark, sf_dir).select(
+        key.alias("page_id"), F.concat(F.lit(f"{SITE}/l?p="), "k").alias("url"),
+        _html('<a href="/aide">h</a>', on(key % 2 == 0, '<a href="/avis/detail?id=', F.col("k"), '">d</a>'),
+              on(key % 3 == 0, '<a href="/marche/pp?x=', F.col("k"), '">p</a>'), on(key % 5 == 0, '<a href="/Annonce/', F.col("k"), '">a</a>'),
+              on(key % 7 == 0, '<a href="/doc/pv-', F.col("k"), '.pdf">v</a>'), on(key % 11 == 0, '<a href="/consultation/', F.col("k"), '?a=1">c</a>'),
+              on(key % 4 == 0, '<a rel="next" href="/l?p=', after, '">&raquo;</a>'), on(key % 4 == 1, '<a href="/l?currentPage=', after, '">&raquo;</a>'),
+              on(key % 6 == 1, '<div class="x error">e</div>'), on(key % 6 == 2, '<div class="captcha"></div>'),
+              on(key % 6 == 3, '<div class="no-results"></div>'), on(key % 6 == 4, '<span class="error-message">e</span>'),
+              on(key % 3 == 1, '<table><tr><th>H</th></tr><tr><td>1</td><td>2</td></tr></table>')).alias("html"))
+
+
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail pages with 1 to 4 lots; some fields are missing for some keys."""
     key = F.col("o_orderkey")
