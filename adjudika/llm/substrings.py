@@ -51,7 +51,7 @@ class Units:
         hashes = mix((prefix[K:] - prefix[:-K]) * self.hasher.inverse[:n - K + 1])
         at = self._least(hashes)
         place = np.arange(len(at))
-        text = np.searchsorted(self.offsets, place, "right") - 1
+        text = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))[:len(at)]
         whole = place + LENGTH <= self.offsets[text + 1]
         place, text, at = place[whole], text[whole], at[whole]
         turn = np.flatnonzero(np.append(len(at) > 0, (at[1:] != at[:-1]) | (text[1:] != text[:-1]))) if len(at) else np.zeros(0, np.int64)
@@ -289,16 +289,24 @@ class Suffixes:
         hasher = SpanHasher(data, seed=7)
         self.data, self.length, self.prefix, self.inverse = data, length, hasher.prefix, hasher.inverse
 
+    def _same(self, a: np.ndarray, b: np.ndarray, size) -> np.ndarray:
+        """Whether two suffixes agree in their first ``size`` bytes."""
+        return (self.prefix[a + size] - self.prefix[a]) * self.inverse[a] == (self.prefix[b + size] - self.prefix[b]) * self.inverse[b]
+
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the longest common extension of two suffixes, by binary search."""
-        reach, base_a, base_b, inv_a, inv_b = np.zeros(len(a), np.int64), self.prefix[a], self.prefix[b], self.inverse[a], self.inverse[b]
+        """Length of the longest common extension of two suffixes, by binary search where they are not equal."""
+        out = np.full(len(a), self.length)
+        other = np.flatnonzero(~self._same(a, b, self.length))
+        a, b, reach = a[other], b[other], np.zeros(len(other), np.int64)
+        base_a, base_b, inv_a, inv_b = self.prefix[a], self.prefix[b], self.inverse[a], self.inverse[b]
         step = 1 << (self.length.bit_length() - 1)
         while step:
             longer = np.minimum(reach + step, self.length)
             same = (self.prefix[a + longer] - base_a) * inv_a == (self.prefix[b + longer] - base_b) * inv_b
             reach = np.where(same, longer, reach)
             step >>= 1
-        return reach
+        out[other] = reach
+        return out
 
     def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """-1, 0 or 1 as suffix a is less than, equal to or greater than b."""
@@ -320,18 +328,20 @@ class Suffixes:
             base, n = np.repeat(first[live], size[live]), np.repeat(size[live], size[live])
             place = at - base
             mine = place // run
-            low = np.minimum((mine ^ 1) * run, n)
-            high = np.minimum(low + run, n)
-            start, item, right = low.copy(), starts[order[at]], (mine & 1).astype(bool)
-            while (open_ := np.flatnonzero(low < high)).size:  # the item's rank in the sibling run
+            left = np.flatnonzero(mine & 1 == 0)  # the items of left runs look for their ranks, the others fill what is left
+            start = (mine[left] + 1) * run
+            low, high = np.minimum(start, n[left]), np.minimum(start + run, n[left])
+            rank, item = low.copy(), starts[order[at[left]]]
+            while (open_ := np.flatnonzero(low < high)).size:
                 middle = (low[open_] + high[open_]) // 2
-                sign = self.compare(starts[order[base[open_] + middle]], item[open_])
-                before = (sign < 0) | ((sign == 0) & right[open_])
+                before = self.compare(starts[order[base[left[open_]] + middle]], item[open_]) < 0
                 low[open_[before]] = middle[before] + 1
                 high[open_[~before]] = middle[~before]
-            to = base + (mine & ~1) * run + (place - mine * run) + (low - start)
-            moved = order[at]
-            order[to] = moved
+            moved, free = order[at], np.ones(len(group), bool)
+            to = at[left] + (low - rank)
+            free[to] = False
+            order[to] = moved[left]
+            order[at[free[at]]] = np.delete(moved, left)
             run *= 2
             live = live[size[live] > run]
         return order
