@@ -15,6 +15,7 @@ and across a chunk boundary the one with the smaller overhang.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,6 +31,8 @@ from adjudika.session import cut_lineage
 
 CHUNK = 16_384
 SPACE = "▁"
+#: Runs whose pieces a Python worker keeps.
+KEPT_RUNS = 300_000
 #: Distinct runs up to this length are segmented together; longer ones one by one.
 SHORT_RUN = 48
 _WIDTHS = ((1, 8), (9, 14), (15, SHORT_RUN))
@@ -63,7 +66,7 @@ class Model:
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
         self.shown_length = np.array([len(s) for s in shown], np.int64)
         self.shown_start = np.cumsum(self.shown_length) - self.shown_length
-        self.kept = WordIds(lambda units: segment(self, units))
+        self.kept = WordIds(lambda units: segment(self, units), most=KEPT_RUNS)
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids by hash, -1 for none."""
@@ -354,21 +357,20 @@ def _ids_of(model: Model, text: str, start: int, limit: int, stop: int) -> np.nd
     return model.expand(ids, codes, np.zeros(len(ids), np.int64), 1)[0]
 
 
-def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, ids and n_chunks of every row of ``docs`` (doc_id, text; other columns are ignored).
+def _short(docs: DataFrame, model_file: str, chunk: int, schema: str, made) -> DataFrame:
+    """Texts of up to ``chunk`` characters, encoded in one go: the columns that ``made`` gives for (batch, ids, number of ids)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load(model_file)
+        for batch in slices(batches, limit=1 << 20):
+            yield pa.RecordBatch.from_pydict(made(model, batch, *encode_texts(model, batch.column("text"))))
 
-    A null or empty text has no ids and no chunk. Repeated rows are encoded as often as they occur. An empty table gives no rows.
-    """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    whole = "doc_id bigint, ids array<int>, n_chunks int"
+    return rows.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk).mapInArrow(run, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = load(model_file)
-        for batch in slices(batches):
-            ids, n = encode_texts(model, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(ids, n), pa.array((n > 0).astype(np.int32))], names=["doc_id", "ids", "n_chunks"])
 
-    short = rows.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk).mapInArrow(run, whole)
+def _long(docs: DataFrame, model_file: str, chunk: int) -> DataFrame:
+    """doc_id, ids and n_chunks of longer texts, by chunks."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # A row's place is its name while its chunks are apart.
     long = rows.filter(F.length("text") > chunk).withColumn("uid", F.monotonically_increasing_id())
     chunks = cut_lineage(long.select("uid", "doc_id", "text").mapInArrow(_named(_split(model_file, chunk)), "doc_id bigint, " + _CHUNKS), "chunks")
@@ -378,7 +380,17 @@ def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK) -> DataFrame:
     joined = traced.groupBy("uid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"),
                                        F.count("*").cast("int").alias("n_chunks"))
     names = chunks.filter("chunk = 0").select("uid", "doc_id")
-    return short.unionByName(joined.join(names, "uid").select("doc_id", "ids", "n_chunks"))
+    return joined.join(names, "uid").select("doc_id", "ids", "n_chunks")
+
+
+def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, ids and n_chunks of every row of ``docs`` (doc_id, text; other columns are ignored).
+
+    A null or empty text has no ids and no chunk. Repeated rows are encoded as often as they occur. An empty table gives no rows.
+    """
+    short = _short(docs, model_file, chunk, "doc_id bigint, ids array<int>, n_chunks int", lambda model, batch, ids, n: {
+        "doc_id": batch.column("doc_id"), "ids": _lists(ids, n), "n_chunks": pa.array((n > 0).astype(np.int32))})
+    return short.unionByName(_long(docs, model_file, chunk))
 
 
 def _named(split):
@@ -413,16 +425,19 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
         "doc_id": part.column("doc_id"), "text": pa.array([r.decode("utf-8", "replace") for r in raw], pa.string())})
 
 
-def digests(docs: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, n_chunks, n_pieces, ids_crc32 (of the ids as little-endian 32-bit numbers) and decoded_sha256 of every document."""
-    import hashlib
-
-    def made(part, ids, n, raw):
-        ends = (4 * np.cumsum(n)).tolist()
-        flat = memoryview(ids.astype("<u4").tobytes())
-        return {"doc_id": part.column("doc_id"), "n_chunks": part.column("n_chunks"), "n_pieces": pa.array(n),
-                "ids_crc32": pa.array([zlib.crc32(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.int64()),
-                "decoded_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in raw])}
+def _digest(doc_ids: pa.Array, n_chunks: pa.Array, ids: np.ndarray, n: np.ndarray, raw: list[bytes]) -> dict[str, pa.Array]:
+    ends = (4 * np.cumsum(n)).tolist()
+    flat = memoryview(ids.astype("<u4").tobytes())
+    return {"doc_id": doc_ids, "n_chunks": n_chunks, "n_pieces": pa.array(n, pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.int64()),
+            "decoded_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string())}
 
-    return _each(encode(docs, model_file), model_file, "doc_id bigint, n_chunks int, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string", made)
 
+def digests(docs: DataFrame, model_file: str, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, n_chunks, n_pieces, ids_crc32 (of the ids as little-endian 32-bit numbers) and decoded_sha256 of every document: its ids and the
+    text that they decode to."""
+    schema = "doc_id bigint, n_chunks int, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string"
+    short = _short(docs, model_file, chunk, schema, lambda model, batch, ids, n: _digest(
+        batch.column("doc_id"), pa.array((n > 0).astype(np.int32)), ids, n, decode_ids(model, ids, n)))
+    return short.unionByName(_each(_long(docs, model_file, chunk), model_file, schema, lambda part, ids, n, raw: _digest(
+        part.column("doc_id"), part.column("n_chunks"), ids, n, raw)))

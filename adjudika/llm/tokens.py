@@ -36,9 +36,9 @@ SEGMENT = ("part int, segment int, first_token long, n_ids long, doc_ids array<b
 class WordIds:
     """The ids of words, each encoded once and kept."""
 
-    def __init__(self, encode, fold: list[bytes] | None = None):
-        """``fold``: special tokens, if texts without them may be lower-cased and cut where ``parts`` does; None if not."""
-        self.encode, self.fold = encode, fold
+    def __init__(self, encode, fold: list[bytes] | None = None, most: int = KEPT_WORDS):
+        """``most``: words kept. ``fold``: special tokens, if texts without them may be lower-cased and cut where ``parts`` does; None if not."""
+        self.encode, self.fold, self.most = encode, fold, most
         self.clear()
 
     def clear(self) -> None:
@@ -47,7 +47,7 @@ class WordIds:
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Start and length in ``flat`` of each word's ids."""
-        if len(self.rows) + len(words) > KEPT_WORDS:
+        if len(self.rows) + len(words) > self.most:
             self.clear()
         rows = self.rows
         new = [w for w in words if w not in rows]
