@@ -104,6 +104,16 @@ def log_count_ratio(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     return np.log(counts[0] / counts[1])
 
 
+def _scaled(rows: list[np.ndarray], ratio: np.ndarray) -> list[np.ndarray]:
+    """Each row's scaled vector at length 1; all are views of one array."""
+    n = np.array([len(r) for r in rows])
+    flat = ratio[np.concatenate(rows)]
+    length = np.sqrt(np.bincount(np.repeat(np.arange(len(rows)), n), flat * flat, len(rows)))
+    flat /= np.repeat(np.maximum(length, 1e-12), n)
+    ends = np.cumsum(n)
+    return [flat[b - k:b] for b, k in zip(ends.tolist(), n.tolist())]
+
+
 def descend(rows: list[np.ndarray], values: list[np.ndarray], sign: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the hinge loss: one dual variable at a time goes to its best value in [0, cost]."""
     weight, bias = np.zeros(DIMENSIONS), 0.0
@@ -153,7 +163,7 @@ def fit(rows: list[np.ndarray], good: np.ndarray, prior: float) -> Model:
     held &= len(rows) >= 50
     train = [r for r, h in zip(rows, held) if not h]
     ratio = log_count_ratio(train, good[~held])
-    values = [ratio[r] / max(1e-12, float(np.sqrt((ratio[r] ** 2).sum()))) for r in train]
+    values = _scaled(train, ratio)
     sign = np.where(good[~held], 1.0, -1.0)
     cost = np.where(good[~held], 1 / max(1, good[~held].sum()), 1 / max(1, (~good[~held]).sum())) * COST * len(train) / 2
     weight, bias = descend(train, values, sign, cost)
@@ -195,11 +205,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("good"), lists], names=["_id", "good", "found"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").join(F.broadcast(picked), "_id").select("_id", "good", "text")
-    sample = (rows.mapInArrow(read, "_id bigint, good boolean, found array<int>").toArrow().sort_by("_id"))
-    order = np.argsort(mix(sample["_id"].to_numpy().view(np.uint64)), kind="stable")
-    lists = [np.asarray(x, np.int64) for x in sample["found"].to_pandas()]
-    good = sample["good"].to_numpy()
-    return fit([lists[i] for i in order], good[order].astype(bool), prior)
+    sample = rows.mapInArrow(read, "_id bigint, good boolean, found array<int>").toArrow().sort_by("_id")
+    order = np.argsort(mix(sample["_id"].to_numpy().view(np.uint64)), kind="stable").tolist()
+    # Views of one array: the driver keeps no small pieces of memory behind.
+    found = sample["found"].combine_chunks()
+    flat = found.flatten().to_numpy()
+    ends = np.append(0, np.cumsum(found.value_lengths().to_numpy(zero_copy_only=False))).tolist()
+    model = fit([flat[ends[i]:ends[i + 1]] for i in order], sample["good"].to_numpy()[order].astype(bool), prior)
+    del sample, found, flat
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
