@@ -115,8 +115,10 @@ _ASIDE = {"copyright"}
 _BY_TEXT = {text: name for name, texts in SENTENCES.items() for text in texts}
 _BY_PATTERN = [(name, re.compile(p)) for name, p in PATTERNS]
 LONGEST = max(len(t.split()) for t in _BY_TEXT)
-#: Every known sentence has one of these; texts without any are passed over.
-TRIGGER = r"(?i)licen[sc]|copyright|\(c\)|©|permission|warrant|redistribut|rights reserved|public domain|shall the authors"
+#: Every known sentence has one of these; texts without any are passed over. It is matched on the raw text, so whatever normalising takes
+#: out (line ends, comment leaders, hyphens) may stand between words.
+TRIGGER = (r"(?i)licen[sc]|copyright|\(c\)|©|permission|warrant|redistribut|rights[\W_]+reserved|public[\W_]+domain|"
+           r"shall[\W_]+the[\W_]+authors|released[\W_]+under")
 
 _LEADER = re.compile(r"^[ \t]*(?://+|/?\*+/?|#+|--|;+|%+|<!--)?[ \t]*", re.M)
 _ENDS = re.compile(r"(?<=[.!?:;])(?<!dentifier:)[ \t\r]+|[ \t\r]*\n[ \t\r\n]*")

@@ -71,6 +71,18 @@ def test_scan(spark, docs_of):
     assert L.scan(docs_of(rows).limit(0)).count() == 0
 
 
+def test_prefilter_loses_nothing(spark, docs_of):
+    known = [t for texts in L.SENTENCES.values() for t in texts] + ["released under cc by 4.0", "released under creative commons zero"]
+    between = [" ", "\n", "  ", "-", "\n * ", "\r\n# ", "_", "\u00a0", " -- "]
+    texts = [t.upper().replace(" ", gap) if k % 2 else t.replace(" ", gap) for k, gap in enumerate(between) for t in known]
+    texts += ["This work is in the public\ndomain.", "All rights\nreserved.", "Released into the Public  Domain.", "Released into the public-domain.",
+              "# All rights\n# reserved.", "// This work is in the public\n// domain.", "Released under CC BY 4.0."]
+    want = {i: L.match(L.identifiers(t)) for i, t in enumerate(texts)}
+    assert all(want[i][0] for i in range(len(texts) - 7, len(texts)))
+    got = {r.doc_id: (r.licences, r.unmatched) for r in L.scan(docs_of(list(enumerate(texts)))).collect()}
+    assert {texts[i]: x for i, x in got.items() if x != want[i]} == {}
+
+
 def test_query_on_the_small_table(spark):
     path = "/root/testdata/sf0.1"
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
