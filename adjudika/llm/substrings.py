@@ -4,9 +4,12 @@ Equal strings have to meet in one task without moving all suffixes. Of the ``K``
 is the window's anchor; equal windows have equal anchors. Neighbouring windows with one anchor form a unit, about one per 15 bytes.
 
 1. Units are dealt by their anchor's hash as packed hashes (anchor, whole unit). Where equal units meet, all but those of the smallest
-   document are repeats. Where different units share an anchor, one text of each is asked for.
+   document are repeats. Where different units share an anchor, one text of each is asked for. Of an anchor with many different units in
+   one merge only a mark is sent, and all those units are asked for.
 2. Each task sorts the suffixes of the texts it gets: a mergesort whose comparisons find the longest common extension of two suffixes by
    binary search on prefix polynomial hashes. Suffixes that agree in 50 bytes are compared byte by byte, then the smallest document wins.
+   An anchor with many texts (a short line between ever differing neighbours) would fill one task: its windows are dealt once more, each by
+   the hash of its own 50 bytes, so that only windows that are probably equal meet; equal ones of a batch are merged before that.
 3. Documents meet the verdicts on their units, and the covered bytes are cut.
 
 Before the first shuffle equal units of a batch are merged, so a passage in a third of all documents sends one record per batch. Verdicts
@@ -31,6 +34,12 @@ K = 20
 _WINDOWS = LENGTH - K + 1
 #: Text bytes whose units are merged before they are sent.
 MERGE_BYTES = 16 << 20
+#: Different units of an anchor in one merge, beyond which they are not dealt by the anchor.
+MANY = 128
+#: Texts of an anchor in one task, beyond which their windows are dealt by their own bytes.
+MOST = 4_096
+#: Units whose windows are listed at once to deal them by their bytes.
+_PART = 1 << 15
 _ALL = np.uint32(0xFFFFFFFF)
 
 _PACKED = "bucket int, blob binary"  # hashes travel with their low 40 bits, besides those that choose the bucket
@@ -106,7 +115,34 @@ def _unpack(blob: bytes, *widths: int) -> list[np.ndarray]:
     return out
 
 
-_UNIT, _KNOWN = 0, 1  # kinds of blobs: units (key, span, doc); verdicts (doc, id, mask)
+# Kinds of blobs: units (key, span, doc) or their texts; verdicts (doc, id, mask); anchors with many units (key); windows (id, doc, within, bytes).
+_UNIT, _KNOWN, _MANY, _WINDOW = 0, 1, 2, 3
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of the runs of equal values."""
+    cuts = np.flatnonzero(np.append(len(values) > 0, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    return list(zip(cuts.tolist(), np.append(cuts[1:], len(values)).tolist()))
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes >> np.uint64(40)) % np.uint64(buckets)
+
+
+def _marks(key: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Tells the anchors' buckets that these anchors have many units."""
+    key = np.unique(key)
+    bucket = _bucket(key, buckets)
+    order = np.argsort(bucket, kind="stable")
+    key, bucket = key[order], bucket[order]
+    for a, b in _runs(bucket):
+        yield int(bucket[a]), _pack(_MANY, (key[a:b], 5))
+
+
+def _per_key(key: np.ndarray) -> np.ndarray:
+    """How many rows have each row's key."""
+    _, name, count = np.unique(key, return_inverse=True, return_counts=True)
+    return count[name]
 
 
 def _verdicts(doc: np.ndarray, ids: np.ndarray, mask: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
@@ -123,8 +159,9 @@ def _batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "blob"])
 
 
-def _send(buckets: int):
-    """Units of the texts, merged and packed by bucket; repeats within a merge are decided here."""
+def _send(buckets: int, many: int = MANY):
+    """Units of the texts, merged and packed by bucket; repeats within a merge are decided here, and all units of an anchor that has more than
+    ``many`` different ones are asked for."""
     def flush(held: list[Units], doc: np.ndarray, turn: int) -> pa.RecordBatch:
         key, span, ids = (np.concatenate([getattr(u, name) for u in held]) for name in ("key", "span", "id"))
         order = np.lexsort((doc, span, key))
@@ -137,12 +174,16 @@ def _send(buckets: int):
             seen, at = np.unique(np.stack([doc[again].view(np.uint64), ids[again]]), axis=1, return_index=True)
             known = np.flatnonzero(again)[at]
             rows.append((turn % buckets, _pack(_KNOWN, (doc[known].view(np.uint64), 8), (ids[known], 8), (np.full(len(known), _ALL, np.uint64), 4))))
-        key, span, doc = key[new], span[new], doc[new]
-        bucket = (key >> np.uint64(40)) % np.uint64(buckets)
+        key, span, ids, doc = key[new], span[new], ids[new], doc[new]
+        crowd = _per_key(key) > many
+        if crowd.any():
+            rows.append((turn % buckets, _pack(_KNOWN, (doc[crowd].view(np.uint64), 8), (ids[crowd], 8), (np.full(crowd.sum(), _ASK, np.uint64), 4))))
+            rows += _marks(key[crowd], buckets)
+            key, span, doc = key[~crowd], span[~crowd], doc[~crowd]
+        bucket = _bucket(key, buckets)
         order = np.lexsort((doc, bucket))
         key, span, doc, bucket = key[order], span[order], doc[order], bucket[order]
-        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
+        for a, b in _runs(bucket):
             rows.append((int(bucket[a]), _pack(_UNIT, (key[a:b], 5), (span[a:b], 5), (doc[a:b].view(np.uint64), 8))))
         return _batch(rows)
 
@@ -172,11 +213,13 @@ _ASK = np.uint32(0)  # the verdict of a unit whose text is asked for
 def _meet(buckets: int):
     """Verdicts on the units of one bucket: repeats, and those whose texts have to be compared."""
     def meet(table: pa.Table) -> pa.Table:
-        rows, units = [], []
+        rows, units, marked = [], [], [np.zeros(0, np.uint64)]
         for blob in table["blob"].to_pylist():
             if blob[0] == _KNOWN:
                 doc, ids, mask = _unpack(blob, 8, 8, 4)
                 rows += _verdicts(doc.view(np.int64), ids, mask, buckets)
+            elif blob[0] == _MANY:
+                marked += _unpack(blob, 5)
             else:
                 units.append(_unpack(blob, 5, 5, 8))
         if units:
@@ -189,7 +232,7 @@ def _meet(buckets: int):
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
             repeat = doc > doc[lead]
             variants = np.bincount(np.cumsum(~same_key) - 1, ~same)
-            ask = ~same & (variants[np.cumsum(~same_key) - 1] > 1)
+            ask = ~same & ((variants[np.cumsum(~same_key) - 1] > 1) | np.isin(key, np.concatenate(marked)))
             told = np.flatnonzero(repeat | ask)
             ids = key[told] << np.uint64(24) | (span[told] >> np.uint64(16))
             rows += _verdicts(doc[told], ids, np.where(repeat[told], _ALL, _ASK), buckets)
@@ -257,27 +300,43 @@ def _doc_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.fill_null(0), np.int64), np.asarray(column.is_null())
 
 
-def _ask(buckets: int):
-    """The texts that were asked for, packed by their anchor's bucket."""
+def _ask(buckets: int, many: int = MANY):
+    """The texts that were asked for, packed by their anchor's bucket; of an anchor with more than ``many`` texts in a batch a mark, and the windows
+    by their own bytes."""
+    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, ids, doc, anchor, size = (np.concatenate(x) for x in list(zip(*held))[:5])
+        data = np.concatenate([h[5] for h in held])
+        begin = np.cumsum(size) - size
+        crowd = _per_key(key) > many
+        if crowd.any():
+            yield _batch(list(_marks(key[crowd], buckets)))
+            some = np.flatnonzero(crowd)
+            yield from _apart(data, begin, size, ids, doc, some[np.argsort(key[some], kind="stable")], buckets)
+        rows, bucket = [], _bucket(key, buckets)
+        at = np.flatnonzero(~crowd)
+        at = at[np.argsort(bucket[at], kind="stable")]
+        for a, b in _runs(bucket[at]):
+            some = at[a:b]
+            columns = _pack(_UNIT, (key[some], 5), (ids[some], 8), (doc[some].view(np.uint64), 8), (anchor[some].astype(np.uint64), 1), (size[some].astype(np.uint64), 1))
+            rows.append((int(bucket[some[0]]), columns[:1] + len(some).to_bytes(4, "little") + columns[1:] + gather(data, begin[some], size[some]).tobytes()))
+        if rows:
+            yield _batch(rows)
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = [], 0
         for known, batch in _streamed(batches):
             units = Units(batch.column("text"))
             doc, null = _doc_ids(batch)
             at = np.flatnonzero((known.masks(doc[units.text], units.id) == _ASK) & ~null[units.text])
-            bucket = (units.key[at] >> np.uint64(40)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            at, bucket = at[order], bucket[order]
-            rows = []
-            cuts = np.flatnonzero(np.append(len(at) > 0, bucket[1:] != bucket[:-1])) if len(at) else []
-            for a, b in zip(cuts, np.append(cuts[1:], len(at)) if len(at) else []):
-                some = at[a:b]
-                size = units.last[some] + LENGTH - units.first[some]
-                text = gather(units.data, units.first[some], size).tobytes()
-                columns = _pack(_UNIT, (units.key[some], 5), (units.id[some], 8), (doc[units.text[some]].view(np.uint64), 8),
-                                ((units.anchor - units.first)[some].astype(np.uint64), 1), (size.astype(np.uint64), 1))
-                rows.append((int(bucket[a]), len(some).to_bytes(4, "little") + columns + text))
-            if rows:
-                yield _batch(rows)
+            seen += len(units.data)
+            if len(at):
+                size = units.last[at] + LENGTH - units.first[at]
+                held.append((units.key[at], units.id[at], doc[units.text[at]], (units.anchor - units.first)[at], size, gather(units.data, units.first[at], size)))
+            if held and seen >= MERGE_BYTES:
+                yield from flush(held)
+                held, seen = [], 0
+        if held:
+            yield from flush(held)
 
     return ask
 
@@ -347,43 +406,125 @@ class Suffixes:
         return order
 
 
-def _compare(buckets: int):
-    """Verdicts on the units of one bucket whose texts were asked for: which of their windows a smaller document has."""
+def _windows_of(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, unit and place within it of every window of the units' texts."""
+    n = size - LENGTH + 1
+    unit = np.repeat(np.arange(len(n)), n)
+    within = np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)
+    return begin[unit] + within, unit, within
+
+
+def _judge(data: np.ndarray, start: np.ndarray, group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows' order by group and bytes; in that order whether each equals the one before it, and the least document of its equals."""
+    order = Suffixes(data, LENGTH).sort(start, group)
+    start, group, doc = start[order], group[order], doc[order]
+    near = np.flatnonzero(group[1:] == group[:-1])
+    same = np.zeros(len(start), bool)
+    equal = np.ones(len(near), bool)
+    for k in range(LENGTH):  # the bytes themselves
+        equal &= data[start[near] + k] == data[start[near + 1] + k]
+    same[near[equal] + 1] = True
+    lead = np.flatnonzero(~same)
+    return order, same, np.repeat(np.minimum.reduceat(doc, lead), np.diff(np.append(lead, len(start))))
+
+
+def _masks(doc: np.ndarray, ids: np.ndarray, within: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    """Verdicts on single windows, one for each unit."""
+    if not len(doc):
+        return []
+    order = np.lexsort((ids, doc))
+    doc, ids, bit = doc[order], ids[order], np.uint64(1) << within[order].astype(np.uint64)
+    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (ids[1:] != ids[:-1])))
+    return list(_verdicts(doc[first], ids[first], np.bitwise_or.reduceat(bit, first), buckets))
+
+
+def _by_bytes(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows' hashes and groups of equal hash."""
+    name = SpanHasher(data, seed=5)(start, start + LENGTH)
+    return name, np.unique(name, return_inverse=True)[1]
+
+
+def _apart(data: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray, doc: np.ndarray, some: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The windows of some units, dealt by their own bytes: of equal ones those of the least document, the others are repeats."""
+    for at in range(0, len(some), _PART):
+        part = some[at:at + _PART]
+        text, width = gather(data, begin[part], size[part]), size[part]
+        start, unit, within = _windows_of(np.cumsum(width) - width, width)
+        owner, named = doc[part][unit], ids[part][unit]
+        name, group = _by_bytes(text, start)
+        order, same, least = _judge(text, start, group, owner)
+        run = np.cumsum(~same)
+        start, within, owner, named, name = (x[order] for x in (start, within, owner, named, name))
+        hit = owner > least
+        rows = _masks(owner[hit], named[hit], within[hit], buckets)
+        # Rows of one doc_id may repeat a unit.
+        left = np.flatnonzero(~hit)
+        left = left[np.lexsort((within[left], named[left], run[left]))]
+        new = np.append(True, (run[left][1:] != run[left][:-1]) | (named[left][1:] != named[left][:-1]) | (within[left][1:] != within[left][:-1]))
+        left = left[new]
+        bucket = _bucket(name[left], buckets)
+        order = np.argsort(bucket, kind="stable")
+        left, bucket = left[order], bucket[order]
+        for a, b in _runs(bucket):
+            x = left[a:b]
+            columns = _pack(_WINDOW, (named[x], 8), (owner[x].view(np.uint64), 8), (within[x].astype(np.uint64), 1))
+            rows.append((int(bucket[a]), columns + gather(text, start[x], np.full(len(x), LENGTH)).tobytes()))
+        yield _batch(rows)
+
+
+def _compare(buckets: int, most: int = MOST):
+    """Verdicts on the units of one bucket whose texts were asked for: which of their windows a smaller document has. Marked anchors and those with
+    more than ``most`` texts give their windows, dealt by their bytes; such windows and verdicts pass through."""
     def compare(table: pa.Table) -> pa.Table:
+        parts, texts, rows, marked = [], [], [], [np.zeros(0, np.uint64)]
+        for at, blob in zip(table["bucket"].to_pylist(), table["blob"].to_pylist()):
+            if blob[0] == _MANY:
+                marked += _unpack(blob, 5)
+            elif blob[0] != _UNIT:
+                rows.append((at, blob))
+            else:
+                head = 5 + int.from_bytes(blob[1:5], "little") * 23
+                parts.append(_unpack(blob[4:head], 5, 8, 8, 1, 1))
+                texts.append(blob[head:])
+        out = [_batch(rows)]
+        if parts:
+            key, ids, doc, anchor, size = (np.concatenate(x) for x in zip(*parts))
+            doc, anchor, size = doc.view(np.int64), anchor.astype(np.int64), size.astype(np.int64)
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            begin = np.cumsum(size) - size
+            crowd = (_per_key(key) > most) | np.isin(key, np.concatenate(marked))
+            some = np.flatnonzero(crowd)
+            out += _apart(data, begin, size, ids, doc, some[np.argsort(key[some], kind="stable")], buckets)
+            if not crowd.all():
+                key, ids, doc, anchor, size, begin = (x[~crowd] for x in (key, ids, doc, anchor, size, begin))
+                start, unit, within = _windows_of(begin, size)
+                # Only windows with the same anchor at the same place can be equal.
+                _, name = np.unique(key, return_inverse=True)
+                order, _, least = _judge(data, start, name[unit] * 64 + (anchor[unit] - within), doc[unit])
+                unit, within = unit[order], within[order]
+                hit = doc[unit] > least
+                out.append(_batch(_masks(doc[unit[hit]], ids[unit[hit]], within[hit], buckets)))
+        return pa.Table.from_batches(out)
+
+    return compare
+
+
+def _settle(buckets: int):
+    """Verdicts on windows that were dealt by their bytes."""
+    def settle(table: pa.Table) -> pa.Table:
         parts, texts = [], []
         for blob in table["blob"].to_pylist():
-            n = int.from_bytes(blob[:4], "little")
-            head = 4 + 1 + n * 23
-            parts.append(_unpack(blob[4:head], 5, 8, 8, 1, 1))
+            head = len(blob) - (len(blob) - 1) // (17 + LENGTH) * LENGTH
+            parts.append(_unpack(blob[:head], 8, 8, 1))
             texts.append(blob[head:])
-        key, ids, doc, anchor, size = (np.concatenate(x) for x in zip(*parts))
-        doc, anchor, size = doc.view(np.int64), anchor.astype(np.int64), size.astype(np.int64)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        begin = np.cumsum(size) - size
-        n = size - LENGTH + 1
-        unit = np.repeat(np.arange(len(n)), n)
-        within = np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)
-        start = begin[unit] + within
-        # Only windows with the same anchor at the same place can be equal.
-        _, name = np.unique(key, return_inverse=True)
-        group = name[unit] * 64 + (anchor[unit] - within)
-        order = Suffixes(data, LENGTH).sort(start, group)
-        start, unit, within, group = start[order], unit[order], within[order], group[order]
-        near = np.flatnonzero(group[1:] == group[:-1])
-        same = np.zeros(len(start), bool)
-        equal = np.ones(len(near), bool)
-        for k in range(LENGTH):  # the bytes themselves
-            equal &= data[start[near] + k] == data[start[near + 1] + k]
-        same[near[equal] + 1] = True
-        lead = np.flatnonzero(~same)
-        least = np.repeat(np.minimum.reduceat(doc[unit], lead), np.diff(np.append(lead, len(unit))))
-        hit = doc[unit] > least
-        mask = np.zeros(len(n), np.uint64)
-        np.bitwise_or.at(mask, unit[hit], np.uint64(1) << within[hit].astype(np.uint64))
-        told = np.flatnonzero(mask)
-        return pa.Table.from_batches([_batch(list(_verdicts(doc[told], ids[told], mask[told], buckets)))])
+        ids, doc, within = (np.concatenate(x) for x in zip(*parts))
+        doc, data = doc.view(np.int64), np.frombuffer(b"".join(texts), np.uint8)
+        start = np.arange(len(ids)) * LENGTH
+        order, _, least = _judge(data, start, _by_bytes(data, start)[1], doc)
+        hit = order[doc[order] > least]
+        return pa.Table.from_batches([_batch(_masks(doc[hit], ids[hit], within[hit], buckets))])
 
-    return compare
+    return settle
 
 
 def removed_spans(units: Units, mask: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -433,7 +574,7 @@ def _prime(n: int) -> int:
     return n
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, many: int = MANY, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, span_starts, span_ends and kept (the remaining bytes) of every row of ``docs``.
 
     Texts are UTF-8 bytes, null is empty; other columns are ignored. Strings are judged on the input: what is removed elsewhere still counts.
@@ -444,11 +585,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # Buckets of hashes and of documents; a prime deals regular ids evenly.
     buckets = _prime(2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     named = rows.filter("doc_id is not null")
-    met = named.mapInArrow(_send(buckets), _PACKED).groupBy("bucket").applyInArrow(_meet(buckets), _PACKED)
+    met = named.mapInArrow(_send(buckets, many), _PACKED).groupBy("bucket").applyInArrow(_meet(buckets), _PACKED)
     verdicts = cut_lineage(met, "verdicts")
-    asked = _with_verdicts(named, verdicts, buckets).mapInArrow(_ask(buckets), _PACKED)
-    compared = cut_lineage(asked.groupBy("bucket").applyInArrow(_compare(buckets), _PACKED), "verdicts")
-    return _with_verdicts(rows, verdicts.unionByName(compared), buckets).mapInArrow(_cut, _SPANS)
+    asked = _with_verdicts(named, verdicts, buckets).mapInArrow(_ask(buckets, many), _PACKED)
+    compared = cut_lineage(asked.groupBy("bucket").applyInArrow(_compare(buckets, most), _PACKED), "verdicts")
+    window = F.substring("blob", 1, 1) == F.lit(bytes([_WINDOW]))
+    settled = compared.filter(window).groupBy("bucket").applyInArrow(_settle(buckets), _PACKED)
+    return _with_verdicts(rows, verdicts.unionByName(compared.filter(~window)).unionByName(settled), buckets).mapInArrow(_cut, _SPANS)
 
 
 def digests(docs: DataFrame) -> DataFrame:

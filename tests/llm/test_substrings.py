@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from adjudika.llm import substrings
@@ -60,6 +61,38 @@ def test_one_text_in_all_documents(spark, docs_of):
     assert result(substrings.digests(docs_of(rows, 6))) == brute_force(rows)
 
 
+def lines_between(rng, n, line="Licensed for use by all the readers here."):
+    """Documents around one line with ever differing neighbours; some neighbours are shared."""
+    ends = [passages(rng, 6) for _ in range(12)]
+    part = lambda: rng.choice(ends) if rng.random() < 0.3 else passages(rng, 8)
+    return [(i, part() + line + part()) for i in rng.sample(range(10 * n), n)]
+
+
+@pytest.mark.parametrize("many,most", [(2, 4096), (40, 4), (40, 4096), (10**6, 10**6)])
+def test_one_line_between_differing_neighbours(spark, docs_of, many, most):
+    rows = lines_between(random.Random(3), 400)
+    rows += [(rows[1][0], rows[0][1]), (rows[2][0], rows[2][1]), (None, rows[3][1])]
+    assert result(substrings.remove_repeats(docs_of(rows, 5), many, most)) == brute_force(rows)
+
+
+def test_no_anchor_fills_a_task():
+    rows = [(i, f"{i:09d}/{i * 7919:015d}" + "Licensed for use by all the readers here." + f"{i * 104729:015d}/{i:09d}") for i in range(3000)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    sent = [blob for out in substrings._send(7)([docs]) for blob in out["blob"].to_pylist()]
+    keys = np.concatenate([substrings._unpack(blob, 5, 5, 8)[0] for blob in sent if blob[0] == substrings._UNIT])
+    assert np.unique(keys, return_counts=True)[1].max() <= 128
+    units = substrings.Units(docs["text"])
+    blob = substrings._pack(1, (units.text.astype(np.uint64), 8), (units.id, 8), (np.zeros(len(units.id), np.uint64), 4))
+    asked = pa.RecordBatch.from_arrays(
+        [pa.array([0] * 3001), pa.array([0] + [1] * 3000), pa.array([None] + [r[0] for r in rows]), pa.array([None] + [r[1] for r in rows]),
+         pa.array([blob] + [None] * 3000, pa.binary())], names=["bucket", "kind", "doc_id", "text", "blob"])
+    dealt = [blob for out in substrings._ask(7)([asked]) for blob in out["blob"].to_pylist()]
+    assert {blob[0] for blob in dealt} >= {substrings._MANY, substrings._WINDOW}
+    texts = [blob for blob in dealt if blob[0] == substrings._UNIT]
+    keys = [substrings._unpack(blob[4:5 + int.from_bytes(blob[1:5], "little") * 23], 5, 8, 8, 1, 1)[0] for blob in texts]
+    assert not keys or np.unique(np.concatenate(keys), return_counts=True)[1].max() <= 128
+
+
 def test_empty_table_and_spans(spark, docs_of):
     docs = docs_of([(1, "q" * 60), (2, "r" + "q" * 55 + "s")])
     assert substrings.digests(docs.limit(0)).count() == 0
