@@ -18,7 +18,10 @@ ROUNDS = 10
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = (r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[A-Za-z/+_-]{0,80}\d)[A-Za-z0-9/+_-]{8,}+")
+# A value has a digit after letters or signs, or more than 80 of these; it runs to the next white space, quote or angle bracket, less the punctuation
+# at its end. Looking ahead is bounded, so that a long run of names without a value costs no more than its length.
+SECRET = (r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[A-Za-z/+_-]{0,80}+\d|[A-Za-z/+_-]{81})"
+          r"[!#-&(-;=?-_a-~]{7,}[!#-&(*+\-/-9=@-\[^_a-|~]")
 DATE = (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d]|[/.-]\d)")
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d.+-])\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[ .-]\d{4}(?!\d)")
@@ -178,7 +181,7 @@ def access_key(key: str, value: Column) -> Column:
 
 def secret(key: str, value: Column) -> Column:
     """The name and the sign stay, the value becomes as many hex digits."""
-    held = F.regexp_extract(value, r"([A-Za-z0-9/+_-]+)$", 1)
+    held = F.regexp_extract(value, r"^[A-Za-z_-]+\s{0,3}[=:]\s{0,3}[\"']?(.+)$", 1)
     digest = _digest(key, "secret", held)
     made = F.substring(F.repeat(digest, F.ceil(F.length(held) / 64).cast("int")), F.lit(1), F.length(held))
     return F.concat(F.substring(value, F.lit(1), F.length(value) - F.length(held)), made)
@@ -186,8 +189,8 @@ def secret(key: str, value: Column) -> Column:
 
 def pseudonym(key: str, value: Column) -> Column:
     """The pseudonym of one finding; a finding that its kind's check refuses stays as it is."""
-    return (F.when(value.contains("@"), email(key, value)).when(value.rlike(f"^{ACCESS_KEY}$"), access_key(key, value))
-            .when(value.rlike("[=:]"), secret(key, value)).when(value.rlike(f"^(?:{DATE})$"), date(key, value))
+    return (F.when(value.rlike("[=:]"), secret(key, value)).when(value.contains("@"), email(key, value))
+            .when(value.rlike(f"^{ACCESS_KEY}$"), access_key(key, value)).when(value.rlike(f"^(?:{DATE})$"), date(key, value))
             .when(value.rlike(f"^{SSN}$"), ssn(key, value)).when(value.rlike(f"^(?:{PHONE})$"), phone(key, value))
             .when(value.rlike(f"^{ADDRESS}$"), address(key, value)).otherwise(card(key, value)))
 

@@ -116,6 +116,18 @@ def test_values_and_text_between(spark, docs_of):
     assert pii.pseudonymised(docs.limit(0), KEY).count() == 0
 
 
+def test_secrets_are_replaced_to_their_end(spark, docs_of):
+    held = ["eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.s5-_Yx", "Ab3$def!gh@x.com", "Qx" * 60 + "7f", "Qx" * 60, "dGVzdDE6c2VjcmV0Mg==", "a1.bcdefgh", "x9" * 30_000]
+    shapes = ["token={}", "PASSWORD: '{}'", "(api-key = {}), and", "{{secret={}}}.", "<p>pwd={}</p>"]
+    rows = [(i, "x " + shape.format(h) + " y") for i, (h, shape) in enumerate((h, s) for h in held for s in shapes)]
+    rows += [(1000, "token=" * 100_000), (1001, "secret: everything. password = hashlib.sha256(b), Token::Type2Name")]
+    got = {r.doc_id: (r.text, r.n_private) for r in pii.pseudonymised(docs_of(rows), KEY).collect()}
+    for i, (h, shape) in enumerate((h, s) for h in held for s in shapes):
+        made = (digest("secret", h) * (len(h) // 64 + 1))[:len(h)]
+        assert got[i] == ("x " + shape.format(made) + " y", 1), (h[:60], shape)
+    assert got[1001] == (rows[-1][1], 0) and got[1000] == (rows[-2][1], 0)
+
+
 @pytest.mark.parametrize("a,b", [(1, 7), (7, 1), (10, 10), (27, 30), (3, 250)])
 def test_feistel_is_a_permutation(spark, a, b):
     pairs = spark.range(a * b).select((F.col("id") % a).alias("l"), F.floor(F.col("id") / a).alias("r"))
