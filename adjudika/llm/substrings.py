@@ -4,10 +4,11 @@ Equal strings have to meet in one task without moving all suffixes. Of the ``K``
 is the window's anchor; equal windows have equal anchors. Neighbouring windows with one anchor form a unit, about one per 15 bytes.
 
 1. Units are dealt by their anchor's hash as packed hashes (anchor, whole unit). Where equal units meet, all but those of the smallest
-   document are repeats. Where different units share an anchor, one text of each is asked for. Of an anchor with many different units in
-   one merge only a mark is sent, and all those units are asked for.
-2. Each task sorts the suffixes of the texts it gets: a mergesort whose comparisons find the longest common extension of two suffixes by
-   binary search on prefix polynomial hashes. Suffixes that agree in 50 bytes are compared byte by byte, then the smallest document wins.
+   document are repeats; this is decided by the hashes alone, without a look at the bytes. Where different units share an anchor, one text of
+   each is asked for. Of an anchor with many different units in one merge only a mark is sent, and all those units are asked for.
+2. This step sees only different units that share an anchor. Each task sorts the suffixes of the texts it gets: a mergesort whose comparisons
+   find the longest common extension of two suffixes by binary search on prefix polynomial hashes. Suffixes that agree in 50 bytes are
+   compared byte by byte, then the smallest document wins.
    An anchor with many texts (a short line between ever differing neighbours) would fill one task: its windows are dealt once more, each by
    the hash of its own 50 bytes, so that only windows that are probably equal meet; equal ones of a batch are merged before that.
 3. Documents meet the verdicts on their units, and the covered bytes are cut.
