@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adjudika.llm import decontaminate, licences, minhash, pieces, pii, quality_model, quality_rules, sharding, substrings, tokens
+from adjudika.llm import (codes, decontaminate, licences, minhash, pieces, pii, quality_model, quality_rules, sharding, substrings, tokens, toxicity,
+                          whitening)
 from adjudika.llm.registry import QUERIES, SQL, query, table
 from adjudika.session import work_dir
 
@@ -78,3 +79,18 @@ def op10_sharding(spark, sf_dir):
     path = f"{work_dir(spark, 'shards')}/table"
     sharding.write_shards(table(spark, sf_dir, "documents"), path, SHARD_BYTES)
     return spark.read.parquet(path).select("doc_id", "shard", "shard_bytes", "shard_rows", "n_bytes")
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_vector_codes", codes.sql())
+def op12_vector_codes(spark, sf_dir):
+    return codes.digests(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
