@@ -1,7 +1,7 @@
 """Extendible hashing: a directory over hash-prefix bits whose buckets split on another bit until each fits a byte limit.
 
-All of it is column expressions. A row's address is 120 bits: 60 bits of an md5 over its key, then 60 bits of an md5 over its place in
-the input. A bucket is a prefix of addresses. Since bytes only fall when a prefix grows, the bucket of a row is the shortest prefix
+All of it is column expressions. A row's address is 120 bits: 60 bits of an md5 over its key, then 60 bits of an md5 over its file and its
+number within the file, which stay the same however a scan is split. A bucket is a prefix of addresses. Since bytes only fall when a prefix grows, the bucket of a row is the shortest prefix
 whose rows fit the limit; a bucket that fits is never split. The second half is read only where rows of one key alone exceed the
 limit, so a hot key or a row repeated without end spreads over several shards instead of one.
 
@@ -11,6 +11,7 @@ task) and a second one sums the cells over all prefixes. Only cells that are sti
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from adjudika.session import cut_lineage
@@ -20,7 +21,7 @@ BITS = 15
 ADDRESS_BITS = 120
 _HEX = 15  # hex digits of one half of an address
 #: Work columns.
-ADDRESS, BYTES, CELL = "__shard_address", "__shard_bytes", "__shard_cell"
+ADDRESS, BYTES, CELL, PLACE = "__shard_address", "__shard_bytes", "__shard_cell", "__shard_place"
 
 
 def _half(value):
@@ -32,12 +33,23 @@ def _half(value):
 def addressed(docs: DataFrame, key: list[str]) -> DataFrame:
     """``docs`` with ``ADDRESS``, 120 characters 0 or 1, and ``BYTES``, the UTF-8 bytes of the text.
 
-    Null key values count as the empty text. The second half follows the row's place, which is fixed for a stored
-    table; other inputs have to be stored first.
+    Null key values count as the empty text. A table that is not read from Parquet files is written to such files first, since its rows have no
+    other place that is the same in every job.
     """
+    try:
+        stored = docs.withColumn(PLACE, _place(docs))
+        stored.schema  # an input without files has no such columns
+    except AnalysisException:
+        docs = cut_lineage(docs, "shard-input")
+        stored = docs.withColumn(PLACE, _place(docs))
     joined = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
-    return docs.withColumns({ADDRESS: F.concat(_half(joined), _half(F.monotonically_increasing_id().cast("string"))),
-                             BYTES: F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")})
+    return stored.withColumns({ADDRESS: F.concat(_half(joined), _half(F.col(PLACE))),
+                               BYTES: F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")}).drop(PLACE)
+
+
+def _place(docs: DataFrame):
+    hidden = docs.metadataColumn("_metadata")
+    return F.concat_ws("\x1f", hidden["file_path"], hidden["row_index"].cast("string"))
 
 
 def _round(cells: DataFrame, done: int, limit: int) -> DataFrame:
@@ -77,19 +89,24 @@ def assign(docs: DataFrame, limit: int, key: list[str] | None = None) -> DataFra
 
     ``key``: columns that choose the address, doc_id by default. A shard's texts have at most ``limit`` bytes; the only larger ones
     hold a single row that is longer itself. Rows with a null text count 0 bytes. Rows repeated with one key share shards while these
-    fit. Columns of ``docs`` with the added names are replaced. An empty table has no shards. ``docs`` has to be a stored table.
+    fit. Columns of ``docs`` with the added names are replaced. An empty table has no shards. Very long texts are rows like others: only
+    their lengths are summed. A row that has no bucket, since the files have changed between the jobs, raises an error; it is never left out.
     """
     rows = addressed(docs.drop("shard", "shard_bytes", "shard_rows", "n_bytes"), key or ["doc_id"])
     keep = [c for c in rows.columns if c not in (ADDRESS, BYTES)]
-    made, left = None, rows
-    for k, found in enumerate(directory(rows.select(ADDRESS, BYTES), limit)):
+    made, left, found = None, rows, directory(rows.select(ADDRESS, BYTES), limit)
+    for k, cells in enumerate(found):
         probe = left.withColumn(CELL, F.substring(ADDRESS, 1, (k + 1) * BITS))
-        found = found.withColumnRenamed("cell", CELL)
-        side = F.broadcast(found) if k == 0 else found  # the first round has at most 2**BITS cells
-        hit = probe.join(side, CELL).select(*keep, "shard", "shard_bytes", "shard_rows", F.col(BYTES).alias("n_bytes"))
+        cells = cells.withColumnRenamed("cell", CELL)
+        side = F.broadcast(cells) if k == 0 else cells  # the first round has at most 2**BITS cells
+        last = k == len(found) - 1
+        shard = F.coalesce("shard", F.raise_error(F.lit("a row has no shard: the table has changed since its directory was made"))) if last else F.col("shard")
+        hit = probe.join(side, CELL, "left" if last else "inner").select(
+            *keep, shard.alias("shard"), "shard_bytes", "shard_rows", F.col(BYTES).alias("n_bytes"))
         made = hit if made is None else made.unionByName(hit)
-        known = found.select(CELL)
-        left = probe.join(F.broadcast(known) if k == 0 else known, CELL, "left_anti").drop(CELL)
+        if not last:
+            known = cells.select(CELL)
+            left = probe.join(F.broadcast(known) if k == 0 else known, CELL, "left_anti").drop(CELL)
     return made
 
 

@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from adjudika.llm import sharding
@@ -50,6 +51,35 @@ def test_written_shards(spark, docs_of, tmp_path):
     check(rows, 1000, back.withColumn("shard", F.expr("substring(shard, 2)")).collect())
 
 
+def test_no_row_is_lost_when_the_scan_is_split_otherwise(spark, docs_of, tmp_path):
+    rows = [(7, "same text " * 20)] * 4_000
+    path = str(tmp_path / "d")
+    docs_of(rows, 1).write.option("parquet.block.size", 4_096).parquet(path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes") if spark.conf.get(k, None)}
+    try:
+        for now, then in (("1", "16"), ("16", "1")):
+            spark.conf.set("spark.sql.files.minPartitionNum", now)
+            assigned = sharding.assign(spark.read.parquet(path), 50_000)
+            spark.conf.set("spark.sql.files.minPartitionNum", then)
+            check(rows, 50_000, assigned.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_row_without_a_bucket_raises(spark, docs_of, tmp_path):
+    path = str(tmp_path / "d")
+    docs_of([(i, "t" * 100) for i in range(50)]).write.parquet(path)
+    docs = spark.read.parquet(path)
+    other = sharding.addressed(docs_of([(1_000, "x")]), ["doc_id"]).select(sharding.ADDRESS, sharding.BYTES)
+    found = sharding.directory(other, 10**6)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sharding, "directory", lambda slim, limit: found)
+        with pytest.raises(Exception, match="has no shard"):
+            sharding.assign(docs, 10**6).collect()
+
+
 def test_query_and_sql(spark):
     import duckdb
 
