@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from adjudika.catalog.registry import query
-from adjudika.plans.ingest import Ingest
+from adjudika.plans.ingest import RUN_LOG, Ingest
 from adjudika.session import work_dir
 from adjudika.sinks.store import TenderStore
 from adjudika.sources import driver_tables as D
@@ -96,6 +96,77 @@ def ing_upsert(spark, sf_dir):
     return job.store.read().select("ref_consultation", "titre", F.col("date_derniere_maj").isNotNull().alias("modifie"), "date_derniere_maj")
 
 
+def _versions(spark, sf_dir):
+    """All orders; new values for a third of them; a tenth of them."""
+    orders = D.read(spark, sf_dir, "orders")
+    return [_tenders(rows, ref=D.ref_of(F.col("o_orderkey")), titre=titre, published=F.col("o_orderdate"), seen=F.lit("2025-01-01"))
+            for rows, titre in ((orders, F.col("o_orderpriority")), (orders.filter("o_custkey % 3 = 0"), F.lit("v2")),
+                                (orders.filter("o_custkey % 10 = 0"), F.lit("v3")))]
+
+
+def _day(d):
+    return F.lit(f"2025-02-{d:02} 00:00:00").cast("timestamp_ntz")
+
+
+def _upserted(store, counted=()):
+    rows = store.read().select("ref_consultation", "titre", F.col("lot_id").cast("int").alias("lot"), "date_derniere_maj")
+    for name, counters in counted:
+        rows = rows.withColumn(name, F.lit(sum(r.n for r in counters.collect() if r.issue == "saved")).cast("bigint"))
+    return rows
+
+
+@query("ing_replay", """
+SELECT 'AO-' || o_orderkey AS ref_consultation, CASE WHEN o_custkey % 3 = 0 THEN 'v2' ELSE o_orderpriority END AS titre,
+  CAST(o_custkey % 3 = 0 AS INT) AS lot, CASE WHEN o_custkey % 3 = 0 THEN TIMESTAMP '2025-02-02 00:00:00' END AS date_derniere_maj,
+  (SELECT count(*) FROM orders) AS saved_0, (SELECT count(*) FROM orders) AS saved_again FROM orders""")
+def ing_replay(spark, sf_dir):
+    """Run 0, run 1, and run 0 once more: the old batch changes nothing and reports what it did the first time."""
+    job, versions = Ingest(_store(spark), order=["date_extraction"], mode="upsert"), _versions(spark, sf_dir)
+    counts = [job.run(versions[lot], lot, _day(k)) for k, lot in enumerate((0, 1, 0), 1)]
+    return _upserted(job.store, [("saved_0", counts[0]), ("saved_again", counts[2])])
+
+
+@query("ing_broken", """
+SELECT 'AO-' || o_orderkey AS ref_consultation, CASE WHEN o_custkey % 10 = 0 THEN 'v3' WHEN o_custkey % 3 = 0 THEN 'v2' ELSE o_orderpriority END AS titre,
+  CASE WHEN o_custkey % 10 = 0 THEN 2 ELSE CAST(o_custkey % 3 = 0 AS INT) END AS lot,
+  CASE WHEN o_custkey % 10 = 0 THEN TIMESTAMP '2025-02-04 00:00:00' END AS date_derniere_maj,
+  (SELECT count(*) FROM orders WHERE o_custkey % 10 = 0) AS updated FROM orders""")
+def ing_broken(spark, sf_dir):
+    """Run 0 breaks off before the store, run 1 overtakes it, run 0 is repeated; run 2 breaks off after the store and is repeated."""
+    def stop_after(step):
+        def on_step(done):
+            if done == step:
+                job.on_step = None
+                raise InterruptedError(done)
+        return on_step
+
+    job, versions = Ingest(_store(spark), order=["date_extraction"], mode="upsert"), _versions(spark, sf_dir)
+    for lot, day, step in ((0, 1, "quarantine"), (1, 2, None), (0, 3, None), (2, 4, "store"), (2, 5, None)):
+        job.on_step = stop_after(step) if step else None
+        try:
+            job.run(versions[lot], lot, _day(day))
+        except InterruptedError:
+            pass
+    log = spark.read.schema(f"{RUN_LOG}, kind string, lot_id bigint").parquet(job.store.path("extraction_log"))
+    return _upserted(job.store).join(log.filter("lot_id = 2").select(F.col("items_mis_a_jour").alias("updated")))  # one row
+
+
+@query("ing_run_log", """
+WITH o AS (SELECT count(*) AS a, count(*) FILTER (o_custkey % 3 = 0) AS b, count(*) FILTER (o_custkey % 10 = 0) AS c FROM orders)
+SELECT 0 AS lot, 'success' AS statut, a AS extraits, a AS inseres, 0::BIGINT AS mis_a_jour, 0::BIGINT AS erreurs, TIMESTAMP '2025-02-01' AS debut FROM o
+UNION ALL SELECT 1, 'success', b, 0, b, 0, TIMESTAMP '2025-02-02' FROM o
+UNION ALL SELECT 2, 'partial', 2 * c, 0, c, c, TIMESTAMP '2025-02-03' FROM o""")
+def ing_run_log(spark, sf_dir):
+    """The run log that the ingest writes: one row a run, counted while the rows were written."""
+    job, versions = Ingest(_store(spark), order=["date_extraction"], mode="upsert"), _versions(spark, sf_dir)
+    versions[2] = versions[2].unionAll(versions[2].withColumn("titre", F.lit("")))  # every second record lacks its title
+    for lot, batch in enumerate(versions):
+        job.run(batch, lot, _day(lot + 1))
+    log = spark.read.schema(f"{RUN_LOG}, kind string, lot_id int").parquet(job.store.path("extraction_log"))
+    return log.select(F.col("lot_id").alias("lot"), "statut", F.col("items_extraits").alias("extraits"), F.col("items_inseres").alias("inseres"),
+                      F.col("items_mis_a_jour").alias("mis_a_jour"), "erreurs", F.col("date_execution").alias("debut"))
+
+
 def _with_children(spark, sf_dir):
     store = _store(spark)
     orders = D.read(spark, sf_dir, "orders").filter("o_custkey % 3 <> 0")

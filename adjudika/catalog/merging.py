@@ -88,7 +88,7 @@ def _merged(spark, sf_dir):
     stored = D.consultations_core(spark, sf_dir).filter(F.col("statut") != "annule").select(
         "ref_consultation", F.concat(F.lit("obs "), "ref_consultation").alias("remarque"),
         F.col("montant_estime").cast("double").alias("montant"), F.lit(None).cast("timestamp_ntz").alias("date_derniere_maj"))
-    batch = arriving(spark, sf_dir).filter(F.col("l_partkey") % 3 == 0)
+    batch = arriving(spark, sf_dir)
     incoming = merge.last_values(
         batch.select("ref_consultation", "remarque", F.col("l_extendedprice").alias("montant"), *_ORDER),
         "ref_consultation", _ORDER)
@@ -98,7 +98,7 @@ def _merged(spark, sf_dir):
 _MERGED = [B.CONSULTATIONS_CORE, ARRIVING, """old AS (SELECT ref_consultation, 'obs ' || ref_consultation AS remarque,
   CAST(montant_estime AS DOUBLE) AS montant FROM consultations WHERE statut <> 'annule')""",
   f"""batch AS (SELECT *, row_number() OVER (PARTITION BY ref_consultation ORDER BY {', '.join(_ORDER)}) AS rn
-  FROM arriving WHERE l_partkey % 3 = 0)""",
+  FROM arriving)""",
   """new AS (SELECT ref_consultation, arg_max(remarque, rn) FILTER (WHERE remarque IS NOT NULL) AS remarque,
   arg_max(l_extendedprice, rn) AS montant, count(*) AS items FROM batch GROUP BY 1)""",
   """merged AS (SELECT coalesce(n.ref_consultation, o.ref_consultation) AS ref_consultation,

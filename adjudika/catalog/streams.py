@@ -8,8 +8,10 @@ from adjudika.catalog import bindings_sql as B
 from adjudika.catalog.quality import RAW, incoming_from
 from adjudika.catalog.registry import query
 from adjudika.plans import retention as T
+from adjudika.plans.backfill import Backfill
 from adjudika.plans.ingest import Ingest
 from adjudika.session import work_dir
+from adjudika.sinks.archive import pages_at
 from adjudika.sinks.store import TenderStore
 from adjudika.sources import driver_tables as D
 from adjudika.sources import new_arrivals
@@ -92,12 +94,59 @@ def ret_archive_expired(spark, sf_dir):
 
 @query("bck_calendar", """
 SELECT CAST(jour AS TIMESTAMP) AS jour, coalesce(n, 0) AS n, n IS NULL AS manquant
-FROM (SELECT unnest(generate_series(TIMESTAMP '1998-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY)) AS jour)
-LEFT JOIN (SELECT date_trunc('day', o_orderdate) AS d, count(*) AS n FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1)
-  ON CAST(d AS DATE) = CAST(jour AS DATE)""")
+FROM (SELECT unnest(generate_series(TIMESTAMP '2001-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS jour)
+LEFT JOIN (SELECT date_trunc('day', o_orderdate) AS d, count(*) AS n FROM orders GROUP BY 1) ON CAST(d AS DATE) = CAST(jour AS DATE)""")
 def bck_calendar(spark, sf_dir):
-    fifth = D.read(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 5 == 0)
-    return T.backfill_state(fifth, "o_orderdate", 1998).withColumn("jour", F.col("jour").cast("timestamp_ntz"))
+    """The last year of the orders, which end within it."""
+    return T.backfill_state(D.read(spark, sf_dir, "orders"), "o_orderdate", 2001).withColumn("jour", F.col("jour").cast("timestamp_ntz"))
+
+
+@query("bck_resume", B.with_tables("""
+SELECT ref_consultation, date_publication, CAST(2001 * 10000 + month(debut) * 100 + day(debut) AS BIGINT) AS lot, jours_faits, lignes
+FROM (SELECT *, DATE '2001-01-01' + CAST(((dayofyear(date_publication) - 1) // 92) * 92 AS INTEGER) AS debut
+  FROM consultations WHERE year(date_publication) = 2001 AND type_marche <> 'autre'),
+  (SELECT CAST(365 AS BIGINT) AS jours_faits, count(*) AS lignes FROM consultations WHERE year(date_publication) = 2001)""", B.CONSULTATIONS_CORE))
+def bck_resume(spark, sf_dir):
+    """A year in groups of 92 days that breaks off twice: after a group, and within one between its rows and its run log."""
+    def interrupt(step):
+        if step == "store" and ("consultation", 20010403) in [run[:2] for run in ingest.store.ledger.look("", 0).broken]:
+            ingest.on_step = None
+            raise InterruptedError(step)
+
+    tenders = D.consultations_core(spark, sf_dir).withColumns({"titre": F.lit("t"), "organisme_acronyme": F.lit("O")})
+    ingest = Ingest(TenderStore(spark, f"{work_dir(spark, 'backfill')}/store"), on_step=interrupt)
+    job = Backfill(ingest, tenders, days_per_run=92)
+    job.run(2001, groups=1)
+    try:
+        job.run(2001)
+        raise RuntimeError("the run was to break off")
+    except InterruptedError:
+        job.run(2001)
+    done = job.state(2001).filter("done").agg(F.count(F.lit(1)).alias("jours_faits"), F.sum("n").alias("lignes"))
+    return ingest.store.read().select("ref_consultation", "date_publication", F.col("lot_id").alias("lot")).join(done)  # one row
+
+
+@query("ret_archive_drop", """
+SELECT p || page_id AS ref_consultation, NOT ancien AS lisible, CASE WHEN NOT ancien THEN md5(html) END AS contenu, jours, perdus
+FROM (SELECT *, html IN (SELECT html FROM pages WHERE page_id % 2 = 0) AS ancien FROM pages) x
+JOIN (VALUES ('P-', 0), ('Q-', 1)) v(p, lot) ON lot = 1 OR page_id % 2 = 0,
+(SELECT 1 AS jours, count(*) FILTER (html IN (SELECT html FROM pages WHERE page_id % 2 = 0))
+   + (SELECT count(*) FROM pages WHERE page_id % 2 = 0) AS perdus FROM pages)""")
+def ret_archive_drop(spark, sf_dir):
+    """Half of the pages archived in January, all in June; in July the folders of more than three months ago go."""
+    job = Ingest(TenderStore(spark, f"{work_dir(spark, 'rotation')}/store"))
+    pages = D.pages(spark, sf_dir)
+    for lot, (prefix, chosen, day) in enumerate((("P-", "page_id % 2 = 0", "2025-01-10"), ("Q-", "true", "2025-06-10"))):
+        rows = pages.filter(chosen).select(
+            F.concat(F.lit(prefix), F.col("page_id").cast("string")).alias("ref_consultation"), F.lit("t").alias("titre"),
+            F.lit("O").alias("organisme_acronyme"), F.lit("travaux").alias("type_marche"), F.lit("en_cours").alias("statut"),
+            *(F.lit("2025-01-01").cast("timestamp_ntz").alias(c) for c in ("date_publication", "date_extraction")), F.col("html").alias("page_html"))
+        job.run(rows, lot, F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
+    gone = job.store.drop_archive(F.lit("2025-07-01 00:00:00").cast("timestamp_ntz"), 3)
+    lost = job.store.dangling().agg(F.count(F.lit(1)).alias("perdus"))
+    read = pages_at(job.store.read().select("ref_consultation", "page_html_archivee"), job.store.archive())
+    return read.select("ref_consultation", F.col("html").isNotNull().alias("lisible"), F.md5("html").alias("contenu"),
+                       F.lit(len(gone)).alias("jours")).join(lost)  # one row
 
 
 @query("bck_full_history", B.with_tables("""

@@ -21,31 +21,46 @@ def last_values(incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, key: str, now: Column, touched: str = "date_derniere_maj") -> DataFrame:
-    """Stored table after the merge, with ``_action`` (insert / update / keep) and ``_items``.
+def upsert(stored: DataFrame, incoming: DataFrame, key: str, now: Column, touched: str = "date_derniere_maj",
+           seq: int | None = None) -> DataFrame:
+    """Stored table after the merge, with ``_action`` (insert / update / again / keep) and ``_items``.
 
     A non-NULL incoming value replaces the stored one, NULL keeps it, and an updated row gets ``now`` in ``touched``.
-    ``incoming`` is unique per key (see ``last_values``).
+    ``incoming`` is unique per key (see ``last_values``). With ``seq``, the number of the run, rows are guarded by their own ``seq``: a row that a
+    later run wrote only takes values where it has none and is kept otherwise; a row that this run wrote before (``again``) stays as it is.
     """
     if "_items" not in incoming.columns:
         incoming = incoming.withColumn("_items", F.lit(1).cast("bigint"))
     s, i = stored.withColumn("_s", F.lit(True)).alias("s"), incoming.withColumn("_i", F.lit(True)).alias("i")
     joined = s.join(i, F.col(f"s.{key}") == F.col(f"i.{key}"), "full_outer")
-    action = (
-        F.when(F.col("_i").isNull(), "keep").when(F.col("_s").isNull(), "insert").otherwise("update")
-    )
-    updated = F.col("_i").isNotNull() & F.col("_s").isNotNull()
+    action = F.when(F.col("_i").isNull(), "keep").when(F.col("_s").isNull(), "insert")
+    if seq is not None:
+        action = action.when(F.col("s.seq") > seq, "keep").when(F.col("s.seq") == seq, "again")
+    joined = joined.withColumn("_action", action.otherwise("update"))
+    taken = F.col("_action").isin("insert", "update")
 
     def merged(name: str) -> Column:
+        old = F.col(f"s.{name}")
         if name == touched:
-            return F.when(updated, now).otherwise(F.col(f"s.{name}"))
-        if name in incoming.columns:
-            return F.coalesce(F.col(f"i.{name}"), F.col(f"s.{name}"))
-        return F.col(f"s.{name}")
-
-    return joined.select(
-        *(merged(n).alias(n) for n in stored.columns), action.alias("_action"),
-        F.coalesce("_items", F.lit(0)).cast("bigint").alias("_items"))
+            return F.when(F.col("_action") == "update", now).otherwise(old)
+        if name == "seq" and seq is not None:
+            return F.when(taken, F.lit(seq).cast("bigint")).otherwise(old)
+        if name not in incoming.columns:
+            return old
+        new = F.col(f"i.{name}")
+        return F.coalesce(new, old) if seq is None else F.when(taken, F.coalesce(new, old)).otherwise(F.coalesce(old, new))
+
+    return joined.select(*(merged(n).alias(n) for n in stored.columns), "_action", F.coalesce("_items", F.lit(0)).cast("bigint").alias("_items"))
+
+
+def counted(touched: str = "date_derniere_maj") -> dict[str, Column]:
+    """Aggregates of a merge's rows: references inserted and updated, rows kept. Those that the run wrote before it broke off count as well."""
+    action, again = F.col("_action"), F.col("_action") == "again"
+    return {
+        "inserted": F.count_if((action == "insert") | (again & F.col(touched).isNull())),
+        "updated": F.count_if((action == "update") | (again & F.col(touched).isNotNull())),
+        "kept": F.count_if(action == "keep"),
+    }
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

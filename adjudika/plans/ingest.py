@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 from adjudika.operators import quality as Q
 from adjudika.operators.dedup import label_duplicates
 from adjudika.plans.reports import item_counters
-from adjudika.session import cut_lineage
+from adjudika.session import cut_counted, cut_lineage
 from adjudika.sinks.archive import archived_path, write_archive
 from adjudika.sinks.store import KEY, TenderStore
 
 Stage = Callable[[DataFrame], DataFrame]
+SAVED = "saved"
+OUTCOMES = (SAVED, Q.MISSING, Q.DUPLICATE, Q.DATABASE)
+RUN_LOG = ("date_execution timestamp_ntz, spider_name string, statut string, items_extraits bigint, items_inseres bigint, "
+           "items_mis_a_jour bigint, erreurs bigint")
 
 
 @dataclass
@@ -35,6 +39,8 @@ class Ingest:
     # Children only: columns that tell a child from its siblings; None stores every child of every run.
     child_key: list[str] | None = None
     extra_stages: list[tuple[int, str, Stage]] = field(default_factory=list)
+    # Called with the name of each write that is done (labelled, quarantine, store, log).
+    on_step: Callable[[str], None] | None = None
 
     def stages(self) -> list[tuple[int, str, Stage]]:
         """All stages by order number. Validation comes before cleaning, as on the portal side."""
@@ -57,53 +63,75 @@ class Ingest:
     def run(self, batch: DataFrame, lot_id: int, now: Column | None = None) -> DataFrame:
         """Label, archive, quarantine and store one batch, write its run log; returns the item counters by type and outcome.
 
-        Repeating a run with its ``lot_id`` leaves store, quarantine and counters as they are: a batch is held against what *other* runs
-        have stored, and rows of its own run are neither stored nor updated again.
+        ``lot_id`` names the run: one that was applied before, last or long ago, changes nothing and returns its counters without reading the
+        batch. A run that broke off is taken up again by repeating it: a batch is held against what *other* runs have stored, and rows of its own
+        run are neither stored nor updated again. Rows that a later run has written in between keep its values.
         """
+        run = self.store.begin(self.kind, lot_id)
+        if run.counters is not None:
+            return self._counters(run.counters)
         now = now if now is not None else F.localtimestamp()
         started = self.store.spark.range(1).select(now.alias("t")).first().t
-        # Written once: quarantine, store and counters below all read the same labels.
-        labelled = cut_lineage(self.label(batch, lot_id, now).withColumn("_type", F.lit(self.kind)), "ingest")
+        # Written once, and counted while it is written: quarantine, store and counters all go by the same labels.
+        outcomes = {f"n{k}": F.count_if(F.coalesce("_reason", F.lit(SAVED)) == name) for k, name in enumerate(OUTCOMES)}
+        labelled, seen = cut_counted(self.label(batch, lot_id, now), "ingest", n=F.count(F.lit(1)), **outcomes)
+        counters = {name: seen[f"n{k}"] for k, name in enumerate(OUTCOMES)}
+        if sum(counters.values()) < seen["n"]:  # a stage of the caller has reasons of its own
+            counters = {r.issue: r.n for r in item_counters(labelled.withColumn("_type", F.lit(self.kind))).collect()}
+        counters = {name: n for name, n in counters.items() if n}
+        self._done("labelled")
         rejected = Q.quarantined(labelled)
         rejected.write.mode("overwrite").parquet(f"{self.store.path('quarantine')}/kind={self.kind}/lot_id={int(lot_id)}")
-        good = Q.good(labelled).drop("_type")
+        self._done("quarantine")
+        good = Q.good(labelled)
+        saved = counters.get(SAVED, 0)
+        stored = {"inserted": saved, "updated": 0}
         if self.kind != "consultation":
             self.store.append(self.kind, good, lot_id)
         elif self.mode == "upsert":
-            self.store.upsert(good, self.order, now, lot_id)
+            stored = self.store.upsert(good, self.order, now, lot_id, run.seq)
         else:
-            self.store.insert_new(good, self.order, lot_id)
-        counters = cut_lineage(item_counters(labelled), "counters")
-        self._log(counters, lot_id, started)
-        return counters
-
-    def _log(self, counters: DataFrame, lot_id: int, started) -> None:
+            self.store.insert_new(good, self.order, lot_id, run.seq)
+        self._done("store")
+        self._log(counters, stored, lot_id, started)
+        self._done("log")
+        self.store.finish(run, counters)
+        return self._counters(counters)
+
+    def _done(self, step: str) -> None:
+        if self.on_step:
+            self.on_step(step)
+
+    def _counters(self, counters: dict[str, int]) -> DataFrame:
+        rows = [(self.kind, issue, n) for issue, n in counters.items()]
+        return self.store.spark.createDataFrame(rows, "_type string, issue string, n bigint")
+
+    def _log(self, counters: dict[str, int], stored: dict[str, int], lot_id: int, started) -> None:
         """One run-log row per run, which a repeated run replaces."""
-        saved = F.coalesce(F.sum(F.when(F.col("issue") == "saved", F.col("n"))), F.lit(0))
-        failed = F.coalesce(F.sum(F.when(~F.col("issue").isin("saved", Q.DUPLICATE), F.col("n"))), F.lit(0))
-        stored = self.store.read(self.kind).filter(F.col("lot_id") == int(lot_id))
-        updated = F.count_if(F.col("date_derniere_maj").isNotNull()) if self.kind == "consultation" else F.lit(0).cast("bigint")
-        written = stored.agg(F.count(F.lit(1)).alias("_n"), updated.alias("items_mis_a_jour"))
-        row = counters.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("items_extraits"), saved.alias("_saved"), failed.alias("erreurs")).crossJoin(written)  # one row each
-        status = F.when((F.col("erreurs") > 0) & (F.col("_saved") == 0), "failed").when(F.col("erreurs") > 0, "partial").otherwise("success")
-        row.select(F.lit(started).cast("timestamp_ntz").alias("date_execution"), F.lit(self.kind).alias("spider_name"), status.alias("statut"),
-                   "items_extraits", (F.col("_n") - F.col("items_mis_a_jour")).alias("items_inseres"), "items_mis_a_jour", "erreurs").write.mode("overwrite").parquet(
+        errors = sum(n for issue, n in counters.items() if issue not in (SAVED, Q.DUPLICATE))
+        status = ("partial" if counters.get(SAVED) else "failed") if errors else "success"
+        row = (started, self.kind, status, sum(counters.values()), stored["inserted"], stored["updated"], errors)
+        self.store.spark.createDataFrame([row], RUN_LOG).write.mode("overwrite").parquet(
             f"{self.store.path('extraction_log')}/kind={self.kind}/lot_id={int(lot_id)}")
 
-    def _others(self, kind: str) -> DataFrame:
-        """What other runs have stored."""
-        stored = self.store.read(kind)
-        return stored.filter(F.coalesce(F.col("lot_id") != self._lot, F.lit(True)))
+    def _others(self, batch: DataFrame, keys: list[str]) -> DataFrame:
+        """Keys that other runs have stored: of tenders, only those in the hash prefixes of the batch are read."""
+        stored = self.store.known(batch) if self.kind == "consultation" else self.store.read(self.kind)
+        chosen = stored.filter(F.coalesce(F.col("lot_id") != self._lot, F.lit(True))).select(*keys)
+        return chosen.distinct() if len(keys) > 1 else chosen
 
     def _archive(self, df: DataFrame) -> DataFrame:
         """Raw pages go to the archive, one copy per content, and the record keeps the path."""
         if "page_html" not in df.columns:
             return df
-        df = cut_lineage(df, "pages")
+        df = cut_lineage(df.withColumn("content_md5", F.md5("page_html")), "pages")
         kept = df.filter(F.col("_reason").isNull()) if "_reason" in df.columns else df
-        pages = kept.select(KEY, F.col("page_html").alias("html"))
-        write_archive(pages, self.store.path("archive"), self._now, self.store.archive())
-        return archived_path(df.drop("page_html_archivee"), self.store.archive(), self.store.path("archive"))
+        index = self.store.archive_keys
+        pages = kept.filter(F.col("page_html").isNotNull())
+        write_archive(pages.select(KEY, F.col("page_html").alias("html"), "content_md5"), self.store.path("archive"), self._now,
+                      index.lookup(pages.select("content_md5")), index)
+        held = df.filter(F.col("content_md5").isNotNull()).select("content_md5")
+        return archived_path(df.drop("page_html_archivee"), index.lookup(held), self.store.path("archive"))
 
     def _parents(self, df: DataFrame) -> DataFrame:
         """Children of tenders that are not stored are refused, as a foreign key does."""
@@ -111,7 +139,8 @@ class Ingest:
             return df
         if "_reason" not in df.columns:
             df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
-        known = self.store.read().select(KEY, F.lit(True).alias("_known"))
+        df = cut_lineage(df, "children")
+        known = self.store.known(df.filter(F.col("_reason").isNull())).select(KEY, F.lit(True).alias("_known"))
         orphan = F.col("_reason").isNull() & F.col("_known").isNull()
         return df.join(known, KEY, "left").withColumns({
             "_reason": F.when(orphan, F.lit(Q.DATABASE)).otherwise(F.col("_reason")),
@@ -133,7 +162,7 @@ class Ingest:
         # The branches below read the batch several times; without this each would extract and clean it again.
         df = cut_lineage(df, "clean")
         kept, out = df.filter(F.col("_reason").isNull()), df.filter(F.col("_reason").isNotNull())
-        stored = self._others(self.kind).select(*keys).distinct() if len(keys) > 1 else self._others(self.kind).select(*keys)
+        stored = self._others(kept, keys)
         first = label_duplicates(kept, keys, self.order)
         same = reduce(lambda a, b: a & b, [first[k].eqNullSafe(F.col(f"_s.{k}")) for k in keys])
         met = first.join(stored.withColumn("_stored", F.lit(True)).alias("_s"), same, "left")

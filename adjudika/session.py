@@ -6,11 +6,13 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 # Runtime settings the transforms count on. A value the session already sets explicitly is left alone.
 RUNTIME_CONF = {
@@ -88,7 +90,33 @@ def work_dir(spark: SparkSession, label: str, root: str | None = None) -> str:
     return f"{shared.rstrip('/')}/adjudika-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever storage the path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANING: dict[str, list] = {}
+_CLEANING_LOCK = threading.Lock()
+
+
+@contextmanager
+def _shuffle_cleanup(spark: SparkSession):
+    """Shuffle files go with their query inside; with several threads in one session, until the last of them has left."""
+    with _CLEANING_LOCK:
+        held = _CLEANING.setdefault(spark.sparkContext.applicationId, [0, None])
+        if not held[0]:
+            held[1] = spark.conf.get(CLEANUP, "false")
+            spark.conf.set(CLEANUP, "true")
+        held[0] += 1
+    try:
+        yield
+    finally:
+        with _CLEANING_LOCK:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.set(CLEANUP, held[1])
 
 
 def cut_lineage(df, label: str):
@@ -99,10 +127,12 @@ def cut_lineage(df, label: str):
     """
     spark = df.sparkSession
     path = f"{work_dir(spark, label)}/table"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _shuffle_cleanup(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_counted(df, label: str, **counts):
+    """``cut_lineage`` of ``df``, and the given aggregates of its rows, measured while they are written: no further scan."""
+    seen = Observation()
+    return cut_lineage(df.observe(seen, *(c.alias(name) for name, c in counts.items())), label), seen.get

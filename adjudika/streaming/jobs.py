@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -13,15 +14,21 @@ from adjudika.plans.ingest import Ingest
 WATERMARK = "10 minutes"
 
 
+def lot_of(checkpoint: str, batch_id: int) -> int:
+    """The run number of a stream's batch: 31 bits of the checkpoint's name before 32 bits of the batch."""
+    return ((zlib.crc32(checkpoint.rstrip("/").encode()) >> 1) | 1) << 32 | int(batch_id)
+
+
 def ingest_arrivals(arrivals: DataFrame, ingest: Ingest, checkpoint: str,
                     prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
     """Ingest everything that has arrived since the last run, then stop; run it daily.
 
     The references seen so far are the stored table itself, so the horizon is unbounded without operator state. A batch
-    that is run again after a failure finds its rows stored, or replaces its own folder.
+    that is run again after a failure is taken up where it broke off; one that had ended changes nothing. Runs are numbered by checkpoint and
+    batch, so streams and batch jobs share a store without taking each other's numbers.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest.run(prepare(batch), batch_id)
+        ingest.run(prepare(batch), lot_of(checkpoint, batch_id))
 
     return arrivals.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()

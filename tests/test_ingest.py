@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from adjudika.plans import retention
+from adjudika.plans.backfill import Backfill
 from adjudika.plans.ingest import Ingest, dry_run
 from adjudika.session import work_dir
 from adjudika.sinks import archive, exports
@@ -80,6 +82,121 @@ def test_a_repeated_upsert_updates_nothing_twice(spark):
     assert log == {0: (1, 0), 1: (1, 1)}
 
 
+def test_an_old_run_repeated_after_a_newer_one_changes_nothing(spark):
+    job = ingest(spark, mode="upsert")
+    times = [F.lit(f"2025-07-0{d} 00:00:00").cast("timestamp_ntz") for d in (1, 2, 3)]
+    old, new = batch(spark, ("A", "old", "1", 1), ("B", "b", "1", 1)), batch(spark, ("A", "new", None, 1))
+    first = job.run(old, 0, times[0]).collect()
+    job.run(new, 1, times[1])
+    before = sorted(map(tuple, job.store.read().collect()), key=str)
+    assert job.run(old, 0, times[2]).collect() == first
+    assert sorted(map(tuple, job.store.read().collect()), key=str) == before
+    assert {(r.kind, r.lot_id, r.seq, r.state) for r in job.store.ledger.runs().collect()} == {("consultation", 0, 0, "applied"), ("consultation", 1, 1, "applied")}
+
+
+@pytest.mark.parametrize("mode", ["upsert", "insert_only"])
+def test_a_failure_between_any_two_writes_leaves_the_same_store(spark, mode):
+    times = [F.lit(f"2025-07-0{d} 00:00:00").cast("timestamp_ntz") for d in (1, 2, 3, 4)]
+    batches = [batch(spark, ("A", "a", "1", 1), ("B", "b", "1", 2), ("B", "", "1", 2)), batch(spark, ("A", "a2", None, 1), ("C", "c", "1", 2), ("C", "c", "1", 2)),
+               batch(spark, ("C", "c3", "3", 2), ("D", "d", "1", 3))]
+
+    def final(job):
+        tables = [job.store.read(), *(spark.read.parquet(job.store.path(t)) for t in ("quarantine", "extraction_log"))]
+        rows = job.store.read().collect()
+        assert sorted((r.ref_consultation, r.mois) for r in job.store.keys.read().collect()) == sorted((r.ref_consultation, r.mois) for r in rows)
+        return [sorted((tuple(r) for r in t.collect()), key=str) for t in tables]
+
+    whole = ingest(spark, mode=mode)
+    counts = [whole.run(b, lot, times[lot]).collect() for lot, b in enumerate(batches)]
+    want = final(whole)
+    for step in ("labelled", "quarantine", "store", "log"):
+        job = ingest(spark, mode=mode)
+        job.run(batches[0], 0, times[0])
+
+        def stop(done, step=step, job=job):
+            if done == step:
+                job.on_step = None
+                raise InterruptedError
+
+        job.on_step = stop
+        with pytest.raises(InterruptedError):
+            job.run(batches[1], 1, times[1])
+        assert sorted(map(tuple, job.run(batches[1], 1, times[1]).collect())) == sorted(map(tuple, counts[1]))
+        job.run(batches[2], 2, times[2])
+        assert final(job) == want
+
+
+def test_an_overtaken_run_brings_no_older_value(spark):
+    job = ingest(spark, mode="upsert")
+    times = [F.lit(f"2025-07-0{d} 00:00:00").cast("timestamp_ntz") for d in (1, 2, 3)]
+    job.on_step = lambda step: (_ for _ in ()).throw(InterruptedError) if step == "quarantine" else None
+    old = batch(spark, ("A", "old", "1", 1), ("B", "b", "1", 1))
+    with pytest.raises(InterruptedError):
+        job.run(old, 0, times[0])
+    job.on_step = None
+    job.run(batch(spark, ("A", "new", None, 1)), 1, times[1])
+    assert {r.lot_id: r.state for r in job.store.ledger.runs().collect()} == {0: "broken", 1: "applied"}
+    job.run(old, 0, times[2])
+    assert stored(job) == {"A": ("new", 1.0, "2025-01"), "B": ("b", 1.0, "2025-01")}
+    assert {r.ref_consultation: (r.lot_id, r.seq) for r in job.store.read().collect()} == {"A": (1, 1), "B": (0, 0)}
+
+
+def test_a_batch_reads_only_its_hash_prefixes(spark):
+    store = TenderStore(spark, f"{work_dir(spark, 'test')}/store", prefixes=16)
+    job = Ingest(store, order=["arrivee"])
+    job.run(batch(spark, *((f"R{i}", "t", "1", 1 + i % 3) for i in range(200))), 0)
+    asked = batch(spark, ("R1", "t", "1", 1), ("R7", "t", "1", 1), ("new", "t", "1", 1))
+    found = store.known(asked)
+    touched = set(store.keys.touched(asked))
+    assert len(touched) <= 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [prefixe" in plan.replace("isnotnull(prefixe", "prefixe").replace("[cast(prefixe", "[prefixe") and "PushedFilters" in plan
+    read = {int(r[0].split("prefixe=")[1].split("/")[0]) for r in store.keys.read().filter(F.col("prefixe").isin(list(touched))).select("_metadata.file_path").distinct().collect()}
+    assert read <= touched and found.count() < 60 and {"R1", "R7"} <= {r.ref_consultation for r in found.collect()}
+    counts = {r.issue: r.n for r in job.run(asked, 1).collect()}
+    assert counts == {"duplicate": 2, "saved": 1} and store.read().count() == 201
+    files = len(store.keys.read().select("_metadata.file_path").distinct().collect())
+    before = sorted(map(tuple, store.keys.read().collect()))
+    store.fold_keys()
+    assert sorted(map(tuple, store.keys.read().collect())) == before and len(store.keys.read().select("_metadata.file_path").distinct().collect()) <= files
+
+
+def test_a_backfill_goes_on_where_it_broke_off(spark):
+    rows = batch(spark, *((f"R{i}", "t", "1", 1 + i % 12) for i in range(48)))
+    whole, broken = (Backfill(ingest(spark), rows, days_per_run=90) for _ in range(2))
+    assert whole.run(2025) == 5 and whole.run(2025) == 0
+    assert broken.run(2025, groups=2) == 2 and broken.state(2025).filter("done").count() == 180
+    broken.ingest.on_step = lambda step: (_ for _ in ()).throw(InterruptedError) if step == "log" else None
+    with pytest.raises(InterruptedError):
+        broken.run(2025)
+    broken.ingest.on_step = None
+    assert broken.run(2025) == 3 and broken.state(2025).filter("not done").count() == 0
+    assert stored(broken.ingest) == stored(whole.ingest) and len(stored(whole.ingest)) == 48
+    assert broken.state(2025).agg(F.sum("n")).first()[0] == 48
+
+
+def test_rotation_drops_folders_and_touches_no_other_file(spark):
+    job = ingest(spark)
+    page = F.concat(F.lit("<p>"), F.col("ref_consultation"))
+    days = [F.lit(f"2025-0{m}-15 00:00:00").cast("timestamp_ntz") for m in (1, 4, 6)]
+    for lot, day in enumerate(days):
+        job.run(batch(spark, (f"R{lot}", "t", "1", 1)).withColumn("page_html", page), lot, day)
+    root = job.store.path("archive")
+
+    def times():
+        return {os.path.join(at, f): os.stat(os.path.join(at, f)).st_mtime_ns for at, _, names in os.walk(root) for f in names if "2025-01" not in at and "=" in at}
+
+    before = times()
+    assert [str(d) for d in job.store.drop_archive(F.lit("2025-07-01 00:00:00").cast("timestamp_ntz"), 3)] == ["2025-01-15"]
+    assert times() == before and [str(d) for d in job.store.archive_days()] == ["2025-04-15", "2025-06-15"]
+    assert [r.ref_consultation for r in job.store.dangling().collect()] == ["R0"]
+    html = {r.ref_consultation: r.html for r in archive.pages_at(job.store.read(), job.store.archive()).collect()}
+    assert html == {"R0": None, "R1": "<p>R1", "R2": "<p>R2"}
+    assert job.store.drop_archive(F.lit("2025-07-01 00:00:00").cast("timestamp_ntz"), 3) == []
+    job.run(batch(spark, ("R9", "t", "1", 1)).withColumn("page_html", F.lit("<p>R0")), 9, days[2])
+    assert {r.ref_consultation for r in job.store.dangling().collect()} == {"R0"} and job.store.archive().filter("html = '<p>R0'").count() == 1
+
+
 def test_upsert_moves_nothing_between_months(spark):
     job = ingest(spark, mode="upsert")
     now = F.lit("2025-07-01 00:00:00").cast("timestamp_ntz")
