@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from adjudika.catalog import bindings_sql as B
 from adjudika.catalog.registry import query
 from adjudika.operators.filters import search_window
+from adjudika.operators.nesting import dossier
 from adjudika.operators.projections import AWARD, MINUTES, TENDER_DETAIL, TENDER_LIST
 from adjudika.plans import listings as L
 from adjudika.sources import driver_tables as D
@@ -116,26 +117,70 @@ def jn_detail_one(spark, sf_dir):
                          F.get("lots", F.lit(0)).numero_lot.alias("premier_lot"))
 
 
-@query("jn_detail_all", B.with_tables("""
-SELECT c.ref_consultation, coalesce(n_lots, 0) AS n_lots, coalesce(n_pv, 0) AS n_pv,
-  coalesce(n_attributions, 0) AS n_attributions, coalesce(n_achevements, 0) AS n_achevements,
-  coalesce(pv, '') AS pv, dernier_achevement
+def _agg(items: str, order: str) -> str:
+    return f"coalesce(string_agg(concat_ws('~', {items}), '|' ORDER BY {order}), '')"
+
+
+def _sql_cents(c):
+    return f"CAST(CAST({c} * 100 AS BIGINT) AS VARCHAR)"
+
+
+def _sql_day(c):
+    return f"strftime({c}, '%Y-%m-%d')"
+
+
+@query("jn_detail_all", B.with_tables(f"""
+SELECT c.ref_consultation, titre, 0 AS part, coalesce(l.x, '') AS lots, coalesce(p.x, '') AS pv, coalesce(a.x, '') AS attributions, coalesce(h.x, '') AS achevements
 FROM consultations c
-LEFT JOIN (SELECT ref_consultation, count(*) AS n_lots FROM lots GROUP BY 1) l USING (ref_consultation)
-LEFT JOIN (SELECT ref_consultation, count(*) AS n_pv,
-    string_agg(type_pv, '|' ORDER BY date_publication_pv, type_pv, nombre_soumissionnaires) AS pv
-  FROM pv_extraits GROUP BY 1) p USING (ref_consultation)
-LEFT JOIN (SELECT ref_consultation, count(*) AS n_attributions FROM attributions GROUP BY 1) a USING (ref_consultation)
-LEFT JOIN (SELECT ref_consultation, count(*) AS n_achevements,
-    CAST(max(date_achevement) AS TIMESTAMP) AS dernier_achevement
-  FROM achevements GROUP BY 1) h USING (ref_consultation)
+LEFT JOIN (SELECT ref_consultation, {_agg(f"numero_lot, designation, {_sql_cents('montant_estime')}", "numero_lot, designation, montant_estime")} AS x
+  FROM lots GROUP BY 1) l USING (ref_consultation)
+LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_publication_pv')}, type_pv, CAST(nombre_soumissionnaires AS VARCHAR)",
+                                          "date_publication_pv, type_pv, nombre_soumissionnaires")} AS x FROM pv_extraits GROUP BY 1) p USING (ref_consultation)
+LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_attribution')}, entreprise_nom, {_sql_cents('montant_ttc')}", "date_attribution, entreprise_nom, montant_ttc")} AS x
+  FROM attributions GROUP BY 1) a USING (ref_consultation)
+LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_achevement')}, entreprise_nom, {_sql_cents('montant_definitif')}",
+                                          "date_achevement, entreprise_nom, montant_definitif")} AS x FROM achevements GROUP BY 1) h USING (ref_consultation)
 """, B.CONSULTATIONS, B.LOTS, B.PV, B.ATTRIBUTIONS, B.ACHEVEMENTS))
 def jn_detail_all(spark, sf_dir):
-    dossier = L.tender_dossier(
-        D.consultations(spark, sf_dir), D.lots(spark, sf_dir), D.pv_extraits(spark, sf_dir),
-        D.attributions(spark, sf_dir), D.achevements(spark, sf_dir))
-    counts = {f"n_{c}": F.size(c).cast("bigint") for c in ("lots", "pv", "attributions", "achevements")}
-    return dossier.select(
-        "ref_consultation", *(c.alias(n) for n, c in counts.items()), _flat("pv", [lambda x: x.type_pv]).alias("pv"),
-        F.array_max(F.transform("achevements", lambda x: x.date_achevement)).cast("timestamp_ntz")
-        .alias("dernier_achevement"))
+    """Tenders with the contents of all four relations."""
+    return _flat_dossier(_dossier(spark, sf_dir)).select("ref_consultation", "titre", "part", *_CONTENTS)
+
+
+def _dossier(spark, sf_dir, part_size=10_000):
+    return L.tender_dossier(D.consultations(spark, sf_dir), D.lots(spark, sf_dir), D.pv_extraits(spark, sf_dir), D.attributions(spark, sf_dir),
+                            D.achevements(spark, sf_dir), part_size)
+
+
+def _day(c):
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+_CONTENTS = {
+    "lots": [lambda x: x.numero_lot, lambda x: x.designation, lambda x: _cents(x.montant_estime)],
+    "pv": [lambda x: _day(x.date_publication_pv), lambda x: x.type_pv, lambda x: x.nombre_soumissionnaires.cast("string")],
+    "attributions": [lambda x: _day(x.date_attribution), lambda x: x.entreprise_nom, lambda x: _cents(x.montant_ttc)],
+    "achevements": [lambda x: _day(x.date_achevement), lambda x: x.entreprise_nom, lambda x: _cents(x.montant_definitif)],
+}
+
+
+def _flat_dossier(df):
+    return df.withColumns({name: _flat(name, fields) for name, fields in _CONTENTS.items()})
+
+
+@query("jn_detail_parts", B.with_tables("""
+SELECT c.ref_consultation, CAST(p AS INT) AS part, CAST(greatest(0, least(3, l.n - 3 * p)) AS BIGINT) AS n_lots, CAST(greatest(0, least(3, coalesce(h.n, 0) - 3 * p)) AS BIGINT) AS n_achevements,
+  l.x AS lots
+FROM consultations c
+JOIN (SELECT ref_consultation, count(numero_lot) AS n, coalesce(string_agg(numero_lot || '~' || designation, '|' ORDER BY numero_lot, designation), '') AS x
+  FROM consultations LEFT JOIN lots USING (ref_consultation) GROUP BY 1) l USING (ref_consultation)
+LEFT JOIN (SELECT ref_consultation, count(*) AS n FROM achevements GROUP BY 1) h USING (ref_consultation),
+range(0, 100) r(p) WHERE p = 0 OR 3 * p < greatest(l.n, coalesce(h.n, 0))""", B.CONSULTATIONS_CORE, B.LOTS, B.ACHEVEMENTS))
+def jn_detail_parts(spark, sf_dir):
+    """Parts of three children: how many each part has, and, over all parts of a tender, which lots."""
+    relations = {"lots": (D.lots(spark, sf_dir), ("numero_lot", "designation", "montant_estime")),
+                 "achevements": (D.achevements(spark, sf_dir), ("date_achevement", "entreprise_nom", "montant_definitif"))}
+    nested = dossier(D.consultations_core(spark, sf_dir).select("ref_consultation", "statut"), "ref_consultation", relations, 3)
+    texts = F.transform("lots", lambda x: F.concat_ws("~", x.numero_lot, x.designation))
+    rows = nested.select("ref_consultation", "part", *(F.size(n).cast("bigint").alias(f"n_{n}") for n in relations), texts.alias("lots"))
+    every = rows.groupBy("ref_consultation").agg(F.array_join(F.sort_array(F.flatten(F.collect_list("lots"))), "|").alias("lots"))
+    return rows.drop("lots").join(every, "ref_consultation")

@@ -16,37 +16,65 @@ def _items(columns) -> Column:
 
 
 def nest(children: DataFrame, key: str, columns, name: str, part_size: int = 10_000) -> DataFrame:
-    """Children of each key as sorted arrays: ``(key, part, name)``, one row per key and part.
+    """Children of each key as sorted arrays: ``(key, part, name)``, one row per key and part; see ``dossier``."""
+    return _gathered(_dealt({name: (children, columns)}, key, part_size), key, {name: (children, columns)}).drop("_own")
 
-    A key with up to ``part_size`` children has part 0 alone. The children of a larger key are ranked by a hash of their content, then
-    by content, and part p holds the ranks from ``p * part_size`` on: ``part_size`` children each, the last one the rest. Rank and part
-    depend on the children only, not on files, partitions or cores; equal children may stand in two parts. Nothing is dropped, and no
-    task holds all children of a large key.
+
+def dossier(parents: DataFrame, key: str, relations: dict[str, tuple[DataFrame, tuple]], part_size: int = 10_000) -> DataFrame:
+    """Parents (unique by key) with child relations as sorted arrays, in one pass over each relation: their columns, ``part`` and the arrays.
+
+    ``relations`` gives each array's name, its children and their columns. A key with up to ``part_size`` children in every relation has part
+    0 alone. Those of a larger one are ranked by a hash of their content, then by content, and part p holds the ranks from ``p * part_size`` on:
+    ``part_size`` children each, the last one the rest. Rank and part depend on the children only, not on files, partitions or cores; equal
+    children may stand in two parts. Children without a parent are left out, nothing else is dropped, and no task holds all children of a
+    large key. A parent without children gets empty arrays.
+
+    All relations travel together: equal children are counted before the first exchange; offsets of hash slices come from the counts, and only
+    slices of large keys get any; the second exchange brings parents and children together, so there is no join of nested relations.
     """
-    names = [c for c in columns if c != key]
-    rows = children.select(key, *names)
-    large = children.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > part_size).select(key)
-    small = rows.join(large, key, "left_anti").groupBy(key).agg(_items(columns).alias(name)).select(key, F.lit(0).alias("part"), name)
-    return small.unionByName(_in_parts(rows.join(large, key, "left_semi"), key, columns, name, part_size))
-
-
-def _in_parts(rows: DataFrame, key: str, columns, name: str, part_size: int) -> DataFrame:
-    names = [c for c in rows.columns if c != key]
-    # Equal children are counted before they travel; a count stands for a run of ranks.
-    once = rows.groupBy(key, *names).agg(F.count(F.lit(1)).alias("_n")).withColumn("_hash", F.xxhash64(*columns)).withColumn(
-        "_slice", F.pmod("_hash", F.lit(SLICES)))
-    sizes = once.groupBy(key, "_slice").agg(F.sum("_n").alias("_size"))
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows a key
-    offsets = sizes.select(key, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(key, "_slice").orderBy("_hash", *names).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_offset") + F.coalesce(F.sum("_n").over(within), F.lit(0))
-    ranked = once.join(offsets, [key, "_slice"]).withColumn("_first", first)
-    part = F.explode(F.sequence(F.floor(F.col("_first") / part_size), F.floor((F.col("_first") + F.col("_n") - 1) / part_size))).alias("part")
-    dealt = ranked.select("*", part).withColumn("part", F.col("part").cast("int"))
-    held = (F.least(F.col("_first") + F.col("_n"), (F.col("part") + 1).cast("bigint") * part_size)
-            - F.greatest(F.col("_first"), F.col("part").cast("bigint") * part_size)).cast("int")
-    copies = F.array_repeat(F.struct(*columns), held)
-    return dealt.groupBy(key, "part").agg(F.sort_array(F.flatten(F.collect_list(copies))).alias(name))
+    dealt = _dealt(relations, key, part_size)
+    own = F.struct(*(c for c in parents.columns if c != key)).alias("_own")
+    first = parents.select(key, F.lit(0).alias("part"), own)
+    further = dealt.filter("part > 0").select(key, "part").distinct()
+    rows = dealt.unionByName(first, allowMissingColumns=True).unionByName(parents.join(further, key).select(key, "part", own), allowMissingColumns=True)
+    whole = _gathered(rows, key, relations).filter(F.col("_own").isNotNull())
+    return whole.select(key, "_own.*", "part", *relations).select(*parents.columns, "part", *relations)
+
+
+def _gathered(rows: DataFrame, key: str, relations: dict) -> DataFrame:
+    own = F.first("_own", ignorenulls=True) if "_own" in rows.columns else F.lit(None)
+    return rows.groupBy(key, "part").agg(own.alias("_own"), *(
+        F.sort_array(F.flatten(F.collect_list(F.when(F.col(f"_{n}").isNotNull(), F.array_repeat(f"_{n}", F.col("_held").cast("int")))))).alias(n)
+        for n in relations))
+
+
+def _dealt(relations: dict, key: str, part_size: int) -> DataFrame:
+    """Distinct children with their part and how often it holds them: key, part, _held and one struct a relation, of which one is set."""
+    tagged = []
+    for at, (name, (children, columns)) in enumerate(relations.items()):
+        item = F.struct(*columns)
+        tagged.append(children.select(key, F.lit(at).alias("_rel"), F.xxhash64(*columns).alias("_hash"), item.alias(f"_{name}")))
+    items = [f"_{n}" for n in relations]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    once = rows.groupBy(key, "_rel", "_hash", *items).agg(F.count(F.lit(1)).alias("_n"))
+    by = [key, "_rel", "_slice"]
+    sliced = once.withColumn("_slice", F.pmod("_hash", F.lit(SLICES)))
+    sizes = sliced.groupBy(*by).agg(F.sum("_n").alias("_size"))
+    # At most SLICES rows a key and relation.
+    whole = Window.partitionBy(key, "_rel")
+    before = F.sum("_size").over(whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.withColumns({"_offset": F.coalesce(before, F.lit(0)), "_total": F.sum("_size").over(whole)})
+    large = offsets.filter(F.col("_total") > part_size).select(*by, "_offset")
+    met = sliced.join(large, by, "left")
+    cold = met.filter(F.col("_offset").isNull()).select(key, F.lit(0).alias("part"), F.col("_n").alias("_held"), *items)
+    within = Window.partitionBy(*by).orderBy("_hash", *items).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = met.filter(F.col("_offset").isNotNull()).withColumn("_first", F.col("_offset") + F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    last = F.col("_first") + F.col("_n") - 1
+    parts = F.explode(F.sequence(F.floor(F.col("_first") / part_size), F.floor(last / part_size)))
+    spread = ranked.withColumn("part", parts)
+    held = F.least(last + 1, (F.col("part") + 1) * part_size) - F.greatest(F.col("_first"), F.col("part") * part_size)
+    hot = spread.select(key, F.col("part").cast("int").alias("part"), held.alias("_held"), *items)
+    return cold.unionByName(hot)
 
 
 def attach(parents: DataFrame, key: str, *nested: DataFrame) -> DataFrame:

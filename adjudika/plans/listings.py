@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adjudika.operators import filters as f
-from adjudika.operators.nesting import attach, nest
+from adjudika.operators.nesting import dossier
 from adjudika.operators.projections import AWARD, LOT, MINUTES, TENDER_DETAIL, TENDER_LIST, shape
 
 
@@ -61,21 +61,14 @@ def tender_detail(consultations: DataFrame, lots: DataFrame, ref: str | None = N
     """Tender with its lots as an array; with ``ref``, of that tender only (the filter reaches both scans)."""
     if ref:
         consultations, lots = (d.filter(F.col("ref_consultation") == ref) for d in (consultations, lots))
-    return attach(shape(consultations, TENDER_DETAIL), "ref_consultation",
-                  nest(shape(lots, ("ref_consultation", *LOT)), "ref_consultation", LOT, "lots", part_size))
+    return dossier(shape(consultations, TENDER_DETAIL), "ref_consultation", {"lots": (shape(lots, ("ref_consultation", *LOT)), LOT)}, part_size)
 
 
 def tender_dossier(consultations: DataFrame, lots: DataFrame, minutes: DataFrame, awards: DataFrame,
                    completions: DataFrame, part_size: int = 10_000) -> DataFrame:
     """Tender with all four child relations as arrays."""
     key = "ref_consultation"
-    return attach(
-        shape(consultations, TENDER_DETAIL), key,
-        nest(shape(lots, (key, *LOT)), key, LOT, "lots", part_size),
-        nest(shape(minutes, (key, "type_pv", "date_publication_pv", "nombre_soumissionnaires")), key,
-             ("date_publication_pv", "type_pv", "nombre_soumissionnaires"), "pv", part_size),
-        nest(shape(awards, (key, "date_attribution", "entreprise_nom", "montant_ttc")), key,
-             ("date_attribution", "entreprise_nom", "montant_ttc"), "attributions", part_size),
-        nest(shape(completions, (key, "date_achevement", "entreprise_nom", "montant_definitif")), key,
-             ("date_achevement", "entreprise_nom", "montant_definitif"), "achevements", part_size),
-    )
+    kinds = {"lots": (lots, LOT), "pv": (minutes, ("date_publication_pv", "type_pv", "nombre_soumissionnaires")),
+             "attributions": (awards, ("date_attribution", "entreprise_nom", "montant_ttc")),
+             "achevements": (completions, ("date_achevement", "entreprise_nom", "montant_definitif"))}
+    return dossier(shape(consultations, TENDER_DETAIL), key, {n: (shape(df, (key, *columns)), columns) for n, (df, columns) in kinds.items()}, part_size)

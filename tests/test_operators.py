@@ -44,6 +44,25 @@ def test_attach_aligns_relations_and_gives_empty_arrays(spark):
     assert [len(r.b) for r in got if r.ref == "k1"] == [1]
 
 
+def test_dossier_equals_nested_relations_and_scans_each_once(spark, tmp_path):
+    df, rows = children(spark)
+    df.write.parquet(str(tmp_path / "c"))
+    parents = spark.createDataFrame([(k, f"p{k}") for k in ("hot", "k1", "k2", "none")], "ref string, label string")
+    parents.write.parquet(str(tmp_path / "p"))
+    stored, parents = (spark.read.parquet(str(tmp_path / n)) for n in "cp")
+    relations = {"a": (stored, ("no", "label")), "b": (stored.filter("ref like 'k%'"), ("label",))}
+    for part_size in (1000, 8):
+        whole = nesting.dossier(parents, "ref", relations, part_size)
+        got = {(r.ref, r.part): r for r in whole.collect()}
+        for name in relations:
+            nested = {(r.ref, r.part): r[name] for r in nesting.nest(*relations[name][:1], "ref", relations[name][1], name, part_size).collect()}
+            assert {k: r[name] for k, r in got.items() if r[name]} == {k: v for k, v in nested.items() if k[0] in ("hot", "k1", "k2")}
+        assert got["none", 0].a == [] == got["none", 0].b and {r.label for k, r in got.items() if k[0] == "hot"} == {"phot"}
+        final = whole._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        if part_size == 1000:  # no key is large: one scan a relation, one of the parents
+            assert final.count("FileScan parquet") == 3
+
+
 def arrivals(spark):
     rows = [("hot", i % 17, f"v{i % 5}") for i in range(60)] + [("a", 2, "x"), ("a", 1, None), ("b", 1, "y"), ("b", 1, "y")]
     return spark.createDataFrame(rows, "ref string, at int, v string").repartition(5), rows
