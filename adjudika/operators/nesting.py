@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Slices of a hot key's children that are ranked apart.
+#: Slices of a hot key's children that are ranked apart, a power of two.
 SLICES = 1024
 
 
@@ -32,6 +32,8 @@ def dossier(parents: DataFrame, key: str, relations: dict[str, tuple[DataFrame,
     All relations travel together: equal children are counted before the first exchange; offsets of hash slices come from the counts, and only
     slices of large keys get any; the second exchange brings parents and children together, so there is no join of nested relations.
     """
+    # A NULL key has no parent. Left in, the joins below would drop it on some branches only, and these could not share their exchange.
+    relations = {n: (df.filter(F.col(key).isNotNull()), columns) for n, (df, columns) in relations.items()}
     dealt = _dealt(relations, key, part_size)
     own = F.struct(*(c for c in parents.columns if c != key)).alias("_own")
     first = parents.select(key, F.lit(0).alias("part"), own)
@@ -58,7 +60,7 @@ def _dealt(relations: dict, key: str, part_size: int) -> DataFrame:
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     once = rows.groupBy(key, "_rel", "_hash", *items).agg(F.count(F.lit(1)).alias("_n"))
     by = [key, "_rel", "_slice"]
-    sliced = once.withColumn("_slice", F.pmod("_hash", F.lit(SLICES)))
+    sliced = once.withColumn("_slice", F.col("_hash").bitwiseAND(F.lit(SLICES - 1)))
     sizes = sliced.groupBy(*by).agg(F.sum("_n").alias("_size"))
     # At most SLICES rows a key and relation.
     whole = Window.partitionBy(key, "_rel")

@@ -60,7 +60,7 @@ def test_dossier_equals_nested_relations_and_scans_each_once(spark, tmp_path):
         assert got["none", 0].a == [] == got["none", 0].b and {r.label for k, r in got.items() if k[0] == "hot"} == {"phot"}
         final = whole._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         if part_size == 1000:  # no key is large: one scan a relation, one of the parents
-            assert final.count("FileScan parquet") == 3
+            assert final.count("FileScan parquet") == 3, final
 
 
 def arrivals(spark):
