@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adjudika.catalog import bindings_sql as B
+from adjudika.catalog.monitoring import _ERRORS, _ITEMS, _LIMITED, _PAGES, _alert_sql
 from adjudika.catalog.quality import RAW, incoming_from
 from adjudika.catalog.registry import query
 from adjudika.plans import retention as T
@@ -15,6 +16,7 @@ from adjudika.sinks.archive import pages_at
 from adjudika.sinks.store import TenderStore
 from adjudika.sources import driver_tables as D
 from adjudika.sources import new_arrivals
+from adjudika.streaming import alerts as A
 from adjudika.streaming import jobs as J
 
 _GOOD = """good AS (SELECT * FROM raw WHERE titre <> '' AND organisme_acronyme IS NOT NULL AND type_marche <> 'autre'
@@ -66,6 +68,34 @@ def str_windows(spark, sf_dir):
     return spark.read.schema("event_type string, debut timestamp_ntz, fin timestamp_ntz, n bigint").parquet(f"{home}/out")
 
 
+def _rule_sql(name, counted, window, condition, hold):
+    """Edges of one alert at the minutes that the watermark has passed."""
+    return f"""SELECT spider, '{name}' AS alerte, t, CASE WHEN firing THEN 'debut' ELSE 'fin' END AS bord FROM (
+{_alert_sql(counted, window, condition, hold)}
+SELECT *, coalesce(lag(firing) OVER (PARTITION BY spider ORDER BY t), false) AS before FROM f)
+WHERE firing <> before AND t <= (SELECT date_trunc('minute', max(ts)) - INTERVAL 10 MINUTE FROM events)"""
+
+
+@query("str_alerts", "\nUNION ALL ".join((
+    _rule_sql("no_items", _ITEMS, 300, "n = 0", 60), _rule_sql("error_rate", _ERRORS, 60, "n > 1.8", 15),
+    _rule_sql("rate_limited", _LIMITED, 240, "n > 1", 5), _rule_sql("stuck", _PAGES, 30, "n = 0 AND active > 0", 30))))
+def str_alerts(spark, sf_dir):
+    """A quarter of the events arrives at a time, and the job is started anew for it. All alert edges up to the watermark."""
+    home, events = work_dir(spark, "alerts"), D.read(spark, sf_dir, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    rules = [A.Rule("no_items", "items_scraped_total", 300, 60, "consultation"), A.Rule("error_rate", "spider_errors_total", 60, 15, above=1.8),
+             A.Rule("rate_limited", "responses_total", 240, 5, "429", above=1), A.Rule("stuck", "pages_scraped_total", 30, 30, while_active=True)]
+    for k in range(4):
+        since, until = low + (high - low) * k / 4, low + (high - low) * (k + 1) / 4
+        part = events.filter((F.col("ts") >= F.lit(since)) & ((F.col("ts") < F.lit(until)) | F.lit(k == 3)))
+        part.write.mode("append").parquet(f"{home}/in")
+        arrived = new_arrivals(spark, f"{home}/in", D.schema_of("events"), "parquet")
+        edges = A.alert_edges(D.metrics_of(arrived), rules, low.replace(second=0, microsecond=0))
+        J.append_parquet(edges, f"{home}/out", f"{home}/checkpoint").awaitTermination()
+    found = spark.read.schema(A.EDGES).parquet(f"{home}/out")
+    return found.withColumn("t", F.col("t").cast("timestamp_ntz"))
+
+
 @query("str_first_arrivals", "SELECT DISTINCT user_id FROM events")
 def str_first_arrivals(spark, sf_dir):
     home = work_dir(spark, "first")

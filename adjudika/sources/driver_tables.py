@@ -196,7 +196,11 @@ def spider_of(user: Column) -> Column:
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric events ``(ts, spider, metric, label, value)``, one row per counter that an event increments."""
-    events = read(spark, sf_dir, "events")
+    return metrics_of(read(spark, sf_dir, "events"))
+
+
+def metrics_of(events: DataFrame) -> DataFrame:
+    """The metric events of the given events, which may be a stream."""
     names = F.coalesce(*(
         F.when(F.col("event_type") == kind, F.array(*(F.lit(m) for m in names)))
         for kind, names in EVENT_METRICS.items()
