@@ -8,6 +8,7 @@ from adjudika.catalog.registry import query
 from adjudika.extraction import links as K
 from adjudika.extraction import rows as X
 from adjudika.extraction import elements as E
+from adjudika.extraction.picking import dealt
 from adjudika.operators import dedup
 from adjudika.operators import relations as J
 from adjudika.sources import driver_tables as D
@@ -19,6 +20,11 @@ def with_elements(pages):
     return E.with_elements(pages, partitions=pages.sparkSession.sparkContext.defaultParallelism)
 
 
+def raw(pages):
+    """The same for pages whose fields the kernel picks itself."""
+    return dealt(pages, pages.sparkSession.sparkContext.defaultParallelism)
+
+
 def _stamp():
     return F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -101,7 +107,7 @@ SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/l?p=' || o_orde
   CASE o_orderkey % 4 WHEN 0 THEN 'https://www.marchespublics.gov.ma/l?p=' || (o_orderkey + 1)
     WHEN 1 THEN 'https://www.marchespublics.gov.ma/l?currentPage=' || (o_orderkey + 1) END AS next_url FROM orders""")
 def ext_next_forms(spark, sf_dir):
-    return K.next_pages(with_elements(P.link_pages(spark, sf_dir)))
+    return K.next_pages(raw(P.link_pages(spark, sf_dir)))
 
 
 @query("ext_profile", """
@@ -137,7 +143,7 @@ SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/cherche/liste?p
   CASE WHEN o_orderkey % 10 <> 9 THEN 'https://www.marchespublics.gov.ma/cherche/liste?p=' || (o_orderkey + 1) END AS next_url
 FROM orders""")
 def ext_next(spark, sf_dir):
-    return K.next_pages(with_elements(P.list_pages(spark, sf_dir)))
+    return K.next_pages(raw(P.list_pages(spark, sf_dir)))
 
 
 @query("ext_pagination_gaps", """
@@ -145,32 +151,32 @@ SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/cherche/liste?p
 FROM orders WHERE o_orderkey % 10 <> 9 AND o_orderkey + 1 NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 <> 0)""")
 def ext_pagination_gaps(spark, sf_dir):
     pages = P.list_pages(spark, sf_dir)
-    return J.missing_next_pages(K.next_pages(with_elements(pages)), pages.filter(F.col("page_id") % 4 != 0))
+    return J.missing_next_pages(K.next_pages(raw(pages)), pages.filter(F.col("page_id") % 4 != 0))
 
 
 @query("ext_rows_roundtrip", f"""
 SELECT o_orderkey AS page_id, 'AO-' || o_orderkey || '-' || i AS ref_consultation, 'Marche' AS titre, 'ORG' || i AS organisme_acronyme,
-  {_TYPE} AS type_marche, o_orderdate AS date_publication, CAST(NULL AS TIMESTAMP) AS date_limite, {_STATUT} AS statut,
+  {_TYPE} AS type_marche, o_orderdate AS date_publication, CASE WHEN i <> 2 THEN o_orderdate + INTERVAL 30 DAY END AS date_limite, {_STATUT} AS statut,
   CASE WHEN i < 3 THEN {_DETAIL} || 'O' || i ELSE
     'https://www.marchespublics.gov.ma/index.php?page=entreprise.EntrepriseDetailsConsultation&refConsultation=AO-'
     || o_orderkey || '-' || i || '&orgAcronyme=ORG' || i END AS url_detail,
   TIMESTAMP '2025-01-01' AS date_extraction, i < 3 AS suivre_detail FROM {_numbered(3)} WHERE o_orderkey % 10 <> 5""")
 def ext_rows_roundtrip(spark, sf_dir):
-    return X.tender_rows(with_elements(P.list_pages(spark, sf_dir)), _stamp()).drop("_no")
+    return X.tender_rows(raw(P.list_pages(spark, sf_dir)), _stamp()).drop("_no")
 
 
 @query("ext_detail", """
 SELECT 'https://www.marchespublics.gov.ma/index.php?page=entreprise.EntrepriseDetailsConsultation&refConsultation='
     || o_orderkey || '&orgAcronyme=org' AS url_detail,
   CASE WHEN o_orderkey % 5 <> 0 THEN 'Objet de' END AS objet, 'Nom ' || o_custkey AS organisme_nom_complet,
-  o_orderpriority AS organisme_ville, CAST(NULL AS VARCHAR) AS organisme_telephone, CAST(NULL AS VARCHAR) AS secteur,
-  CAST(NULL AS VARCHAR) AS code_cpv, 'c' || o_custkey || '@example.org' AS organisme_email, o_totalprice AS montant_estime,
-  CAST(NULL AS DOUBLE) AS cautionnement_provisoire,
+  o_orderpriority AS organisme_ville, CASE WHEN o_orderkey % 3 <> 1 THEN '05 22 ' || o_custkey END AS organisme_telephone,
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'Secteur ' || o_orderkey % 4 END AS secteur, CASE WHEN o_orderkey % 7 <> 0 THEN '4500' || o_orderkey % 7 END AS code_cpv, 'c' || o_custkey || '@example.org' AS organisme_email, o_totalprice AS montant_estime,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 1000 + 0.5::DOUBLE END AS cautionnement_provisoire,
   'https://www.marchespublics.gov.ma/' || CASE WHEN o_orderkey % 2 = 0 THEN 'doc/avis-1.pdf' ELSE 'doc.php?n=1' END AS url_avis,
   'https://www.marchespublics.gov.ma/index.php?page=entreprise.EntrepriseDetailsConsultation&refConsultation='
     || o_orderkey || '&orgAcronyme=org' AS url_dce FROM orders""")
 def ext_detail(spark, sf_dir):
-    return X.detail_fields(with_elements(P.detail_pages(spark, sf_dir)))
+    return X.detail_fields(raw(P.detail_pages(spark, sf_dir)))
 
 
 @query("ext_lots_roundtrip", f"""
@@ -215,15 +221,18 @@ def ext_form_rows(spark, sf_dir):
 SELECT CASE WHEN b THEN strftime(o_orderdate, '%d/%m/%Y') || ' 10:00' END AS date_limite, CASE WHEN b THEN o_orderkey || '/2025' END AS ref,
   CASE WHEN b THEN 'Objet AB' END AS objet, CASE WHEN b THEN 'Entite ' || o_orderpriority END AS entite_publique,
   CASE WHEN b THEN 'Appel' || CASE WHEN o_orderkey % 2 = 0 THEN ' ouvert' ELSE '' END END AS type_procedure,
-  CAST(NULL AS VARCHAR) AS categorie, CASE WHEN b THEN 'Site 1 Site 2' END AS visites_lieux, NOT b AS sans_recap,
+  CASE WHEN c THEN 'Cat ' || o_orderkey % 4 END AS categorie, CASE WHEN c THEN 'Lieu ' || o_orderkey || ', R' END AS lieu_execution,
+  CASE WHEN c THEN o_orderkey || ',00' END AS estimation_ttc, CASE WHEN c THEN 'C ' || o_orderkey END AS caution_provisoire,
+  CASE WHEN c THEN 'Salle ' || o_orderkey END AS lieu_ouverture_plis, CASE WHEN a THEN 'Retrait ' || o_orderkey END AS adresse_retrait_dossiers,
+  CASE WHEN a THEN 'Depot' || o_orderkey END AS adresse_depot_offres, CASE WHEN a THEN 'Oui' END AS variante_autorisee,
+  CASE WHEN b THEN 'Site 1 Site 2' END AS visites_lieux, NOT b AS sans_recap,
   CAST(o_orderkey AS VARCHAR) AS "refConsultation", 'org' AS "orgAcronyme",
   sha256(CASE WHEN b THEN 'Entite ' || o_orderpriority || '|' || o_orderkey || '/2025|' || strftime(o_orderdate, '%d/%m/%Y') || ' 10:00'
     ELSE '||' END) AS id, '2025-01-01T00:00:00+00:00' AS scraped_at, {_DETAIL} || 'org' AS url_detail
-FROM (SELECT *, o_orderkey % 6 <> 0 AS b FROM orders)""")
+FROM (SELECT *, o_orderkey % 6 <> 0 AS b, o_orderkey % 6 <> 0 AND o_orderkey % 4 <> 1 AS c, o_orderkey % 6 <> 0 AND o_orderkey % 5 <> 1 AS a FROM orders)""")
 def ext_recap(spark, sf_dir):
-    records = X.recap_records(with_elements(P.recap_pages(spark, sf_dir)), F.lit("2025-01-01T00:00:00+00:00"))
-    return records.drop("lieu_execution", "estimation_ttc", "caution_provisoire", "lieu_ouverture_plis",
-                        "adresse_retrait_dossiers", "adresse_depot_offres", "variante_autorisee")
+    """All fourteen fields of the recap block."""
+    return X.recap_records(raw(P.recap_pages(spark, sf_dir)), F.lit("2025-01-01T00:00:00+00:00"))
 
 
 @query("ext_detail_links", f"""
@@ -248,5 +257,5 @@ SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/cherche/liste?p
 FROM orders WHERE o_orderkey % 10 = 5""")
 def ext_dead_letter(spark, sf_dir):
     pages = P.list_pages(spark, sf_dir)
-    rows = X.tender_rows(with_elements(pages), _stamp())
+    rows = X.tender_rows(raw(pages), _stamp())
     return J.pages_without_rows(pages, rows).select("page_id", "url")

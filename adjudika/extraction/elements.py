@@ -3,7 +3,7 @@
 ``with_elements`` adds two arrays to a page row. ``elements`` is in document order, and an element's descendants are the
 slots that follow it up to ``last``; ``texts`` holds the stripped non-blank text pieces, and an element owns the slice
 ``[t0, t1)``. ``above`` holds of the enclosing tags only what selectors ask for (see ``_below``), so it stays short however deep a
-page nests. Time and memory are linear in the page, also if tags, quotes or comments never close. Selection, field rules and row building are column expressions over these arrays.
+page nests. Time and memory are linear in the page, also if tags, quotes or comments never close or end tags match nothing. Selection, field rules and row building are column expressions over these arrays.
 """
 
 from __future__ import annotations
@@ -116,20 +116,20 @@ class PageBatch:
         names: list[str] = []
         paths = ["/"]  # asked-for tags above a child, and children seen so far, per open element
         children = [0]
+        depths: dict[str, list[int]] = {}  # of the open elements of each tag, the nearest one last
 
         def pop_to(depth: int) -> None:
             end, place = len(started) - 1 - base, len(texts) - text_base
-            for slot in opened[depth:]:
+            for slot, name in zip(opened[depth:], names[depth:]):
                 last[slot], t1[slot] = end, place
+                depths[name].pop()
             del opened[depth:], names[depth:], paths[depth + 1:], children[depth + 1:]
 
         def close(wanted, scope) -> None:
             """Close the nearest open element of these names, unless a scope element is nearer."""
-            for depth in range(len(names) - 1, -1, -1):
-                if names[depth] in wanted:
-                    return pop_to(depth)
-                if names[depth] in scope:
-                    return None
+            depth = max((depths[t][-1] for t in wanted if depths.get(t)), default=-1)
+            if depth >= 0 and all(depths[t][-1] <= depth for t in scope if depths.get(t)):
+                pop_to(depth)
 
         def text(piece: str) -> None:
             if opened:
@@ -154,6 +154,7 @@ class PageBatch:
             own.append(None)
             t1.append(place)
             if tag not in VOID:
+                depths.setdefault(tag, []).append(len(opened))
                 opened.append(slot)
                 names.append(tag)
                 paths.append(_below(paths[-1], tag))

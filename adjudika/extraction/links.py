@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudika import functions as fn
+from adjudika.extraction.picking import Field, is_raw, with_records
 from adjudika.extraction.rows import any_match, blocks, let, says
 from adjudika.extraction.selectors import (
     DETAIL_LINK_WORDS, DETAIL_PAGE_NAMES, EMPTY_TEXT, MINUTES_LINK_WORDS, SELECTORS, TENDER_LINK_WORDS,
@@ -45,7 +46,14 @@ def detail_links(links: DataFrame, names=DETAIL_PAGE_NAMES, base: str | None = N
 
 def next_pages(pages: DataFrame) -> DataFrame:
     """Pagination target of every page, NULL on the last one: ``rel=next``, else the first link that says so or that
-    names a page number."""
+    names a page number. ``pages`` have ``html`` or ``elements``."""
+    if is_raw(pages):
+        anchor = [{"tag": "a"}]
+        raw = with_records(pages.select("page_id", "url", "html"), [
+            Field("_declared", [{"tag": "a", "rel": "next"}], "first_href"),
+            Field("_worded", anchor, "href", says=("suivant", "next"), either="currentPage=", lowered=True)])
+        href = F.coalesce(fn.blank_to_null(F.col("_declared")), F.col("_worded"))
+        return raw.select("page_id", "url", let(href, lambda h: fn.url_join(F.col("url"), h)).alias("next_url"))
     declared = F.filter("elements", lambda e: (e.tag == "a") & (e.rel == "next"))
     worded = F.filter("elements", lambda e: (e.tag == "a") & e.href.isNotNull() & (
         says(e, ("suivant", "next"), lowered=True) | F.contains(e.href, F.lit("currentPage="))))

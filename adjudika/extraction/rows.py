@@ -1,4 +1,5 @@
-"""Row-wise extraction. Each function takes pages with ``elements`` and ``texts`` and returns typed or text rows."""
+"""Row-wise extraction. Each function takes pages with ``elements`` and ``texts`` and returns typed or text rows; those whose fields the
+kernel can pick itself also take raw pages with ``html``, which is the faster way."""
 
 from __future__ import annotations
 
@@ -6,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudika import functions as fn
+from adjudika.extraction.picking import Field, is_raw, with_records
 from adjudika.extraction.selectors import SELECTORS, matches
 
 # White space at either end of a text.
@@ -60,22 +62,29 @@ def cell_text(n: int, separator: str = " ") -> Column:
 
 
 def tender_rows(pages: DataFrame, stamp: Column, sel: dict = SELECTORS["list"]) -> DataFrame:
-    """List page to tender records. Rows count only on pages that hold a result table; a row needs a reference."""
-    rows = blocks(pages, F.when(any_match(sel["table"]), found(sel["row"])))
+    """List page to tender records. Rows count only on pages that hold a result table; a row needs a reference.
+
+    ``pages`` have their ``html``, of which the kernel then takes the fields alone, or ``elements`` and ``texts``.
+    """
+    own = ("ref_consultation", "titre", "organisme_acronyme", "type_marche", "date_publication", "date_limite", "statut")
     anchor = [{"tag": "a"}]
-    keyword = F.get(F.filter("parts", lambda e: (e.tag == "a") & (
-        F.contains(F.lower(e.href), F.lit("detail")) | F.contains(F.lower(e.href), F.lit("consultation")))), F.lit(0)).href
-    fields = rows.select(
+    if is_raw(pages):
+        raw = with_records(pages, [
+            *(Field(f"_{n}", sel[n]) for n in own), Field("_specific", sel["detail_link"], "href"), Field("_first", anchor, "href"),
+            Field("_keyword", anchor, "href", href_words=("detail", "consultation"), lowered=True)], rows=sel["row"], needs=sel["table"])
+    else:
+        rows = blocks(pages, F.when(any_match(sel["table"]), found(sel["row"])))
+        keyword = F.get(F.filter("parts", lambda e: (e.tag == "a") & (
+            F.contains(F.lower(e.href), F.lit("detail")) | F.contains(F.lower(e.href), F.lit("consultation")))), F.lit(0)).href
+        raw = rows.select("page_id", "url", "no", *(first_own(sel[n]).alias(f"_{n}") for n in own), first_href(sel["detail_link"]).alias("_specific"),
+                          first_href(anchor).alias("_first"), keyword.alias("_keyword"))
+    fields = raw.select(
         "page_id", F.col("url").alias("_page_url"), F.col("no").alias("_no"),
-        fn.clean_text(first_own(sel["ref_consultation"])).alias("ref_consultation"),
-        fn.clean_text(first_own(sel["titre"])).alias("titre"),
-        fn.clean_text(first_own(sel["organisme_acronyme"])).alias("organisme_acronyme"),
-        fn.normalize_type_marche(first_own(sel["type_marche"])).alias("type_marche"),
-        fn.parse_datetime(first_own(sel["date_publication"])).alias("date_publication"),
-        fn.parse_datetime(first_own(sel["date_limite"])).alias("date_limite"),
-        fn.normalize_statut(first_own(sel["statut"])).alias("statut"),
-        first_href(sel["detail_link"]).alias("_specific"), first_href(anchor).alias("_first"), keyword.alias("_keyword"),
-    )
+        *(fn.clean_text(F.col(f"_{n}")).alias(n) for n in own[:3]),
+        fn.normalize_type_marche(F.col("_type_marche")).alias("type_marche"),
+        fn.parse_datetime(F.col("_date_publication")).alias("date_publication"),
+        fn.parse_datetime(F.col("_date_limite")).alias("date_limite"),
+        fn.normalize_statut(F.col("_statut")).alias("statut"), "_specific", "_first", "_keyword")
     url = fn.detail_url_chain(F.col("_page_url"), F.col("_specific"), F.col("_first"), F.col("_keyword"),
                               F.col("ref_consultation"), F.col("organisme_acronyme"))
     return (
@@ -87,24 +96,32 @@ def tender_rows(pages: DataFrame, stamp: Column, sel: dict = SELECTORS["list"])
 
 
 def detail_fields(pages: DataFrame, sel: dict = SELECTORS["detail"]) -> DataFrame:
-    """Detail page to its enrichment fields, keyed by the page URL."""
-    def own(name: str) -> Column:
-        return first_own(sel[name], "elements", inside=False)
-
-    def link(name: str, words: tuple[str, ...]) -> Column:
-        by_text = F.get(F.filter("elements", lambda e: (e.tag == "a") & e.href.isNotNull() & says(e, words)), F.lit(0)).href
-        href = F.coalesce(fn.blank_to_null(first_href(sel[name], "elements")), by_text, F.lit(""))
+    """Detail page to its enrichment fields, keyed by the page URL; pages as for ``tender_rows``."""
+    texts = ("objet", "organisme_nom_complet", "organisme_ville", "organisme_telephone", "secteur", "code_cpv")
+    amounts, links = ("montant_estime", "cautionnement_provisoire"), {"url_avis": ("Avis", "avis"), "url_dce": ("DCE", "dce")}
+    anchor = [{"tag": "a"}]
+    if is_raw(pages):
+        raw = with_records(pages, [
+            *(Field(f"_{n}", sel[n]) for n in (*texts, *amounts)), Field("_organisme_email", sel["organisme_email"], "href"),
+            *(Field(f"_{n}", sel[n], "href") for n in links), *(Field(f"_{n}_text", anchor, "href", says=words) for n, words in links.items())],
+            inside=False)
+    else:
+        def by_text(words):
+            return F.get(F.filter("elements", lambda e: (e.tag == "a") & e.href.isNotNull() & says(e, words)), F.lit(0)).href
+
+        raw = pages.select(
+            "url", *(first_own(sel[n], "elements", inside=False).alias(f"_{n}") for n in (*texts, *amounts)),
+            *(first_href(sel[n], "elements").alias(f"_{n}") for n in ("organisme_email", *links)),
+            *(by_text(words).alias(f"_{n}_text") for n, words in links.items()))
+
+    def link(name: str) -> Column:
+        href = F.coalesce(fn.blank_to_null(F.col(f"_{name}")), F.col(f"_{name}_text"), F.lit(""))
         return let(href, lambda h: fn.url_join(F.col("url"), h))
 
-    return pages.select(
-        F.col("url").alias("url_detail"),
-        *(let(own(n), lambda v: fn.clean_text(v)).alias(n) for n in (
-            "objet", "organisme_nom_complet", "organisme_ville", "organisme_telephone", "secteur", "code_cpv")),
-        fn.strip_mailto(first_href(sel["organisme_email"], "elements")).alias("organisme_email"),
-        *(let(own(n), lambda v: fn.parse_amount(v)).alias(n) for n in ("montant_estime", "cautionnement_provisoire")),
-        link("url_avis", ("Avis", "avis")).alias("url_avis"),
-        link("url_dce", ("DCE", "dce")).alias("url_dce"),
-    )
+    return raw.select(
+        F.col("url").alias("url_detail"), *(fn.clean_text(F.col(f"_{n}")).alias(n) for n in texts),
+        fn.strip_mailto(F.col("_organisme_email")).alias("organisme_email"),
+        *(fn.parse_amount(F.col(f"_{n}")).alias(n) for n in amounts), *(link(n).alias(n) for n in links))
 
 
 def says(e: Column, words: tuple[str, ...], lowered: bool = False) -> Column:
@@ -197,22 +214,26 @@ def form_rows(pages: DataFrame, sel: dict = SELECTORS["form"]) -> DataFrame:
 
 def recap_records(pages: DataFrame, scraped_at: Column, sel: dict = SELECTORS["recap"]) -> DataFrame:
     """Detail record from the recap block. A page without the block gives a record of NULLs, whose id is shared."""
-    block = F.get(F.filter("elements", lambda e: matches(e, sel["block"])), F.lit(0))
-    scoped = pages.withColumn("_block", block).withColumn(
-        "parts", F.slice("elements", F.col("_block.i") + 1, F.col("_block.last") - F.col("_block.i") + 1))
-
-    def text(name: str, separator: str = "") -> Column:
-        hit = F.get(F.filter("parts", lambda e: matches(e, sel[name])), F.lit(0))
-        return fn.collapse(F.array_join(F.slice("texts", hit.t0 + 1, hit.t1 - hit.t0), separator))
-
     names = ("date_limite", "ref", "objet", "entite_publique", "categorie", "lieu_execution", "estimation_ttc",
              "caution_provisoire", "lieu_ouverture_plis", "adresse_retrait_dossiers", "adresse_depot_offres",
-             "variante_autorisee")
-    fields = {n: text(n) for n in names}
-    fields["type_procedure"] = F.when(
-        F.col("_block").isNotNull(), fn.procedure_label(text("type_procedure"), text("mode_passation")))
-    fields["visites_lieux"] = text("visites_lieux", " ")
-    records = scoped.select("url", F.col("_block").isNull().alias("sans_recap"), *(c.alias(n) for n, c in fields.items()))
+             "variante_autorisee", "type_procedure", "mode_passation", "visites_lieux")
+    separator = {"visites_lieux": " "}
+    if is_raw(pages):
+        raw = with_records(pages, [Field(f"_{n}", sel[n], "text", separator.get(n, "")) for n in names], scope=sel["block"]).withColumn(
+            "sans_recap", F.col("no").isNull())
+    else:
+        block = F.get(F.filter("elements", lambda e: matches(e, sel["block"])), F.lit(0))
+        scoped = pages.withColumn("_block", block).withColumn(
+            "parts", F.slice("elements", F.col("_block.i") + 1, F.col("_block.last") - F.col("_block.i") + 1))
+
+        def text(name: str) -> Column:
+            hit = F.get(F.filter("parts", lambda e: matches(e, sel[name])), F.lit(0))
+            return F.array_join(F.slice("texts", hit.t0 + 1, hit.t1 - hit.t0), separator.get(name, ""))
+
+        raw = scoped.select("url", F.col("_block").isNull().alias("sans_recap"), *(text(n).alias(f"_{n}") for n in names))
+    fields = {n: fn.collapse(F.col(f"_{n}")) for n in names if n not in ("type_procedure", "mode_passation")}
+    fields["type_procedure"] = F.when(~F.col("sans_recap"), fn.procedure_label(fn.collapse(F.col("_type_procedure")), fn.collapse(F.col("_mode_passation"))))
+    records = raw.select("url", "sans_recap", *(c.alias(n) for n, c in fields.items()))
     return records.select(
         *fields, "sans_recap",
         fn.query_param(F.col("url"), "refConsultation").alias("refConsultation"),

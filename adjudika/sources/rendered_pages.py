@@ -48,7 +48,8 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = lambda i: F.concat(
         F.lit('<tr class="row"><td>AO-'), "k", F.lit("-"), i, F.lit("<td>  Marche\n <b>gras</b>  no "), "k",
         F.lit(" &amp; co</td><td>ORG"), i, F.lit("</td><td>"), D.type_label(F.col("o_orderpriority")), F.lit("</td><td>"),
-        _day(), F.lit("</td><td></td><td>"), D.status_label(F.col("o_orderstatus")), F.lit('</td><td><a href="'),
+        _day(), F.lit("</td><td>"), F.when(i == "2", "").otherwise(F.date_format(F.col("o_orderdate") + F.make_dt_interval(F.lit(30)), "dd/MM/yyyy")),
+        F.lit("</td><td>"), D.status_label(F.col("o_orderstatus")), F.lit('</td><td><a href="'),
         F.when(i == "3", "").otherwise(_escaped(F.concat(F.lit("/index.php?page=entreprise.EntrepriseDetailsConsultation"
                                                                "&refConsultation="), "k", F.lit("&orgAcronyme=O"), i))),
         F.lit('"><img src="v.png"></a></td></tr>'))
@@ -94,8 +95,11 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.concat(F.lit('<div class="organisme-nom">Nom '), "o_custkey", F.lit('</div><span class="organisme-ville">'),
                        "o_orderpriority", F.lit('</span><a href="mailto:c'), F.col("o_custkey").cast("string"),
                        F.lit('@example.org">ecrire</a>')),
-              F.concat(F.lit('<span class="montant-estime">'), price, F.lit(' DH</span><span class="cautionnement">12 000,00 Dhs.'
-                                                                           '</span><span class="secteur"></span>')),
+              F.concat(F.lit('<span class="montant-estime">'), price, F.lit(' DH</span><span class="cautionnement">')),
+              F.when(key % 3 == 0, F.concat("k", F.lit(" 000,50 DH"))).otherwise("12 000,00 Dhs."), '</span><span class="secteur">',
+              F.when(key % 4 != 0, F.concat(F.lit(" Secteur\t"), (key % 4).cast("string"))).otherwise(""), "</span>",
+              F.when(key % 3 != 1, F.concat(F.lit('<span class="organisme-tel">05 22 '), "o_custkey", F.lit("</span>"))).otherwise(""),
+              F.when(key % 7 != 0, F.concat(F.lit('<p>CPV <span class="code-cpv">4500'), (key % 7).cast("string"), F.lit("</span></p>"))).otherwise(""),
               F.when(key % 2 == 0, '<a href="/doc/avis-1.pdf">x</a>').otherwise('<a href="doc.php?n=1">Avis de marche</a>'),
               '<table class="lots"><tbody>', _lines(key % 4 + 1, lot), "</tbody></table>").alias("html"))
 
@@ -154,6 +158,12 @@ def recap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         field("dateHeureLimiteRemisePlis", _day(), " 10:00"), field("objet", "Objet A<br>B"),
         field("entiteAchat", "Entite  ", F.col("o_orderpriority")), field("typeProcedure", "Appel"),
         F.when(key % 2 == 0, field("modePassation", "ouvert")).otherwise(""),
+        F.when(key % 4 != 1, F.concat(
+            field("categoriePrincipale", "Cat ", (key % 4).cast("string")), field("lieuxExecutions", "Lieu ", F.col("k"), "<br>, R"),
+            field("idReferentielZoneText_RepeaterReferentielZoneText_ctl0_labelReferentielZoneText", F.col("k"), ",00"),
+            field("cautionProvisoire", "C ", F.col("k")), field("lieuOuverturePlis", "Salle ", F.col("k")))).otherwise(""),
+        F.when(key % 5 != 1, F.concat(field("adresseRetraitDossiers", "Retrait ", F.col("k")), field("adresseDepotOffres", "Depot <i>", F.col("k"), "</i>"),
+                                      field("varianteValeur", "Oui"))).otherwise(""),
         F.lit(f'<div id="{_RECAP}panelRepeaterVisitesLieux"><ul><li>Site 1<li>Site 2</ul></div></div>'))
     return _orders(spark, sf_dir).select(
         key.alias("page_id"), detail_url().alias("url"),

@@ -24,6 +24,32 @@ def pages(spark, *bodies):
     return with_elements(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
 
 
+def raw_pages(spark, *bodies):
+    return spark.createDataFrame([(i, f"{SITE}/l/p?n={i}", b) for i, b in enumerate(bodies)], "page_id bigint, url string, html string")
+
+
+AWKWARD = [
+    "<p>x</p>", "", None, "<table class=data-table></table>", '<div id="recap-consultation"></div>', "</td></tr><a>", "<a rel=next>", '<a href="" rel="next">x',
+    '<table class="data-table"><tr class="row odd"><td> <td class=ref>R1<td>O<td>Travaux<td>01/02/2025<td><td>En cours<td><a href="?x=DetailsConsultation">',
+    '<table id="my-results"><tbody><tr><td>A1<td>t<tr><td><b>no</b>own<td><a>n</a><a href="/k">k</a><a href="/Consultation">c</a>',
+    '<table class="consultation-table"><tbody><tr><td>A1<td><table><tbody><tr><td class="titre">inner<td>x</table><td>y<tr class=row><td>A2',
+    '<div class="x objet"></div><div class="objet">own<b>b</b></div><a href="mailto:a@b">m</a><a href="/x">les Avis</a><a href="dce.zip">z</a>',
+    '<span class="montant-estime"> </span><span class="montant-estime">5 DH</span><a href="/n">avis dce</a>',
+    '<a href="/p2"><i>Page</i> SUIVANTE</a>', '<a>next</a><a href="/l?currentPage=3">3</a><a href="/p">next</a>', '<a rel="next"></a><a href="/p">Suivant</a>',
+    '<div id="recap-consultation"><span id="ctl0_CONTENU_PAGE_idEntrepriseConsultationSummary_reference"> 1 <b>/ 2</b></span>'
+    '<span id="ctl0_CONTENU_PAGE_idEntrepriseConsultationSummary_reference">second</span><p id="ctl0_CONTENU_PAGE_idEntrepriseConsultationSummary_objet"></p></div>'
+    '<span id="ctl0_CONTENU_PAGE_idEntrepriseConsultationSummary_categoriePrincipale">outside</span>',
+]
+
+
+def test_picking_in_the_kernel_equals_selecting_over_elements(spark):
+    raw, listed = raw_pages(spark, *AWKWARD), pages(spark, *AWKWARD)
+    for rule in (lambda p: X.tender_rows(p, stamp()), X.detail_fields, lambda p: X.recap_records(p, F.lit("t")), K.next_pages):
+        one, two = (sorted(map(repr, rule(p).collect())) for p in (raw, listed))
+        assert one == two and one
+    assert rule(raw.limit(0)).collect() == []
+
+
 def stamp():
     return F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -43,6 +69,17 @@ def test_table_cells_without_end_tags_and_nested_tables():
     assert cells == [(outer, 1, "1"), (outer, 2, None), (inner, 1, "x"), (outer, 3, "3"), (outer, 1, "4")]
 
 
+def test_end_tags_that_match_nothing_cost_nothing():
+    import time
+
+    for html in ("<b>" * 130_000 + "</i>" * 130_000, "<i><table>" + "<b>" * 130_000 + "</i>" * 130_000, "<table>" * 60_000 + "</b><td></i>" * 60_000):
+        start = time.process_time()
+        PageBatch().add(html)
+        assert time.process_time() - start < 3
+    found, _ = elements("<i>1<table><b>2</i></table>3</i>4<u>")
+    assert [(e["tag"], e["last"]) for e in found] == [("i", 2), ("table", 2), ("b", 2), ("u", 3)]
+
+
 @pytest.mark.parametrize("piece", ["<a ", "<a x='", "<a x=\"'>", "<span>", "<table>", "<table><tbody>", "<script ", "<!-- ", "</b", "<td><a href=x>", "<a \"'> '", "<"])
 def test_hostile_pages_take_linear_time_and_memory(piece):
     import time
