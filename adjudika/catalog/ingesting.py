@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from adjudika.catalog import bindings_sql as B
 from adjudika.catalog.registry import query
+from adjudika.plans import summaries
 from adjudika.plans.ingest import RUN_LOG, Ingest
 from adjudika.session import work_dir
 from adjudika.sinks.store import TenderStore
@@ -227,3 +229,57 @@ def ing_archive(spark, sf_dir):
     files = job.store.archive().select(F.concat(F.lit(f"{job.store.path('archive')}/"), "file_name").alias("page_html_archivee"), "content_md5",
                                        F.lit(True).alias("archive"))
     return job.store.read().join(files, "page_html_archivee", "left").select("ref_consultation", "content_md5", F.coalesce("archive", F.lit(False)).alias("archive"))
+
+
+def _summarised(spark, sf_dir):
+    """All tenders inserted, a third updated in status and amount, awards added in two runs, every seventh tender deleted with its awards."""
+    store = TenderStore(spark, f"{work_dir(spark, 'summary')}/store", summarise=True)
+    tenders = D.consultations(spark, sf_dir).filter("type_marche <> 'autre'")
+    key = F.substring("ref_consultation", 4, 20).cast("bigint")
+    job = Ingest(store, mode="upsert")
+    job.run(tenders, 0, _day(1))
+    changed = tenders.filter(key % 3 == 0).withColumns({
+        "statut": F.lit("infructueux"), "montant_estime": F.col("montant_estime") * 2, "date_extraction": F.col("date_extraction") + F.expr("INTERVAL 1 DAY")})
+    job.run(changed, 1, _day(2))
+    awards = Ingest(store, kind="attribution", order=["date_attribution"])
+    rows = D.attributions(spark, sf_dir)
+    for run, half in ((2, "numero_lot % 2 = 0"), (3, "numero_lot % 2 <> 0")):
+        awards.run(rows.filter(half), run, _day(run + 1))
+    store.delete(tenders.filter(key % 7 == 0))
+    return store.summary.read()
+
+
+_KEPT = B.with_tables("{}", B.CONSULTATIONS, B.ATTRIBUTIONS, """kept AS (
+  SELECT organisme_acronyme, organisme_nom_complet, type_marche, date_publication, k % 3 = 0 AS m, CASE WHEN k % 3 = 0 THEN 'infructueux' ELSE statut END AS statut,
+    CASE WHEN k % 3 = 0 THEN montant_estime * 2 ELSE montant_estime END AS montant_estime,
+    CASE WHEN k % 3 = 0 THEN date_extraction + INTERVAL 1 DAY ELSE date_extraction END AS date_extraction, ref_consultation
+  FROM (SELECT *, CAST(substr(ref_consultation, 4) AS BIGINT) AS k FROM consultations WHERE type_marche <> 'autre') WHERE k % 7 <> 0)""",
+  "won AS (SELECT a.* FROM attributions a WHERE ref_consultation IN (SELECT ref_consultation FROM kept))")
+
+
+@query("agg_kept_monthly", _KEPT.replace("{}", """
+SELECT date_trunc('month', date_publication) AS mois, type_marche, statut, count(*) AS nombre_consultations,
+  CAST(sum(montant_estime) AS DOUBLE) AS montant_total_estime, CAST(sum(montant_estime) AS DOUBLE) / nullif(count(montant_estime), 0) AS montant_moyen_estime
+FROM kept GROUP BY ALL"""))
+def agg_kept_monthly(spark, sf_dir):
+    """The monthly report from what the runs added up, against a count of all rows."""
+    return summaries.monthly_stats(_summarised(spark, sf_dir))
+
+
+@query("agg_kept_global", _KEPT.replace("{}", """
+SELECT c.*, a.* FROM
+ (SELECT count(*) AS total_consultations, count(*) FILTER (WHERE statut = 'en_cours') AS consultations_en_cours,
+    coalesce(CAST(sum(montant_estime) AS DOUBLE), 0) AS montant_total_estime,
+    count(DISTINCT organisme_acronyme) AS nombre_organismes, max(date_extraction) AS derniere_extraction FROM kept) c,
+ (SELECT count(*) AS total_attributions, coalesce(CAST(sum(montant_ttc) AS DOUBLE), 0) AS montant_total_attribue,
+    count(DISTINCT entreprise_nom) AS nombre_entreprises FROM won) a"""))
+def agg_kept_global(spark, sf_dir):
+    """Distinct bodies and winners, totals and the latest extraction, after inserts, updates and deletes."""
+    return summaries.global_stats(_summarised(spark, sf_dir))
+
+
+@query("agg_kept_winners", _KEPT.replace("{}", """
+SELECT entreprise_nom, entreprise_ville, count(*) AS nombre_marches, CAST(sum(montant_ttc) AS DOUBLE) AS montant_total_ttc,
+  CAST(sum(montant_ttc) AS DOUBLE) / nullif(count(montant_ttc), 0) AS montant_moyen_ttc FROM won GROUP BY ALL"""))
+def agg_kept_winners(spark, sf_dir):
+    return summaries.top_winners(_summarised(spark, sf_dir))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adjudika.catalog import bindings_sql as B
 from adjudika.catalog.registry import query
-from adjudika.operators.filters import search_window
+from adjudika.operators.filters import page_after, pages_of, search_window
 from adjudika.operators.nesting import dossier
 from adjudika.operators.projections import AWARD, MINUTES, TENDER_DETAIL, TENDER_LIST
 from adjudika.plans import listings as L
@@ -30,6 +30,28 @@ def flt_list_consultations(spark, sf_dir):
         date_debut="1996-01-01", date_fin="2000-12-31", limit=50, offset=5)
 
 
+@query("flt_pages", B.with_tables("""
+SELECT ref_consultation, date_publication, titre, CAST(row_number() OVER (ORDER BY date_publication DESC, ref_consultation) - 1 AS INT) AS rang,
+  CAST((row_number() OVER (ORDER BY date_publication DESC, ref_consultation) - 1) // 1000 AS INT) AS page
+FROM consultations WHERE type_marche = 'travaux' AND organisme_acronyme ILIKE '%nation_1%'""", B.CONSULTATIONS))
+def flt_pages(spark, sf_dir):
+    """A whole list page by page, each found by the last row of the page before."""
+    chosen = L.shape(L.filter_tenders(D.consultations(spark, sf_dir), type_marche="travaux", organisme="nation_1"), TENDER_LIST)
+    rows = [(r.ref_consultation, r.date_publication, r.titre, k * 1000 + i, k)
+            for k, page in enumerate(pages_of(chosen, "date_publication", ["ref_consultation"], 1000)) for i, r in enumerate(page)]
+    return spark.createDataFrame(rows, "ref_consultation string, date_publication timestamp_ntz, titre string, rang int, page int")
+
+
+@query("flt_page_after", B.with_tables("""
+SELECT ref_consultation, date_publication FROM consultations
+WHERE (date_publication < TIMESTAMP '1997-06-15' OR date_publication = TIMESTAMP '1997-06-15' AND ref_consultation > 'AO-5')
+ORDER BY date_publication DESC, ref_consultation LIMIT 500""", B.CONSULTATIONS_CORE))
+def flt_page_after(spark, sf_dir):
+    tenders = D.consultations_core(spark, sf_dir).select("ref_consultation", "date_publication")
+    cursor = {"date_publication": "1997-06-15 00:00:00", "ref_consultation": "AO-5"}
+    return page_after(tenders, "date_publication", ["ref_consultation"], cursor, 500)
+
+
 @query("flt_all_consultations", B.with_tables(f"""
 SELECT {_cols(TENDER_LIST)} FROM consultations
 WHERE organisme_acronyme ILIKE '%nation_1%' AND date_publication >= TIMESTAMP '1996-01-01'""", B.CONSULTATIONS))

@@ -11,6 +11,7 @@ from adjudika.extraction import elements as E
 from adjudika.extraction.picking import dealt
 from adjudika.operators import dedup
 from adjudika.operators import relations as J
+from adjudika.session import work_dir
 from adjudika.sources import driver_tables as D
 from adjudika.sources import rendered_pages as P
 
@@ -253,9 +254,11 @@ def ext_samples(spark, sf_dir):
 
 
 @query("ext_dead_letter", """
-SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/cherche/liste?p=' || o_orderkey AS url
+SELECT o_orderkey AS page_id, 'https://www.marchespublics.gov.ma/cherche/liste?p=' || o_orderkey AS url,
+  true AS vide, (SELECT CAST(sum(o_orderkey % 3 + 1) AS BIGINT) FROM orders WHERE o_orderkey % 10 <> 5) AS lignes
 FROM orders WHERE o_orderkey % 10 = 5""")
 def ext_dead_letter(spark, sf_dir):
-    pages = P.list_pages(spark, sf_dir)
-    rows = X.tender_rows(raw(pages), _stamp())
-    return J.pages_without_rows(pages, rows).select("page_id", "url")
+    """Pages without a row, read back whole from where the extraction put them; beside them, how many rows it wrote in the same pass."""
+    path = f"{work_dir(spark, 'dead-letters')}/out"
+    rows, empty = X.tenders_and_empty_pages(raw(P.list_pages(spark, sf_dir)), _stamp(), path)
+    return empty.select("page_id", "url", F.contains("html", F.lit("Aucun résultat")).alias("vide")).join(rows.agg(F.count(F.lit(1)).alias("lignes")))  # one row

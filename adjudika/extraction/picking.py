@@ -96,11 +96,12 @@ class _Matcher:
 class Picker:
     """``rows``: selectors of the elements that are records; None makes the page one record. ``needs``: a page without such an element
     has no records. ``scope``: the first such element is the record's scope, and a page without it gives one record of NULLs. ``inside``: a
-    record's own element is no candidate for ``own`` fields.
+    record's own element is no candidate for ``own`` fields. ``required``: a field without which a record does not count; white space is none.
     """
 
-    def __init__(self, fields: list[Field], rows=None, needs=None, scope=None, inside: bool = True):
+    def __init__(self, fields: list[Field], rows=None, needs=None, scope=None, inside: bool = True, required: str | None = None):
         self.fields, self.inside = fields, inside
+        self.required = next((k for k, f in enumerate(fields) if f.name == required), None)
         self.rows, self.needs, self.scope = (None if x is None else _Matcher(x) for x in (rows, needs, scope))
         self.by_tag: dict[str, list[int]] = {}
         self.any_tag = [k for k, f in enumerate(fields) if any(not s.get("tag") for s in f.selectors)]
@@ -152,35 +153,45 @@ class Picker:
         if self.needs and not any(self.needs(e) for e in started):
             return []
         if self.rows:
-            return [(at, self._record(page, at, last[at])) for at, e in enumerate(started) if self.rows(e)]
+            made = [(at, self._record(page, at, last[at])) for at, e in enumerate(started) if self.rows(e)]
+            return made if self.required is None else [r for r in made if (r[1][self.required] or "").strip()]
         if self.scope:
             at = next((at for at, e in enumerate(started) if self.scope(e)), None)
             return [(None, [None] * len(self.fields))] if at is None else [(at, self._record(page, at, last[at]))]
         return [(0, self._record(page, 0, len(started) - 1))]
 
 
-def with_records(pages: DataFrame, fields: list[Field], rows=None, needs=None, scope=None, inside: bool = True, chunk: int = 64) -> DataFrame:
-    """One row per record: the columns of ``pages`` but ``html``, ``no`` (NULL for a page without its scope) and one text per field."""
+def with_records(pages: DataFrame, fields: list[Field], rows=None, needs=None, scope=None, inside: bool = True, chunk: int = 64,
+                 required: str | None = None, empty_pages: bool = False) -> DataFrame:
+    """One row per record: the columns of ``pages`` but ``html``, ``no`` (NULL for a page without its scope) and one text per field.
+
+    ``empty_pages`` adds the column ``html`` and one row for each page without a record, the only rows that carry it; their ``no`` is NULL.
+    """
     kept = [f for f in pages.schema if f.name != "html"]
-    schema = T.StructType([*kept, T.StructField("no", T.IntegerType()), *(T.StructField(f.name, T.StringType()) for f in fields)])
+    tail = [T.StructField("html", T.StringType())] if empty_pages else []
+    schema = T.StructType([*kept, T.StructField("no", T.IntegerType()), *(T.StructField(f.name, T.StringType()) for f in fields), *tail])
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        picker = Picker(fields, rows, needs, scope, inside)
+        picker = Picker(fields, rows, needs, scope, inside, required)
         for batch in batches:
             for begin in range(0, batch.num_rows, chunk):
                 part = batch.slice(begin, chunk)
-                owner, places, values = [], [], []
+                owner, places, values, whole = [], [], [], []
                 for k, html in enumerate(part.column("html")):
-                    for place, record in picker.records(html.as_py()):
+                    found = picker.records(html.as_py())
+                    empty = empty_pages and not found
+                    for place, record in [(None, [None] * len(fields))] if empty else found:
                         owner.append(k)
                         places.append(place)
                         values.append(record)
+                        whole.append(k if empty else None)
                 columns = list(zip(*values)) if values else [()] * len(fields)
                 own = pa.array(owner, pa.int32())
+                last = [part.column("html").take(pa.array(whole, pa.int32()))] if empty_pages else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n).take(own) for n in names), pa.array(places, pa.int32()), *(pa.array(c, pa.string()) for c in columns)],
-                    schema=pa.schema([*(part.schema.field(n) for n in names), ("no", pa.int32()), *((f.name, pa.string()) for f in fields)]))
+                    [*(part.column(n).take(own) for n in names), pa.array(places, pa.int32()), *(pa.array(c, pa.string()) for c in columns), *last],
+                    names=[*names, "no", *(f.name for f in fields), *(["html"] if empty_pages else [])])
 
     return pages.mapInArrow(run, schema)
 

@@ -66,21 +66,43 @@ def tender_rows(pages: DataFrame, stamp: Column, sel: dict = SELECTORS["list"])
 
     ``pages`` have their ``html``, of which the kernel then takes the fields alone, or ``elements`` and ``texts``.
     """
-    own = ("ref_consultation", "titre", "organisme_acronyme", "type_marche", "date_publication", "date_limite", "statut")
-    anchor = [{"tag": "a"}]
     if is_raw(pages):
-        raw = with_records(pages, [
-            *(Field(f"_{n}", sel[n]) for n in own), Field("_specific", sel["detail_link"], "href"), Field("_first", anchor, "href"),
-            Field("_keyword", anchor, "href", href_words=("detail", "consultation"), lowered=True)], rows=sel["row"], needs=sel["table"])
-    else:
-        rows = blocks(pages, F.when(any_match(sel["table"]), found(sel["row"])))
-        keyword = F.get(F.filter("parts", lambda e: (e.tag == "a") & (
-            F.contains(F.lower(e.href), F.lit("detail")) | F.contains(F.lower(e.href), F.lit("consultation")))), F.lit(0)).href
-        raw = rows.select("page_id", "url", "no", *(first_own(sel[n]).alias(f"_{n}") for n in own), first_href(sel["detail_link"]).alias("_specific"),
-                          first_href(anchor).alias("_first"), keyword.alias("_keyword"))
+        return _tenders(with_records(pages, _tender_picks(sel), rows=sel["row"], needs=sel["table"]), stamp)
+    rows = blocks(pages, F.when(any_match(sel["table"]), found(sel["row"])))
+    keyword = F.get(F.filter("parts", lambda e: (e.tag == "a") & (
+        F.contains(F.lower(e.href), F.lit("detail")) | F.contains(F.lower(e.href), F.lit("consultation")))), F.lit(0)).href
+    return _tenders(rows.select(
+        "page_id", "url", "no", *(first_own(sel[n]).alias(f"_{n}") for n in _TENDER), first_href(sel["detail_link"]).alias("_specific"),
+        first_href([{"tag": "a"}]).alias("_first"), keyword.alias("_keyword")), stamp)
+
+
+def tenders_and_empty_pages(pages: DataFrame, stamp: Column, path: str, sel: dict = SELECTORS["list"]) -> tuple[DataFrame, DataFrame]:
+    """``tender_rows`` of raw pages, and the pages that gave none, whole, for inspection: one pass and one write under ``path``.
+
+    The kernel marks the pages without a row itself, so nothing is joined and no page is shuffled; the two kinds lie in folders of their own.
+    """
+    picked = with_records(pages.select("page_id", "url", "html"), _tender_picks(sel), rows=sel["row"], needs=sel["table"],
+                          required="_ref_consultation", empty_pages=True)
+    tagged = picked.withColumn("sorte", F.when(F.col("no").isNull(), "vide").otherwise("ligne"))
+    tagged.write.mode("overwrite").partitionBy("sorte").parquet(path)
+    back = pages.sparkSession.read.schema(tagged.schema).parquet(path)
+    return _tenders(back.filter("sorte = 'ligne'"), stamp), back.filter("sorte = 'vide'").select("page_id", "url", "html")
+
+
+_TENDER = ("ref_consultation", "titre", "organisme_acronyme", "type_marche", "date_publication", "date_limite", "statut")
+
+
+def _tender_picks(sel: dict) -> list[Field]:
+    anchor = [{"tag": "a"}]
+    return [*(Field(f"_{n}", sel[n]) for n in _TENDER), Field("_specific", sel["detail_link"], "href"), Field("_first", anchor, "href"),
+            Field("_keyword", anchor, "href", href_words=("detail", "consultation"), lowered=True)]
+
+
+def _tenders(raw: DataFrame, stamp: Column) -> DataFrame:
+    """Typed records from the texts of list rows."""
     fields = raw.select(
         "page_id", F.col("url").alias("_page_url"), F.col("no").alias("_no"),
-        *(fn.clean_text(F.col(f"_{n}")).alias(n) for n in own[:3]),
+        *(fn.clean_text(F.col(f"_{n}")).alias(n) for n in _TENDER[:3]),
         fn.normalize_type_marche(F.col("_type_marche")).alias("type_marche"),
         fn.parse_datetime(F.col("_date_publication")).alias("date_publication"),
         fn.parse_datetime(F.col("_date_limite")).alias("date_limite"),

@@ -66,3 +66,43 @@ def page(df: DataFrame, newest: str, tiebreak: list[str], limit: int = 100, offs
         raise ValueError("offset must not be negative")
     ordered = df.orderBy(F.desc(newest), *tiebreak)
     return (ordered.offset(offset) if offset else ordered).limit(limit)
+
+
+def page_after(df: DataFrame, newest: str, tiebreak: list[str], cursor: dict | None = None, limit: int = 100, max_limit: int = 1000) -> DataFrame:
+    """The page that follows the row whose sort values ``cursor`` holds (None: the first page), in the order of ``page``.
+
+    The cursor becomes a filter that the scan can use, so a late page costs as much as the first: no rows are sorted to be skipped. NULL
+    dates come last, NULLs of the tie-break first, as Spark orders them. Sort values have to tell rows apart, or equal ones may be split.
+    """
+    if not 1 <= limit <= max_limit:
+        raise ValueError(f"limit must lie between 1 and {max_limit}")
+    if cursor is not None:
+        def bound(name: str) -> Column:
+            return F.lit(cursor[name]).cast(df.schema[name].dataType)
+
+        at = F.col(newest)
+        older = at.isNull() if cursor[newest] is None else (at < bound(newest)) | at.isNull()
+        older = F.lit(False) if cursor[newest] is None else older
+        same = at.eqNullSafe(bound(newest))
+        after = F.lit(False)
+        for name in reversed(tiebreak):
+            c = F.col(name)
+            greater = c.isNotNull() if cursor[name] is None else c > bound(name)
+            after = F.coalesce(greater, F.lit(False)) | (c.eqNullSafe(bound(name)) & after)
+        # The plain bound is what a scan can push down; where it holds, the rest decides.
+        if cursor[newest] is not None:
+            df = df.filter((at <= bound(newest)) | at.isNull())
+        df = df.filter(F.coalesce(older, F.lit(False)) | (same & after))
+    return df.orderBy(F.desc(newest), *tiebreak).limit(limit)
+
+
+def pages_of(df: DataFrame, newest: str, tiebreak: list[str], limit: int = 100, max_limit: int = 1000):
+    """All pages one after the other, each a list of rows; a reader that stops early has read no further page."""
+    cursor = None
+    while True:
+        rows = page_after(df, newest, tiebreak, cursor, limit, max_limit).collect()  # at most ``limit``
+        if rows:
+            yield rows
+        if len(rows) < limit:
+            return
+        cursor = {name: rows[-1][name] for name in (newest, *tiebreak)}

@@ -36,15 +36,42 @@ def step_floor(ts: Column, step: dt.timedelta) -> Column:
     return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), whole.cast("decimal(18,6)"))
 
 
+DAY = dt.timedelta(days=1)
+
+
+def _day(ts: Column) -> Column:
+    return F.date_trunc("day", ts)
+
+
 def running_total(steps: DataFrame, by: list[str], at: str, values: list[str]) -> DataFrame:
-    """Replace the changes in ``values`` by their inclusive running sums; ``at`` is unique per ``by``."""
-    upto = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    return steps.withColumns({v: F.sum(v).over(upto) for v in values})
+    """Replace the changes in ``values`` by their inclusive running sums; ``at`` is unique per ``by``.
+
+    Sums run on two levels, so that no task holds all of a group's time: within a day, and over the totals of the days before, one row a
+    day and group. Both read the same exchange of ``steps``.
+    """
+    dated = steps.withColumn("_day", _day(F.col(at)))
+    within = Window.partitionBy(*by, "_day").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*[f"_{b}" for b in by]).orderBy("_on_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = dated.groupBy(*by, "_day").agg(*(F.sum(v).alias(f"_{v}") for v in values)).withColumnRenamed("_day", "_on_day")
+    days = days.withColumnsRenamed({b: f"_{b}" for b in by}).select(
+        *(f"_{b}" for b in by), "_on_day", *(F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_{v}") for v in values))
+    summed = dated.withColumns({v: F.sum(v).over(within) for v in values})
+    same = [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]
+    joined = summed.join(days, [*same, F.col("_day") == F.col("_on_day")])
+    return joined.withColumns({v: F.col(v) + F.col(f"_{v}") for v in values}).select(*steps.columns)
 
 
 def timeline(groups: DataFrame, by: list[str], start: Column, end: Column, step: dt.timedelta) -> DataFrame:
-    """Every evaluation time from ``start`` to ``end`` for every group."""
-    return groups.select(*by).distinct().select(*by, F.explode(F.sequence(start, end, F.lit(step))).alias("t"))
+    """Every evaluation time from ``start`` to ``end`` for every group: first the days, then the steps of each day."""
+    distinct = groups.select(*by).distinct()
+    if DAY % step:
+        return distinct.select(*by, F.explode(F.sequence(start, end, F.lit(step))).alias("t"))
+    days = distinct.select(*by, F.explode(F.sequence(_day(start), _day(end), F.lit(DAY))).alias("_d"), start.alias("_start"), end.alias("_end"))
+    # ``start`` lies on a step, and a day holds whole steps, so each day's steps are those of one long sequence.
+    offset = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod(F.timestamp_diff("SECOND", F.col("_d"), F.col("_start")), F.lit(_seconds(step))).cast("decimal(18,6)"))
+    first, last = F.greatest(F.col("_d") + offset, F.col("_start")), F.least(shift(F.col("_d"), DAY - step) + offset, F.col("_end"))
+    return days.withColumns({"_first": first, "_last": last}).filter("_first <= _last").select(
+        *by, F.explode(F.sequence("_first", "_last", F.lit(step))).alias("t"))
 
 
 def sliding(counts: DataFrame, at: str, value: str, width: dt.timedelta, step: dt.timedelta, name: str) -> DataFrame:

@@ -87,7 +87,7 @@ class Ingest:
         saved = counters.get(SAVED, 0)
         stored = {"inserted": saved, "updated": 0}
         if self.kind != "consultation":
-            self.store.append(self.kind, good, lot_id)
+            self.store.append(self.kind, good, lot_id, run.seq)
         elif self.mode == "upsert":
             stored = self.store.upsert(good, self.order, now, lot_id, run.seq)
         else:

@@ -23,6 +23,12 @@ def list_tenders(consultations: DataFrame, limit: int = 100, offset: int = 0, **
     return f.page(chosen, "date_publication", ["ref_consultation"], limit, offset)
 
 
+def tenders_after(consultations: DataFrame, cursor: dict | None = None, limit: int = 100, **criteria) -> DataFrame:
+    """The page of ``list_tenders`` after the row with the cursor's ``date_publication`` and ``ref_consultation``; the first without one."""
+    chosen = shape(filter_tenders(consultations, **criteria), TENDER_LIST)
+    return f.page_after(chosen, "date_publication", ["ref_consultation"], cursor, limit)
+
+
 def tender_by_ref(consultations: DataFrame, ref: str) -> DataFrame:
     """The tender with this reference, or no row."""
     return shape(consultations.filter(F.col("ref_consultation") == ref).limit(1), TENDER_LIST)

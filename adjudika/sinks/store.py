@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from adjudika.operators.dedup import first_per_key, new_keys
 from adjudika.operators.merge import counted, last_values, upsert
 from adjudika.operators.quality import as_table
+from adjudika.plans.summaries import Summary, parts
 from adjudika.schemas import CONSULTATIONS, TABLES
 from adjudika.session import cut_counted, cut_lineage, path_exists, work_dir
 from adjudika.sinks.archive import PAGE_DAY
@@ -29,12 +30,16 @@ KEY = "ref_consultation"
 # ``lot_id``: the run that wrote the row last; ``seq``: its place among the runs, which guards the row against older ones.
 _RUN = [T.StructField("lot_id", T.LongType(), True), T.StructField("seq", T.LongType(), True)]
 _STORED = T.StructType([*CONSULTATIONS.fields, *_RUN, T.StructField("mois", T.StringType(), True)])
+#: Tables whose rows the summary counts.
+SUMMARISED = ("consultation", "attribution")
 ARCHIVE = "content_md5 string, file_name string, copies bigint, html string, archive_date date"
 
 
 class TenderStore:
-    def __init__(self, spark: SparkSession, root: str, prefixes: int = PREFIXES):
+    def __init__(self, spark: SparkSession, root: str, prefixes: int = PREFIXES, summarise: bool = False):
+        """``prefixes``: folders of the key tables. ``summarise``: keep the report figures up to date with every write (``summary``)."""
         self.spark, self.root = spark, root.rstrip("/")
+        self.summary = Summary(spark, self.path("summary")) if summarise else None
         self.ledger = RunLedger(spark, self.path("ledger"))
         self.keys = KeyTable(spark, self.path("keys"), KEY, f"{KEY} string, mois string, lot_id bigint", prefixes)
         self.archive_keys = KeyTable(spark, self.path("archive_keys"), "content_md5", "content_md5 string, file_name string, archive_date date", prefixes)
@@ -46,6 +51,8 @@ class TenderStore:
             return run
         if run.broken or (self.keys.read() is None):
             self.rebuild_keys()
+        if self.summary and (run.broken or not self.summary.exists()):
+            self.summary.rebuild({kind: self.read(kind) for kind in SUMMARISED})
         self.ledger.note(*(r for r in run.broken if r[:2] != (kind, run.lot_id)), state=BROKEN)
         self.ledger.note((kind, run.lot_id, run.seq), state=BEGUN)
         return run
@@ -86,6 +93,8 @@ class TenderStore:
         rows = cut_lineage(self._dated(as_table(fresh, "consultation").withColumns(run)), "fresh")
         self._by_month(rows).write.mode("append").partitionBy("mois").parquet(self.path("consultation"))
         self.keys.add(rows)
+        if self.summary:
+            self.summary.add(seq, parts(rows, "consultation"))
         return rows
 
     def upsert(self, tenders: DataFrame, order: list[str], now: Column, lot_id: int = 0, seq: int = 0) -> dict[str, int]:
@@ -111,12 +120,19 @@ class TenderStore:
         written = F.col("_action").isin("insert", "update")
         lot = F.when(written, F.lit(int(lot_id)).cast("bigint")).otherwise(F.col("lot_id"))
         rows = merged.withColumns({"lot_id": lot, "mois": F.coalesce("mois", self._month())})
+        if self.summary:  # before the months are replaced: what stood there counts down
+            touched = incoming.select(KEY)
+            old, new = (parts(df.join(touched, KEY, "left_semi"), "consultation", sign) for df, sign in ((base, -1), (rows, 1)))
+            self.summary.add(seq, old, new)
         self._replace("consultation", rows.select(*_STORED.fieldNames()), "mois")
         self.keys.add(rows.filter("_action = 'insert'"))
         return counts
 
-    def append(self, kind: str, rows: DataFrame, lot_id: int) -> None:
+    def append(self, kind: str, rows: DataFrame, lot_id: int, seq: int = 0) -> None:
         """Add children. One run writes one folder, which a repeated run replaces instead of adding to."""
+        if self.summary and kind in SUMMARISED:
+            before = self.read(kind).filter(F.col("lot_id") == int(lot_id))
+            self.summary.add(seq, parts(before, kind, -1), parts(as_table(rows, kind), kind))
         as_table(rows, kind).write.mode("overwrite").parquet(f"{self.path(kind)}/lot_id={int(lot_id)}")
 
     def delete(self, refs: DataFrame) -> dict[str, int]:
@@ -128,6 +144,8 @@ class TenderStore:
         last = self.ledger.runs().filter("kind = 'delete'").agg(F.max("lot_id")).first()[0]
         run = self.begin("delete", 0 if last is None else last + 1)
         gone, keys = {}, cut_lineage(refs.select(KEY).distinct(), "delete")
+        if self.summary:
+            self.summary.add(run.seq, *(parts(self.read(kind).join(keys, KEY, "left_semi"), kind, -1) for kind in SUMMARISED))
         for kind in [k for k in TABLES if k != "consultation"] + ["consultation"]:
             part = "mois" if kind == "consultation" else "lot_id"
             table = self.read(kind)
