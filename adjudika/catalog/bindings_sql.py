@@ -55,7 +55,7 @@ ACHEVEMENTS = """achevements AS (
   FROM lineitem WHERE l_linestatus = 'F')"""
 
 TEXT_TENDERS = """text_tenders AS (
-  SELECT 'DOC-' || doc_id AS ref_consultation, upper(lang) AS organisme_acronyme, substr(text, 1, 80) AS titre,
+  SELECT 'DOC-' || doc_id AS ref_consultation, upper(lang) AS organisme_acronyme, 'Document ' || source AS titre,
     text AS objet, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(doc_id % 365 AS INTEGER)) AS date_publication
   FROM documents)"""
 

@@ -90,6 +90,18 @@ def exp_jsonl_append(spark, sf_dir):
     return jsonl_records(spark, path, schema)
 
 
+@query("exp_overwrite", """
+SELECT 'r' || o_orderkey AS id, o_orderkey % 3 AS lot FROM orders WHERE o_orderkey % 3 <> 0""")
+def exp_overwrite(spark, sf_dir):
+    """A full output, one that replaces it, and one that is added to that."""
+    path = f"{work_dir(spark, 'overwrite')}/out"
+    key = F.col("o_orderkey")
+    records = D.read(spark, sf_dir, "orders").select(F.concat(F.lit("r"), key.cast("string")).alias("id"), (key % 3).alias("lot"))
+    for chosen, overwrite in (("true", False), ("lot = 1", True), ("lot = 2", False)):
+        exports.jsonl_append(records.filter(chosen), path, overwrite)
+    return jsonl_records(spark, path, T.StructType([T.StructField("id", T.StringType()), T.StructField("lot", T.LongType())]))
+
+
 @query("exp_feed", "SELECT count(*) AS n, true AS ecrit, false AS vide_ecrit FROM orders")
 def exp_feed(spark, sf_dir):
     path = work_dir(spark, "feed")

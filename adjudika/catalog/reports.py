@@ -37,6 +37,31 @@ def agg_top_winners(spark, sf_dir):
     return R.top_winners(D.attributions(spark, sf_dir))
 
 
+@query("agg_monthly_first", B.with_tables("""
+SELECT date_trunc('month', date_publication) AS mois, type_marche, statut, count(*) AS nombre_consultations,
+  CAST(sum(montant_estime) AS DOUBLE) AS montant_total_estime,
+  CAST(sum(montant_estime) AS DOUBLE) / nullif(count(montant_estime), 0) AS montant_moyen_estime
+FROM consultations GROUP BY ALL ORDER BY mois DESC, type_marche, statut LIMIT 25""", B.CONSULTATIONS_CORE))
+def agg_monthly_first(spark, sf_dir):
+    """The head of the report in the order in which it is shown."""
+    return R.monthly_stats(D.consultations_core(spark, sf_dir), ordered=True).limit(25)
+
+
+@query("agg_bodies_first", B.with_tables("""
+SELECT organisme_acronyme, organisme_nom_complet, count(*) AS nombre_consultations, CAST(sum(montant_estime) AS DOUBLE) AS montant_total_estime
+FROM consultations GROUP BY ALL ORDER BY nombre_consultations DESC, organisme_acronyme, organisme_nom_complet LIMIT 25""", B.CONSULTATIONS))
+def agg_bodies_first(spark, sf_dir):
+    return R.top_bodies(D.consultations(spark, sf_dir), ordered=True).limit(25)
+
+
+@query("agg_winners_first", B.with_tables("""
+SELECT entreprise_nom, entreprise_ville, count(*) AS nombre_marches, CAST(sum(montant_ttc) AS DOUBLE) AS montant_total_ttc,
+  CAST(sum(montant_ttc) AS DOUBLE) / nullif(count(montant_ttc), 0) AS montant_moyen_ttc
+FROM attributions GROUP BY ALL ORDER BY nombre_marches DESC, entreprise_nom, entreprise_ville LIMIT 25""", B.ATTRIBUTIONS))
+def agg_winners_first(spark, sf_dir):
+    return R.top_winners(D.attributions(spark, sf_dir), ordered=True).limit(25)
+
+
 @query("agg_global_stats", B.with_tables("""
 SELECT c.*, a.* FROM
  (SELECT count(*) AS total_consultations, count(*) FILTER (WHERE statut = 'en_cours') AS consultations_en_cours,

@@ -139,3 +139,12 @@ def sca_deadline(spark, sf_dir):
         F.lit("10:00"),
     ]
     return D.read(spark, sf_dir, "orders").select("o_orderkey", fn.deadline_from_cells(cells).alias("echeance"))
+
+
+@query("sca_stamps", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS horodatage, date_trunc('day', ts + INTERVAL 1 HOUR) AS jour FROM events""")
+def sca_stamps(spark, sf_dir):
+    """UTC stamps, and the day in Casablanca, which is an hour ahead of UTC all through the events' month."""
+    ts = F.col("ts")
+    return D.read(spark, sf_dir, "events").select(
+        "event_id", fn.utc_iso_seconds(ts).alias("horodatage"), fn.casablanca_today(ts).cast("timestamp_ntz").alias("jour"))

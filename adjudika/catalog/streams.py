@@ -56,6 +56,26 @@ def str_ingest_upsert(spark, sf_dir):
     return stored.select(*_STORED).withColumn("montant_estime", F.col("montant_estime").cast("double"))
 
 
+@query("str_pages", """
+SELECT 'P-' || page_id AS ref_consultation, 'lot ' || page_id % 3 AS titre, md5(html) AS contenu, 3 AS runs FROM pages""")
+def str_pages(spark, sf_dir):
+    """Three arrivals with their pages, each of which repeats those before under another title: the first one of a reference stays."""
+    home = work_dir(spark, "stream-pages")
+    ingest = Ingest(TenderStore(spark, f"{home}/store"))
+    pages, lot = D.pages(spark, sf_dir), F.col("page_id") % 3
+    for k in range(3):
+        rows = pages.filter(lot <= k).select(F.concat(F.lit("P-"), F.col("page_id").cast("string")).alias("ref"), F.lit(f"lot {k}").alias("titre"), "html")
+        rows.write.mode("append").parquet(f"{home}/in")
+        arrived = new_arrivals(spark, f"{home}/in", rows.schema, "parquet")
+        fixed = {"organisme_acronyme": "O", "type_marche": "travaux", "statut": "en_cours"}
+        J.ingest_arrivals(arrived, ingest, f"{home}/checkpoint", lambda df: df.select(
+            F.col("ref").alias("ref_consultation"), "titre", F.col("html").alias("page_html"), *(F.lit(v).alias(n) for n, v in fixed.items()),
+            *(F.lit("2025-01-01").cast("timestamp_ntz").alias(n) for n in ("date_publication", "date_extraction")))).awaitTermination()
+    read = pages_at(ingest.store.read().select("ref_consultation", "titre", "page_html_archivee"), ingest.store.archive())
+    runs = ingest.store.ledger.runs().filter("state = 'applied'").agg(F.count(F.lit(1)).cast("int").alias("runs"))
+    return read.select("ref_consultation", "titre", F.md5("html").alias("contenu")).join(runs)  # one row
+
+
 @query("str_windows", """
 WITH w AS (SELECT event_type, unnest(generate_series(date_trunc('minute', ts) - INTERVAL 9 MINUTE, date_trunc('minute', ts),
     INTERVAL 1 MINUTE)) AS debut FROM events)

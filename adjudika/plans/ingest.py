@@ -72,6 +72,7 @@ class Ingest:
             return self._counters(run.counters)
         now = now if now is not None else F.localtimestamp()
         started = self.store.spark.range(1).select(now.alias("t")).first().t
+        now = F.lit(started).cast("timestamp_ntz")  # one instant for all jobs of the run: names of archived pages are made in two of them
         # Written once, and counted while it is written: quarantine, store and counters all go by the same labels.
         outcomes = {f"n{k}": F.count_if(F.coalesce("_reason", F.lit(SAVED)) == name) for k, name in enumerate(OUTCOMES)}
         labelled, seen = cut_counted(self.label(batch, lot_id, now), "ingest", n=F.count(F.lit(1)), **outcomes)

@@ -169,11 +169,11 @@ def achevements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as tenders whose title and subject are free text."""
+    """Documents as tenders: the source is the title, the text the subject."""
     return read(spark, sf_dir, "documents").select(
         F.concat(F.lit("DOC-"), F.col("doc_id").cast("string")).alias("ref_consultation"),
         F.upper("lang").alias("organisme_acronyme"),
-        F.substring("text", 1, 80).alias("titre"),
+        F.concat(F.lit("Document "), "source").alias("titre"),
         F.col("text").alias("objet"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
          + F.make_dt_interval((F.col("doc_id") % 365).cast("int"))).alias("date_publication"),
