@@ -1,6 +1,9 @@
 import hashlib
 import random
 import re
+import tracemalloc
+
+import pyarrow as pa
 
 from adjudika.llm import decontaminate
 from adjudika.llm.queries import QUERIES
@@ -64,6 +67,56 @@ def test_many_blocks_give_the_same(spark, docs_of, monkeypatch):
     assert result(decontaminate.digests(*tables(spark, docs_of, docs, items))) == brute_force(docs, items)
 
 
+def test_segments_and_slices_lose_nothing(spark, docs_of, monkeypatch):
+    docs, items = fixture()
+    docs = [(i, t) for i, t in docs if t is None or len(t) < 1000][:60]
+    long = " ".join(t for _, t in docs if t)
+    docs += [(900, long), (901, "x" * 3000 + " " + long), (902, "the " * 300), (903, "..." * 400)]
+    texts = pa.array([t for _, t in docs])
+    rows = sorted({tuple(ws[k:k + 10]) for _, t in items for ws in [words_of(t)] for k in range(max(1, len(ws) - 9)) if ws})
+    counts = {int(h): sum(words_of(t).count(w) for _, t in docs) for w in {w for r in rows for w in r} for h in decontaminate._word_hash([w])}
+    index = decontaminate.Index([(list(r), k) for k, r in enumerate(rows)], [[str(k)] for k in range(len(rows))], counts)
+
+    def matched():
+        n, found = index.match(texts)
+        return n.tolist(), {d: (a.tolist(), b.tolist(), c.tolist()) for d, (a, b, c) in found.items()}
+
+    whole = matched()
+    assert whole[0] == [len(words_of(t)) for _, t in docs] and whole[1]
+    for segment, slice_ in ((64, 1 << 18), (300, 3), (1 << 20, 50)):
+        monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", segment)
+        monkeypatch.setattr(decontaminate, "CANDIDATES", slice_)
+        assert matched() == whole
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4_000)
+    assert result(decontaminate.digests(*tables(spark, docs_of, docs, items))) == brute_force(docs, items)
+
+
+def test_memory_does_not_follow_repeated_words_or_long_texts():
+    # 2 500 windows with one rarest word, and a text that repeats it; a text of one word of 30 MB in all.
+    rows = [(["rare", *(f"w{k}x{j}" for j in range(9))], 0) for k in range(2_500)] + [(["same"] * 10, 1)]
+    counts = {int(h): 5 for ws, _ in rows for h in decontaminate._word_hash(ws)}
+    counts[int(decontaminate._word_hash(["rare"])[0])] = 1
+    index = decontaminate.Index(rows, [["1"], ["2"]], counts)
+    for text, hits in (("rare " * 28_000, 0), ("same " * 6_000_000, 6_000_000)):
+        texts = pa.array([text])
+        tracemalloc.start()
+        n, found = index.match(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 250 << 20, peak
+        assert n.tolist() == [len(text) // 5] and sum(int((b - a).sum()) for a, b, _ in found.values()) == hits
+
+
+def test_an_item_list_shared_by_all_windows_is_held_once(spark, docs_of):
+    preamble = " ".join(f"p{k}" for k in range(60))
+    items = [(i, f"{preamble} own{i}") for i in range(300)]
+    docs = [(1, preamble), (2, "nothing here"), (3, preamble + " own7")]
+    d, b = tables(spark, docs_of, docs, items)
+    made = list(decontaminate.blocks(b, d))
+    assert len(made) == 1 and len(made[0].sets) == 301
+    assert result(decontaminate.digests(d, b)) == brute_force(docs, items)
+
+
 def test_clean_and_empty_tables(spark, docs_of):
     docs, items = fixture()
     d, b = tables(spark, docs_of, docs, items)
