@@ -13,6 +13,7 @@ from adjudika.plans.listings import filter_tenders
 from adjudika.session import work_dir
 from adjudika.sinks import archive, exports
 from adjudika.sources import driver_tables as D
+from adjudika.sinks.keys import KeyTable
 from adjudika.sources import jsonl_records, stored_keys
 
 _CSV_SQL = """ref_consultation, titre, organisme_acronyme, type_marche, statut,
@@ -90,6 +91,19 @@ def exp_jsonl_append(spark, sf_dir):
     return jsonl_records(spark, path, schema)
 
 
+@query("exp_jsonl_keys", """
+SELECT 'r' || (o_orderkey // 2) AS id, min(o_orderkey) AS premier FROM orders GROUP BY 1""")
+def exp_jsonl_keys(spark, sf_dir):
+    """Three runs append their new records; which ids are there is looked up by hash prefix, not read from the output."""
+    root = work_dir(spark, "records")
+    key = F.col("o_orderkey")
+    records = D.read(spark, sf_dir, "orders").select(F.concat(F.lit("r"), F.floor(key / 2).cast("string")).alias("id"), key.alias("premier"))
+    keys = KeyTable(spark, f"{root}/keys", "id", "id string", prefixes=16)
+    for chosen in ("premier div 2 % 3 = 0", "premier div 2 % 3 <= 1", "true"):
+        exports.jsonl_append_new(records.filter(chosen), f"{root}/out", keys, ["premier"])
+    return jsonl_records(spark, f"{root}/out", T.StructType([T.StructField("id", T.StringType()), T.StructField("premier", T.LongType())]))
+
+
 @query("exp_overwrite", """
 SELECT 'r' || o_orderkey AS id, o_orderkey % 3 AS lot FROM orders WHERE o_orderkey % 3 <> 0""")
 def exp_overwrite(spark, sf_dir):

@@ -40,7 +40,11 @@ def _remove_dots(path: Column) -> Column:
 
 def url_join(base, href: Column) -> Column:
     """Resolve ``href`` against ``base``; an empty ``href`` gives the base, an absolute one is returned as it is."""
-    base = _lit(base)
+    # One evaluation of each, however many branches name them.
+    return F.get(F.transform(F.array(F.struct(_lit(base).alias("base"), href.alias("href"))), lambda x: _joined(x.base, x.href)), F.lit(0))
+
+
+def _joined(base: Column, href: Column) -> Column:
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     base_path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)

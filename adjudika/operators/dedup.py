@@ -67,18 +67,16 @@ def canonical_links(links: DataFrame, url: str = "url") -> DataFrame:
     parts = links.select(
         F.col(url), query_param(F.col(url), REF_PARAM).alias("ref"), query_param(F.col(url), ORG_PARAM).alias("org"))
     complete = F.col("ref").isNotNull() & F.col("org").isNotNull()
-    # ``ok`` is an aggregate so that the filter stays above it and both uses share one exchange of the groups.
-    groups = parts.groupBy("ref", "org").agg(F.count(F.lit(1)).alias("n"), F.bool_and(complete).alias("ok"))
+    # Links that lack a part keep their URL within the same exchange, so they are there if no link is complete, and nothing is read again.
+    # ``ok`` is an aggregate so that the filter stays above it and both uses share that exchange.
+    groups = parts.withColumn("_url", F.when(~complete, F.col(url))).groupBy("ref", "org", "_url").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(complete).alias("ok"))
     totals = groups.agg(F.bool_or("ok").alias("any_complete"), F.sum(F.when(~F.col("ok"), F.col("n"))).alias("incomplete"))
     any_complete = F.coalesce(totals.select("any_complete").scalar(), F.lit(False))
-    keyed = groups.filter("ok").select(
-        "ref", "org", build_detail_url(F.col("ref"), F.col("org")).alias("url"), "n",
-        F.coalesce(totals.select("incomplete").scalar(), F.lit(0)).cast("bigint").alias("dropped"))
-    # Read again only when no link is complete; the test comes before any URL is taken apart.
-    raw = links.select(F.col(url)).filter(~any_complete).select(
-        query_param(F.col(url), REF_PARAM).alias("ref"), query_param(F.col(url), ORG_PARAM).alias("org"),
-        F.col(url).alias("url"), F.lit(1).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("dropped"))
-    return keyed.unionByName(raw)
+    dropped = F.when(any_complete, F.coalesce(totals.select("incomplete").scalar(), F.lit(0))).otherwise(0).cast("bigint")
+    copies = F.explode(F.when(F.col("ok"), F.array(F.col("n"))).otherwise(F.transform(F.sequence(F.lit(1).cast("bigint"), "n"), lambda i: F.lit(1).cast("bigint"))))
+    return groups.filter(F.col("ok") | ~any_complete).withColumn("n", copies).select(
+        "ref", "org", F.coalesce("_url", build_detail_url(F.col("ref"), F.col("org"))).alias("url"), "n", dropped.alias("dropped"))
 
 
 def new_records(records: DataFrame, stored_ids: DataFrame, order: list[str], id_column: str = "id") -> DataFrame:

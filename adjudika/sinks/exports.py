@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adjudika.functions import zero_as_null
+from adjudika.operators.dedup import first_per_key, new_keys
 from adjudika.operators.projections import csv_row
+from adjudika.session import cut_lineage
 
 EXPORT_CAP = 10_000
 # Values are written as they are: no trimming, blank for empty, quotes doubled.
@@ -52,6 +54,19 @@ def jsonl_append(records: DataFrame, path: str, overwrite: bool = False) -> None
     records.write.mode(write_mode(overwrite)).option("ignoreNullFields", "false").json(path)
 
 
+def jsonl_append_new(records: DataFrame, path: str, keys, order: list[str]) -> DataFrame:
+    """Append the first record of every id that the output does not hold yet, and return what was appended.
+
+    ``keys`` (a ``KeyTable`` of ids) stands for the output: of a long history only the hash prefixes of the batch are read, no JSON is. A table that is
+    missing beside an existing output has to be rebuilt from it first.
+    """
+    first = cut_lineage(first_per_key(records, [keys.key], order), "first")
+    fresh = cut_lineage(new_keys(first, keys.lookup(first), keys.key), "fresh")
+    jsonl_append(fresh, path)
+    keys.add(fresh)
+    return fresh
+
+
 def json_feed(items: DataFrame, path: str) -> bool:
     """Feed of one run: never replaces an earlier file, and an empty run writes none. True when written."""
     if items.isEmpty():
