@@ -1,8 +1,10 @@
 """Licence scan by sentence rules.
 
 A text is cut into sentences, these are normalised and mapped to the identifiers of known licence sentences, and the document's sequence
-of identifiers is matched against an ordered list of licence rules. A rule that matches takes its identifiers out of the sequence;
-identifiers that no rule takes are reported, so a changed licence is seen rather than guessed.
+of identifiers is matched against an ordered list of licence rules. Unknown sentences between two known ones leave a mark in the sequence, which
+breaks a rule in two; only list numbers, titles and copyright lines do not. A rule that matches takes its identifiers out of the sequence.
+Identifiers that no rule takes are reported, so a licence with a sentence more, less or changed is seen rather than guessed. An SPDX
+expression names each of its licences, by the same name as the rules.
 """
 
 from __future__ import annotations
@@ -45,6 +47,11 @@ SENTENCES = {
     "bsd_warranty": ["this software is provided by the copyright holders and contributors as is and any express or implied warranties "
                      "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are "
                      "disclaimed"],
+    "bsd_no_liability": ["in no event shall the copyright holder or contributors be liable for any direct indirect incidental special "
+                         "exemplary or consequential damages including but not limited to procurement of substitute goods or services loss "
+                         "of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+                         "strict liability or tort including negligence or otherwise arising in any way out of the use of this software even "
+                         "if advised of the possibility of such damage"],
     "bsd2_notice": ["licensed under the bsd 2 clause license", "released under the bsd 2 clause license"],
     "bsd3_notice": ["licensed under the bsd 3 clause license", "released under the bsd 3 clause license"],
     "apache2_notice": ["licensed under the apache license version 2.0", "released under the apache license version 2.0",
@@ -70,6 +77,12 @@ SENTENCES = {
                      "warranty of merchantability or fitness for a particular purpose"],
     "gpl_see": ["see the gnu general public license for more details"],
     "gpl_copy": ["you should have received a copy of the gnu general public license along with this program"],
+    "lgpl21_free": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+                    "license as published by the free software foundation either version 2.1 of the license or at your option any later version"],
+    "lgpl_warranty": ["this library is distributed in the hope that it will be useful but without any warranty without even the implied "
+                      "warranty of merchantability or fitness for a particular purpose"],
+    "lgpl_see": ["see the gnu lesser general public license for more details"],
+    "lgpl_copy": ["you should have received a copy of the gnu lesser general public license along with this library"],
     "mpl2_notice": ["this source code form is subject to the terms of the mozilla public license v 2.0",
                     "licensed under the mozilla public license version 2.0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
@@ -89,7 +102,9 @@ RULES = [
     ("MIT", ("mit_grant", "mit_condition", "as_is")),
     ("ISC", ("isc_grant", "as_is")),
     ("ISC", ("isc_grant",)),
+    ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_warranty", "bsd_no_liability")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_warranty")),
+    ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_warranty", "bsd_no_liability")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_warranty")),
     ("Apache-2.0", ("apache2_notice", "apache2_limits", "apache2_copy", "apache2_warranty", "apache2_see")),
     ("Apache-2.0", ("apache2_notice", "apache2_limits", "apache2_copy")),
@@ -97,6 +112,8 @@ RULES = [
     ("GPL-3.0-or-later", ("gpl_free",)),
     ("GPL-2.0-or-later", ("gpl2_free", "gpl_warranty", "gpl_see", "gpl_copy")),
     ("GPL-2.0-or-later", ("gpl2_free",)),
+    ("LGPL-2.1-or-later", ("lgpl21_free", "lgpl_warranty", "lgpl_see", "lgpl_copy")),
+    ("LGPL-2.1-or-later", ("lgpl21_free",)),
     ("MIT", ("mit_notice",)),
     ("BSD-2-Clause", ("bsd2_notice",)),
     ("BSD-3-Clause", ("bsd3_notice",)),
@@ -112,6 +129,12 @@ RULES = [
 ]
 #: Identifiers that stand for themselves and never break a sequence.
 _ASIDE = {"copyright"}
+#: Stands for unknown sentences between two known ones.
+UNKNOWN = "?"
+# Unknown sentences that change nothing: list numbers, and titles such as "The MIT License (MIT)".
+_HARMLESS = re.compile(r"(?:\(?[a-z0-9ivx.]{1,4}\)?|(?:the )?(?:[a-z0-9.]+ ){0,4}license(?: \(?[a-z0-9.]+\)?){0,3}|(?:disclaimer|disclaimer of warranty))")
+#: Licence names by their SPDX form in lower case; the forms without a suffix and with "only" are one.
+_NAMES = {name.lower(): name for name, _ in RULES}
 _BY_TEXT = {text: name for name, texts in SENTENCES.items() for text in texts}
 _BY_PATTERN = [(name, re.compile(p)) for name, p in PATTERNS]
 LONGEST = max(len(t.split()) for t in _BY_TEXT)
@@ -147,10 +170,10 @@ def identifiers(text: str) -> list[str]:
     """The identifiers of a text's known sentences, in order.
 
     A sentence ends at a full stop or the like before white space, or at a line end. A known sentence may run over several lines; the longest
-    run of lines that is one is taken.
+    run of lines that is one is taken. ``UNKNOWN`` stands once for all unknown sentences between two known ones.
     """
     pieces = [p for p in (normalise(x) for x in _ENDS.split(_LEADER.sub("", text))) if p]
-    out, i = [], 0
+    out, i, unknown = [], 0, False
     while i < len(pieces):
         words, best = 0, None
         for j in range(i, len(pieces)):
@@ -161,14 +184,27 @@ def identifiers(text: str) -> list[str]:
             if name:
                 best = (j, name)
         if best:
-            out.append(best[1])
-            i = best[0]
+            out += [UNKNOWN, best[1]] if unknown and out else [best[1]]
+            i, unknown = best[0], False
+        elif not _HARMLESS.fullmatch(pieces[i]):
+            unknown = True
         i += 1
     return out
 
 
+def spdx_names(expression: str) -> list[str]:
+    """The licences of a normalised SPDX expression: the operands of "or" and "and", without exceptions."""
+    names = []
+    for operand in re.split(r" (?:or(?! later)|and) ", expression):
+        name = operand.split(" with ")[0].strip().replace(" ", "-")
+        plain = re.sub(r"-only$", "", re.sub(r"\+$", "-or-later", name))
+        if name:
+            names.append(_NAMES.get(plain, plain))
+    return names
+
+
 def match(found: list[str]) -> tuple[list[str], list[str]]:
-    """The licences of a sequence of identifiers, and the identifiers that no rule takes."""
+    """The licences of a sequence of identifiers, and the identifiers that no rule takes; ``UNKNOWN`` keeps its neighbours apart."""
     licences, left = set(), [x for x in found if x.split(":")[0] not in _ASIDE]
     for name, rule in RULES:
         i = 0
@@ -183,8 +219,8 @@ def match(found: list[str]) -> tuple[list[str], list[str]]:
         if kind == "cc":
             licences.add("CC-" + free.upper().replace("ZERO", "0").replace(" ", "-"))
         elif kind == "spdx":
-            licences.add(free.replace(" ", "-"))
-        elif x != "|":
+            licences.update(spdx_names(free))
+        elif x not in ("|", UNKNOWN):
             rest.append(x)
     return sorted(licences), rest
 
@@ -195,8 +231,8 @@ _RESULT = "doc_id bigint, sentence_ids array<string>, licences array<string>, un
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, sentence_ids, licences and unmatched of every row of ``docs``; its other columns are ignored.
 
-    A null or empty text, and a text without a known sentence, has empty lists. Repeated rows are judged alike; a licence found twice is
-    named once; licences are sorted.
+    A null or empty text, and a text without a known sentence, has empty lists; an empty table gives an empty one; very long texts are read
+    whole. Repeated rows are judged alike; a licence found twice is named once; licences are sorted.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -205,7 +241,7 @@ def scan(docs: DataFrame) -> DataFrame:
             made = {name: [[] for _ in range(batch.num_rows)] for name in ("sentence_ids", "licences", "unmatched")}
             for i in near:
                 found = identifiers(texts[i].as_py())
-                made["sentence_ids"][i] = found
+                made["sentence_ids"][i] = [x for x in found if x != UNKNOWN]
                 made["licences"][i], made["unmatched"][i] = match(found)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.list_(pa.string())) for x in made.values()]],
                                              names=["doc_id", *made])
