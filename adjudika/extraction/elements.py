@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from adjudika.extraction.selectors import SELECTORS
+from adjudika.session import ship_package
 
 # Fixed values of HTML: elements without content, and which open elements a start tag closes within which scope.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -212,4 +213,5 @@ def with_elements(pages: DataFrame, chunk: int = 64, partitions: int | None = No
     schema = T.StructType([f for f in pages.schema if f.name != "html"])
     schema = schema.add("elements", T.ArrayType(ELEMENT)).add("texts", T.ArrayType(T.StringType()))
     dealt = pages.repartition(partitions, "page_id") if partitions else pages
+    ship_package(pages.sparkSession)
     return dealt.mapInArrow(_kernel(chunk), schema)

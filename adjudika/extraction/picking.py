@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from adjudika.extraction.elements import PageBatch
+from adjudika.session import ship_package
 
 # Places in an element's record, in the order in which the parser gives them.
 _I, _TAG, _ABOVE, _NTH, _T0, _ID, _CLS, _HREF, _REL, _ALT = range(10)
@@ -193,6 +194,7 @@ def with_records(pages: DataFrame, fields: list[Field], rows=None, needs=None, s
                     [*(part.column(n).take(own) for n in names), pa.array(places, pa.int32()), *(pa.array(c, pa.string()) for c in columns), *last],
                     names=[*names, "no", *(f.name for f in fields), *(["html"] if empty_pages else [])])
 
+    ship_package(pages.sparkSession)
     return pages.mapInArrow(run, schema)
 
 

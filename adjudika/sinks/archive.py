@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudika.functions import archive_name
+from adjudika.operators.projections import without_html
 from adjudika.operators.relations import pages_without_rows
 from adjudika.session import cut_lineage
 
@@ -54,7 +55,7 @@ def archived_path(records: DataFrame, archive: DataFrame, root: str) -> DataFram
     if "content_md5" not in records.columns:
         records = records.withColumn("content_md5", F.md5("page_html"))
     path = F.concat(F.lit(root.rstrip("/") + "/"), F.col("_file"))
-    return records.join(files, "content_md5", "left").withColumn("page_html_archivee", path).drop("content_md5", "_file", "page_html")
+    return without_html(records.join(files, "content_md5", "left").withColumn("page_html_archivee", path).drop("content_md5", "_file"))
 
 
 def pages_at(paths: DataFrame, archive: DataFrame, column: str = "page_html_archivee") -> DataFrame:

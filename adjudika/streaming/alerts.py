@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from adjudika.session import ship_package
+
 MINUTE_MS = 60_000
 EDGES = "spider string, alerte string, t timestamp, bord string"
 _STATE = "next bigint, minutes array<bigint>, counts array<bigint>, active bigint, held array<bigint>"
@@ -150,5 +152,6 @@ def alert_edges(metrics: DataFrame, rules: list[Rule], start, watermark: str = "
         yield pd.DataFrame({"spider": [key[0]] * len(edges), "alerte": [e[0] for e in edges],
                             "t": pd.to_datetime([e[1] * MINUTE_MS for e in edges], unit="ms"), "bord": [e[2] for e in edges]})
 
+    ship_package(metrics.sparkSession)
     closed = _minutes(metrics, rules, watermark)
     return closed.groupBy("spider").applyInPandasWithState(watch, EDGES, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
