@@ -158,7 +158,8 @@ LEFT JOIN (SELECT ref_consultation, {_agg(f"numero_lot, designation, {_sql_cents
   FROM lots GROUP BY 1) l USING (ref_consultation)
 LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_publication_pv')}, type_pv, CAST(nombre_soumissionnaires AS VARCHAR)",
                                           "date_publication_pv, type_pv, nombre_soumissionnaires")} AS x FROM pv_extraits GROUP BY 1) p USING (ref_consultation)
-LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_attribution')}, entreprise_nom, {_sql_cents('montant_ttc')}", "date_attribution, entreprise_nom, montant_ttc")} AS x
+LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_attribution')}, entreprise_nom, {_sql_cents('montant_ttc')}",
+                                          "date_attribution, entreprise_nom, montant_ttc")} AS x
   FROM attributions GROUP BY 1) a USING (ref_consultation)
 LEFT JOIN (SELECT ref_consultation, {_agg(f"{_sql_day('date_achevement')}, entreprise_nom, {_sql_cents('montant_definitif')}",
                                           "date_achevement, entreprise_nom, montant_definitif")} AS x FROM achevements GROUP BY 1) h USING (ref_consultation)
@@ -190,8 +191,8 @@ def _flat_dossier(df):
 
 
 @query("jn_detail_parts", B.with_tables("""
-SELECT c.ref_consultation, CAST(p AS INT) AS part, CAST(greatest(0, least(3, l.n - 3 * p)) AS BIGINT) AS n_lots, CAST(greatest(0, least(3, coalesce(h.n, 0) - 3 * p)) AS BIGINT) AS n_achevements,
-  l.x AS lots
+SELECT c.ref_consultation, CAST(p AS INT) AS part, CAST(greatest(0, least(3, l.n - 3 * p)) AS BIGINT) AS n_lots,
+  CAST(greatest(0, least(3, coalesce(h.n, 0) - 3 * p)) AS BIGINT) AS n_achevements, l.x AS lots
 FROM consultations c
 JOIN (SELECT ref_consultation, count(numero_lot) AS n, coalesce(string_agg(numero_lot || '~' || designation, '|' ORDER BY numero_lot, designation), '') AS x
   FROM consultations LEFT JOIN lots USING (ref_consultation) GROUP BY 1) l USING (ref_consultation)

@@ -171,7 +171,9 @@ SELECT 'https://www.marchespublics.gov.ma/index.php?page=entreprise.EntrepriseDe
     || o_orderkey || '&orgAcronyme=org' AS url_detail,
   CASE WHEN o_orderkey % 5 <> 0 THEN 'Objet de' END AS objet, 'Nom ' || o_custkey AS organisme_nom_complet,
   o_orderpriority AS organisme_ville, CASE WHEN o_orderkey % 3 <> 1 THEN '05 22 ' || o_custkey END AS organisme_telephone,
-  CASE WHEN o_orderkey % 4 <> 0 THEN 'Secteur ' || o_orderkey % 4 END AS secteur, CASE WHEN o_orderkey % 7 <> 0 THEN '4500' || o_orderkey % 7 END AS code_cpv, 'c' || o_custkey || '@example.org' AS organisme_email, o_totalprice AS montant_estime,
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'Secteur ' || o_orderkey % 4 END AS secteur,
+  CASE WHEN o_orderkey % 7 <> 0 THEN '4500' || o_orderkey % 7 END AS code_cpv,
+  'c' || o_custkey || '@example.org' AS organisme_email, o_totalprice AS montant_estime,
   CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 1000 + 0.5::DOUBLE END AS cautionnement_provisoire,
   'https://www.marchespublics.gov.ma/' || CASE WHEN o_orderkey % 2 = 0 THEN 'doc/avis-1.pdf' ELSE 'doc.php?n=1' END AS url_avis,
   'https://www.marchespublics.gov.ma/index.php?page=entreprise.EntrepriseDetailsConsultation&refConsultation='

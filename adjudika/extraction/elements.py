@@ -1,9 +1,10 @@
-"""The only Python in the engine: list the elements and text pieces of each archived page.
+"""The page parser: lists the elements and text pieces of each archived page.
 
 ``with_elements`` adds two arrays to a page row. ``elements`` is in document order, and an element's descendants are the
 slots that follow it up to ``last``; ``texts`` holds the stripped non-blank text pieces, and an element owns the slice
 ``[t0, t1)``. ``above`` holds of the enclosing tags only what selectors ask for (see ``_below``), so it stays short however deep a
-page nests. Time and memory are linear in the page, also if tags, quotes or comments never close or end tags match nothing. Selection, field rules and row building are column expressions over these arrays.
+page nests. Time and memory are linear in the page, also if tags, quotes or comments never close or end tags match nothing. Selection and
+field rules are column expressions over these arrays; ``picking`` selects within the kernel instead.
 """
 
 from __future__ import annotations
