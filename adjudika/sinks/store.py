@@ -112,8 +112,7 @@ class TenderStore:
                                   and c in tenders.columns else F.lit(None).cast(CONSULTATIONS[c].dataType).alias(c)
                                   for c in typed.columns), *extra)
         incoming = cut_lineage(last_values(source, KEY, order).drop(*extra), "upsert")
-        met = self.known(incoming).join(incoming.select(KEY), KEY, "left_semi").select("mois")
-        months = [r.mois for r in met.unionByName(self._dated(incoming).select("mois")).distinct().collect()]
+        months = [r.mois for r in self._months(incoming).collect()]
         base = self.read().filter(F.col("mois").isin(months))
         # The result is written aside first: a task that is run again must not read a folder that is being replaced.
         merged, counts = cut_counted(upsert(base, incoming, KEY, now, seq=seq), "merged", **counted())
@@ -128,6 +127,15 @@ class TenderStore:
         self.keys.add(rows.filter("_action = 'insert'"))
         return counts
 
+    def _months(self, incoming: DataFrame) -> DataFrame:
+        """The months of stored references that ``incoming`` (unique by key) has, and those of new tenders.
+
+        The join is a sorted one whatever its sides seem to weigh: next to the other columns of a wide file the keys look so
+        small that a whole table of them would be broadcast through the driver.
+        """
+        met = self.known(incoming).join(incoming.select(KEY).hint("merge"), KEY, "left_semi").select("mois")
+        return met.unionByName(self._dated(incoming).select("mois")).distinct()
+
     def append(self, kind: str, rows: DataFrame, lot_id: int, seq: int = 0) -> None:
         """Add children. One run writes one folder, which a repeated run replaces instead of adding to."""
         if self.summary and kind in SUMMARISED:

@@ -346,3 +346,18 @@ def test_retention_and_calendar(spark):
 def test_work_dir_follows_the_session_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert not shared or work_dir(spark, "x").startswith(shared)
+
+
+def test_upsert_broadcasts_no_keys(spark):
+    """A wide file makes its keys look small: their join must not be chosen by that guess."""
+    job = ingest(spark, mode="upsert")
+    rows = spark.range(3000).select(
+        F.concat(F.lit("R"), F.col("id").cast("string")).alias("ref_consultation"), F.lit("t").alias("titre"), F.lit("O").alias("organisme_acronyme"),
+        F.lit("travaux").alias("type_marche"), F.lit("en_cours").alias("statut"),
+        *(F.lit("2025-01-01").cast("timestamp_ntz").alias(c) for c in ("date_publication", "date_extraction")), F.col("id").cast("int").alias("arrivee"))
+    job.run(rows, 0)
+    path = f"{work_dir(spark, 'test')}/wide"
+    rows.withColumns({f"c{k}": F.lit("x" * 20) for k in range(20)}).write.parquet(path)
+    months = job.store._months(spark.read.parquet(path))
+    assert [r.mois for r in months.collect()] == ["2025-01"]
+    assert "BroadcastHashJoin" not in months._jdf.queryExecution().executedPlan().toString()
