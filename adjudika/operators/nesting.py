@@ -7,8 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adjudika.session import cut_lineage
+
 #: Slices of a hot key's children that are ranked apart, a power of two.
 SLICES = 1024
+#: Children of a key and relation that one row may gather before they are cut into parts.
+ROW_SIZE = 10_000
 
 
 def _items(columns) -> Column:
@@ -29,11 +33,51 @@ def dossier(parents: DataFrame, key: str, relations: dict[str, tuple[DataFrame,
     children may stand in two parts. Children without a parent are left out, nothing else is dropped, and no task holds all children of a
     large key. A parent without children gets empty arrays.
 
-    All relations travel together: equal children are counted before the first exchange; offsets of hash slices come from the counts, and only
-    slices of large keys get any; the second exchange brings parents and children together, so there is no join of nested relations.
+    Keys are counted first, over the key columns alone. All relations of those with up to ``ROW_SIZE`` children travel together, once, and a row
+    that has gathered a key's children cuts them into parts itself. Only keys with more take the longer way, if there are any: equal children are
+    counted before the first exchange, offsets of hash slices come from the counts, and the second exchange brings parents and children together.
     """
     # A NULL key has no parent. Left in, the joins below would drop it on some branches only, and these could not share their exchange.
     relations = {n: (df.filter(F.col(key).isNotNull()), columns) for n, (df, columns) in relations.items()}
+    every = reduce(lambda a, b: a.unionByName(b), [df.select(key, F.lit(at).alias("_rel")) for at, (df, _) in enumerate(relations.values())])
+    counts = every.groupBy(key, "_rel").agg(F.count(F.lit(1)).alias("_total")).filter(F.col("_total") > ROW_SIZE)
+    hot = cut_lineage(counts.select(key).distinct(), "hot")
+    if hot.isEmpty():
+        return _dossier_in_rows(parents, key, relations, part_size)
+
+    def split(how: str) -> tuple:
+        return parents.join(hot, key, how), key, {n: (df.join(hot, key, how), columns) for n, (df, columns) in relations.items()}, part_size
+
+    return _dossier_in_rows(*split("left_anti")).unionByName(_dossier_in_slices(*split("left_semi")))
+
+
+def _dossier_in_rows(parents: DataFrame, key: str, relations: dict, part_size: int) -> DataFrame:
+    """For keys whose children fit into one row: gathered whole, then cut into the same parts as by ``_dealt``."""
+    own = F.struct(*(c for c in parents.columns if c != key)).alias("_own")
+    tagged = [df.select(key, F.struct(*columns).alias(f"_{name}")) for name, (df, columns) in relations.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*tagged, parents.select(key, own)])
+    whole = rows.groupBy(key).agg(F.first("_own", ignorenulls=True).alias("_own"), *(F.collect_list(f"_{n}").alias(n) for n in relations)).filter(
+        F.col("_own").isNotNull())
+    parts = F.greatest(F.lit(1), *(F.ceil(F.size(n) / F.lit(part_size)) for n in relations)).cast("int")
+    placed = whole.withColumns({n: _ranked(n, columns, part_size) for n, (_, columns) in relations.items()}).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    cut = {n: F.sort_array(F.when(F.size(n) > part_size, F.slice(n, F.col("part") * part_size + 1, F.lit(part_size)))
+                           .when(F.col("part") == 0, F.col(n)).otherwise(F.slice(n, 1, 0))) for n in relations}
+    return placed.select(key, "_own.*", "part", *(c.alias(n) for n, c in cut.items())).select(*parents.columns, "part", *relations)
+
+
+def _ranked(name: str, columns, part_size: int) -> Column:
+    """The items of an array in the order of their ranks, where it has to be cut."""
+    def marked(x):
+        h = F.xxhash64(*(x[c] for c in columns))
+        return F.struct(h.bitwiseAND(F.lit(SLICES - 1)).alias("slice"), h.alias("hash"), x.alias("item"))
+
+    ranked = F.transform(F.sort_array(F.transform(F.col(name), marked)), lambda m: m.item)
+    return F.when(F.size(name) > part_size, ranked).otherwise(F.col(name))
+
+
+def _dossier_in_slices(parents: DataFrame, key: str, relations: dict, part_size: int) -> DataFrame:
+    """For keys with any number of children: ranked in slices, so that no task holds all of them."""
     dealt = _dealt(relations, key, part_size)
     own = F.struct(*(c for c in parents.columns if c != key)).alias("_own")
     first = parents.select(key, F.lit(0).alias("part"), own)

@@ -179,3 +179,18 @@ def test_sliding_and_hold_against_brute_force(spark):
     alerts = held(series.withColumn("cond", F.col("v") == 0), ["g"], span(minutes=5), span(minutes=1))
     firing = {r.t: r.firing for r in alerts.collect()}
     assert firing == {t(m): m >= 5 and all(want[t(k)] == 0 for k in range(m - 5, m + 1)) for m in range(121)}
+
+
+def test_dossier_moves_small_keys_once_and_large_ones_in_the_same_parts(spark, tmp_path, monkeypatch):
+    spark.range(600).selectExpr("CASE WHEN id < 90 THEN 'hot' WHEN id < 130 THEN 'warm' ELSE 'k' || id % 50 END AS ref",
+                                "id % 41 AS no", "cast(id as string) AS label").write.parquet(f"{tmp_path}/c")
+    children = spark.read.parquet(f"{tmp_path}/c")
+    parents = spark.createDataFrame([(r,) for r in ("hot", "warm", "k7", "none")], "ref string")
+    relations = {"a": (children, ("no",)), "b": (children.filter("no % 2 = 0"), ("no", "label"))}
+    rows = nesting.dossier(parents, "ref", relations, 8)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # contents travel once
+    whole = sorted(map(repr, rows.collect()))
+    for size in (0, 60):  # all keys, or one, by slices
+        monkeypatch.setattr(nesting, "ROW_SIZE", size)
+        assert sorted(map(repr, nesting.dossier(parents, "ref", relations, 8).collect())) == whole
