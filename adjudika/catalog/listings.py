@@ -35,11 +35,10 @@ SELECT ref_consultation, date_publication, titre, CAST(row_number() OVER (ORDER
   CAST((row_number() OVER (ORDER BY date_publication DESC, ref_consultation) - 1) // 1000 AS INT) AS page
 FROM consultations WHERE type_marche = 'travaux' AND organisme_acronyme ILIKE '%nation_1%'""", B.CONSULTATIONS))
 def flt_pages(spark, sf_dir):
-    """A whole list page by page, each found by the last row of the page before."""
+    """A whole list with the pages that a reader finds one by one, each by the last row of the page before."""
     chosen = L.shape(L.filter_tenders(D.consultations(spark, sf_dir), type_marche="travaux", organisme="nation_1"), TENDER_LIST)
-    rows = [(r.ref_consultation, r.date_publication, r.titre, k * 1000 + i, k)
-            for k, page in enumerate(pages_of(chosen, "date_publication", ["ref_consultation"], 1000)) for i, r in enumerate(page)]
-    return spark.createDataFrame(rows, "ref_consultation string, date_publication timestamp_ntz, titre string, rang int, page int")
+    rows = pages_of(chosen, "date_publication", ["ref_consultation"], 1000).rows()
+    return rows.select("ref_consultation", "date_publication", "titre", F.col("rang").cast("int").alias("rang"), F.col("page").cast("int").alias("page"))
 
 
 @query("flt_page_after", B.with_tables("""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adjudika.session import cut_lineage
+
 
 def contains_ci(column: str, term: str, literal: bool = False) -> Column:
     """Case-insensitive "contains". ``%`` and ``_`` in the term are wildcards unless ``literal``."""
@@ -96,13 +98,47 @@ def page_after(df: DataFrame, newest: str, tiebreak: list[str], cursor: dict | N
     return df.orderBy(F.desc(newest), *tiebreak).limit(limit)
 
 
-def pages_of(df: DataFrame, newest: str, tiebreak: list[str], limit: int = 100, max_limit: int = 1000):
-    """All pages one after the other, each a list of rows; a reader that stops early has read no further page."""
-    cursor = None
-    while True:
-        rows = page_after(df, newest, tiebreak, cursor, limit, max_limit).collect()  # at most ``limit``
-        if rows:
-            yield rows
-        if len(rows) < limit:
-            return
-        cursor = {name: rows[-1][name] for name in (newest, *tiebreak)}
+class Pages:
+    """All pages of a list, in the order of ``page``: one after the other by iterating, or as one table by ``rows``."""
+
+    def __init__(self, df: DataFrame, newest: str, tiebreak: list[str], limit: int, max_limit: int):
+        if not 1 <= limit <= max_limit:
+            raise ValueError(f"limit must lie between 1 and {max_limit}")
+        self.df, self.newest, self.tiebreak, self.limit, self.max_limit = df, newest, tiebreak, limit, max_limit
+
+    def __iter__(self):
+        """Each page as a list of rows, found by the last row of the page before; a reader that stops early has read no further page.
+
+        The first page is taken from the list as it is. Whoever asks for more has the list sorted and stored once, and a page costs the
+        files that its cursor cannot rule out, not the whole list again.
+        """
+        cursor, source = None, self.df
+        while True:
+            rows = page_after(source, self.newest, self.tiebreak, cursor, self.limit, self.max_limit).collect()  # at most ``limit``
+            if rows:
+                yield rows
+            if len(rows) < self.limit:
+                return
+            if cursor is None:
+                source = cut_lineage(self.df.orderBy(F.desc(self.newest), *self.tiebreak), "pages")
+            cursor = {name: rows[-1][name] for name in (self.newest, *self.tiebreak)}
+
+    def rows(self) -> DataFrame:
+        """The rows of all pages with ``rang``, the place in the list from 0 on, and ``page``: sorted once, in ranges, and no row passes the driver.
+
+        Places are counted within each range; the ranges before a row, one number each, add up to the rest.
+        """
+        sorted_rows = self.df.orderBy(F.desc(self.newest), *self.tiebreak).withColumn("_at", F.monotonically_increasing_id())
+        held = cut_lineage(sorted_rows, "pages")
+        span = F.shiftright("_at", 33)  # the range's number; the lower bits count its rows
+        sizes = held.groupBy(span.alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))  # one row a range
+        starts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+        rang = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+        placed = held.withColumn("_range", span).join(F.broadcast(starts), "_range").withColumn("rang", rang)
+        return placed.withColumn("page", F.floor(F.col("rang") / self.limit).cast("bigint")).select(*self.df.columns, "rang", "page")
+
+
+def pages_of(df: DataFrame, newest: str, tiebreak: list[str], limit: int = 100, max_limit: int = 1000) -> Pages:
+    """All pages of the list; see ``Pages``."""
+    return Pages(df, newest, tiebreak, limit, max_limit)

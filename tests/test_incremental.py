@@ -128,3 +128,19 @@ def test_rows_and_empty_pages_come_from_one_pass(spark):
 def test_runs_of_a_stream_have_numbers_of_their_own():
     numbers = {lot_of(c, b) for c in ("/a", "/b/", "hdfs://x/c") for b in range(3)}
     assert len(numbers) == 9 and min(numbers) > 1 << 32 and max(numbers) < 1 << 63 and lot_of("/a/", 1) == lot_of("/a", 1)
+
+
+def test_rows_of_all_pages_are_those_of_the_reader(spark):
+    df = spark.range(500).selectExpr("cast('2025-01-01' as timestamp_ntz) + make_dt_interval(cast(id % 7 as int)) AS d", "id * 7 % 500 AS k").repartition(5)
+    pages = pages_of(df, "d", ["k"], 60)
+    want = [(*r, 60 * p + i, p) for p, page in enumerate(pages) for i, r in enumerate(page)]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rows", "rows")
+    got = sorted((tuple(r) for r in pages.rows().collect()), key=lambda r: r[2])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == want
+    count = len(jobs.getJobIdsForGroup("rows"))
+    spark.sparkContext.setJobGroup("more", "more")
+    more = pages_of(df, "d", ["k"], 5).rows().collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(more) == 500 and len(jobs.getJobIdsForGroup("more")) == count  # one hundred pages take no more jobs than nine
