@@ -144,11 +144,14 @@ def ret_archive_expired(spark, sf_dir):
 
 @query("bck_calendar", """
 SELECT CAST(jour AS TIMESTAMP) AS jour, coalesce(n, 0) AS n, n IS NULL AS manquant
-FROM (SELECT unnest(generate_series(TIMESTAMP '2001-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS jour)
+FROM (SELECT unnest(generate_series(date_trunc('year', min(o_orderdate)), date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
+  INTERVAL 1 DAY)) AS jour FROM orders)
 LEFT JOIN (SELECT date_trunc('day', o_orderdate) AS d, count(*) AS n FROM orders GROUP BY 1) ON CAST(d AS DATE) = CAST(jour AS DATE)""")
 def bck_calendar(spark, sf_dir):
-    """The last year of the orders, which end within it."""
-    return T.backfill_state(D.read(spark, sf_dir, "orders"), "o_orderdate", 2001).withColumn("jour", F.col("jour").cast("timestamp_ntz"))
+    """All years of the orders, which end within the last one."""
+    orders = D.read(spark, sf_dir, "orders")
+    years = orders.agg(F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
+    return T.backfill_state(orders, "o_orderdate", years.first, years.last).withColumn("jour", F.col("jour").cast("timestamp_ntz"))
 
 
 @query("bck_resume", B.with_tables("""

@@ -22,19 +22,19 @@ def rotate(df: DataFrame, column: str, now: Column, months: int, kept_path: str,
     (writer.partitionBy(partition) if partition else writer).parquet(kept_path)
 
 
-def year_calendar(spark: SparkSession, year: int) -> DataFrame:
-    """Every day of a year: the units of a backfill."""
-    days = F.sequence(F.make_date(F.lit(year), F.lit(1), F.lit(1)), F.make_date(F.lit(year), F.lit(12), F.lit(31)))
+def year_calendar(spark: SparkSession, year: int, last: int | None = None) -> DataFrame:
+    """Every day of a year, or of all years up to ``last``: the units of a backfill."""
+    days = F.sequence(F.make_date(F.lit(year), F.lit(1), F.lit(1)), F.make_date(F.lit(last or year), F.lit(12), F.lit(31)))
     return spark.range(1).select(F.explode(days).alias("jour"))
 
 
-def backfill_state(records: DataFrame, published: str, year: int) -> DataFrame:
-    """Records per day of the year, and which days are still missing."""
+def backfill_state(records: DataFrame, published: str, year: int, last: int | None = None) -> DataFrame:
+    """Records per day of the year, or of all years up to ``last``, and which days are still missing."""
     day = F.col(published).cast("date")
-    start, end = f"{year}-01-01", f"{year}-12-31"
+    start, end = f"{year}-01-01", f"{last or year}-12-31"
     counts = records.filter((F.col(published) >= F.lit(start).cast("timestamp_ntz"))
                             & (day <= F.lit(end).cast("date"))).groupBy(day.alias("jour")).agg(
         F.count(F.lit(1)).alias("n"))
-    calendar = year_calendar(records.sparkSession, year)
+    calendar = year_calendar(records.sparkSession, year, last)
     return calendar.join(counts, "jour", "left").select(
         "jour", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNull().alias("manquant"))

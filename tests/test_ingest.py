@@ -361,3 +361,12 @@ def test_upsert_broadcasts_no_keys(spark):
     months = job.store._months(spark.read.parquet(path))
     assert [r.mois for r in months.collect()] == ["2025-01"]
     assert "BroadcastHashJoin" not in months._jdf.queryExecution().executedPlan().toString()
+
+
+def test_calendar_query_counts_every_order(spark):
+    import __spark_entry__ as entry
+
+    sf_dir = "/root/testdata/sf0.001"
+    days = entry.queries()["bck_calendar"](spark, sf_dir).collect()
+    assert sum(r.n for r in days) == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert {r.jour.year for r in days if not r.manquant} == set(range(min(r.jour.year for r in days), max(r.jour.year for r in days) + 1))
