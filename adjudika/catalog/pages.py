@@ -16,14 +16,22 @@ from adjudika.sources import driver_tables as D
 from adjudika.sources import rendered_pages as P
 
 
+#: Pages in one task at most, on average: a task takes some seconds however many pages there are.
+PAGES_A_TASK = 20_000
+
+
+def _tasks(pages):
+    """The pages here come from small files: they are dealt out to all cores, and to more tasks the more pages there are."""
+    return max(pages.sparkSession.sparkContext.defaultParallelism, -(-pages.count() // PAGES_A_TASK))
+
+
 def with_elements(pages):
-    """The pages here come from small tables: deal them out to all cores."""
-    return E.with_elements(pages, partitions=pages.sparkSession.sparkContext.defaultParallelism)
+    return E.with_elements(pages, partitions=_tasks(pages))
 
 
 def raw(pages):
     """The same for pages whose fields the kernel picks itself."""
-    return dealt(pages, pages.sparkSession.sparkContext.defaultParallelism)
+    return dealt(pages, _tasks(pages))
 
 
 def _stamp():

@@ -189,3 +189,24 @@ def test_sample_rows_take_the_first_link_of_the_last_linked_cell(spark):
             '<td><a href="2">b</a><a href="/3">c</a></td><td></td></tr></table><table><tr><td>x</td></tr><tr><td>y</td></tr></table>')
     got = K.sample_tenders(pages(spark, body, "<p>none</p>")).collect()
     assert [(r.ref_consultation, r.url_detail) for r in got] == [("R1", f"{SITE}/2")]
+
+
+def test_tasks_grow_with_the_pages(spark, monkeypatch):
+    from adjudika.catalog import pages as C
+
+    df = spark.range(1000).selectExpr("id AS page_id", "'u' AS url", "'<p>x</p>' AS html")
+    few = spark.sparkContext.defaultParallelism
+    assert C.raw(df).rdd.getNumPartitions() == C.with_elements(df).rdd.getNumPartitions() == few
+    monkeypatch.setattr(C, "PAGES_A_TASK", 100 // few)
+    assert C.raw(df).rdd.getNumPartitions() == C.with_elements(df).rdd.getNumPartitions() == -(-1000 // (100 // few))
+
+
+def test_fields_meet_only_the_selectors_of_their_tag():
+    from adjudika.extraction.picking import Field, Picker
+
+    fields = [Field("a", [{"tag": "td", "nth": 1}, {"cls": "ref"}]), Field("b", [{"tag": "a"}], "href"), Field("c", [{"tag": "span"}], "text", " ")]
+    picker = Picker(fields, rows=[{"tag": "tr"}])
+    assert set(picker.by_tag) == {"td", "a", "span"} and [(x[0], len(x[3])) for x in picker.by_tag["td"]] == [(0, 2)]
+    assert [x[0] for x in picker.others] == [0]
+    html = '<table><tr><td>1<td><a href="u">x</a><tr><th class="ref">2<span>p <b>q</b></span></table>'
+    assert [r for _, r in picker.records(html)] == [["1", "u", None], ["2", None, "p q"]]
