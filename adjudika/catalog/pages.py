@@ -204,7 +204,7 @@ SELECT o_orderkey AS page_id, 'AO-' || o_orderkey AS ref_consultation, 'ORG' AS
   CASE WHEN i = 2 THEN '' ELSE 'https://www.marchespublics.gov.ma/pv/' || o_orderkey || '.pdf' END AS url_pv,
   TIMESTAMP '2025-01-01' AS date_extraction FROM {_numbered(2)}""")
 def ext_pv(spark, sf_dir):
-    return X.minutes_rows(with_elements(P.minutes_pages(spark, sf_dir)), _stamp()).drop("_no")
+    return X.minutes_rows(raw(P.minutes_pages(spark, sf_dir)), _stamp()).drop("_no")
 
 
 @query("ext_awards", f"""

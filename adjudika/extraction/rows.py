@@ -171,22 +171,26 @@ def lot_rows(pages: DataFrame, ref: Column, stamp: Column, sel: dict = SELECTORS
 
 def minutes_rows(pages: DataFrame, stamp: Column, sel: dict = SELECTORS["pv"], containers: bool = False) -> DataFrame:
     """Minutes table to rows. ``containers`` also yields the record that a result table as a whole gives, which repeats
-    its first row: the portal crawler's combined selector reads the table element itself as one more row."""
+    its first row: the portal crawler's combined selector reads the table element itself as one more row. Pages as for ``tender_rows``."""
     row = sel["container"] + sel["row"] if containers else sel["row"]
-    rows = blocks(pages, found(row))
-    link = fn.reject_javascript(F.coalesce(first_href(sel["link"]), F.lit("")), "")
-    return rows.select(
+    if is_raw(pages):
+        picks = [*(Field(f"_{n}", sel[n]) for n in _MINUTES), Field("_link", sel["link"], "href")]
+        raw = with_records(pages.select("page_id", "url", "html"), picks, rows=row)
+    else:
+        raw = blocks(pages, found(row)).select("page_id", "url", "no", *(first_own(sel[n]).alias(f"_{n}") for n in _MINUTES), first_href(sel["link"]).alias("_link"))
+    link = fn.reject_javascript(F.coalesce("_link", F.lit("")), "")
+    return raw.select(
         "page_id", F.col("no").alias("_no"),
-        first_own(sel["ref_consultation"]).alias("ref_consultation"),
-        first_own(sel["organisme_acronyme"]).alias("organisme_acronyme"),
-        first_own(sel["type_pv"]).alias("type_pv"),
-        fn.parse_datetime(first_own(sel["date_seance"])).alias("date_seance"),
-        fn.parse_datetime(first_own(sel["date_publication_pv"])).alias("date_publication_pv"),
+        *(F.col(f"_{n}").alias(n) for n in _MINUTES[:3]),
+        *(fn.parse_datetime(F.col(f"_{n}")).alias(n) for n in _MINUTES[3:]),
         F.when(link == "", "").otherwise(fn.url_join(F.col("url"), link)).alias("url_pv"),
         stamp.alias("date_extraction"),
     )
 
 
+_MINUTES = ("ref_consultation", "organisme_acronyme", "type_pv", "date_seance", "date_publication_pv")
+
+
 def award_rows(pages: DataFrame, stamp: Column, sel: dict = SELECTORS["award"]) -> DataFrame:
     """Awards table to rows; pages without that table give none."""
     rows = blocks(pages, F.when(any_match(sel["table"]), found(sel["row"])))

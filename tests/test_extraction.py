@@ -210,3 +210,26 @@ def test_fields_meet_only_the_selectors_of_their_tag():
     assert [x[0] for x in picker.others] == [0]
     html = '<table><tr><td>1<td><a href="u">x</a><tr><th class="ref">2<span>p <b>q</b></span></table>'
     assert [r for _, r in picker.records(html)] == [["1", "u", None], ["2", None, "p q"]]
+
+
+_RAW_BODIES = ['<table class="pv-table"><tbody><tr><td>R<td>O<td> PV <td>1/2/2025<td>2025-02-01<td><a href=" pv/1.pdf">x</a>'
+               '<tr><td><td><table><tbody><tr><td>in</table><a>pv</a></table>', '<a href="/Detail?x=1"><a href="/marche/PP">i</a></a><a>n</a><a href="">e</a>',
+               '<A HREF="/annonce?a&amp;b">1</A><a href="/autre">', "", None, '<table class="data-table"><tr><td>1</td></tr></table>']
+
+
+def test_minutes_of_raw_pages_equal_those_of_elements(spark, monkeypatch):
+    """Neither elements nor pages come back from the kernel, and the rows are the same, also of broken pages."""
+    minutes = lambda got, **k: sorted(map(repr, X.minutes_rows(got, stamp(), **k).collect()))
+    for containers in (False, True):
+        assert minutes(raw_pages(spark, *_RAW_BODIES), containers=containers) == minutes(pages(spark, *_RAW_BODIES), containers=containers) != []
+    from adjudika.catalog import QUERIES
+
+    monkeypatch.setattr("adjudika.catalog.pages.with_elements", None)  # the query takes the raw way
+    assert QUERIES["ext_pv"](spark, "/root/testdata/sf0.001").count()
+
+
+def test_a_tag_read_before_is_the_same_tag_whatever_follows_it():
+    assert [e["tag"] for e in elements('<a"b c"><p>1')[0]] == ["a", "p"]
+    assert [e["tag"] for e in elements('<a"b c"><p>1<a"b>')[0]] == ['a"b']  # here the quotes in the names are a pair
+    again = [elements(f"<td class='a b' id={k}>x<td class='a b' id={k}>y")[0] for k in (1, 1, 2)]
+    assert again[0] == again[1] and [e["id"] for e in again[2]] == ["2", "2"] and again[0][1]["nth"] == 2
