@@ -94,13 +94,13 @@ _PATTERNS = f"""patterns AS (SELECT '/avis/detail' AS pattern FROM ({_KINDS}) WH
 
 @query("ext_patterns_all", f"WITH {_PATTERNS} SELECT pattern, count(*) AS n FROM patterns GROUP BY 1")
 def ext_patterns_all(spark, sf_dir):
-    return K.link_patterns(with_elements(P.link_pages(spark, sf_dir)))
+    return K.link_patterns(raw(P.link_pages(spark, sf_dir)))
 
 
 @query("ext_patterns_first", f"WITH {_PATTERNS} SELECT pattern, count(*) AS n FROM patterns GROUP BY 1 ORDER BY 1 LIMIT 20")
 def ext_patterns_first(spark, sf_dir):
     """The first twenty of the sorted list."""
-    return K.link_patterns(with_elements(P.link_pages(spark, sf_dir)), ordered=True).limit(20)
+    return K.link_patterns(raw(P.link_pages(spark, sf_dir)), ordered=True).limit(20)
 
 
 @query("ext_profile_markers", f"""

@@ -95,10 +95,17 @@ def profile_totals(profiles: DataFrame) -> DataFrame:
 
 def link_patterns(pages: DataFrame, first: int | None = None, ordered: bool = False) -> DataFrame:
     """Distinct detail-like addresses before ``?`` with their link counts. ``first`` looks at that many links of each
-    page only, as the report on a single page does; the default takes all. ``ordered`` sorts them by address."""
-    hits = F.filter("elements", lambda e: (e.tag == "a") & has_word(F.lower(e.href), DETAIL_LINK_WORDS))
-    hrefs = F.transform(hits, lambda e: e.href)
-    links = pages.select(F.explode(F.slice(hrefs, 1, first) if first else hrefs).alias("href"))
+    page only, as the report on a single page does; the default takes all. ``ordered`` sorts them by address. ``pages`` have ``html``, of which the
+    kernel then takes the addresses alone, or ``elements``; with ``first`` they need ``elements``."""
+    if is_raw(pages):
+        if first:
+            raise ValueError("the first links of a page are counted on its elements")
+        anchor = [{"tag": "a"}]
+        links = with_records(pages.select("html"), [Field("href", anchor, "row_href")], rows=anchor).filter(has_word(F.lower("href"), DETAIL_LINK_WORDS))
+    else:
+        hits = F.filter("elements", lambda e: (e.tag == "a") & has_word(F.lower(e.href), DETAIL_LINK_WORDS))
+        hrefs = F.transform(hits, lambda e: e.href)
+        links = pages.select(F.explode(F.slice(hrefs, 1, first) if first else hrefs).alias("href"))
     counts = links.groupBy(F.substring_index("href", "?", 1).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy("pattern") if ordered else counts
 

@@ -233,3 +233,14 @@ def test_a_tag_read_before_is_the_same_tag_whatever_follows_it():
     assert [e["tag"] for e in elements('<a"b c"><p>1<a"b>')[0]] == ['a"b']  # here the quotes in the names are a pair
     again = [elements(f"<td class='a b' id={k}>x<td class='a b' id={k}>y")[0] for k in (1, 1, 2)]
     assert again[0] == again[1] and [e["id"] for e in again[2]] == ["2", "2"] and again[0][1]["nth"] == 2
+
+
+def test_link_patterns_of_raw_pages_equal_those_of_elements(spark, monkeypatch):
+    patterns = lambda got: {r.pattern: r.n for r in K.link_patterns(got).collect()}
+    assert patterns(raw_pages(spark, *_RAW_BODIES)) == patterns(pages(spark, *_RAW_BODIES)) == {"/Detail": 1, "/marche/PP": 1, "/annonce": 1}
+    with pytest.raises(ValueError):
+        K.link_patterns(raw_pages(spark, *_RAW_BODIES), first=1)
+    from adjudika.catalog import QUERIES
+
+    monkeypatch.setattr("adjudika.catalog.pages.with_elements", None)  # the queries take the raw way
+    assert all(QUERIES[name](spark, "/root/testdata/sf0.001").count() for name in ("ext_patterns_all", "ext_patterns_first"))
