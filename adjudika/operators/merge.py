@@ -6,19 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def last_values(incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
+def last_values(incoming: DataFrame, key: str, order: list[str], held: dict[str, int] | None = None) -> DataFrame:
     """One row per key: for each column the latest non-NULL value, plus ``_items``, the number of rows folded in.
 
     This is what applying the rows one after the other leaves behind, computed with partial aggregation, so the merge
     below joins two sides that are unique per key.
+
+    ``held`` (see ``held_values``) tells how many values each column has. Columns that are never NULL all take theirs from the latest row, as one
+    value with one rank; a column without a value takes none. Otherwise each column goes through the exchange with a rank of its own.
     """
     rest = [c for c in incoming.columns if c != key]
     # A column of its own, so that the content hash is worked out once per row and not once per aggregate.
     ranked = incoming.withColumn("_rank", F.struct(*order, F.xxhash64(*incoming.columns)))
-    return ranked.groupBy(key).agg(
-        *(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in rest),
+    held = held or {}
+    whole = [c for c in rest if c in held and held[c] == held["_rows"]]
+    empty = [c for c in rest if c not in whole and held.get(c) == 0]
+    folded = ranked.groupBy(key).agg(
+        *([F.max_by(F.struct(*whole), "_rank").alias("_whole")] if whole else []),
+        *(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in rest if c not in whole and c not in empty),
         F.count(F.lit(1)).alias("_items"),
     )
+    return folded.select(key, *(
+        F.col(f"_whole.{c}").alias(c) if c in whole else F.lit(None).cast(incoming.schema[c].dataType).alias(c) if c in empty else F.col(c)
+        for c in rest), "_items")
+
+
+def held_values(incoming: DataFrame) -> dict[str, int]:
+    """How many rows there are (``_rows``) and how many values each column has: one scan, for ``last_values`` of a stored table."""
+    return incoming.agg(F.count(F.lit(1)).alias("_rows"), *(F.count(c).alias(c) for c in incoming.columns)).first().asDict()
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str, now: Column, touched: str = "date_derniere_maj",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from adjudika.operators import quality as Q
 from adjudika.operators.dedup import label_duplicates
 from adjudika.plans.reports import item_counters
-from adjudika.session import cut_counted, cut_lineage
+from adjudika.session import PACKED, cut_counted, cut_lineage
 from adjudika.sinks.archive import archived_path, write_archive
 from adjudika.sinks.store import KEY, TenderStore
 
@@ -75,7 +75,7 @@ class Ingest:
         now = F.lit(started).cast("timestamp_ntz")  # one instant for all jobs of the run: names of archived pages are made in two of them
         # Written once, and counted while it is written: quarantine, store and counters all go by the same labels.
         outcomes = {f"n{k}": F.count_if(F.coalesce("_reason", F.lit(SAVED)) == name) for k, name in enumerate(OUTCOMES)}
-        labelled, seen = cut_counted(self.label(batch, lot_id, now), "ingest", n=F.count(F.lit(1)), **outcomes)
+        labelled, seen = cut_counted(self.label(batch, lot_id, now), "ingest", PACKED, n=F.count(F.lit(1)), **outcomes)
         counters = {name: seen[f"n{k}"] for k, name in enumerate(OUTCOMES)}
         if sum(counters.values()) < seen["n"]:  # a stage of the caller has reasons of its own
             counters = {r.issue: r.n for r in item_counters(labelled.withColumn("_type", F.lit(self.kind))).collect()}
@@ -140,7 +140,7 @@ class Ingest:
             return df
         if "_reason" not in df.columns:
             df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
-        df = cut_lineage(df, "children")
+        df = cut_lineage(df, "children", PACKED)
         known = self.store.known(df.filter(F.col("_reason").isNull())).select(KEY, F.lit(True).alias("_known"))
         orphan = F.col("_reason").isNull() & F.col("_known").isNull()
         return df.join(known, KEY, "left").withColumns({
@@ -161,7 +161,7 @@ class Ingest:
         if "_reason" not in df.columns:
             df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
         # The branches below read the batch several times; without this each would extract and clean it again.
-        df = cut_lineage(df, "clean")
+        df = cut_lineage(df, "clean", PACKED)
         kept, out = df.filter(F.col("_reason").isNull()), df.filter(F.col("_reason").isNotNull())
         stored = self._others(kept, keys)
         first = label_duplicates(kept, keys, self.order)

@@ -119,8 +119,13 @@ def _shuffle_cleanup(spark: SparkSession):
                 spark.conf.set(CLEANUP, held[1])
 
 
-def cut_lineage(df, label: str):
-    """Write ``df`` to the shared folder and read it back, so that a lost executor costs a re-read, not a re-run.
+#: Compression of the tables of a store and of what its runs write aside: their rows are written several times and read few times.
+PACKED = "zstd"
+
+
+def cut_lineage(df, label: str, codec: str | None = None):
+    """Write ``df`` to the shared folder and read it back, so that a lost executor costs a re-read, not a re-run. ``codec``: compression other
+    than the session's.
 
     The shuffle files behind the table go when it is written. The setting holds for this write only: a query whose rows are fetched one by one
     (``toLocalIterator``) still needs its files after it has ended.
@@ -128,11 +133,11 @@ def cut_lineage(df, label: str):
     spark = df.sparkSession
     path = f"{work_dir(spark, label)}/table"
     with _shuffle_cleanup(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut_counted(df, label: str, **counts):
+def cut_counted(df, label: str, codec: str | None = None, **counts):
     """``cut_lineage`` of ``df``, and the given aggregates of its rows, measured while they are written: no further scan."""
     seen = Observation()
-    return cut_lineage(df.observe(seen, *(c.alias(name) for name, c in counts.items())), label), seen.get
+    return cut_lineage(df.observe(seen, *(c.alias(name) for name, c in counts.items())), label, codec), seen.get

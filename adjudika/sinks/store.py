@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adjudika.operators.dedup import first_per_key, new_keys
-from adjudika.operators.merge import counted, last_values, upsert
+from adjudika.operators.merge import counted, held_values, last_values, upsert
 from adjudika.operators.quality import as_table
 from adjudika.plans.summaries import Summary, parts
 from adjudika.schemas import CONSULTATIONS, TABLES
-from adjudika.session import cut_counted, cut_lineage, path_exists, work_dir
+from adjudika.session import PACKED, cut_counted, cut_lineage, path_exists, work_dir
 from adjudika.sinks.archive import PAGE_DAY
 from adjudika.sinks.keys import PREFIXES, KeyTable
 from adjudika.sinks.ledger import APPLIED, BEGUN, BROKEN, Run, RunLedger
@@ -83,15 +83,17 @@ class TenderStore:
         return self._read(self.path("archive"), ARCHIVE)
 
     def _read(self, path: str, schema) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(path) if path_exists(self.spark, path) else self.spark.createDataFrame([], schema)
+        if path_exists(self.spark, path):
+            return self.spark.read.schema(schema).parquet(path)
+        return self.spark.createDataFrame([], schema).filter(F.lit(False))  # the planner knows it is empty: a join with it moves no row
 
     def insert_new(self, tenders: DataFrame, order: list[str], lot_id: int = 0, seq: int = 0) -> DataFrame:
         """Store the first record of every reference that is not stored yet. A repeated call stores nothing twice."""
-        first = cut_lineage(first_per_key(tenders, [KEY], order), "first")
+        first = cut_lineage(first_per_key(tenders, [KEY], order), "first", PACKED)
         fresh = new_keys(first, self.known(first), KEY)
         run = {"lot_id": F.lit(int(lot_id)).cast("bigint"), "seq": F.lit(int(seq)).cast("bigint")}
-        rows = cut_lineage(self._dated(as_table(fresh, "consultation").withColumns(run)), "fresh")
-        self._by_month(rows).write.mode("append").partitionBy("mois").parquet(self.path("consultation"))
+        rows = cut_lineage(self._dated(as_table(fresh, "consultation").withColumns(run)), "fresh", PACKED)
+        self._by_month(rows).write.mode("append").partitionBy("mois").parquet(self.path("consultation"), compression=PACKED)
         self.keys.add(rows)
         if self.summary:
             self.summary.add(seq, parts(rows, "consultation"))
@@ -111,18 +113,17 @@ class TenderStore:
         source = tenders.select(*(F.col(c).try_cast(CONSULTATIONS[c].dataType).alias(c) if c in CONSULTATIONS.fieldNames()
                                   and c in tenders.columns else F.lit(None).cast(CONSULTATIONS[c].dataType).alias(c)
                                   for c in typed.columns), *extra)
-        incoming = cut_lineage(last_values(source, KEY, order).drop(*extra), "upsert")
+        incoming = cut_lineage(last_values(source, KEY, order, held_values(source)).drop(*extra), "upsert", PACKED)
         months = [r.mois for r in self._months(incoming).collect()]
         base = self.read().filter(F.col("mois").isin(months))
         # The result is written aside first: a task that is run again must not read a folder that is being replaced.
-        merged, counts = cut_counted(upsert(base, incoming, KEY, now, seq=seq), "merged", **counted())
+        merged, counts = cut_counted(upsert(base, incoming, KEY, now, seq=seq), "merged", PACKED, **counted())
         written = F.col("_action").isin("insert", "update")
         lot = F.when(written, F.lit(int(lot_id)).cast("bigint")).otherwise(F.col("lot_id"))
         rows = merged.withColumns({"lot_id": lot, "mois": F.coalesce("mois", self._month())})
         if self.summary:  # before the months are replaced: what stood there counts down
-            touched = incoming.select(KEY)
-            old, new = (parts(df.join(touched, KEY, "left_semi"), "consultation", sign) for df, sign in ((base, -1), (rows, 1)))
-            self.summary.add(seq, old, new)
+            old = base.join(incoming.select(KEY), KEY, "left_semi")
+            self.summary.add(seq, parts(old, "consultation", -1), parts(rows.filter("_items > 0"), "consultation"))  # the merge marks what came in
         self._replace("consultation", rows.select(*_STORED.fieldNames()), "mois")
         self.keys.add(rows.filter("_action = 'insert'"))
         return counts
@@ -141,7 +142,7 @@ class TenderStore:
         if self.summary and kind in SUMMARISED:
             before = self.read(kind).filter(F.col("lot_id") == int(lot_id))
             self.summary.add(seq, parts(before, kind, -1), parts(as_table(rows, kind), kind))
-        as_table(rows, kind).write.mode("overwrite").parquet(f"{self.path(kind)}/lot_id={int(lot_id)}")
+        as_table(rows, kind).write.mode("overwrite").parquet(f"{self.path(kind)}/lot_id={int(lot_id)}", compression=PACKED)
 
     def delete(self, refs: DataFrame) -> dict[str, int]:
         """Remove the references and all their children, and return how many rows of each table went.
@@ -160,7 +161,7 @@ class TenderStore:
             hit = {r[part]: r["n"] for r in table.join(keys, KEY, "left_semi").groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
             gone[kind] = sum(hit.values())
             if hit:
-                left = cut_lineage(table.filter(F.col(part).isin(list(hit))).join(keys, KEY, "left_anti"), "left")
+                left = cut_lineage(table.filter(F.col(part).isin(list(hit))).join(keys, KEY, "left_anti"), "left", PACKED)
                 self._replace(kind, left, part)
                 held = {r[part] for r in left.select(part).distinct().collect()}
                 for name in hit.keys() - held:
@@ -211,7 +212,7 @@ class TenderStore:
     def _replace(self, kind: str, rows: DataFrame, part: str) -> None:
         """Replace the folders of a table that ``rows`` has rows for."""
         (rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part)
-         .parquet(self.path(kind)))
+         .parquet(self.path(kind), compression=PACKED))
 
     @staticmethod
     def _month() -> Column:

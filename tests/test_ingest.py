@@ -370,3 +370,14 @@ def test_calendar_query_counts_every_order(spark):
     days = entry.queries()["bck_calendar"](spark, sf_dir).collect()
     assert sum(r.n for r in days) == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     assert {r.jour.year for r in days if not r.manquant} == set(range(min(r.jour.year for r in days), max(r.jour.year for r in days) + 1))
+
+
+def test_a_merge_into_nothing_moves_no_row(spark, tmp_path):
+    """What a store has not got yet is known to be empty when the merge is planned: no join, so no exchange for it."""
+    from adjudika.operators.merge import upsert
+
+    stored = TenderStore(spark, str(tmp_path / "new")).read()
+    batch = spark.createDataFrame([("A", "t")], "ref_consultation string, titre string")
+    plan = upsert(stored, batch, "ref_consultation", F.lit(None))
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.ref_consultation, r.titre, r["_action"]) for r in plan.collect()] == [("A", "t", "insert")]

@@ -194,3 +194,17 @@ def test_dossier_moves_small_keys_once_and_large_ones_in_the_same_parts(spark, t
     for size in (0, 60):  # all keys, or one, by slices
         monkeypatch.setattr(nesting, "ROW_SIZE", size)
         assert sorted(map(repr, nesting.dossier(parents, "ref", relations, 8).collect())) == whole
+
+
+def test_the_fold_carries_one_rank_for_all_columns_that_are_never_null(spark):
+    rows = [("A", 1, "x", None, 1.0, None), ("A", 3, "y", "n", 2.0, None), ("A", 2, "z", "m", None, None), ("B", 1, "b", None, None, None),
+            ("A", 3, "y", None, 3.0, None)]
+    batch = spark.createDataFrame(rows, "ref string, at int, t string, u string, m double, leer string")
+    held = merge.held_values(batch)
+    assert held == {"_rows": 5, "ref": 5, "at": 5, "t": 5, "u": 2, "m": 3, "leer": 0}
+    slim, wide = merge.last_values(batch, "ref", ["at"], held), merge.last_values(batch, "ref", ["at"])
+    assert slim.dtypes == wide.dtypes and sorted(map(repr, slim.collect())) == sorted(map(repr, wide.collect()))
+    ranks = [f._jdf.queryExecution().optimizedPlan().toString().count("max_by(") for f in (slim, wide)]
+    assert ranks == [3, 5]  # at and t together, u, m
+    none = merge.last_values(batch.limit(0), "ref", ["at"], merge.held_values(batch.limit(0)))
+    assert none.dtypes == wide.dtypes and none.count() == 0
