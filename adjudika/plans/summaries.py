@@ -28,6 +28,11 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+#: What ``parts`` reads of a table's rows.
+READ = {"consultation": ["montant_estime", "date_publication", "type_marche", "statut", "organisme_acronyme", "organisme_nom_complet", "date_extraction"],
+        "attribution": ["montant_ttc", "entreprise_nom", "entreprise_ville"]}
+
+
 def parts(rows: DataFrame, kind: str, sign: int = 1) -> DataFrame:
     """What the rows of a table add to the summary, or take from it."""
     none = F.lit(None).cast("string")

@@ -119,6 +119,18 @@ def _shuffle_cleanup(spark: SparkSession):
                 spark.conf.set(CLEANUP, held[1])
 
 
+@contextmanager
+def joined_where_they_lie(spark: SparkSession):
+    """Joins planned inside take rows as both sides were dealt out by some of the join's keys, instead of moving them once more by all keys."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    held = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, held)
+
+
 #: Compression of the tables of a store and of what its runs write aside: their rows are written several times and read few times.
 PACKED = "zstd"
 

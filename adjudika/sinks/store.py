@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from adjudika.operators.dedup import first_per_key, new_keys
 from adjudika.operators.merge import counted, held_values, last_values, upsert
 from adjudika.operators.quality import as_table
-from adjudika.plans.summaries import Summary, parts
+from adjudika.plans.summaries import READ, Summary, parts
 from adjudika.schemas import CONSULTATIONS, TABLES
-from adjudika.session import PACKED, cut_counted, cut_lineage, path_exists, work_dir
+from adjudika.session import PACKED, cut_counted, cut_lineage, joined_where_they_lie, path_exists, work_dir
 from adjudika.sinks.archive import PAGE_DAY
 from adjudika.sinks.keys import PREFIXES, KeyTable
 from adjudika.sinks.ledger import APPLIED, BEGUN, BROKEN, Run, RunLedger
@@ -32,6 +32,8 @@ _RUN = [T.StructField("lot_id", T.LongType(), True), T.StructField("seq", T.Long
 _STORED = T.StructType([*CONSULTATIONS.fields, *_RUN, T.StructField("mois", T.StringType(), True)])
 #: Tables whose rows the summary counts.
 SUMMARISED = ("consultation", "attribution")
+#: Rows in a slice of a folder, on average, when a folder is dealt out by reference.
+SLICE_ROWS = 500_000
 ARCHIVE = "content_md5 string, file_name string, copies bigint, html string, archive_date date"
 
 
@@ -153,16 +155,18 @@ class TenderStore:
         last = self.ledger.runs().filter("kind = 'delete'").agg(F.max("lot_id")).first()[0]
         run = self.begin("delete", 0 if last is None else last + 1)
         gone, keys = {}, cut_lineage(refs.select(KEY).distinct(), "delete")
+        kinds = [k for k in TABLES if k != "consultation"] + ["consultation"]
+        doomed = {kind: self._doomed(kind, keys) for kind in kinds}
         if self.summary:
-            self.summary.add(run.seq, *(parts(self.read(kind).join(keys, KEY, "left_semi"), kind, -1) for kind in SUMMARISED))
-        for kind in [k for k in TABLES if k != "consultation"] + ["consultation"]:
-            part = "mois" if kind == "consultation" else "lot_id"
-            table = self.read(kind)
-            hit = {r[part]: r["n"] for r in table.join(keys, KEY, "left_semi").groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+            self.summary.add(run.seq, *(parts(doomed[kind], kind, -1) for kind in SUMMARISED))
+        for kind in kinds:
+            part = self._part(kind)
+            hit = {r[part]: r["n"] for r in doomed[kind].groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
             gone[kind] = sum(hit.values())
             if hit:
-                left = cut_lineage(table.filter(F.col(part).isin(list(hit))).join(keys, KEY, "left_anti"), "left", PACKED)
-                self._replace(kind, left, part)
+                with joined_where_they_lie(self.spark):
+                    left = cut_lineage(self._without(self.read(kind).filter(F.col(part).isin(list(hit))), doomed[kind], part), "left", PACKED)
+                self._replace(kind, left, part, dealt=True)
                 held = {r[part] for r in left.select(part).distinct().collect()}
                 for name in hit.keys() - held:
                     left.limit(0).drop(part).write.mode("overwrite").parquet(f"{self.path(kind)}/{part}={name}")
@@ -170,6 +174,32 @@ class TenderStore:
         self.finish(run, gone)
         return gone
 
+    @staticmethod
+    def _part(kind: str) -> str:
+        return "mois" if kind == "consultation" else "lot_id"
+
+    def _doomed(self, kind: str, keys: DataFrame) -> DataFrame:
+        """The rows of a table that have one of the references: the reference, the folder, and what the summary counts of them."""
+        used = READ[kind] if self.summary and kind in SUMMARISED else []
+        return cut_lineage(self.read(kind).join(keys, KEY, "left_semi").select(KEY, self._part(kind), *used), "doomed", PACKED)
+
+    @staticmethod
+    def _without(rows: DataFrame, doomed: DataFrame, part: str) -> DataFrame:
+        """The rows of whole folders without the doomed ones, which lie in the same folders.
+
+        Whole rows move once: they are dealt out by folder and by a slice of its references, which serves the join (planned with
+        ``joined_where_they_lie``) and leaves each task few folders to write. A large folder has more slices.
+        """
+        slices = F.broadcast(rows.groupBy(part).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("bigint").alias("_slices")))  # one row a folder
+
+        def sliced(df: DataFrame) -> DataFrame:
+            cut = df.join(slices, part).withColumn("_slice", F.pmod(F.xxhash64(KEY), F.col("_slices")))
+            return cut.drop("_slices").repartition(part, "_slice")  # both sides alike, so the join takes them as they lie
+
+        # Not an anti join: the planner would move that below the dealing out, where it shuffles the rows by itself.
+        marked = sliced(rows).join(sliced(doomed.select(KEY, part)).withColumn("_gone", F.lit(True)), [part, "_slice", KEY], "left")
+        return marked.filter(F.col("_gone").isNull()).select(*rows.columns)
+
     def archive_days(self) -> list[dt.date]:
         """The days that the archive has a folder for: a listing of names."""
         folder, files = self._files("archive")
@@ -209,9 +239,10 @@ class TenderStore:
         for keys in (self.keys, self.archive_keys):
             keys.fold(f"{work_dir(self.spark, 'fold')}/table")
 
-    def _replace(self, kind: str, rows: DataFrame, part: str) -> None:
-        """Replace the folders of a table that ``rows`` has rows for."""
-        (rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part)
+    def _replace(self, kind: str, rows: DataFrame, part: str, dealt: bool = False) -> None:
+        """Replace the folders of a table that ``rows`` has rows for. ``dealt``: the rows lie by folder already and need not move."""
+        rows = rows if dealt else rows.hint("rebalance", part)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part)
          .parquet(self.path(kind), compression=PACKED))
 
     @staticmethod

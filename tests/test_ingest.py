@@ -381,3 +381,25 @@ def test_a_merge_into_nothing_moves_no_row(spark, tmp_path):
     plan = upsert(stored, batch, "ref_consultation", F.lit(None))
     assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.ref_consultation, r.titre, r["_action"]) for r in plan.collect()] == [("A", "t", "insert")]
+
+
+def test_a_delete_moves_whole_rows_once(spark, monkeypatch):
+    """The rows that stay are dealt out by folder and slice, and neither the join nor the write moves them again."""
+    from adjudika.session import joined_where_they_lie
+    from adjudika.sinks import store
+
+    monkeypatch.setattr(store, "SLICE_ROWS", 7)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.range(60).selectExpr("concat('R', id % 40) ref_consultation", "concat('m', id % 3) mois", "id")
+    doomed = rows.filter("id % 40 < 9").select("ref_consultation", "mois")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with joined_where_they_lie(spark):
+            left = TenderStore._without(rows, doomed, "mois")
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.id for r in left.collect()) == [k for k in range(60) if k % 40 >= 9]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "REPARTITION_BY_COL" in line]
+    other = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "ref_consultation" in line]
+    assert len(wide) == 2 and other == [], plan  # the rows, and beside them the references
