@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from adjudika.llm.textarrays import (LOWER, NOT_ALNUM, SpanHasher, bounds, gather, slices, text_bytes, word_spans)
+from adjudika.llm.textarrays import (LOWER, NOT_ALNUM, SMALL_SLICE_BYTES, SpanHasher, bounds, gather, slices, text_bytes, word_spans)
 
 WIDTH = 10
 #: Windows of a block, and bytes of its words and item lists, at most (one window may exceed them); equal item lists count once.
@@ -92,7 +92,7 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     Items without words or with a null item_id have no window; copies of an item_id with other texts count as one item.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             made = [(item, ws[i:i + width]) for item, ws in zip(batch.column("item_id").to_pylist(), word_texts(batch.column("text")))
                     if item is not None for i in range(max(1, len(ws) - width + 1)) if ws]
             yield pa.RecordBatch.from_pydict({"item_id": pa.array([m[0] for m in made], pa.string()),
@@ -133,7 +133,7 @@ def corpus_counts(docs: DataFrame, words: np.ndarray) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = _Filter(shared.value), None
         total = np.zeros(len(known.sorted), np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             for data, offsets, _, _ in _chunks(batch.column("text")):
                 _, rank = known.places(_words_of(data, offsets)[4])
                 total += np.bincount(rank, minlength=len(total))
@@ -273,7 +273,7 @@ def _with_hits(docs: DataFrame, index: Index) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             n_words, found = index.match(batch.column("text"))
             made = {name: batch.column(name).to_pylist() for name in ("_starts", "_ends", "_items")}
             for d, (starts, ends, sets) in found.items():

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adjudika.llm.textarrays import LOWER, WHITE_SPACE, SpanHasher, bounds, mix, slices, text_bytes, windows, word_spans
+from adjudika.llm.textarrays import LOWER, SMALL_SLICE_BYTES, WHITE_SPACE, SpanHasher, bounds, mix, slices, text_bytes, windows, word_spans
 from adjudika.session import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -87,7 +87,7 @@ _SKETCHED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, limit=SMALL_SLICE_BYTES):
         n = batch.num_rows
         hashes, owner = shingle_sets(batch.column("text"))
         sizes = np.bincount(owner, minlength=n).astype(np.int64)
@@ -104,10 +104,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose full shingle sets are similar enough."""
-    for batch in slices(batches, "text_a"):
+    for batch in slices(batches, "text_a", SMALL_SLICE_BYTES):
         n, sets = batch.num_rows, []
         for side in ("text_a", "text_b"):
-            parts = [shingle_sets(b.column(side)) + (b.num_rows,) for b in slices([batch], side)]
+            parts = [shingle_sets(b.column(side)) + (b.num_rows,) for b in slices([batch], side, SMALL_SLICE_BYTES)]
             base = np.cumsum([0, *[p[2] for p in parts]])
             sets.append((np.concatenate([p[0] for p in parts]), np.concatenate([p[1] + at for p, at in zip(parts, base)])))
         hashes, owner = _by_owner(np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]))
@@ -132,7 +132,7 @@ def _band_keys(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bit of each coordinate of a large sketch, as words, and the bands."""
-    for batch in slices(batches, rows=256):
+    for batch in slices(batches, limit=SMALL_SLICE_BYTES, rows=256):
         n = batch.num_rows
         hashes, owner = shingle_sets(batch.column("text"))
         bits = (sketches(hashes, owner, n, SIGNATURE_BITS) & np.uint64(1)).astype(np.uint8)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from adjudika.llm.textarrays import SpanHasher, gather, slices, strings, text_bytes
+from adjudika.llm.textarrays import SMALL_SLICE_BYTES, SpanHasher, gather, slices, strings, text_bytes
 from adjudika.llm.tokens import WordIds
 from adjudika.session import cut_lineage
 
@@ -287,7 +287,7 @@ _CHUNKS = "uid bigint, chunk int, n int, text string, matrix binary"
 def _split(path: str, chunk: int):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
                 text = SPACE + text.replace(" ", SPACE)
                 at = [*range(0, len(text) - chunk // 2, chunk), len(text)]  # the last chunk takes a short rest
@@ -327,7 +327,7 @@ def _scan(table: pa.Table) -> pa.Table:
 def _trace(path_: str):
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path_)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             out, counts = [], []
             rows = batch.to_pylist()
             inner = [cuts(model, r["text"], r["n"]) for r in rows]
@@ -361,7 +361,7 @@ def _short(docs: DataFrame, model_file: str, chunk: int, schema: str, made) -> D
     """Texts of up to ``chunk`` characters, encoded in one go: the columns that ``made`` gives for (batch, ids, number of ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_file)
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             yield pa.RecordBatch.from_pydict(made(model, batch, *encode_texts(model, batch.column("text"))))
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from adjudika.llm.textarrays import LOWER, WHITE_SPACE, SpanHasher, bounds, mix, slices, text_bytes, windows, word_spans
+from adjudika.llm.textarrays import LOWER, SMALL_SLICE_BYTES, WHITE_SPACE, SpanHasher, bounds, mix, slices, text_bytes, windows, word_spans
 
 WORD_BITS, SHAPE_BITS = 16, 16
 #: Shares of a text's words at which a shape n-gram sets one more indicator.
@@ -199,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     picked = docs.sparkSession.createDataFrame(ids, "_id bigint, good boolean")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             found, owner = features(batch.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(bounds(owner, batch.num_rows).astype(np.int32)), pa.array(found.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("good"), lists], names=["_id", "good", "found"])
@@ -224,7 +224,7 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(batch.column("text")))], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -16,6 +16,9 @@ import pyarrow.compute as pc
 #: Bytes of text that a kernel handles at once; one longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 SLICE_ROWS = 8_192
+#: The same for the kernels that follow each other in the pipeline, whose Python workers live through all stages: a byte of text takes some
+#: arrays of 8 bytes, and a worker keeps its largest size.
+SMALL_SLICE_BYTES = 1 << 19
 
 
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
@@ -91,10 +94,10 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of the odd base and of its inverse modulo 2**64; kept up to a few slices' length."""
+    """The first powers of the odd base and of its inverse modulo 2**64, as many as the texts so far needed; kept up to a few slices' length."""
     kept = _POWERS.get(base)
     if kept is None or len(kept[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(SLICE_BYTES + 1, 1 << (n - 1).bit_length()))
         made = []
         for factor in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, factor, np.uint64)
