@@ -199,7 +199,11 @@ def cuts(model: Model, text: str, n: int) -> tuple[int, int] | None:
 
 
 def transfer(model: Model, text: str, n: int, middle: float | None = None) -> np.ndarray:
-    """The chunk's max-plus matrix, entry state x exit state. ``text``: n characters of the chunk and what follows, spaces as U+2581."""
+    """The chunk's max-plus matrix, entry state x exit state. ``text``: n characters of the chunk and what follows, spaces as U+2581.
+
+    ``middle`` is the score from the first to the last place that no piece crosses, found here if not given. Every way through the chunk has it, so
+    any other number in its place moves all entries alike and leaves the best states as they are.
+    """
     size = model.longest
     out = np.full((size, size), _LOW)
     inner = cuts(model, text, n)
@@ -293,13 +297,8 @@ def _split(path: str, chunk: int):
                 at = [*range(0, len(text) - chunk // 2, chunk), len(text)]  # the last chunk takes a short rest
                 pieces = [text[a:b + model.longest - 1] for a, b in zip(at, at[1:])]
                 sizes = [b - a for a, b in zip(at, at[1:])]
-                inner = [cuts(model, p, n) for p, n in zip(pieces, sizes)]
-                middles = pa.array([p[c[0]:c[1]].replace(SPACE, " ") if c else "" for p, c in zip(pieces, inner)], pa.large_string())
-                ids, counts = _encode_units(model, middles)
-                # Byte pieces stand for one unknown character each time they begin one.
-                spent = np.bincount(np.repeat(np.arange(len(pieces)), counts), _scores(model)[ids], len(pieces))
-                for k, (piece, n, c) in enumerate(zip(pieces, sizes, inner)):
-                    made = transfer(model, piece, n, float(spent[k]) if c else None)
+                for k, (piece, n) in enumerate(zip(pieces, sizes)):
+                    made = transfer(model, piece, n, 0.0)
                     yield pa.RecordBatch.from_pydict({"uid": pa.array([uid], pa.int64()), "chunk": pa.array([k], pa.int32()), "n": pa.array([n], pa.int32()),
                                                       "text": pa.array([piece]), "matrix": pa.array([made.tobytes()])})
 

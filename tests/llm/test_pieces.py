@@ -108,3 +108,25 @@ def test_query_on_the_small_table(spark, model):
         if r.n_chunks == 1:
             ids = whole(model, texts[r.doc_id])
             assert (r.n_pieces, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_chunks_are_encoded_once(model, monkeypatch):
+    """The matrices need the edges of a chunk alone; what lies between is encoded when the chunk is traced."""
+    rng = random.Random(5)
+    texts = [random_text(rng, n) for n in (70, 200, 431, 1000)] + ["x" * 300, "the of and " * 60]
+    whole_states = []
+    for text in texts:
+        led = pieces.SPACE + text.replace(" ", pieces.SPACE)
+        at = [*range(0, len(led) - 32, 64), len(led)]
+        whole_states.append(pieces.states(np.stack([pieces.transfer(model, led[a:b + model.longest - 1], b - a) for a, b in zip(at, at[1:])])))
+
+    def never(*_):
+        raise AssertionError("encoded while it is split")
+
+    monkeypatch.setattr(pieces, "_encode_units", never)
+    monkeypatch.setattr(pieces, "path", never)
+    batch = pa.RecordBatch.from_pydict({"uid": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    made = [[] for _ in texts]
+    for part in pieces._split(FILE, 64)(iter([batch])):
+        made[part["uid"][0].as_py()].append(np.frombuffer(part["matrix"][0].as_py(), np.float64).reshape(model.longest, -1))
+    assert [pieces.states(np.stack(m)) for m in made] == whole_states
