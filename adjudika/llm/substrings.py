@@ -33,13 +33,17 @@ LENGTH = 50
 #: Bytes of an anchor: long enough to be rare by chance in running text.
 K = 20
 _WINDOWS = LENGTH - K + 1
+#: Text bytes whose units are found at once: a byte takes some arrays of 8 bytes, which should stay in a core's cache.
+SLICE_BYTES = 1 << 17
+#: Text bytes of units that are compared at once, for the same reason; the texts of one anchor stay together.
+COMPARE_BYTES = 1 << 18
 #: Text bytes whose units are merged before they are sent.
 MERGE_BYTES = 16 << 20
 #: Different units of an anchor in one merge, beyond which they are not dealt by the anchor.
 MANY = 128
 #: Texts of an anchor in one task, beyond which their windows are dealt by their own bytes.
 MOST = 4_096
-#: Units whose windows are listed at once to deal them by their bytes.
+#: Units whose windows are listed at once to deal them by their bytes, and pairs of windows whose bytes are compared at once.
 _PART = 1 << 15
 _ALL = np.uint32(0xFFFFFFFF)
 
@@ -58,33 +62,40 @@ class Units:
             self.key = self.span = self.id = np.zeros(0, np.uint64)
             return
         prefix = self.hasher.prefix
-        hashes = mix((prefix[K:] - prefix[:-K]) * self.hasher.inverse[:n - K + 1])
-        at = self._least(hashes)
-        place = np.arange(len(at))
-        text = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))[:len(at)]
-        whole = place + LENGTH <= self.offsets[text + 1]
-        place, text, at = place[whole], text[whole], at[whole]
-        turn = np.flatnonzero(np.append(len(at) > 0, (at[1:] != at[:-1]) | (text[1:] != text[:-1]))) if len(at) else np.zeros(0, np.int64)
-        self.anchor, self.first, self.text = at[turn], place[turn], text[turn]
-        self.last = place[np.append(turn[1:], len(at))[:len(turn)] - 1]
-        self.key = hashes[self.anchor]
+        hashes = prefix[K:] - prefix[:-K]
+        hashes *= self.hasher.inverse[:n - K + 1]
+        least, place = self._least(hashes)
+        turn = np.ones(len(least) + 1, bool)  # a unit starts where the anchor changes, with its text, and its text's last windows end one
+        turn[1:-1] = least[1:] != least[:-1]
+        turn[self.offsets[self.offsets < len(least)]] = True
+        past = self.offsets[1:] - LENGTH + 1
+        turn[past[past > self.offsets[:-1]]] = True
+        turn = np.flatnonzero(turn)
+        first, after = turn[:-1], turn[1:]
+        text = np.searchsorted(self.offsets, first, "right") - 1
+        whole = np.flatnonzero(first + LENGTH <= self.offsets[text + 1])
+        self.first, self.last, self.text = first[whole], after[whole] - 1, text[whole]
+        self.anchor = (least[self.first] & place).astype(np.int64)
+        self.key = mix(hashes[self.anchor])
         # Equal spans with the anchor at the same place are equal units.
         self.span = mix(self.hasher(self.first, self.last + LENGTH) + (self.anchor - self.first).astype(np.uint64))
         self.id = _unit_id(self.key, self.span)
 
     @staticmethod
-    def _least(hashes: np.ndarray) -> np.ndarray:
-        """For each window the place of its anchor: the least hash (of 40 bits), of equal ones the first."""
+    def _least(hashes: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+        """For each window the place of its anchor, the least hash (of 40 bits), of equal ones the first; and in which bits that place is."""
+        low = np.uint64(0xFFFFFF)
         if len(hashes) < 1 << 24:
-            least = (hashes & ~np.uint64(0xFFFFFF)) | np.arange(len(hashes), dtype=np.uint64)
+            least = hashes & ~low
+            least |= np.arange(len(hashes), dtype=np.uint64)
             for step in (1, 2, 4, 8, _WINDOWS - 16):
                 least = np.minimum(least[:-step], least[step:])
-            return (least & np.uint64(0xFFFFFF)).astype(np.int64)
+            return least, low
         short, least = hashes >> np.uint64(24), np.arange(len(hashes))
         for step in (1, 2, 4, 8, _WINDOWS - 16):
             a, b = least[:-step], least[step:]
             least = np.where(short[a] <= short[b], a, b)
-        return least
+        return least.astype(np.uint64), ~np.uint64(0)
 
 
 def _unit_id(key: np.ndarray, span: np.ndarray) -> np.ndarray:
@@ -130,26 +141,46 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes >> np.uint64(40)) % np.uint64(buckets)
 
 
+def _dealt(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """The order by bucket, else as before; numbers of 16 bits are sorted by radix."""
+    return np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where a run of equal values starts."""
+    return np.append(len(values) > 0, values[1:] != values[:-1])[:len(values)]
+
+
+def _grouped(key: np.ndarray, *then: np.ndarray) -> np.ndarray:
+    """The order by key and then the others. Most keys are alone, so only the rest is sorted by all columns."""
+    order = np.argsort(key)
+    new = _starts(key[order])
+    some = np.flatnonzero(~(new & np.append(new[1:], True)[:len(new)]))
+    part = order[some]
+    order[some] = part[np.lexsort((*(x[part] for x in then[::-1]), key[part]))]
+    return order
+
+
 def _marks(key: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
     """Tells the anchors' buckets that these anchors have many units."""
     key = np.unique(key)
     bucket = _bucket(key, buckets)
-    order = np.argsort(bucket, kind="stable")
+    order = _dealt(bucket, buckets)
     key, bucket = key[order], bucket[order]
     for a, b in _runs(bucket):
         yield int(bucket[a]), _pack(_MANY, (key[a:b], 5))
 
 
-def _per_key(key: np.ndarray) -> np.ndarray:
-    """How many rows have each row's key."""
-    _, name, count = np.unique(key, return_inverse=True, return_counts=True)
-    return count[name]
+def _per_run(new: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """How many rows of each row's run are counted; ``new`` tells where runs start."""
+    run = np.cumsum(new) - 1
+    return np.bincount(run, counted)[run] if len(run) else run
 
 
 def _verdicts(doc: np.ndarray, ids: np.ndarray, mask: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
     """Verdicts packed by document bucket."""
     bucket = doc % buckets
-    order = np.argsort(bucket, kind="stable")
+    order = _dealt(bucket, buckets)
     doc, ids, mask, bucket = doc[order], ids[order], mask[order], bucket[order]
     cuts = np.flatnonzero(np.append(len(bucket) > 0, bucket[1:] != bucket[:-1])) if len(bucket) else []
     for a, b in zip(cuts, np.append(cuts[1:], len(bucket)) if len(bucket) else []):
@@ -165,32 +196,31 @@ def _send(buckets: int, many: int = MANY):
     ``many`` different ones are asked for."""
     def flush(held: list[Units], doc: np.ndarray, turn: int) -> pa.RecordBatch:
         key, span, ids = (np.concatenate([getattr(u, name) for u in held]) for name in ("key", "span", "id"))
-        order = np.lexsort((doc, span, key))
-        key, span, ids, doc = key[order], span[order], ids[order], doc[order]
-        new = np.append(True, (key[1:] != key[:-1]) | (span[1:] != span[:-1]))
-        lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        again = ~new & (doc > doc[lead])
+        order = _grouped(key, span, doc)
+        new_key, by_doc = _starts(key[order]), doc[order]
+        new = new_key | _starts(span[order])
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        again = order[~new & (by_doc > by_doc[lead]) & _starts(by_doc)]
         rows = []
-        if again.any():  # any bucket will do: they only pass through
-            seen, at = np.unique(np.stack([doc[again].view(np.uint64), ids[again]]), axis=1, return_index=True)
-            known = np.flatnonzero(again)[at]
-            rows.append((turn % buckets, _pack(_KNOWN, (doc[known].view(np.uint64), 8), (ids[known], 8), (np.full(len(known), _ALL, np.uint64), 4))))
-        key, span, ids, doc = key[new], span[new], ids[new], doc[new]
-        crowd = _per_key(key) > many
-        if crowd.any():
-            rows.append((turn % buckets, _pack(_KNOWN, (doc[crowd].view(np.uint64), 8), (ids[crowd], 8), (np.full(crowd.sum(), _ASK, np.uint64), 4))))
+        if len(again):  # any bucket will do: they only pass through
+            rows.append((turn % buckets, _pack(_KNOWN, (doc[again].view(np.uint64), 8), (ids[again], 8), (np.full(len(again), _ALL, np.uint64), 4))))
+        many_of = _per_run(new_key, new) > many
+        if many_of.any():
+            crowd = order[new & many_of]
+            rows.append((turn % buckets, _pack(_KNOWN, (doc[crowd].view(np.uint64), 8), (ids[crowd], 8), (np.full(len(crowd), _ASK, np.uint64), 4))))
             rows += _marks(key[crowd], buckets)
-            key, span, doc = key[~crowd], span[~crowd], doc[~crowd]
-        bucket = _bucket(key, buckets)
-        order = np.lexsort((doc, bucket))
-        key, span, doc, bucket = key[order], span[order], doc[order], bucket[order]
+        left = np.sort(order[new & ~many_of])  # as the texts stand, so that a document's numbers are side by side
+        bucket = _bucket(key[left], buckets)
+        order = _dealt(bucket, buckets)
+        left, bucket = left[order], bucket[order]
+        key, span, doc = key[left], span[left], doc[left]
         for a, b in _runs(bucket):
             rows.append((int(bucket[a]), _pack(_UNIT, (key[a:b], 5), (span[a:b], 5), (doc[a:b].view(np.uint64), 8))))
         return _batch(rows)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, docs, size, turn = [], [], 0, 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             units = Units(batch.column("text"))
             if not len(units.key):
                 continue
@@ -211,10 +241,15 @@ def _send(buckets: int, many: int = MANY):
 _ASK = np.uint32(0)  # the verdict of a unit whose text is asked for
 
 
+def _marked(key: np.ndarray, marked: list[np.ndarray]) -> np.ndarray:
+    """Which anchors have a mark of many units."""
+    return np.isin(key, np.concatenate(marked)) if marked else np.zeros(len(key), bool)
+
+
 def _meet(buckets: int):
     """Verdicts on the units of one bucket: repeats, and those whose texts have to be compared."""
     def meet(table: pa.Table) -> pa.Table:
-        rows, units, marked = [], [], [np.zeros(0, np.uint64)]
+        rows, units, marked = [], [], []
         for blob in table["blob"].to_pylist():
             if blob[0] == _KNOWN:
                 doc, ids, mask = _unpack(blob, 8, 8, 4)
@@ -226,14 +261,13 @@ def _meet(buckets: int):
         if units:
             key, span, doc = (np.concatenate(x) for x in zip(*units))
             doc = doc.view(np.int64)
-            order = np.lexsort((doc, span, key))
+            order = _grouped(key, span, doc)
             key, span, doc = key[order], span[order], doc[order]
-            same_key = np.append(False, key[1:] == key[:-1])
-            same = same_key & np.append(False, span[1:] == span[:-1])
-            lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
+            new_key = _starts(key)
+            new = new_key | _starts(span)
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
             repeat = doc > doc[lead]
-            variants = np.bincount(np.cumsum(~same_key) - 1, ~same)
-            ask = ~same & ((variants[np.cumsum(~same_key) - 1] > 1) | np.isin(key, np.concatenate(marked)))
+            ask = new & ((_per_run(new_key, new) > 1) | _marked(key, marked))
             told = np.flatnonzero(repeat | ask)
             ids = key[told] << np.uint64(24) | (span[told] >> np.uint64(16))
             rows += _verdicts(doc[told], ids, np.where(repeat[told], _ALL, _ASK), buckets)
@@ -246,22 +280,32 @@ class _Known:
     """The verdicts of one document bucket."""
 
     def __init__(self):
-        self.parts, self.ready = [], None
+        self.parts, self.ready, self.told = [], None, {}
 
     def add(self, blob: bytes) -> None:
         self.parts.append(_unpack(blob, 8, 8, 4))
 
-    def masks(self, doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """-1 without a verdict, else the windows that are repeats as bits."""
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if self.ready is None:
             columns = [np.concatenate(x) for x in zip(*self.parts)] if self.parts else [np.zeros(0, np.uint64)] * 3
             names = mix(columns[0]) + columns[1]
-            order = np.lexsort((columns[2], names))
-            names, columns = names[order], [c[order] for c in columns]
-            last = np.append(names[1:] != names[:-1], True) if len(names) else np.zeros(0, bool)
-            total = np.bitwise_or.reduceat(columns[2], np.flatnonzero(np.append(True, last[:-1]))) if len(names) else columns[2]
-            self.ready = names[last], columns[0][last], columns[1][last], total
-        names, docs, units, mask = self.ready
+            order = np.argsort(names)
+            names = names[order]
+            first = np.flatnonzero(_starts(names))
+            total = np.bitwise_or.reduceat(columns[2][order], first) if len(first) else columns[2]
+            self.ready, self.parts = (names[first], columns[0][order[first]], columns[1][order[first]], total), []
+        return self.ready
+
+    def texts(self, doc: np.ndarray, asked: bool) -> np.ndarray:
+        """Which documents have units that are asked for, or else units with repeats."""
+        if asked not in self.told:
+            _, docs, _, mask = self._sorted()
+            self.told[asked] = np.unique(docs[(mask == _ASK) == asked])
+        return np.isin(doc.view(np.uint64), self.told[asked])
+
+    def masks(self, doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """-1 without a verdict, else the windows that are repeats as bits."""
+        names, docs, units, mask = self._sorted()
         if not len(names):
             return np.full(len(ids), -1, np.int64)
         doc = doc.view(np.uint64)
@@ -283,7 +327,7 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Known, pa.Re
                 for blob in part.column("blob").to_pylist():
                     known.add(blob)
             else:
-                for piece in slices([part]):
+                for piece in slices([part], limit=SLICE_BYTES):
                     yield known, piece
 
 
@@ -301,6 +345,15 @@ def _doc_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.fill_null(0), np.int64), np.asarray(column.is_null())
 
 
+def _judged(known: _Known, batch: pa.RecordBatch, asked: bool) -> tuple[Units, np.ndarray, np.ndarray, np.ndarray]:
+    """The units of the texts that have units asked for, or else repeats; their documents and masks; and which rows of the batch these texts are."""
+    doc, null = _doc_ids(batch)
+    some = np.flatnonzero(known.texts(doc, asked) & ~null)
+    units = Units(batch.column("text").take(pa.array(some)))
+    doc = doc[some][units.text]
+    return units, doc, known.masks(doc, units.id), some
+
+
 def _ask(buckets: int, many: int = MANY):
     """The texts that were asked for, packed by their anchor's bucket; of an anchor with more than ``many`` texts in a batch a mark, and the windows
     by their own bytes."""
@@ -308,14 +361,15 @@ def _ask(buckets: int, many: int = MANY):
         key, ids, doc, anchor, size = (np.concatenate(x) for x in list(zip(*held))[:5])
         data = np.concatenate([h[5] for h in held])
         begin = np.cumsum(size) - size
-        crowd = _per_key(key) > many
+        order = np.argsort(key)
+        crowd = _per_run(_starts(key[order]), np.ones(len(key))) > many
         if crowd.any():
-            yield _batch(list(_marks(key[crowd], buckets)))
-            some = np.flatnonzero(crowd)
-            yield from _apart(data, begin, size, ids, doc, some[np.argsort(key[some], kind="stable")], buckets)
+            some = order[crowd]
+            yield _batch(list(_marks(key[some], buckets)))
+            yield from _apart(data, begin, size, ids, doc, some, buckets)
         rows, bucket = [], _bucket(key, buckets)
-        at = np.flatnonzero(~crowd)
-        at = at[np.argsort(bucket[at], kind="stable")]
+        at = np.sort(order[~crowd])
+        at = at[_dealt(bucket[at], buckets)]
         for a, b in _runs(bucket[at]):
             some = at[a:b]
             columns = _pack(_UNIT, (key[some], 5), (ids[some], 8), (doc[some].view(np.uint64), 8), (anchor[some].astype(np.uint64), 1), (size[some].astype(np.uint64), 1))
@@ -326,13 +380,12 @@ def _ask(buckets: int, many: int = MANY):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen = [], 0
         for known, batch in _streamed(batches):
-            units = Units(batch.column("text"))
-            doc, null = _doc_ids(batch)
-            at = np.flatnonzero((known.masks(doc[units.text], units.id) == _ASK) & ~null[units.text])
+            units, doc, mask, _ = _judged(known, batch, asked=True)
+            at = np.flatnonzero(mask == _ASK)
             seen += len(units.data)
             if len(at):
                 size = units.last[at] + LENGTH - units.first[at]
-                held.append((units.key[at], units.id[at], doc[units.text[at]], (units.anchor - units.first)[at], size, gather(units.data, units.first[at], size)))
+                held.append((units.key[at], units.id[at], doc[at], (units.anchor - units.first)[at], size, gather(units.data, units.first[at], size)))
             if held and seen >= MERGE_BYTES:
                 yield from flush(held)
                 held, seen = [], 0
@@ -348,15 +401,16 @@ class Suffixes:
     def __init__(self, data: np.ndarray, length: int):
         hasher = SpanHasher(data, seed=7)
         self.data, self.length, self.prefix, self.inverse = data, length, hasher.prefix, hasher.inverse
+        self.whole = (self.prefix[length:] - self.prefix[:-length]) * self.inverse[:max(len(data) - length + 1, 0)]
 
-    def _same(self, a: np.ndarray, b: np.ndarray, size) -> np.ndarray:
-        """Whether two suffixes agree in their first ``size`` bytes."""
-        return (self.prefix[a + size] - self.prefix[a]) * self.inverse[a] == (self.prefix[b + size] - self.prefix[b]) * self.inverse[b]
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether two suffixes have the same hash in their whole length."""
+        return self.whole[a] == self.whole[b]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the longest common extension of two suffixes, by binary search where they are not equal."""
         out = np.full(len(a), self.length)
-        other = np.flatnonzero(~self._same(a, b, self.length))
+        other = np.flatnonzero(~self.same(a, b))
         a, b, reach = a[other], b[other], np.zeros(len(other), np.int64)
         base_a, base_b, inv_a, inv_b = self.prefix[a], self.prefix[b], self.inverse[a], self.inverse[b]
         step = 1 << (self.length.bit_length() - 1)
@@ -377,35 +431,46 @@ class Suffixes:
 
     def sort(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
         """The order of the suffixes within each group, groups ascending: a bottom-up mergesort of all groups side by side."""
-        order = np.argsort(group, kind="stable")
-        group = group[order]
-        first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+        order = np.argsort(group)
+        first = np.flatnonzero(_starts(group[order]))
         size = np.diff(np.append(first, len(group)))
-        live = np.flatnonzero(size > 1)
+        taken = np.zeros(len(group), bool)
         run = 1
-        while len(live):
-            at = gather(np.arange(len(group)), first[live], size[live])
-            base, n = np.repeat(first[live], size[live]), np.repeat(size[live], size[live])
-            place = at - base
-            mine = place // run
-            left = np.flatnonzero(mine & 1 == 0)  # the items of left runs look for their ranks, the others fill what is left
-            start = (mine[left] + 1) * run
-            low, high = np.minimum(start, n[left]), np.minimum(start + run, n[left])
-            rank, item = low.copy(), starts[order[at[left]]]
-            while (open_ := np.flatnonzero(low < high)).size:
-                middle = (low[open_] + high[open_]) // 2
-                before = self.compare(starts[order[base[left[open_]] + middle]], item[open_]) < 0
-                low[open_[before]] = middle[before] + 1
-                high[open_[~before]] = middle[~before]
-            moved, free = order[at], np.ones(len(group), bool)
-            to = at[left] + (low - rank)
-            free[to] = False
-            order[to] = moved[left]
-            order[at[free[at]]] = np.delete(moved, left)
+        while (live := np.flatnonzero(size > run)).size:
+            first, size = first[live], size[live]
+            pairs = (size + run - 1) // (2 * run)  # of neighbouring runs
+            left = gather(np.arange(pairs.max()), np.zeros(len(pairs), np.int64), pairs) * (2 * run) + np.repeat(first, pairs)
+            right = left + run
+            end = np.minimum(right + run, np.repeat(first + size, pairs))
+            mixed = np.flatnonzero(self.compare(starts[order[right - 1]], starts[order[right]]) > 0)  # the others are in order already
+            left, right, end = left[mixed], right[mixed], end[mixed]
+            if run == 1:
+                order[left], order[right] = order[right], order[left]
+            elif len(left):
+                self._merge(starts, order, left, right, end, taken)
             run *= 2
-            live = live[size[live] > run]
         return order
 
+    def _merge(self, starts: np.ndarray, order: np.ndarray, left: np.ndarray, right: np.ndarray, end: np.ndarray, taken: np.ndarray) -> None:
+        """Merges sorted runs of ``order``: those from ``left`` with those from ``right`` to ``end``. The items of left runs look for their ranks,
+        the others fill the places that are left. ``taken`` is false before and after."""
+        run = int(right[0] - left[0])
+        at = (left[:, None] + np.arange(run)).ravel()
+        low, high = np.repeat(right, run), np.repeat(end, run)
+        rank, item = low.copy(), starts[order[at]]
+        while (open_ := np.flatnonzero(low < high)).size:
+            middle = (low[open_] + high[open_]) // 2
+            before = self.compare(starts[order[middle]], item[open_]) < 0
+            low[open_[before]] = middle[before] + 1
+            high[open_[~before]] = middle[~before]
+        to, places = at + (low - rank), np.arange(len(order))
+        taken[to] = True
+        whole = gather(places, left, end - left)
+        moved, others = order[at], order[gather(places, right, end - right)]
+        order[whole[~taken[whole]]] = others
+        order[to] = moved
+        taken[to] = False
+
 
 def _windows_of(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, unit and place within it of every window of the units' texts."""
@@ -417,14 +482,15 @@ def _windows_of(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _judge(data: np.ndarray, start: np.ndarray, group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The windows' order by group and bytes; in that order whether each equals the one before it, and the least document of its equals."""
-    order = Suffixes(data, LENGTH).sort(start, group)
+    suffixes = Suffixes(data, LENGTH)
+    order = suffixes.sort(start, group)
     start, group, doc = start[order], group[order], doc[order]
     near = np.flatnonzero(group[1:] == group[:-1])
-    same = np.zeros(len(start), bool)
-    equal = np.ones(len(near), bool)
-    for k in range(LENGTH):  # the bytes themselves
-        equal &= data[start[near] + k] == data[start[near + 1] + k]
-    same[near[equal] + 1] = True
+    near = near[suffixes.same(start[near], start[near + 1])]
+    same, text = np.zeros(len(start), bool), np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    for at in range(0, len(near), _PART):  # the bytes themselves
+        x = near[at:at + _PART]
+        same[x[(text[start[x]] == text[start[x + 1]]).all(1)] + 1] = True
     lead = np.flatnonzero(~same)
     return order, same, np.repeat(np.minimum.reduceat(doc, lead), np.diff(np.append(lead, len(start))))
 
@@ -439,10 +505,9 @@ def _masks(doc: np.ndarray, ids: np.ndarray, within: np.ndarray, buckets: int) -
     return list(_verdicts(doc[first], ids[first], np.bitwise_or.reduceat(bit, first), buckets))
 
 
-def _by_bytes(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The windows' hashes and groups of equal hash."""
-    name = SpanHasher(data, seed=5)(start, start + LENGTH)
-    return name, np.unique(name, return_inverse=True)[1]
+def _by_bytes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The windows' hashes."""
+    return SpanHasher(data, seed=5)(start, start + LENGTH)
 
 
 def _apart(data: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray, doc: np.ndarray, some: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -452,8 +517,8 @@ def _apart(data: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarra
         text, width = gather(data, begin[part], size[part]), size[part]
         start, unit, within = _windows_of(np.cumsum(width) - width, width)
         owner, named = doc[part][unit], ids[part][unit]
-        name, group = _by_bytes(text, start)
-        order, same, least = _judge(text, start, group, owner)
+        name = _by_bytes(text, start)
+        order, same, least = _judge(text, start, name, owner)
         run = np.cumsum(~same)
         start, within, owner, named, name = (x[order] for x in (start, within, owner, named, name))
         hit = owner > least
@@ -464,7 +529,7 @@ def _apart(data: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarra
         new = np.append(True, (run[left][1:] != run[left][:-1]) | (named[left][1:] != named[left][:-1]) | (within[left][1:] != within[left][:-1]))
         left = left[new]
         bucket = _bucket(name[left], buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = _dealt(bucket, buckets)
         left, bucket = left[order], bucket[order]
         for a, b in _runs(bucket):
             x = left[a:b]
@@ -473,11 +538,18 @@ def _apart(data: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarra
         yield _batch(rows)
 
 
+def _together(key: np.ndarray, size: np.ndarray) -> list[slice]:
+    """Pieces of units sorted by key, of about ``COMPARE_BYTES`` of text, without cutting a key."""
+    first = np.flatnonzero(_starts(key))
+    first = first[_starts((np.cumsum(size) - size)[first] // COMPARE_BYTES)]
+    return [slice(a, b) for a, b in zip(first.tolist(), np.append(first[1:], len(key)).tolist())]
+
+
 def _compare(buckets: int, most: int = MOST):
     """Verdicts on the units of one bucket whose texts were asked for: which of their windows a smaller document has. Marked anchors and those with
     more than ``most`` texts give their windows, dealt by their bytes; such windows and verdicts pass through."""
     def compare(table: pa.Table) -> pa.Table:
-        parts, texts, rows, marked = [], [], [], [np.zeros(0, np.uint64)]
+        parts, texts, rows, marked = [], [], [], []
         for at, blob in zip(table["bucket"].to_pylist(), table["blob"].to_pylist()):
             if blob[0] == _MANY:
                 marked += _unpack(blob, 5)
@@ -493,18 +565,24 @@ def _compare(buckets: int, most: int = MOST):
             doc, anchor, size = doc.view(np.int64), anchor.astype(np.int64), size.astype(np.int64)
             data = np.frombuffer(b"".join(texts), np.uint8)
             begin = np.cumsum(size) - size
-            crowd = (_per_key(key) > most) | np.isin(key, np.concatenate(marked))
-            some = np.flatnonzero(crowd)
-            out += _apart(data, begin, size, ids, doc, some[np.argsort(key[some], kind="stable")], buckets)
-            if not crowd.all():
-                key, ids, doc, anchor, size, begin = (x[~crowd] for x in (key, ids, doc, anchor, size, begin))
-                start, unit, within = _windows_of(begin, size)
+            order = np.argsort(key)
+            key, ids, doc, anchor, size, begin = (x[order] for x in (key, ids, doc, anchor, size, begin))
+            crowd = (_per_run(_starts(key), np.ones(len(key))) > most) | _marked(key, marked)
+            out += _apart(data, begin, size, ids, doc, np.flatnonzero(crowd), buckets)
+            key, ids, doc, anchor, size, begin = (x[~crowd] for x in (key, ids, doc, anchor, size, begin))
+            hits = []
+            for part in _together(key, size):
+                text, width, owner = gather(data, begin[part], size[part]), size[part], doc[part]
+                start, unit, within = _windows_of(np.cumsum(width) - width, width)
                 # Only windows with the same anchor at the same place can be equal.
-                _, name = np.unique(key, return_inverse=True)
-                order, _, least = _judge(data, start, name[unit] * 64 + (anchor[unit] - within), doc[unit])
+                name = np.cumsum(_starts(key[part]))
+                order, _, least = _judge(text, start, name[unit] * 64 + (anchor[part][unit] - within), owner[unit])
                 unit, within = unit[order], within[order]
-                hit = doc[unit] > least
-                out.append(_batch(_masks(doc[unit[hit]], ids[unit[hit]], within[hit], buckets)))
+                hit = owner[unit] > least
+                unit = unit[hit]
+                hits.append((owner[unit], ids[part][unit], within[hit]))
+            if hits:
+                out.append(_batch(_masks(*(np.concatenate(x) for x in zip(*hits)), buckets)))
         return pa.Table.from_batches(out)
 
     return compare
@@ -521,22 +599,19 @@ def _settle(buckets: int):
         ids, doc, within = (np.concatenate(x) for x in zip(*parts))
         doc, data = doc.view(np.int64), np.frombuffer(b"".join(texts), np.uint8)
         start = np.arange(len(ids)) * LENGTH
-        order, _, least = _judge(data, start, _by_bytes(data, start)[1], doc)
+        order, _, least = _judge(data, start, _by_bytes(data, start), doc)
         hit = order[doc[order] > least]
         return pa.Table.from_batches([_batch(_masks(doc[hit], ids[hit], within[hit], buckets))])
 
     return settle
 
 
-def removed_spans(units: Units, mask: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def removed_spans(units: Units, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text of the maximal runs of covered bytes. ``mask``: each unit's windows that are repeats, as bits."""
-    starts = []
-    for k in range(_WINDOWS):
-        held = np.flatnonzero(((mask >> np.int64(k)) & 1).astype(bool) & (units.first + k <= units.last))
-        starts.append(np.stack([units.first[held] + k, units.text[held]]))
-    at, text = np.concatenate(starts, axis=1)
-    order = np.argsort(at, kind="stable")
-    at, text = at[order], text[order]
+    some = np.flatnonzero(mask)
+    at, unit, within = _windows_of(units.first[some], units.last[some] + LENGTH - units.first[some])
+    hit = np.flatnonzero((mask[some][unit] >> within) & 1)
+    at, text = at[hit], units.text[some][unit[hit]]  # ascending, as the units are
     if not len(at):
         return at, at, text
     new = np.append(True, (at[1:] > at[:-1] + LENGTH) | (text[1:] != text[:-1]))
@@ -549,23 +624,23 @@ _SPANS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for known, batch in _streamed(batches):
-        units = Units(batch.column("text"))
-        doc, null = _doc_ids(batch)
-        mask = known.masks(doc[units.text], units.id)
-        mask[(mask < 0) | null[units.text]] = 0
-        start, end, text = removed_spans(units, mask, batch.num_rows)
-        raw, n = units.data.tobytes(), batch.num_rows
-        at = np.searchsorted(text, np.arange(n + 1))
-        rows = []
-        for i, (a, b) in enumerate(zip(units.offsets[:-1].tolist(), units.offsets[1:].tolist())):
-            spans = list(zip(start[at[i]:at[i + 1]].tolist(), end[at[i]:at[i + 1]].tolist()))
-            ends = [a, *[e for _, e in spans]]
-            kept = b"".join(raw[x:y] for x, y in zip(ends, [*[s for s, _ in spans], b]))
-            rows.append((b - a, b - a - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [s - a for s, _ in spans], [e - a for _, e in spans], kept))
-        columns = list(zip(*rows)) if rows else [[]] * 7
+        units, _, mask, some = _judged(known, batch, asked=False)
+        start, end, text = removed_spans(units, np.maximum(mask, 0))
+        data, offsets = text_bytes(batch.column("text"))
+        shift = (offsets[some] - units.offsets[:-1])[text]
+        start, end, text = start + shift, end + shift, some[text]
+        at = np.searchsorted(text, np.arange(batch.num_rows + 1))
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[start] += 1
+        inside[end] -= 1
+        kept = data[np.cumsum(inside[:-1], dtype=np.int8) == 0].tobytes() if len(start) else data.tobytes()
+        removed = np.append(0, np.cumsum(end - start))[at]  # in all texts before
+        bounds, view = offsets - removed, memoryview(kept)
+        sha256 = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x - offsets[text], pa.int64())) for x in (start, end)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()),
-                                                                                  pa.list_(pa.int64()), pa.binary()))]],
+            [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(np.diff(removed)), pa.array(np.diff(at).astype(np.int64)), pa.array(sha256, pa.string()),
+             *lists, pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(kept)])],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts", "span_ends", "kept"])
 
 

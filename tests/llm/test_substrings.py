@@ -116,3 +116,61 @@ def test_query_on_the_small_table(spark):
     path = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
     assert result(QUERIES["op9_suffix_dedup"](spark, path)) == brute_force(rows)
+
+
+def test_units_do_not_depend_on_neighbours():
+    rng = random.Random(6)
+    texts = ["", "x" * 49, "y" * 50, passages(rng, 40), "", "z" * 10, passages(rng, 200), "ab" * 60, "q" * 49, None, "é" * 26, passages(rng, 12), ""]
+    together, alone = substrings.Units(pa.array(texts, pa.string())), []
+    for i, text in enumerate(texts):
+        u, at = substrings.Units(pa.array([text], pa.string())), together.offsets[i]
+        alone += [(i, *x) for x in zip((u.first + at).tolist(), (u.last + at).tolist(), (u.anchor + at).tolist(), u.id.tolist())]
+    assert list(zip(together.text.tolist(), together.first.tolist(), together.last.tolist(), together.anchor.tolist(), together.id.tolist())) == alone
+    windows = [p for _, first, last, *_ in alone for p in range(first, last + 1)]
+    lengths = [len((t or "").encode()) for t in texts]
+    assert windows == [a + p for a, n in zip(together.offsets.tolist(), lengths) for p in range(n - 49)]
+
+
+def test_texts_are_hashed_in_small_pieces_and_only_where_needed(monkeypatch):
+    seen, units = [], substrings.Units
+
+    def spied(texts):
+        seen.append([len(t) for t in texts.to_pylist()])
+        return units(texts)
+
+    rng = random.Random(7)
+    rows = [(i, f"{i:04d}" + "".join(rng.choice("abcdefgh ") for _ in range(1400))) for i in range(1000)]
+    rows[900] = (900, rows[10][1])
+    docs = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    monkeypatch.setattr(substrings, "Units", spied)
+    sent = [row for out in substrings._send(1)([docs]) for row in out.to_pylist()]
+    assert sum(map(len, seen)) == 1000 and max(map(sum, seen)) <= 1 << 17
+    met = substrings._meet(1)(pa.table({"bucket": [0] * len(sent), "blob": [r["blob"] for r in sent]}))["blob"].to_pylist()
+    streamed = pa.RecordBatch.from_arrays(
+        [pa.array([0] * (len(met) + 1000)), pa.array([0] * len(met) + [1] * 1000), pa.array([None] * len(met) + [r[0] for r in rows]),
+         pa.array([None] * len(met) + [r[1] for r in rows]), pa.array(met + [None] * 1000, pa.binary())], names=["bucket", "kind", "doc_id", "text", "blob"])
+    seen.clear()
+    assert not [out for out in substrings._ask(1)([streamed])] and not sum(map(len, seen))
+    cut = pa.Table.from_batches(substrings._cut([streamed])).to_pylist()
+    assert sum(map(len, seen)) == 1 and [(r["doc_id"], r["n_removed"]) for r in cut if r["n_removed"]] == [(900, 1404)]
+    assert [bytes(r["kept"]).decode() for r in cut] == [t if i != 900 else "" for i, t in rows]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_comparison_in_small_pieces(monkeypatch, seed):
+    rng = random.Random(10 + seed)
+    rows = lines_between(rng, 150) + [(5000 + i, t + passages(rng, 3)) for i, (_, t) in enumerate(lines_between(rng, 150, "Printed in two colours on paper made of rags."))]
+    docs = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    verdicts = []
+    for size in (1, 2000, 1 << 18):
+        monkeypatch.setattr(substrings, "COMPARE_BYTES", size)
+        u = substrings.Units(docs["text"])
+        data = np.concatenate([u.data[a:b + 50] for a, b in zip(u.first, u.last)])
+        doc = np.asarray(docs["doc_id"], np.int64)[u.text]
+        head = substrings._pack(substrings._UNIT, (u.key, 5), (u.id, 8), (doc.view(np.uint64), 8), ((u.anchor - u.first).astype(np.uint64), 1),
+                                ((u.last + 50 - u.first).astype(np.uint64), 1))
+        blob = head[:1] + len(doc).to_bytes(4, "little") + head[1:] + data.tobytes()
+        out = substrings._compare(1)(pa.table({"bucket": pa.array([0], pa.int32()), "blob": pa.array([blob], pa.binary())}))
+        told = [x for b in out["blob"].to_pylist() for x in zip(*(c.tolist() for c in substrings._unpack(b, 8, 8, 4)))]
+        verdicts.append(sorted(told))
+    assert verdicts[0] and verdicts[0] == verdicts[1] == verdicts[2]
