@@ -33,7 +33,7 @@ LENGTH = 50
 #: Bytes of an anchor: long enough to be rare by chance in running text.
 K = 20
 _WINDOWS = LENGTH - K + 1
-#: Text bytes whose units are found at once: a byte takes some arrays of 8 bytes, which should stay in a core's cache.
+#: Text bytes whose units are found at once: a byte takes some arrays of 8 bytes, and large ones are slow.
 SLICE_BYTES = 1 << 17
 #: Text bytes of units that are compared at once, for the same reason; the texts of one anchor stay together.
 COMPARE_BYTES = 1 << 18
