@@ -35,12 +35,13 @@ def label_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
     Ties of ``order`` are broken by content, and exact copies by their place in the table, so ``df`` has to be a stored table
     (``session.cut_lineage``). NULL keys are one key. The winners come from an aggregate, and the join back is on the row's place,
-    which spreads a hot key over all partitions.
+    which spreads a hot key over all partitions. That join is a sorted one whatever the winners seem to weigh: next to the columns of a packed
+    file a place looks so small that one for every key would be broadcast through the driver.
     """
     placed = df.withColumn("_place", F.monotonically_increasing_id())
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*arrival(order), _content(df), F.col("_place")])])
     winners = placed.groupBy(*keys).agg(F.min(rank)[f"o{2 * len(order) + 1}"].alias("_place")).select("_place", F.lit(True).alias("_first"))
-    joined = placed.join(winners, "_place", "left")
+    joined = placed.join(winners.hint("merge"), "_place", "left")
     reason = F.when(F.col("_first").isNull(), F.lit(DUPLICATE))
     if "_reason" in df.columns:
         return joined.withColumn("_reason", F.coalesce("_reason", reason)).select(*df.columns)

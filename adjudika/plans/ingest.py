@@ -141,7 +141,7 @@ class Ingest:
         if "_reason" not in df.columns:
             df = df.withColumns({"_reason": F.lit(None).cast("string"), "_field": F.lit(None).cast("string")})
         df = cut_lineage(df, "children", PACKED)
-        known = self.store.known(df.filter(F.col("_reason").isNull())).select(KEY, F.lit(True).alias("_known"))
+        known = self.store.known(df.filter(F.col("_reason").isNull())).select(KEY, F.lit(True).alias("_known")).hint("merge")  # as in ``_dedup``
         orphan = F.col("_reason").isNull() & F.col("_known").isNull()
         return df.join(known, KEY, "left").withColumns({
             "_reason": F.when(orphan, F.lit(Q.DATABASE)).otherwise(F.col("_reason")),
@@ -166,7 +166,8 @@ class Ingest:
         stored = self._others(kept, keys)
         first = label_duplicates(kept, keys, self.order)
         same = reduce(lambda a, b: a & b, [first[k].eqNullSafe(F.col(f"_s.{k}")) for k in keys])
-        met = first.join(stored.withColumn("_stored", F.lit(True)).alias("_s"), same, "left")
+        # Sorted, as the keys of a whole table would be broadcast through the driver wherever its packed columns make them look small.
+        met = first.join(stored.withColumn("_stored", F.lit(True)).hint("merge").alias("_s"), same, "left")
         reason = F.coalesce("_reason", F.when(F.col("_stored"), F.lit(Q.DUPLICATE)))
         return met.select(*[reason.alias(c) if c == "_reason" else first[c] for c in df.columns]).unionByName(out)
 

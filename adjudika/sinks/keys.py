@@ -34,12 +34,23 @@ class KeyTable:
     def touched(self, keys: DataFrame) -> list[int]:
         return [r[0] for r in keys.select(self.prefix().alias(PREFIX)).distinct().collect()]  # at most ``prefixes`` numbers
 
+    def held(self) -> set[int]:
+        """The prefixes that have a folder: a listing of names."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        names = [f.getPath().getName() for f in folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)]
+        return {int(n.split("=", 1)[1]) for n in names if n.startswith(f"{PREFIX}=")}
+
     def lookup(self, keys: DataFrame) -> DataFrame:
-        """The stored rows in the prefixes of ``keys``, which should be a stored table: it is read for the prefixes and again by a join."""
+        """The stored rows in the prefixes of ``keys``, which should be a stored table: it is read for the prefixes and again by a join.
+
+        Where none of them is held, the planner knows that the result is empty: a join with it moves no row.
+        """
         rows = self.read()
         if rows is None:
             return self.spark.createDataFrame([], self.schema)
-        return rows.filter(F.col(PREFIX).isin(self.touched(keys))).drop(PREFIX)
+        held = self.held()
+        chosen = [p for p in self.touched(keys) if p in held] if held else []
+        return rows.filter(F.col(PREFIX).isin(chosen) if chosen else F.lit(False)).drop(PREFIX)
 
     def _laid_out(self, rows: DataFrame):
         dealt = rows.select(*self.schema.fieldNames(), self.prefix().alias(PREFIX))

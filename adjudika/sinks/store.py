@@ -92,7 +92,7 @@ class TenderStore:
     def insert_new(self, tenders: DataFrame, order: list[str], lot_id: int = 0, seq: int = 0) -> DataFrame:
         """Store the first record of every reference that is not stored yet. A repeated call stores nothing twice."""
         first = cut_lineage(first_per_key(tenders, [KEY], order), "first", PACKED)
-        fresh = new_keys(first, self.known(first), KEY)
+        fresh = new_keys(first, self.known(first).hint("merge"), KEY)  # the keys of all tenders are no broadcast
         run = {"lot_id": F.lit(int(lot_id)).cast("bigint"), "seq": F.lit(int(seq)).cast("bigint")}
         rows = cut_lineage(self._dated(as_table(fresh, "consultation").withColumns(run)), "fresh", PACKED)
         self._by_month(rows).write.mode("append").partitionBy("mois").parquet(self.path("consultation"), compression=PACKED)

@@ -363,6 +363,38 @@ def test_upsert_broadcasts_no_keys(spark):
     assert "BroadcastHashJoin" not in months._jdf.queryExecution().executedPlan().toString()
 
 
+def test_children_broadcast_no_keys(spark):
+    """Packed files make places and keys look small: the joins of a batch must not be chosen by that guess, and an empty store costs none."""
+    def plan(df, kind="executedPlan"):
+        return getattr(df._jdf.queryExecution(), kind)().toString()
+
+    ref = F.concat(F.lit("R"), F.col("id").cast("string")).alias("ref_consultation")
+    stamp = F.lit("2025-01-01").cast("timestamp_ntz")
+    tenders, children = ingest(spark), {"kind": "lot", "order": ["numero_lot"], "child_key": ["numero_lot"]}
+    rows = spark.range(2000).select(
+        ref, F.lit("t").alias("titre"), F.lit("O").alias("organisme_acronyme"), F.lit("travaux").alias("type_marche"), F.lit("en_cours").alias("statut"),
+        stamp.alias("date_publication"), stamp.alias("date_extraction"), F.col("id").cast("int").alias("arrivee"))
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it is chosen before anything has run
+    try:
+        tenders.store.begin("consultation", 0)
+        first = tenders.label(rows, 0)
+        assert plan(first, "optimizedPlan").count("Join") == 1  # the first of each key; nothing is stored to be met
+        tenders.run(rows, 0)
+        lots = spark.range(3000).select(ref, F.lit("1").alias("numero_lot"), F.lit("d").alias("designation"), stamp.alias("date_extraction"))
+        job = Ingest(tenders.store, **children)
+        job.run(lots.filter("id % 2 = 0"), 1)
+        found = Ingest(tenders.store, **children, off=frozenset(["parents", "check"])).label(lots, 2)
+        met = Ingest(tenders.store, **children, off=frozenset(["dedup", "check"])).label(lots, 2)
+        again = tenders.label(rows, 1)
+        for df, joins in ((found, 2), (met, 1), (again, 2)):
+            assert plan(df).count("SortMergeJoin") == joins and "Broadcast" not in plan(df), plan(df)
+        counts = {r.issue: r.n for r in job.run(lots, 2).collect()}
+        assert counts == {"saved": 1000, "duplicate": 1000, "database_error": 1000}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
+
+
 def test_calendar_query_counts_every_order(spark):
     import __spark_entry__ as entry
 
