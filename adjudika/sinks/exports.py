@@ -15,6 +15,11 @@ EXPORT_CAP = 10_000
 CSV = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+# Rows of a run's bundle: gzip at its fastest level.
+PACKED_JSON = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+#: Rows in a file of a bundle, at most.
+BUNDLE_ROWS = 500_000
+
 # Headers of the full export, in column order.
 FULL_HEADERS = {
     "ref_consultation": "Référence", "titre": "Titre", "organisme_acronyme": "Organisme", "type_marche": "Type",
@@ -81,6 +86,10 @@ def json_feed_replacing(items: DataFrame, path: str) -> None:
 
 
 def run_bundle(path: str, summary: DataFrame, **parts: DataFrame) -> None:
-    """Result of an extraction run: its rows, its errors and a one-row summary, one folder each."""
-    for name, df in {**parts, "summary": summary}.items():
-        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
+    """Result of an extraction run: its rows, its errors and a one-row summary, one folder each.
+
+    Every row repeats its keys, so the rows are written as gzip; the summary is plain. A file of gzip is read by one task, which ``BUNDLE_ROWS`` keeps short.
+    """
+    for name, df in parts.items():
+        df.write.mode("overwrite").options(**PACKED_JSON, maxRecordsPerFile=BUNDLE_ROWS).option("ignoreNullFields", "false").json(f"{path}/{name}")
+    summary.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")

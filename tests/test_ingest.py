@@ -297,6 +297,24 @@ def test_exports_keep_awkward_text(spark):
     assert full.columns == list(exports.FULL_HEADERS.values()) and full.filter("`Référence` = 'R;1'").first()["Titre"] == ' a "b", \n c '
 
 
+def test_a_bundle_is_packed_and_whole(spark, monkeypatch):
+    """Rows, NULLs and awkward text come back from packed files of a bounded number of rows; the summary is plain."""
+    monkeypatch.setattr(exports, "BUNDLE_ROWS", 300)
+    rows = spark.range(2000).select("id", F.when(F.col("id") % 3 != 0, F.concat(F.lit('é "a"\n\\ '), F.col("id").cast("string"))).alias("titre"))
+    path = f"{work_dir(spark, 'test')}/bundle"
+    for _ in range(2):  # a repeated bundle replaces the first
+        exports.run_bundle(path, spark.createDataFrame([(2000,)], "total bigint"), rows=rows, errors=rows.limit(0))
+    back = spark.read.schema(rows.schema).json(f"{path}/rows")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) <= 300
+    files = [f for f in os.listdir(f"{path}/rows".removeprefix("file:")) if f.startswith("part-")]
+    plain = sum(len(r[0].encode()) + 1 for r in rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect())
+    packed = sum(os.path.getsize(f"{path}/rows/{f}".removeprefix("file:")) for f in files)
+    assert all(f.endswith(".json.gz") for f in files) and 3 * packed < plain
+    assert spark.read.schema(rows.schema).json(f"{path}/errors").count() == 0
+    assert [r[0] for r in spark.read.text(f"{path}/summary").collect()] == ['{"total":2000}']
+
+
 def test_feeds(spark):
     path = work_dir(spark, "test")
     items = spark.createDataFrame([("é", None)], "a string, b string")
